@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op10_benchmark_decontamination
 from .license_scan import op9_license_scan
+from .line_dedup import op1_line_dedup
 from .mixing import op5_source_mixing
 from .pii import op4_pii
 from .quality_rules import op3_quality_rules
@@ -17,7 +18,7 @@ from .token_output import op7_token_output
 from .toxicity import op2_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_toxicity, op3_quality_rules, op4_pii, op5_source_mixing, op6_token_counts, op7_token_output, op8_simhash, op9_license_scan, op10_benchmark_decontamination)
+    f.__name__: f for f in (op1_line_dedup, op2_toxicity, op3_quality_rules, op4_pii, op5_source_mixing, op6_token_counts, op7_token_output, op8_simhash, op9_license_scan, op10_benchmark_decontamination)
 }
 
 ORACLES: dict[str, str] = {}
