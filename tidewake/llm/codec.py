@@ -12,14 +12,18 @@ their own: their pieces are short, or the library gets them whole.
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .text import Texts
 
-#: Bytes of a batch that the library gets, and bytes of pieces that a worker remembers.
-BATCH_BYTES, MEMORY_BYTES = 1 << 18, 24 << 20
+#: Bytes of a batch that the library gets, and pieces that a worker remembers (about 60 bytes each).
+BATCH_BYTES, REMEMBERED = 1 << 18, 2_000_000
+#: Text bytes that are coded at once: more of them share their pieces.
+GROUP_BYTES = 8 << 20
 
 SPACE, BREAK = 0x20, 0x0A
 #: First bytes of UTF-8 sequences among which are white space and its like.
@@ -40,51 +44,39 @@ class Codec:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.bounds = np.zeros(1 << 14, np.int64)
-        self.held = 0
+        self.pieces = pa.array([], pa.large_binary())
+        self.ids = np.zeros(0, np.uint32)
+        self.bounds = np.zeros(1, np.int64)
 
-    def learn(self, pieces: list[bytes]) -> None:
+    def learn(self, fresh: pa.Array) -> None:
         """Encode pieces that are not known yet, in batches of about BATCH_BYTES."""
-        begin, size = 0, 0
-        for k, piece in enumerate(pieces):
-            size += len(piece)
-            if size >= BATCH_BYTES or k == len(pieces) - 1:
-                part = pieces[begin : k + 1]
-                found = self.library.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
-                for p, encoded in zip(part, found, strict=True):
-                    self.add(p, encoded.ids)
-                begin, size = k + 1, 0
-
-    def add(self, piece: bytes, ids: list[int]) -> None:
-        n = len(self.place)
-        end = int(self.bounds[n]) + len(ids)
-        while end > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        if n + 1 >= len(self.bounds):
-            self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
-        self.ids[self.bounds[n] : end] = ids
-        self.bounds[n + 1] = end
-        self.place[piece] = n
-        self.held += len(piece) + 100
+        texts = fresh.cast(pa.large_string()).to_pylist()
+        cuts = np.searchsorted(np.cumsum(pc.binary_length(fresh).to_numpy()), np.arange(1, int(fresh.nbytes) // BATCH_BYTES + 1) * BATCH_BYTES).tolist()
+        ids, sizes = [self.ids], []
+        for begin, end in zip([0, *cuts], [*cuts, len(texts)], strict=True):
+            found = [e.ids for e in self.library.encode_batch_fast(texts[begin:end], add_special_tokens=False)]
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
+            sizes.extend(map(len, found))
+        self.ids = np.concatenate(ids)
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(np.array(sizes, np.int64))])
+        self.pieces = pa.concat_arrays([self.pieces, fresh])
 
     def known(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """The place of each piece of the texts, and each piece's document."""
-        if self.held > MEMORY_BYTES * 4:
+        if len(self.pieces) > REMEMBERED:
             self.forget()
         starts, doc = pieces(texts)
         offsets = np.append(starts, len(texts.data)).astype(np.int64)
         column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(texts.data))])
-        coded = column.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        get = self.place.get
-        at = [get(x, -1) for x in distinct]
-        fresh = [x for x, k in zip(distinct, at, strict=True) if k < 0]
-        if fresh:
-            self.learn(fresh)
-            at = [get(x) for x in distinct]
-        return np.array(at, np.int64)[coded.indices.to_numpy()], doc
+        at = pc.index_in(column, value_set=self.pieces)
+        if not at.null_count:
+            return at.to_numpy().astype(np.int64), doc
+        place = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        fresh = column.take(pa.array(new)).dictionary_encode()
+        place[new] = len(self.pieces) + fresh.indices.to_numpy()
+        self.learn(fresh.dictionary)
+        return place, doc
 
     def lengths(self, texts: Texts) -> np.ndarray:
         """The number of ids of each text."""

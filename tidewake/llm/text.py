@@ -133,3 +133,18 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES)
             begin, held = k, 0
         held += size
     yield batch.slice(begin)
+
+
+def grouped(batches: Iterator[pa.RecordBatch], limit: int, text: str = "text") -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about limit text bytes: small ones are put together, large ones cut."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for part in slices(batch, text, limit):
+            held.append(part)
+            size += part.column(text).nbytes
+            if size >= limit:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+    if any(part.num_rows for part in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]

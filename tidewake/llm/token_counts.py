@@ -16,9 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .codec import codec
+from .codec import GROUP_BYTES, codec
 from .shared import small_batches
-from .text import Texts, slices
+from .text import Texts, grouped
 
 LIMIT = 2048
 
@@ -34,11 +34,10 @@ def token_counts(spark: SparkSession, docs: DataFrame, vocabulary: str, limit: i
     small_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                texts = Texts(part.column("text"))
-                n = codec(vocabulary).lengths(texts)
-                yield pa.record_batch({"doc_id": part.column("doc_id"), "n_bytes": pa.array(np.diff(texts.bounds)), "n_tokens": pa.array(n), "over_limit": pa.array(n > limit)})
+        for part in grouped(batches, GROUP_BYTES):
+            texts = Texts(part.column("text"))
+            n = codec(vocabulary).lengths(texts)
+            yield pa.record_batch({"doc_id": part.column("doc_id"), "n_bytes": pa.array(np.diff(texts.bounds)), "n_tokens": pa.array(n), "over_limit": pa.array(n > limit)})
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 

@@ -23,9 +23,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .codec import codec
+from .codec import GROUP_BYTES, codec
 from .shared import materialize, new_folder, small_batches
-from .text import Texts, slices
+from .text import Texts, grouped
 from .token_counts import vocabulary_path
 from .wavelet import WaveletShard, build
 
@@ -76,16 +76,15 @@ def write_shards(spark: SparkSession, docs: DataFrame, vocabulary: str, folder:
             return row
 
         held = 0
-        for batch in batches:
-            for piece in slices(batch):
-                got, n = codec(vocabulary).encode(Texts(piece.column("text")))
-                ids.append(np.insert(got, np.cumsum(n), end_id))
-                sizes.append(n + 1)
-                names.extend(piece.column("doc_id").to_pylist())
-                held += len(got) + len(n)
-                if held >= SHARD_IDS:
-                    yield close()
-                    held = 0
+        for piece in grouped(batches, GROUP_BYTES):
+            got, n = codec(vocabulary).encode(Texts(piece.column("text")))
+            ids.append(np.insert(got, np.cumsum(n), end_id))
+            sizes.append(n + 1)
+            names.extend(piece.column("doc_id").to_pylist())
+            held += len(got) + len(n)
+            if held >= SHARD_IDS:
+                yield close()
+                held = 0
         if names:
             yield close()
 

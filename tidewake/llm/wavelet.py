@@ -28,7 +28,7 @@ def build(ids: np.ndarray, bounds: np.ndarray, doc_ids: list[int | None]) -> byt
     ids = ids.astype(np.uint16 if planes <= 16 else np.uint32)
     zeros, body = [], []
     for p in range(planes - 1, -1, -1):
-        one = (ids >> ids.dtype.type(p)) & ids.dtype.type(1) != 0
+        one = (ids & ids.dtype.type(1 << p)) != 0
         packed = np.zeros(-(-n // 64) * 8, np.uint8)
         bits = np.packbits(one, bitorder="little")
         packed[: len(bits)] = bits
@@ -36,7 +36,7 @@ def build(ids: np.ndarray, bounds: np.ndarray, doc_ids: list[int | None]) -> byt
         body.append(block_counts(packed).tobytes())
         zeros.append(n - int(one.sum()))
         if p:
-            ids = np.concatenate([ids[~one], ids[one]])
+            ids = np.concatenate([ids.compress(~one), ids.compress(one)])
     null = np.array([d is None for d in doc_ids], np.uint8)
     return b"".join([
         MAGIC,
@@ -148,7 +148,7 @@ class WaveletShard:
         for p in range(self.planes - 1, -1, -1):
             one = np.unpackbits(self.bits[p], bitorder="little", count=self.n).view(bool)
             out = np.empty(self.n, kind)
-            out[~one] = ids[: self.zeros[p]]
-            out[one] = ids[self.zeros[p] :] | kind(1 << (self.planes - 1 - p))
+            out[np.flatnonzero(~one)] = ids[: self.zeros[p]]
+            out[np.flatnonzero(one)] = ids[self.zeros[p] :] | kind(1 << (self.planes - 1 - p))
             ids = out
         return ids.astype(np.uint32)
