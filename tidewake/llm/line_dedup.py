@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import materialize, small_batches
+from .sieve import passes, sieve_of
 from .text import NON_SPACE, Texts, mix, slices
 
 #: Similarity as a fraction.
@@ -226,34 +227,6 @@ def class_sets(docs: DataFrame, sieve) -> DataFrame:
     return docs.select("text").mapInArrow(run, "class long, tokens binary")
 
 
-#: Bits of the sieve's place in a class hash, twice; at most 2^28 bits, 32 MB.
-MAX_SIEVE_BITS = 28
-
-
-def places_of(classes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    c = classes.view(np.uint64)
-    mask = np.uint64((1 << bits) - 1)
-    return (c & mask).astype(np.int64), ((c >> np.uint64(64 - bits)) & mask).astype(np.int64)
-
-
-def sieve_of(survivors: DataFrame, n: int) -> np.ndarray:
-    """A Bloom filter of the surviving classes, of a size bounded by MAX_SIEVE_BITS: 64-bit words come to the driver."""
-    bits = min(MAX_SIEVE_BITS, max(12, (16 * n).bit_length()))
-    place = F.explode(F.array(F.col("class").bitwiseAND((1 << bits) - 1), F.shiftrightunsigned("class", 64 - bits).bitwiseAND((1 << bits) - 1)))
-    words = survivors.select(place.alias("p")).groupBy(F.shiftright("p", 5).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 31 as int))")).alias("b"))
-    out = np.zeros(1 << (bits - 5), np.uint32)
-    for w, b in words.toLocalIterator():
-        out[w] = b
-    return out
-
-
-def passes(sieve: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    out = np.ones(len(classes), bool)
-    for p in places_of(classes, (len(sieve) * 32).bit_length() - 1):
-        out &= (sieve[p >> 5] >> (p & 31).astype(np.uint32)) & 1 > 0
-    return out
-
-
 def verify_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by (members, part): for each member its links found here and the earliest linked line."""
     for table in by_group(batches, ["members", "part"]):
@@ -318,7 +291,7 @@ def line_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     meeting = prefixes(docs, ranks).repartition("token").sortWithinPartitions("token", "size", "class")
     groups = materialize(spark, meeting.mapInArrow(candidate_groups, "members long, class long, n long").distinct(), "line-groups")
     survivors = materialize(spark, groups.groupBy("class").agg(F.collect_list(F.struct("members", "n")).alias("groups")), "line-survivors")
-    sieve = spark.sparkContext.broadcast(sieve_of(survivors, survivors.count()))
+    sieve = spark.sparkContext.broadcast(sieve_of(survivors, "class", survivors.count()))
     sets = class_sets(docs, sieve).join(survivors, "class", "left_semi").dropDuplicates(["class"])
     known = survivors.join(sets, "class").join(classes.select("class", "first"), "class")
     members = known.select("class", "tokens", F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"), F.col("groups.members").alias("groups"), F.explode("groups").alias("g"))

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shared import materialize, small_batches
+from .sieve import passes, sieve_of
 from .text import LOWER, NON_SPACE, Texts, slices
 
 SHINGLE = 4
@@ -220,12 +221,33 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One row of docs for each component, of its least doc_id; all columns as they are."""
-    kept = near_duplicates(spark, docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = materialize(spark, kept.groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count("*").alias("_rows")), "kept-ids")
-    out = docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi").select(*docs.columns)
+    """One row of docs for each component, of its least doc_id; all columns as they are.
+
+    Rows whose doc_id no Bloom filter of the ids in question holds stay where they
+    are; only the rest, mostly the copies, are shuffled and joined.
+    """
+    judged = materialize(spark, near_duplicates(spark, docs).groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("component_id").alias("component_id")), "kept-ids")
+    # In question: ids that are not the least of their component, and ids of several rows.
+    doubtful = judged.where(~F.col("doc_id").eqNullSafe(F.col("component_id")) | (F.col("rows") > 1))
+    sieve = spark.sparkContext.broadcast(sieve_of(doubtful.select(F.xxhash64("doc_id").alias("h")), "h", doubtful.count()))
+    hashed = docs.withColumn("_hash", F.xxhash64("doc_id"))
+    names = docs.columns
+
+    def side(inside: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                doubt = passes(sieve.value, batch.column("_hash").to_numpy())
+                yield batch.filter(pa.array(doubt == inside)).select(names)
+
+        return hashed.mapInArrow(run, docs.schema)
+
+    kept = judged.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id"), "rows")
+    rest = side(True)
+    rest = rest.join(kept, rest["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi").select(*names)
     # Ids are as a rule unique; where one repeats, any of its rows stands for it.
-    return out.dropDuplicates(["doc_id"]) if ids.where("_rows > 1").limit(1).count() else out
+    if kept.where("rows > 1").limit(1).count():
+        rest = rest.dropDuplicates(["doc_id"])
+    return side(False).unionByName(rest)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
