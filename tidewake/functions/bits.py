@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body) -> Column:
+    """body of value, which is computed once however often body has it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def hex_byte(payload: Column, offset: Column | int) -> Column:
     """The byte at an offset of a hex string as a long; null beyond its end."""
     start = (F.lit(offset) if isinstance(offset, int) else offset) * 2 + 1

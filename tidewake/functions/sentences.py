@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .bits import let
+
 #: A decimal number as instruments send it.
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -23,20 +25,24 @@ def sentence(raw: Column) -> Column:
     talker. checksum_ok is null where there is no checksum, false where it is no hex.
     """
     text = F.regexp_replace(F.trim(raw), r"^[$!]+", "")
-    starred = F.contains(text, F.lit("*"))
-    body = F.substring_index(text, "*", 1)
-    sent = F.substring(text, F.instr(text, "*") + 1, 2)
-    parts = F.split(body, ",")
-    tag = F.element_at(parts, 1)
-    own = F.startswith(tag, F.lit("P"))
-    five = ~own & (F.length(tag) == 5)
-    checksum = F.when(starred, F.coalesce(F.when(sent.rlike("^[0-9A-Fa-f]{2}$"), F.conv(sent, 16, 10).cast("int") == xor_checksum(body)), F.lit(False)))
-    return F.when(raw.isNotNull(), F.struct(
-        F.when(five, F.substring(tag, 1, 2)).alias("talker"),
-        F.when(five, F.substring(tag, 3, 3)).otherwise(tag).alias("sentence_type"),
-        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))).alias("fields"),
-        checksum.alias("checksum_ok"),
-    ))
+
+    def checksum(text: Column, body: Column) -> Column:
+        sent = F.substring(text, F.instr(text, "*") + 1, 2)
+        match = F.when(sent.rlike("^[0-9A-Fa-f]{2}$"), F.conv(sent, 16, 10).cast("int") == xor_checksum(body))
+        return F.when(F.contains(text, F.lit("*")), F.coalesce(match, F.lit(False)))
+
+    def parts(text: Column, body: Column, fields: Column) -> Column:
+        tag = F.get(fields, 0)
+        five = ~F.startswith(tag, F.lit("P")) & (F.length(tag) == 5)
+        return F.struct(
+            F.when(five, F.substring(tag, 1, 2)).alias("talker"),
+            F.when(five, F.substring(tag, 3, 3)).otherwise(tag).alias("sentence_type"),
+            F.slice(fields, 2, F.greatest(F.size(fields) - 1, F.lit(0))).alias("fields"),
+            checksum(text, body).alias("checksum_ok"),
+        )
+
+    whole = let(text, lambda x: let(F.substring_index(x, "*", 1), lambda body: let(F.split(body, ","), lambda fields: parts(x, body, fields))))
+    return F.when(raw.isNotNull(), whole)
 
 
 def field_at(fields: Column, k: int) -> Column:

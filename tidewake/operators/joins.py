@@ -73,10 +73,8 @@ def binned_join(facts: DataFrame, ranges: DataFrame, ts: str, start: str, end: s
 
 def equi_range_join(facts: DataFrame, ranges: DataFrame, keys: list[str], ts: str = "ts", start: str = "t_start", end: str = "t_end") -> DataFrame:
     """Left equi-join on keys with a half-open range as residual condition; a null end never matches."""
-    condition = (facts[ts] >= ranges[start]) & (facts[ts] < ranges[end])
+    other = ranges.withColumnsRenamed({k: f"_{k}" for k in keys} | {start: "_start", end: "_end"})
+    condition = (F.col(ts) >= F.col("_start")) & (F.col(ts) < F.col("_end"))
     for k in keys:
-        condition &= facts[k] == ranges[k]
-    out = facts.join(ranges, condition, "left")
-    for k in keys:
-        out = out.drop(ranges[k])
-    return out
+        condition &= F.col(k) == F.col(f"_{k}")
+    return facts.join(other, condition, "left").drop("_start", "_end", *(f"_{k}" for k in keys))

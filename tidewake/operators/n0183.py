@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures, sentences
-from ..functions.sentences import field_at, number, number_at
+from ..functions.bits import let
+from ..functions.sentences import field_at, number
 from ..schema import NO_RANK
 
 
@@ -57,22 +58,38 @@ def pair(name: str, value: Column) -> Column:
     return F.struct(F.lit(name).alias("field"), value.cast("double").alias("value"))
 
 
-def sentence_values(kind: str, fields: Column, ts: Column) -> Column:
-    """array<struct(field, value)> of one sentence type, nulls included."""
-    out = []
-    for v in VALUES[kind]:
-        x = number_at(fields, v.place)
-        x = measures.fold_180(x) if v.fold else x
-        x = x * v.scale if v.scale != 1.0 else x
-        out.append(pair(f"{kind}_{v.suffix}".lower(), F.when(field_at(fields, v.only[0]) == v.only[1], x) if v.only else x))
-    if kind in POSITION:
-        at = sentences.position(fields, POSITION[kind])
-        out += [pair(f"{kind}_latitude".lower(), at.lat), pair(f"{kind}_longitude".lower(), at.lon)]
-    if kind == "RMC":
-        gps = sentences.gps_seconds(field_at(fields, 8), field_at(fields, 0))
-        offset = (F.unix_micros(ts) - F.round(gps * 1e6).cast("bigint")) / 1e6
-        out += [pair("rmc_gps_time", gps), pair("rmc_clock_offset", offset)]
-    return F.array(*out).cast(PAIR)
+def layout_map() -> Column:
+    """Sentence type -> array of its values' layouts, as one constant."""
+    def one(kind: str, v: Value) -> Column:
+        only = v.only or (None, None)
+        parts = {"field": f"{kind}_{v.suffix}".lower(), "place": v.place, "only_place": only[0], "only_text": only[1], "fold": v.fold, "scale": v.scale}
+        kinds = {"only_place": "int", "only_text": "string"}
+        return F.struct(*(F.lit(x).cast(kinds[k]).alias(k) if k in kinds else F.lit(x).alias(k) for k, x in parts.items()))
+
+    return F.create_map(*(x for kind, values in VALUES.items() if values for x in (F.lit(kind), F.array(*(one(kind, v) for v in values)))))
+
+
+def plain_values(kind: Column, fields: Column) -> Column:
+    """array<struct(field, value)> of the plain numeric fields of a sentence."""
+    def value(v: Column) -> Column:
+        x = number(F.get(fields, v["place"]))
+        x = F.when(v["fold"], measures.fold_180(x)).otherwise(x) * v["scale"]
+        return F.when(v["only_place"].isNull() | (F.get(fields, v["only_place"]) == v["only_text"]), x)
+
+    layouts = F.try_element_at(layout_map(), kind)
+    return F.transform(layouts, lambda v: F.struct(v["field"].alias("field"), value(v).alias("value"))).cast(PAIR)
+
+
+def position_values(kind: str, fields: Column) -> Column:
+    at = sentences.position(fields, POSITION[kind])
+    return F.array(pair(f"{kind}_latitude".lower(), at.lat), pair(f"{kind}_longitude".lower(), at.lon)).cast(PAIR)
+
+
+def clock_values(fields: Column, ts: Column) -> Column:
+    """The GPS clock, and how far the capture clock is from it."""
+    gps = sentences.gps_seconds(field_at(fields, 8), field_at(fields, 0))
+    of = lambda g: F.array(pair("rmc_gps_time", g), pair("rmc_clock_offset", (F.unix_micros(ts) - F.round(g * 1e6).cast("bigint")) / 1e6)).cast(PAIR)
+    return F.flatten(F.transform(F.array(gps), of))
 
 
 def transducer_values(fields: Column) -> Column:
@@ -85,13 +102,21 @@ def values_of(s: Column, ts: Column, strict_transducers: bool = False) -> Column
 
     Transducer sentences are taken whatever their checksum, unless strict.
     """
+    return let(s, lambda x: chosen(x, ts, strict_transducers))
+
+
+def chosen(s: Column, ts: Column, strict: bool) -> Column:
     none = F.array().cast(PAIR)
-    sound = F.coalesce(s.checksum_ok, F.lit(True))
-    out = F.when((s.sentence_type == "XDR") & (sound | F.lit(not strict_transducers)), transducer_values(s["fields"]))
-    for kind in VALUES:
-        valid = sound & (F.coalesce(F.get(s["fields"], STATUS[kind]) == "A", F.lit(False)) if kind in STATUS else F.lit(True))
-        out = out.when((s.sentence_type == kind) & valid, sentence_values(kind, s["fields"], ts))
-    return F.filter(out.otherwise(none), lambda p: p["value"].isNotNull())
+    kind, fields = s["sentence_type"], s["fields"]
+    sound = F.coalesce(s["checksum_ok"], F.lit(True))
+    status = F.create_map(*(x for k, place in STATUS.items() for x in (F.lit(k), F.lit(place))))
+    place = F.try_element_at(status, kind)
+    valid = sound & (place.isNull() | F.coalesce(F.get(fields, place) == "A", F.lit(False)))
+    out = F.when((kind == "XDR") & (sound | F.lit(not strict)), transducer_values(fields))
+    out = out.when(valid & (kind == "RMC"), F.concat(plain_values(kind, fields), position_values("RMC", fields), clock_values(fields, ts)))
+    out = out.when(valid & (kind == "GLL"), position_values("GLL", fields))
+    out = out.when(valid & kind.isin(*VALUES), plain_values(kind, fields))
+    return F.filter(F.coalesce(out, none), lambda p: p["value"].isNotNull())
 
 
 def decode(records: DataFrame) -> DataFrame:

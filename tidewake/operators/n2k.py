@@ -8,11 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures
-from ..functions.bits import available, bit_field, can_identifier, can_payload, le_int, le_uint
+from ..functions.bits import can_fields, can_identifier, can_payload, le_uint, let
 from .fast_packet import reassemble
 
 DEG, KN, CELSIUS = "deg", "kn", "celsius"
-CONVERT = {DEG: measures.rad_to_deg, KN: measures.ms_to_knots, CELSIUS: measures.kelvin_to_celsius}
 
 
 @dataclass(frozen=True)
@@ -27,27 +26,16 @@ class Number:
     unit: str | None = None
     fold: bool = False
 
-    def value(self, payload: Column) -> Column:
-        raw = le_int(payload, self.offset, self.size) if self.signed else le_uint(payload, self.offset, self.size)
-        x = available(raw, self.size, self.signed).cast("double")
-        x = x * self.scale if self.scale != 1.0 else x
-        return CONVERT[self.unit](x) if self.unit else x
-
 
 @dataclass(frozen=True)
 class Code:
-    """A lookup, stored as its number; known: the codes that have a meaning."""
+    """A lookup, stored as its number; known: the greatest code that has a meaning."""
 
     name: str
     offset: int
     shift: int
     width: int
-    known: int | None = None
-
-    def value(self, payload: Column) -> Column:
-        code = bit_field(payload, self.offset, self.shift, self.width)
-        top = (1 << self.width) - 1 if self.known is None else self.known
-        return F.when(code < top if self.known is None else code <= top, code.cast("double"))
+    known: int
 
 
 @dataclass(frozen=True)
@@ -60,15 +48,6 @@ class Split:
     width: int = 8
     texts: tuple[tuple[int, str], ...] = ()
 
-    def text(self, payload: Column) -> Column:
-        code = bit_field(payload, self.offset, self.shift, self.width)
-        if not self.texts:
-            return F.when(code != 255, code.cast("string"))
-        out = F.when(code == self.texts[0][0], self.texts[0][1])
-        for number, text in self.texts[1:]:
-            out = out.when(code == number, text)
-        return out
-
 
 @dataclass(frozen=True)
 class Layout:
@@ -133,30 +112,79 @@ def sanitized(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
-def column_name(name: str, splits: tuple[Split, ...], payload: Column) -> Column:
-    """n2k_{name}_{discriminators by key}, those that are absent left out."""
-    parts = [sanitized(s.text(payload)) for s in sorted(splits, key=lambda s: s.key)]
-    return F.concat_ws("_", F.lit(f"n2k_{name}".lower()), *parts)
+SPLIT = "struct<offset:int,shift:int,mask:int,texts:map<int,string>>"
+LAYOUT = f"pgn int, base string, kind string, offset int, size int, scale double, none long, half long, wrap long, unit string, fold boolean, shift int, mask int, known int, offset2 int, only string, s1 {SPLIT}, s2 {SPLIT}"
 
 
-def layout_values(pgn: int, payload: Column) -> Column:
-    """array<struct(field, value)> of one group's message, nulls included."""
-    layout = LAYOUTS[pgn]
+def layout_rows() -> list[tuple]:
+    """LAYOUTS as rows of LAYOUT: a row a value."""
     out = []
-    for v in layout.values:
-        name = f"{v.name}_code" if isinstance(v, Code) else v.name
-        x = v.value(payload)
-        if isinstance(v, Number) and v.fold:
-            off_bow = layout.splits[0].text(payload).isin("Apparent", "True (boat referenced)")
-            x = F.when(off_bow, measures.fold_180(x)).otherwise(x)
-        out.append(F.struct(column_name(name, layout.splits, payload).alias("field"), x.alias("value")))
-    if layout.clock:
-        days, ticks = (available(le_uint(payload, at, size), size, False) for at, size in zip(layout.clock, (2, 4), strict=True))
-        seconds = F.round(days * 86400 + ticks / 10000, 6)
-        if layout.splits:  # a clock whose source is not the satellites is no GPS time
-            seconds = F.when(layout.splits[0].text(payload) == "GPS", seconds)
-        out.append(F.struct(column_name("gps_time", layout.splits, payload).alias("field"), seconds.alias("value")))
-    return F.array(*out).cast(PAIR)
+    for pgn, layout in LAYOUTS.items():
+        splits = [(s.offset, s.shift, (1 << s.width) - 1, dict(s.texts)) for s in sorted(layout.splits, key=lambda s: s.key)]
+        tail = (*splits, None, None)[:2]
+        for v in layout.values:
+            if isinstance(v, Code):
+                out.append((pgn, f"n2k_{v.name}_code".lower(), "code", v.offset, 1, 1.0, -1, 0, 0, None, False, v.shift, (1 << v.width) - 1, v.known, 0, None, *tail))
+                continue
+            bits = 8 * v.size
+            none = (1 << (bits - 1)) - 1 if v.signed else (1 << bits) - 1
+            wraps = v.signed and v.size < 8  # eight bytes are signed as they are
+            out.append((pgn, f"n2k_{v.name}".lower(), "number", v.offset, v.size, v.scale, none, 1 << (bits - 1) if wraps else (1 << 63) - 1, 1 << bits if wraps else 0, v.unit, v.fold, 0, 0, 0, 0, None, *tail))
+        if layout.clock:
+            only = "GPS" if layout.splits else None  # a clock whose source is not the satellites is no GPS time
+            out.append((pgn, "n2k_gps_time", "clock", layout.clock[0], 2, 1.0, 65535, (1 << 63) - 1, 0, None, False, 0, 0, 0, layout.clock[1], only, *tail))
+    return out
+
+
+def reversed_bytes(text: Column, count: int) -> Column:
+    """The first count bytes of a hex text, read as a little-endian number."""
+    return F.conv(F.concat(*(F.substring(text, 2 * k + 1, 2) for k in reversed(range(count)))), 16, 10).cast("bigint")
+
+
+def split_text(split: Column, payload: Column) -> Column:
+    """The discriminator's text; its number where it has no texts, null for 255 or an unknown number."""
+    byte = F.conv(payload.substr(split["offset"] * 2 + 1, F.lit(2)), 16, 10).cast("int")
+    code = F.call_function("shiftright", byte, split["shift"]).bitwiseAND(split["mask"])
+    return F.when(F.size(split["texts"]) > 0, F.try_element_at(split["texts"], code)).otherwise(F.when(code != 255, code.cast("string")))
+
+
+def wire_value(x: Column) -> Column:
+    """The value of a layout row, whose columns are at hand, from struct(raw, ticks, text)."""
+    raw, unit, kind = x["raw"], F.col("unit"), F.col("kind")
+    signed = F.when(raw != F.col("none"), F.when(raw >= F.col("half"), raw - F.col("wrap")).otherwise(raw))
+    code = F.call_function("shiftright", raw, F.col("shift")).bitwiseAND(F.col("mask").cast("bigint"))
+
+    def converted(y: Column) -> Column:
+        return F.when(unit == DEG, measures.rad_to_deg(y)).when(unit == KN, measures.ms_to_knots(y)).when(unit == CELSIUS, measures.kelvin_to_celsius(y)).otherwise(y)
+
+    def folded(y: Column) -> Column:
+        return F.when(F.col("fold") & x["text"].isin("Apparent", "True (boat referenced)"), measures.fold_180(y)).otherwise(y)
+
+    is_gps = F.col("only").isNull() | F.coalesce(x["text"] == F.col("only"), F.lit(False))
+    clock = F.when(is_gps & (raw != F.col("none")) & (x["ticks"] != 4294967295), F.round(raw * 86400 + x["ticks"] / 10000, 6))
+    number = let(let(signed * F.col("scale"), converted), folded)
+    return F.when(kind == "code", F.when(code <= F.col("known"), code.cast("double"))).when(kind == "clock", clock).otherwise(number)
+
+
+def decode_messages(messages: DataFrame) -> DataFrame:
+    """messages (pgn, hex payload, other columns) to one row a value: the columns without payload, field, value.
+
+    The layouts are a table of fixed size that is broadcast and joined by group, so one expression decodes every field.
+    """
+    spark = messages.sparkSession
+    layouts = F.broadcast(spark.createDataFrame(layout_rows(), LAYOUT))
+    rest = [c for c in messages.columns if c not in ("payload", "field", "value")]
+    payload = F.col("payload")
+    rows = messages.where(F.col("pgn").isin(*LAYOUTS)).join(layouts, "pgn")
+    rows = rows.where(F.length(payload) >= (F.col("offset") + F.col("size")) * 2)
+    body = F.rpad(payload.substr(F.col("offset") * 2 + 1, F.col("size") * 2), 16, "0")
+    high = F.when(F.col("size") > 4, reversed_bytes(F.substring(body, 9, 8), 4)).otherwise(0)
+    ticks = F.when((F.col("kind") == "clock") & (F.length(payload) >= F.col("offset2") * 2 + 8), reversed_bytes(payload.substr(F.col("offset2") * 2 + 1, F.lit(8)), 4))
+    wire = F.struct(F.shiftleft(high, 32).bitwiseOR(reversed_bytes(body, 4)).alias("raw"), ticks.alias("ticks"), split_text(F.col("s1"), payload).alias("text"))
+    name = F.concat_ws("_", F.col("base"), sanitized(split_text(F.col("s1"), payload)), sanitized(split_text(F.col("s2"), payload)))
+    known = rows.select(*rest, name.alias("field"), let(wire, wire_value).cast("double").alias("value"))
+    vendor = messages.where(F.col("pgn") == VENDOR_GROUP).select(*rest, F.explode(vendor_values(payload)).alias("_p")).select(*rest, "_p.field", "_p.value")
+    return known.unionByName(vendor).where(F.col("value").isNotNull())
 
 
 def vendor_values(payload: Column) -> Column:
@@ -189,19 +217,15 @@ def vendor_values(payload: Column) -> Column:
     return F.when(own, F.filter(pairs, lambda p: p["field"].isNotNull())).otherwise(F.array().cast(PAIR))
 
 
-def message_values(pgn: Column, payload: Column) -> Column:
-    """array<struct(field, value)> of any message; empty for groups that are not known."""
-    out = F.when(pgn == VENDOR_GROUP, vendor_values(payload))
-    for number in LAYOUTS:
-        out = out.when(pgn == number, layout_values(number, payload))
-    return F.filter(out.otherwise(F.array().cast(PAIR)), lambda p: p["value"].isNotNull())
-
-
 def frames(records: DataFrame) -> DataFrame:
     """Well-formed frames of this protocol, with can_id, pgn, src_addr, priority and hex payload; others are left out."""
-    own = records.where((F.col("proto") == "n2k") & F.col("raw").isNotNull()).withColumns({"_id": can_identifier(F.col("raw")), "payload": can_payload(F.col("raw"))})
-    good = own.where(F.col("_id.can_id").isNotNull() & F.col("payload").isNotNull())
-    return good.withColumns({c: F.col(f"_id.{c}") for c in ("can_id", "pgn", "src_addr", "priority")}).drop("_id")
+    own = records.where((F.col("proto") == "n2k") & F.contains("raw", F.lit("#")))
+    # In steps, so that each part is computed once.
+    parts = own.withColumns({"_head": F.substring_index("raw", "#", 1), "_tail": F.substring_index("raw", "#", -1)})
+    good = parts.where(F.col("_head").rlike("^[0-9A-Fa-f]{1,8}$") & F.col("_tail").rlike("^([0-9A-Fa-f]{2})*$"))
+    valued = good.withColumns({"payload": F.upper("_tail"), "can_id": F.conv("_head", 16, 10).cast("bigint")})
+    fields = can_fields(F.col("can_id"))
+    return valued.withColumns({c: fields[c] for c in ("pgn", "src_addr", "priority")}).drop("_head", "_tail")
 
 
 def malformed(records: DataFrame) -> DataFrame:
@@ -218,5 +242,5 @@ def decode(records: DataFrame) -> DataFrame:
     fast = F.col("pgn").isin(*FAST)
     whole = reassemble(every.where(fast), [*keys, "can_id"], ["object_rank", "seq"])
     messages = every.where(~fast).select(*names).unionByName(whole.select(*names))
-    pairs = messages.select("object_key", "object_rank", "seq", "ts", "proto", "priority", "src_addr", F.explode(message_values(F.col("pgn"), F.col("payload"))).alias("_p"))
-    return pairs.select("object_key", "object_rank", "seq", "ts", "proto", "_p.field", "_p.value", F.col("priority").alias("prio"), "src_addr")
+    values = decode_messages(messages)
+    return values.select("object_key", "object_rank", "seq", "ts", "proto", "field", "value", F.col("priority").alias("prio"), "src_addr")

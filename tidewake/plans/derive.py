@@ -44,18 +44,16 @@ def update(spark: SparkSession, records: DataFrame, keys: DataFrame, table_path:
     ledger = None if rebuild else read_if_there(spark, ledger_path)
     fresh = merge.not_in_ledger(keys, ledger) if ledger is not None else keys
     new = records.join(fresh.select(F.col("key").alias("object_key")), "object_key", "left_semi")
-    sampled = samples(new)
-    kept = guard.guard(sampled)
-    per_object = arbitration.bucketize(kept, interval)
+    # Decoded once; what follows reads the small table of observations.
+    per_object = arbitration.bucketize(guard.guard(samples(new)), interval).persist()
     batch = wide(merge.merge_objects(per_object))
     old = None if rebuild else read_if_there(spark, table_path)
     added = sorted(set(batch.columns) - set(old.columns if old is not None else ["ts"]))
-    merged = batch if old is None else merge.merge_into(old, batch)
     summary = {"objects": fresh.count(), "columns_added": added}
     if not dry_run:
-        replace(spark, merged, table_path)
-        rows = merge.ledger_rows(fresh, per_object)
-        rows.write.mode("overwrite" if rebuild else "append").parquet(ledger_path)
+        replace(spark, batch if old is None else merge.merge_into(old, batch), table_path)
+        merge.ledger_rows(fresh, per_object).write.mode("overwrite" if rebuild else "append").parquet(ledger_path)
+    per_object.unpersist()
     return summary
 
 

@@ -85,6 +85,6 @@ def metrics(table: DataFrame, calibrations: DataFrame, sessions: DataFrame, segm
     s = sessions.select("session_id", F.col("name").alias("session_name"), F.col("type").alias("session_type"), "t_start", "t_end")
     out = joins.interval_join(out, s, open_to_now=True).drop("t_start", "t_end")
     g = segments.select("seg_id", "session_id", F.col("no").alias("leg_no"), "leg_type", "mainsail", "headsail", "t_start", "t_end")
-    out = joins.equi_range_join(out, g, ["session_id"]).drop("t_start", "t_end")
+    out = joins.equi_range_join(out, g, ["session_id"])
     labels = ["session_id", "session_name", "session_type", "seg_id", "leg_no", "leg_type", "mainsail", "headsail"]
     return out.select("ts", *CHAINS, SPEED_FACTOR, "cal_effective_from", "cal_id", "adj_stw", *labels, "corrected_stw", "leeway")

@@ -50,7 +50,7 @@ MESSAGE = "device_id string, src string, can_id long, seq long, ts timestamp, pa
 STATE = "counters array<int>, bodies array<string>, lengths array<int>"
 
 
-def reassembler(timeout_ms: int = 60_000) -> Callable:
+def reassembler(timeout_ms: int | None = None) -> Callable:
     """A state function for fast packets: per (device, source, identifier) the open message of each counter."""
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -62,7 +62,7 @@ def reassembler(timeout_ms: int = 60_000) -> Callable:
             counters, bodies, lengths = state.get
             open_ = {int(c) >> 5: (int(c) & 31, b, int(n)) for c, b, n in zip(counters, bodies, lengths, strict=True)}
         out = []
-        frames = pd.concat(list(batches)).sort_values("seq")
+        frames = pd.concat([b for b in batches if len(b)]).sort_values("seq")
         for f in frames.itertuples():
             first = int(f.payload[:2], 16)
             counter, number = first >> 5, first & 31
@@ -81,7 +81,8 @@ def reassembler(timeout_ms: int = 60_000) -> Callable:
         if open_:
             items = sorted(open_.items())
             state.update(([c << 5 | h[0] for c, h in items], [h[1] for _, h in items], [h[2] for _, h in items]))
-            state.setTimeoutDuration(timeout_ms)
+            if timeout_ms is not None:
+                state.setTimeoutDuration(timeout_ms)
         elif state.exists:
             state.remove()
         yield pd.DataFrame(out, columns=["device_id", "src", "can_id", "seq", "ts", "payload"])
@@ -89,10 +90,15 @@ def reassembler(timeout_ms: int = 60_000) -> Callable:
     return run
 
 
-def reassemble_stream(frames: DataFrame) -> DataFrame:
-    """Complete fast packets of a stream of frames (device_id, src, can_id, seq, ts, hex payload)."""
+def reassemble_stream(frames: DataFrame, timeout_ms: int | None = None) -> DataFrame:
+    """Complete fast packets of a stream of frames (device_id, src, can_id, seq, ts, hex payload).
+
+    With a timeout, open messages are dropped after it; a query that runs to the
+    end of its input needs none, and would wait for it.
+    """
+    timeout = GroupStateTimeout.NoTimeout if timeout_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     keyed = frames.select("device_id", "src", "can_id", "seq", "ts", "payload").groupBy("device_id", "src", "can_id")
-    return keyed.applyInPandasWithState(reassembler(), MESSAGE, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return keyed.applyInPandasWithState(reassembler(timeout_ms), MESSAGE, STATE, "append", timeout)
 
 
 def event_buckets(stream: DataFrame, interval: str, ts: str = "ts") -> DataFrame:
