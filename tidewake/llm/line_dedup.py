@@ -5,13 +5,14 @@ class; two classes link if the Jaccard similarity of their sets is 0.8 or more.
 A line is removed if an earlier line, by (doc_id, line number), has its class or
 a linked one. Lines without a word are never removed.
 
-The join. Tokens are ordered by rarity: by the count, over all lines, of the
+The join. Tokens are ordered by rarity: by the count, over all texts, of the
 token's bucket of 2^16, then by hash; any one order is right, rarer first is fast.
 Two linked sets of n <= m tokens share one of the first n - ceil(0.8 n) + 1
 tokens of either (prefix filter), n >= 0.8 m (length filter), and what can still
 follow a shared token bounds the overlap (positional filter). Round one meets
-on prefix tokens with sizes and positions alone and keeps groups in which some
-pair passes; groups of equal members become one. Round two brings the sets of
+on prefix tokens with sizes, positions and 64-bit signatures alone (signatures
+that differ in too many bits rule a pair out) and keeps the members that can
+link; groups of equal members become one. Round two brings the sets of
 classes that are left, verifies each pair once, in the least group that both
 are in, and counts links where they are found: pairs never leave the task, so a
 dense group of near copies gives one row a member. Groups of over HOT members are
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import materialize, small_batches
+from .shared import materialize, small_batches, unused
 from .sieve import passes, sieve_of
 from .text import NON_SPACE, Texts, mix, slices
 
@@ -44,38 +45,49 @@ HOT, REMEMBERED = 1500, 300_000
 NULL_ID = (1 << 63) - 1
 
 
+def words_of(column: pa.Array) -> tuple[Texts, np.ndarray, np.ndarray, np.ndarray]:
+    """The lower-cased texts, and start, document and hash of each word."""
+    texts = Texts(column, lower=True)
+    starts, ends, doc = texts.runs(NON_SPACE[texts.data])
+    return texts, starts, doc, texts.hashes(starts, ends) if len(starts) else np.zeros(0, np.uint64)
+
+
+def bucket_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
 class Lines:
-    """The lines with a word of some texts: document, number, class, and their sets one after another."""
-
-    def __init__(self, column: pa.Array, rank: np.ndarray | None = None):
-        texts = Texts(column, lower=True)
-        data = texts.data
-        starts, ends, _ = texts.runs(NON_SPACE[data])
-        line_starts, line_ends, doc = texts.runs(data != 0x0A)
-        breaks = np.concatenate([[0], np.cumsum(data == 0x0A)])
-        line = np.searchsorted(line_starts, starts, "right") - 1
-        hashes = texts.hashes(starts, ends) if len(starts) else np.zeros(0, np.uint64)
-        if rank is None:
-            key = hashes
+    """The lines with a word of some texts: document, number, class, and their sets, rarest token first, one after another."""
+
+    def __init__(self, column: pa.Array, rank: np.ndarray):
+        texts, starts, doc, hashes = words_of(column)
+        breaks = np.zeros(len(texts.data) + 1, np.int64)
+        np.cumsum(texts.data == 0x0A, out=breaks[1:])
+        number = breaks[starts] - breaks[texts.bounds[doc]]
+        new = np.ones(len(starts), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (number[1:] != number[:-1])
+        line = np.cumsum(new) - 1
+        # A token sorts by its bucket's rank, then by the hash below its bucket bits.
+        low = np.uint64(64 - BUCKET_BITS)
+        key = (rank[bucket_of(hashes)] << low) | (hashes & np.uint64((1 << (64 - BUCKET_BITS)) - 1))
+        if len(line) and line[-1] < 1 << 20:
+            order = np.argsort((line.astype(np.uint64) << np.uint64(44)) | (key >> np.uint64(20)))
         else:
-            # Bucket rank, then the hash below its bucket bits.
-            key = (rank[(hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)] << np.uint64(64 - BUCKET_BITS)) | (hashes & np.uint64((1 << (64 - BUCKET_BITS)) - 1))
-        order = np.lexsort((key, line))
-        line, key = line[order], key[order]
-        new = np.ones(len(line), bool)
-        new[1:] = (line[1:] != line[:-1]) | (key[1:] != key[:-1])
-        line, key, hashes = line[new], key[new], hashes[order][new]
-        first = np.ones(len(line), bool)
-        first[1:] = line[1:] != line[:-1]
-        self.begin = np.flatnonzero(first)
-        self.size = np.diff(np.append(self.begin, len(line)))
-        at = line[self.begin]
-        self.doc = doc[at]
-        self.number = breaks[line_starts[at]] - breaks[texts.bounds[self.doc]]
-        self.tokens, self.hashes = key, hashes
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes + np.uint64(7)), dtype=np.uint64)])
-        end = self.begin + self.size
-        self.classes = mix((total[end] - total[self.begin]) ^ mix(self.size.astype(np.uint64)))
+            order = np.lexsort((key, line))
+        at = np.flatnonzero(new)
+        self.doc, self.number = doc[at], number[at]
+        line, key, hashes = line[order], key[order], hashes[order]
+        keep = np.ones(len(line), bool)
+        keep[1:] = (line[1:] != line[:-1]) | (key[1:] != key[:-1])
+        line, self.tokens, self.hashes = line[keep], key[keep], hashes[keep]
+        self.size = np.bincount(line, minlength=len(at))
+        self.begin = np.cumsum(self.size) - self.size
+        mixed = mix(self.hashes + np.uint64(7))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
+        self.classes = mix((total[self.begin + self.size] - total[self.begin]) ^ mix(self.size.astype(np.uint64)))
+        # Each token flips one of 64 bits: two sets differ in at least as many tokens as their signatures do in bits.
+        bit = np.uint64(1) << (mixed >> np.uint64(58))
+        self.signature = np.bitwise_xor.reduceat(bit, self.begin) if len(at) else np.zeros(0, np.uint64)
 
     def __len__(self) -> int:
         return len(self.begin)
@@ -107,41 +119,51 @@ def needed(n, m):
     return -(-(NUMER * (n + m)) // (NUMER + DENOM))
 
 
-def line_table(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, class, size) of each line, and for each task its bucket counts as rows (bucket, -1, count, 0)."""
-    small_batches(spark)
+def rarity_ranks(docs: DataFrame) -> np.ndarray:
+    """The place of each bucket by the count of its words in all documents; 2^16 numbers come to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
             for part in slices(batch):
-                lines = Lines(part.column("text"))
-                counts += np.bincount((lines.hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(counts))
-                ids = part.column("doc_id").fill_null(NULL_ID).to_numpy()
-                yield line_rows(ids[lines.doc], lines.number, lines.classes.view(np.int64), lines.size)
+                counts += np.bincount(bucket_of(words_of(part.column("text"))[3]), minlength=len(counts))
         full = np.flatnonzero(counts)
-        yield line_rows(full, np.full(len(full), -1), counts[full], np.zeros(len(full)))
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line_no long, class long, size long")
-
-
-def line_rows(*columns: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(c.astype(np.int64)) for c in columns], ["doc_id", "line_no", "class", "size"])
-
+        yield pa.record_batch({"bucket": pa.array(full), "n": pa.array(counts[full])})
 
-def rarity_ranks(table: DataFrame) -> np.ndarray:
-    """The place of each bucket by its count; 2^16 numbers come to the driver."""
-    rows = table.where("line_no = -1").groupBy("doc_id").agg(F.sum("class").alias("n")).collect()
+    rows = docs.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(1 << BUCKET_BITS, np.int64)
     for r in rows:
-        counts[r["doc_id"]] = r["n"]
+        counts[r["bucket"]] = r["n"]
     rank = np.empty(len(counts), np.uint64)
     rank[np.argsort(counts, kind="stable")] = np.arange(len(counts))
     return rank
 
 
+def line_table(docs: DataFrame, ranks, sieve) -> DataFrame:
+    """(doc_id, line_no, class, tokens) of each line; tokens: the set's sorted 64-bit hashes, once a task for classes that the sieve lets through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Seen()
+        for batch in batches:
+            for part in slices(batch):
+                lines = Lines(part.column("text"), ranks.value)
+                tokens: list[bytes | None] = [None] * len(lines)
+                at = seen.fresh(lines.classes)
+                for k in at[passes(sieve.value, lines.classes[at])].tolist():
+                    tokens[k] = lines.hashes[lines.begin[k] : lines.begin[k] + lines.size[k]].tobytes()
+                ids = part.column("doc_id").fill_null(NULL_ID).to_numpy()
+                yield pa.record_batch({
+                    "doc_id": pa.array(ids[lines.doc]),
+                    "line_no": pa.array(lines.number),
+                    "class": pa.array(lines.classes.view(np.int64)),
+                    "tokens": pa.array(tokens, pa.binary()),
+                })
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line_no long, class long, tokens binary")
+
+
 def prefixes(docs: DataFrame, ranks) -> DataFrame:
-    """(token, class, size, pos) of the prefix tokens of classes that can link."""
+    """(token, class, size, pos, signature) of the prefix tokens of classes that can link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Seen()
@@ -158,9 +180,10 @@ def prefixes(docs: DataFrame, ranks) -> DataFrame:
                     "class": pa.array(np.repeat(lines.classes[at], n).view(np.int64)),
                     "size": pa.array(np.repeat(lines.size[at], n).astype(np.int32)),
                     "pos": pa.array(pos.astype(np.int32)),
+                    "signature": pa.array(np.repeat(lines.signature[at], n).view(np.int64)),
                 })
 
-    return docs.select("text").mapInArrow(run, "token long, class long, size int, pos int")
+    return docs.select("text").mapInArrow(run, "token long, class long, size int, pos int, signature long")
 
 
 def by_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
@@ -184,47 +207,68 @@ def by_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dic
         yield held
 
 
+def can_link(size, pos, signature, size2, pos2, signature2) -> np.ndarray:
+    """Whether sets that share a token at these places can link: by length, by position, and by how many bits their signatures differ."""
+    short, long_ = np.minimum(size, size2), np.maximum(size, size2)
+    need = needed(size, size2)
+    reach = np.minimum(pos, pos2) + np.minimum(size - pos, size2 - pos2)
+    differ = np.bitwise_count(signature ^ signature2).astype(np.int64)
+    return (DENOM * short >= NUMER * long_) & (reach >= need) & (differ <= size + size2 - 2 * need)
+
+
+#: Members of a group up to which every pair is looked at in round one; larger groups go on whole.
+PAIRWISE = 20_000
+
+
+def linkable(size: np.ndarray, pos: np.ndarray, signature: np.ndarray) -> np.ndarray:
+    """Which members of one group can link with another of it."""
+    n = len(size)
+    if n > PAIRWISE:
+        return np.ones(n, bool)
+    out = np.zeros(n, bool)
+    step = max(1, (1 << 20) // n)
+    for a in range(0, n, step):
+        part = slice(a, min(a + step, n))
+        pairs = can_link(size[part, None], pos[part, None], signature[part, None], size, pos, signature)
+        pairs[np.arange(part.stop - a), np.arange(a, part.stop)] = False
+        out[part] = pairs.any(1)
+    return out
+
+
 def candidate_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (token, size, class): (members, class, n) of runs in which a pair passes length and position.
+    """From rows sorted by (token, size, class): (members, class, n) of groups with the classes that can link in them.
 
-    members: a hash of the run's classes, so equal runs of different tokens are one group.
+    members: a hash of the group's classes, so equal groups of different tokens are one.
     """
     for table in by_group(batches, ["token"]):
-        token, cls, size, pos = (table.column(c).to_numpy() for c in ("token", "class", "size", "pos"))
+        token, cls, size, pos, signature = (table.column(c).to_numpy() for c in ("token", "class", "size", "pos", "signature"))
         keep = np.ones(len(token), bool)
         keep[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
-        token, cls, size, pos = token[keep], cls[keep], size[keep].astype(np.int64), pos[keep].astype(np.int64)
-        # Sorted by size, a run goes on as long as neighbours pass the length filter.
-        near = (token[1:] == token[:-1]) & (DENOM * size[:-1] >= NUMER * size[1:])
-        begin = np.flatnonzero(np.concatenate([[True], ~near]))
+        token, cls, size, pos, signature = token[keep], cls[keep], size[keep].astype(np.int64), pos[keep].astype(np.int64), signature[keep].view(np.uint64)
+        begin = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         count = np.diff(np.append(begin, len(token)))
+        good = np.zeros(len(token), bool)
         two = begin[count == 2]
-        reach = np.minimum(pos[two], pos[two + 1]) + 1 + np.minimum(size[two] - pos[two], size[two + 1] - pos[two + 1]) - 1
-        good = np.isin(begin, two[reach >= needed(size[two], size[two + 1])]) | (count > 2)
-        begin, count = begin[good], count[good]
-        if not len(begin):
+        near = can_link(size[two], pos[two], signature[two], size[two + 1], pos[two + 1], signature[two + 1])
+        good[two[near]] = good[two[near] + 1] = True
+        for c in np.unique(count[(count > 2) & (count <= 64)]).tolist():
+            rows = begin[count == c][:, None] + np.arange(c)
+            for part in np.array_split(rows, max(1, rows.size * c >> 21)):
+                s, p, g = size[part], pos[part], signature[part]
+                pairs = can_link(s[:, :, None], p[:, :, None], g[:, :, None], s[:, None], p[:, None], g[:, None])
+                pairs[:, np.arange(c), np.arange(c)] = False
+                good[part] = pairs.any(2)
+        for a, c in zip(begin[count > 64].tolist(), count[count > 64].tolist(), strict=True):
+            good[a : a + c] = linkable(size[a : a + c], pos[a : a + c], signature[a : a + c])
+        rows = np.flatnonzero(good)
+        if not len(rows):
             continue
-        rows = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
-        mixed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(cls[rows].view(np.uint64)), dtype=np.uint64)])
-        end = np.cumsum(count)
-        members = mix((mixed[end] - mixed[end - count]) ^ count.astype(np.uint64))
-        yield pa.record_batch({"members": pa.array(np.repeat(members, count).view(np.int64)), "class": pa.array(cls[rows]), "n": pa.array(np.repeat(count, count))})
-
-
-def class_sets(docs: DataFrame, sieve) -> DataFrame:
-    """(class, tokens) of classes that the sieve lets through; tokens: sorted 64-bit hashes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = Seen()
-        for batch in batches:
-            for part in slices(batch):
-                lines = Lines(part.column("text"))
-                at = seen.fresh(lines.classes)
-                at = at[passes(sieve.value, lines.classes[at])]
-                tokens = [lines.hashes[b : b + n].tobytes() for b, n in zip(lines.begin[at].tolist(), lines.size[at].tolist(), strict=True)]
-                yield pa.record_batch({"class": pa.array(lines.classes[at].view(np.int64)), "tokens": pa.array(tokens, pa.binary())})
-
-    return docs.select("text").mapInArrow(run, "class long, tokens binary")
+        cls, token = cls[rows], token[rows]
+        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        count = np.diff(np.append(first, len(rows)))
+        mixed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(cls.view(np.uint64)), dtype=np.uint64)])
+        members = mix((mixed[first + count] - mixed[first]) ^ count.astype(np.uint64))
+        yield pa.record_batch({"members": pa.array(np.repeat(members, count).view(np.int64)), "class": pa.array(cls), "n": pa.array(np.repeat(count, count))})
 
 
 def verify_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,15 +328,14 @@ def position() -> Column:
 def line_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, line_no, class_id, copies, links, removed for each line with a word."""
     small_batches(spark)
-    table = materialize(spark, line_table(spark, docs), "lines")
-    ranks = spark.sparkContext.broadcast(rarity_ranks(table))
-    lines = table.where("line_no >= 0")
-    classes = materialize(spark, lines.groupBy("class").agg(F.min(position()).alias("first"), F.count("*").alias("copies")), "line-classes")
+    ranks = spark.sparkContext.broadcast(rarity_ranks(docs))
     meeting = prefixes(docs, ranks).repartition("token").sortWithinPartitions("token", "size", "class")
-    groups = materialize(spark, meeting.mapInArrow(candidate_groups, "members long, class long, n long").distinct(), "line-groups")
+    groups = meeting.mapInArrow(candidate_groups, "members long, class long, n long").distinct()
     survivors = materialize(spark, groups.groupBy("class").agg(F.collect_list(F.struct("members", "n")).alias("groups")), "line-survivors")
     sieve = spark.sparkContext.broadcast(sieve_of(survivors, "class", survivors.count()))
-    sets = class_sets(docs, sieve).join(survivors, "class", "left_semi").dropDuplicates(["class"])
+    lines = materialize(spark, line_table(docs, ranks, sieve), "lines")
+    classes = materialize(spark, lines.groupBy("class").agg(F.min(position()).alias("first"), F.count("*").alias("copies")), "line-classes")
+    sets = lines.where("tokens is not null").select("class", "tokens").dropDuplicates(["class"])
     known = survivors.join(sets, "class").join(classes.select("class", "first"), "class")
     members = known.select("class", "tokens", F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"), F.col("groups.members").alias("groups"), F.explode("groups").alias("g"))
     members = in_blocks(members.select("class", "tokens", "doc_id", "line_no", "groups", "g.members", "g.n"))
@@ -301,16 +344,17 @@ def line_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     links = found.groupBy("class").agg(F.sum("links").alias("links"), F.min(F.struct(F.col("near_doc").alias("doc_id"), F.col("near_line").alias("line_no"))).alias("near"))
     judged = materialize(spark, classes.join(links, "class", "left").select("class", "first", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce(F.col("near") < F.col("first"), F.lit(False)).alias("late")), "line-links")
     removed = (position() > F.col("first")) | F.col("late")
-    out = lines.join(judged, "class")
+    out = lines.drop("tokens").join(judged, "class")
     return out.select(F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), "line_no", F.col("class").alias("class_id"), "copies", "links", removed.alias("removed"))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """docs with the removed lines taken out of text."""
-    gone = line_classes(spark, docs).where("removed").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line_no").alias("_gone"))
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_doc"]), "left").drop("_doc")
-    kept = F.filter(F.transform(F.split("text", "\n"), lambda x, k: F.when(~F.array_contains("_gone", k.cast("bigint")), x)), lambda x: x.isNotNull())
-    return joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))).select(*docs.columns)
+    id_, lines = unused("_doc", docs.columns), unused("_gone", docs.columns)
+    gone = line_classes(spark, docs).where("removed").groupBy(F.col("doc_id").alias(id_)).agg(F.collect_set("line_no").alias(lines))
+    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone[id_]), "left").drop(id_)
+    kept = F.filter(F.transform(F.split("text", "\n"), lambda x, k: F.when(~F.array_contains(lines, k.cast("bigint")), x)), lambda x: x.isNotNull())
+    return joined.withColumn("text", F.when(F.col(lines).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))).select(*docs.columns)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
