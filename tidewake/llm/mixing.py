@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import materialize, small_batches
+from .shared import materialize, small_batches, unused
 from .text import NON_SPACE, Texts, slices
 
 WEIGHTS = (5, 2, 1)
@@ -255,10 +255,12 @@ def coprime(n: int) -> tuple[int, int]:
 
 
 def mixed_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of docs, each as often as it is drawn, all columns as they are."""
+    """The rows of docs, each as often as it is drawn, all columns as they are. Rows that repeat a doc_id are drawn alike."""
     names = docs.columns
-    draws = mix(spark, docs).where("copies > 0").groupBy(F.col("doc_id").alias("_doc")).agg(F.max("copies").alias("_copies"))
-    return docs.join(draws, docs["doc_id"].eqNullSafe(draws["_doc"])).select(*names, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select(*names)
+    id_, count, copy = (unused(n, names) for n in ("_doc", "_copies", "_copy"))
+    draws = mix(spark, docs).where("copies > 0").groupBy(F.col("doc_id").alias(id_)).agg(F.max("copies").alias(count))
+    drawn = docs.join(draws, docs["doc_id"].eqNullSafe(draws[id_]))
+    return drawn.select(*names, F.explode(F.sequence(F.lit(1), F.col(count))).alias(copy)).select(*names)
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,3 +42,11 @@ def discard(spark: SparkSession, df: DataFrame) -> None:
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound the rows of an Arrow batch: texts may be long, and a whole batch is in memory at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """name, with underscores added until no column has it (column names do not tell case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import materialize, small_batches
+from .shared import materialize, small_batches, unused
 from .sieve import passes, sieve_of
 from .text import LOWER, NON_SPACE, Texts, slices
 
@@ -230,20 +230,21 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
     # In question: ids that are not the least of their component, and ids of several rows.
     doubtful = judged.where(~F.col("doc_id").eqNullSafe(F.col("component_id")) | (F.col("rows") > 1))
     sieve = spark.sparkContext.broadcast(sieve_of(doubtful.select(F.xxhash64("doc_id").alias("h")), "h", doubtful.count()))
-    hashed = docs.withColumn("_hash", F.xxhash64("doc_id"))
     names = docs.columns
+    mark, id_ = unused("_hash", names), unused("_kept_id", names)
+    hashed = docs.withColumn(mark, F.xxhash64("doc_id"))
 
     def side(inside: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                doubt = passes(sieve.value, batch.column("_hash").to_numpy())
+                doubt = passes(sieve.value, batch.column(mark).to_numpy())
                 yield batch.filter(pa.array(doubt == inside)).select(names)
 
         return hashed.mapInArrow(run, docs.schema)
 
-    kept = judged.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id"), "rows")
+    kept = judged.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(id_), "rows")
     rest = side(True)
-    rest = rest.join(kept, rest["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi").select(*names)
+    rest = rest.join(kept, rest["doc_id"].eqNullSafe(kept[id_]), "left_semi").select(*names)
     # Ids are as a rule unique; where one repeats, any of its rows stands for it.
     if kept.where("rows > 1").limit(1).count():
         rest = rest.dropDuplicates(["doc_id"])
