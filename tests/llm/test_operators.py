@@ -496,3 +496,11 @@ def test_line_dedup_empty(spark, empty, docs):
     assert line_dedup.line_classes(spark, empty).collect() == []
     out = line_dedup.dedup_lines(spark, docs)
     assert out.columns == docs.columns and out.count() == docs.count() and all(r["_gone"] == r["_hash"] for r in out.collect())
+
+
+def test_line_dedup_block_without_members(spark, monkeypatch):
+    """A group of more blocks than members: a pair of one block is not counted again where the other block is empty."""
+    monkeypatch.setattr(line_dedup, "HOT", 1)
+    rows = [(k, "a b c d e f g h i j" + (f" x{k}" if k else "")) for k in range(5)]
+    got = line_dedup.line_classes(spark, spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "line_no", "links", "removed")
+    assert as_counts(got.collect()) == as_counts(lines_by_hand(rows))

@@ -278,14 +278,14 @@ def verify_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         begin = np.flatnonzero(np.concatenate([[True], (members[1:] != members[:-1]) | (part[1:] != part[:-1])]))
         ends = np.append(begin[1:], len(members))
         groups, doc, line = table.column("groups").to_pylist(), table.column("doc_id").to_numpy(), table.column("line_no").to_numpy()
-        block = table.column("block").to_numpy()
+        block, blocks = table.column("block").to_numpy(), table.column("blocks").to_numpy()
         sets = [frozenset(np.frombuffer(t, np.uint64).tolist()) for t in table.column("tokens").to_pylist()]
         kin = [set(g) for g in groups]
         links: dict[int, list] = {}
         for a, b in zip(begin.tolist(), ends.tolist(), strict=True):
             order = sorted(range(a, b), key=lambda k: len(sets[k]))
-            # Blocks (i, j) with i < j meet across only; block i with itself was given as part (i, i).
-            across = len({*block[a:b].tolist()}) > 1
+            # Blocks i and j meet across; block i meets itself in the part (i, i).
+            across = part[a] // blocks[a] != part[a] % blocks[a]
             here = int(members[a])
             for x, i in enumerate(order):
                 own, n, mine = sets[i], len(sets[i]), kin[i]
@@ -314,11 +314,11 @@ def verify_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def in_blocks(rows: DataFrame) -> DataFrame:
-    """rows with block and part: a group of n members has ceil(n / HOT) blocks, and each pair of blocks is a part."""
-    blocks = F.ceil(F.col("n") / HOT).cast("int")
-    own = F.pmod(F.xxhash64("class", F.lit(5)), F.col("blocks")).cast("int")
+    """rows with blocks, block and part: a group of n members has ceil(n / HOT) blocks, and each pair of blocks is a part."""
+    cut = rows.withColumn("blocks", F.ceil(F.col("n") / HOT).cast("int")).drop("n")
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("class", F.lit(5)), F.col("blocks")).cast("int"))
     parts = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.least("block", x) * F.col("blocks") + F.greatest("block", x))
-    return rows.withColumn("blocks", blocks).withColumn("block", own).withColumn("part", F.explode(parts)).drop("blocks", "n")
+    return cut.withColumn("part", F.explode(parts))
 
 
 def position() -> Column:
