@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures
-from ..functions.bits import can_fields, can_identifier, can_payload, le_uint, let
+from ..functions.bits import can_fields, can_identifier, can_payload, le_uint
 from .fast_packet import reassemble
 
 DEG, KN, CELSIUS = "deg", "kn", "celsius"
@@ -148,43 +148,46 @@ def split_text(split: Column, payload: Column) -> Column:
     return F.when(F.size(split["texts"]) > 0, F.try_element_at(split["texts"], code)).otherwise(F.when(code != 255, code.cast("string")))
 
 
-def wire_value(x: Column) -> Column:
-    """The value of a layout row, whose columns are at hand, from struct(raw, ticks, text)."""
-    raw, unit, kind = x["raw"], F.col("unit"), F.col("kind")
-    signed = F.when(raw != F.col("none"), F.when(raw >= F.col("half"), raw - F.col("wrap")).otherwise(raw))
-    code = F.call_function("shiftright", raw, F.col("shift")).bitwiseAND(F.col("mask").cast("bigint"))
-
-    def converted(y: Column) -> Column:
-        return F.when(unit == DEG, measures.rad_to_deg(y)).when(unit == KN, measures.ms_to_knots(y)).when(unit == CELSIUS, measures.kelvin_to_celsius(y)).otherwise(y)
+def decode_messages(messages: DataFrame) -> DataFrame:
+    """messages (pgn, hex payload, other columns) to one row a value: the columns without payload, field, value."""
+    return layout_decoded(messages).unionByName(vendor_decoded(messages))
 
-    def folded(y: Column) -> Column:
-        return F.when(F.col("fold") & x["text"].isin("Apparent", "True (boat referenced)"), measures.fold_180(y)).otherwise(y)
 
-    is_gps = F.col("only").isNull() | F.coalesce(x["text"] == F.col("only"), F.lit(False))
-    clock = F.when(is_gps & (raw != F.col("none")) & (x["ticks"] != 4294967295), F.round(raw * 86400 + x["ticks"] / 10000, 6))
-    number = let(let(signed * F.col("scale"), converted), folded)
-    return F.when(kind == "code", F.when(code <= F.col("known"), code.cast("double"))).when(kind == "clock", clock).otherwise(number)
+def vendor_decoded(messages: DataFrame) -> DataFrame:
+    rest = [c for c in messages.columns if c not in ("payload", "field", "value")]
+    pairs = messages.where(F.col("pgn") == VENDOR_GROUP).select(*rest, F.explode(vendor_values(F.col("payload"))).alias("_p"))
+    return pairs.select(*rest, "_p.field", "_p.value")
 
 
-def decode_messages(messages: DataFrame) -> DataFrame:
-    """messages (pgn, hex payload, other columns) to one row a value: the columns without payload, field, value.
+def layout_decoded(messages: DataFrame) -> DataFrame:
+    """The values of groups that have a layout.
 
     The layouts are a table of fixed size that is broadcast and joined by group, so one expression decodes every field.
     """
     spark = messages.sparkSession
     layouts = F.broadcast(spark.createDataFrame(layout_rows(), LAYOUT))
     rest = [c for c in messages.columns if c not in ("payload", "field", "value")]
-    payload = F.col("payload")
+    payload, kind = F.col("payload"), F.col("kind")
     rows = messages.where(F.col("pgn").isin(*LAYOUTS)).join(layouts, "pgn")
     rows = rows.where(F.length(payload) >= (F.col("offset") + F.col("size")) * 2)
     body = F.rpad(payload.substr(F.col("offset") * 2 + 1, F.col("size") * 2), 16, "0")
     high = F.when(F.col("size") > 4, reversed_bytes(F.substring(body, 9, 8), 4)).otherwise(0)
-    ticks = F.when((F.col("kind") == "clock") & (F.length(payload) >= F.col("offset2") * 2 + 8), reversed_bytes(payload.substr(F.col("offset2") * 2 + 1, F.lit(8)), 4))
-    wire = F.struct(F.shiftleft(high, 32).bitwiseOR(reversed_bytes(body, 4)).alias("raw"), ticks.alias("ticks"), split_text(F.col("s1"), payload).alias("text"))
-    name = F.concat_ws("_", F.col("base"), sanitized(split_text(F.col("s1"), payload)), sanitized(split_text(F.col("s2"), payload)))
-    known = rows.select(*rest, name.alias("field"), let(wire, wire_value).cast("double").alias("value"))
-    vendor = messages.where(F.col("pgn") == VENDOR_GROUP).select(*rest, F.explode(vendor_values(payload)).alias("_p")).select(*rest, "_p.field", "_p.value")
-    return known.unionByName(vendor).where(F.col("value").isNotNull())
+    ticks = F.when((kind == "clock") & (F.length(payload) >= F.col("offset2") * 2 + 8), reversed_bytes(payload.substr(F.col("offset2") * 2 + 1, F.lit(8)), 4))
+    raw = F.when(F.col("size") > 4, F.shiftleft(high, 32).bitwiseOR(reversed_bytes(body, 4))).otherwise(reversed_bytes(body, 4))
+    rows = rows.withColumns({"_raw": raw, "_ticks": ticks, "_t1": split_text(F.col("s1"), payload), "_t2": split_text(F.col("s2"), payload)})
+    code = F.expr("shiftright(_raw, shift) & mask")
+    is_gps = F.col("only").isNull() | F.coalesce(F.col("_t1") == F.col("only"), F.lit(False))
+    # What is not available goes by its raw number: a filter on the finished value would be
+    # pushed through the steps below and unfold them.
+    there = (F.col("_raw") != F.col("none")) & ((kind != "code") | (code <= F.col("known"))) & ((kind != "clock") | (is_gps & (F.col("_ticks") != 4294967295)))
+    signed = F.when(F.col("_raw") >= F.col("half"), F.col("_raw") - F.col("wrap")).otherwise(F.col("_raw"))
+    number = signed * F.col("scale")
+    plain = F.when(kind == "number", number).when(kind == "code", code.cast("double")).otherwise(F.round(F.col("_raw") * 86400 + F.col("_ticks") / 10000, 6))
+    x, y, unit = F.col("_x"), F.col("_y"), F.col("unit")
+    converted = F.when(unit == DEG, measures.rad_to_deg(x)).when(unit == KN, measures.ms_to_knots(x)).when(unit == CELSIUS, measures.kelvin_to_celsius(x)).otherwise(x)
+    folded = F.when(F.col("fold") & F.col("_t1").isin("Apparent", "True (boat referenced)"), measures.fold_180(y)).otherwise(y)
+    name = F.concat_ws("_", F.col("base"), sanitized(F.col("_t1")), sanitized(F.col("_t2")))
+    return rows.where(there).withColumn("_x", plain).withColumn("_y", converted).select(*rest, name.alias("field"), folded.alias("value"))
 
 
 def vendor_values(payload: Column) -> Column:
@@ -214,14 +217,14 @@ def vendor_values(payload: Column) -> Column:
     entries = F.aggregate(steps, state, step, lambda acc: acc["found"])
     names = F.create_map(*(x for k, v in VENDOR_KEYS.items() for x in (F.lit(k), F.lit(v))))
     pairs = F.transform(entries, lambda e: F.struct(F.try_element_at(names, e["key"]).alias("field"), e["value"].cast("double").alias("value")))
-    return F.when(own, F.filter(pairs, lambda p: p["field"].isNotNull())).otherwise(F.array().cast(PAIR))
+    return F.when(own, F.filter(pairs, lambda p: p["field"].isNotNull() & p["value"].isNotNull())).otherwise(F.array().cast(PAIR))
 
 
 def frames(records: DataFrame) -> DataFrame:
     """Well-formed frames of this protocol, with can_id, pgn, src_addr, priority and hex payload; others are left out."""
     own = records.where((F.col("proto") == "n2k") & F.contains("raw", F.lit("#")))
     # In steps, so that each part is computed once.
-    parts = own.withColumns({"_head": F.substring_index("raw", "#", 1), "_tail": F.substring_index("raw", "#", -1)})
+    parts = own.withColumns({"_head": F.substring_index("raw", "#", 1), "_tail": F.expr("substring(raw, instr(raw, '#') + 1)")})
     good = parts.where(F.col("_head").rlike("^[0-9A-Fa-f]{1,8}$") & F.col("_tail").rlike("^([0-9A-Fa-f]{2})*$"))
     valued = good.withColumns({"payload": F.upper("_tail"), "can_id": F.conv("_head", 16, 10).cast("bigint")})
     fields = can_fields(F.col("can_id"))
@@ -241,6 +244,7 @@ def decode(records: DataFrame) -> DataFrame:
     every = frames(records).select(*names, *keys)
     fast = F.col("pgn").isin(*FAST)
     whole = reassemble(every.where(fast), [*keys, "can_id"], ["object_rank", "seq"])
-    messages = every.where(~fast).select(*names).unionByName(whole.select(*names))
-    values = decode_messages(messages)
+    messages = whole.select(*names)
+    # The vendor's group comes in fast packets only, so plain frames are not searched for it.
+    values = layout_decoded(every.where(~fast).select(*names)).unionByName(layout_decoded(messages)).unionByName(vendor_decoded(messages))
     return values.select("object_key", "object_rank", "seq", "ts", "proto", "field", "value", F.col("priority").alias("prio"), "src_addr")

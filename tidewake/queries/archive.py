@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 import tempfile
+import uuid
 from datetime import date
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,14 +118,15 @@ def buffer_evict(spark: SparkSession, d: str) -> DataFrame:
     return resample.keep_newest(sized, "size", 500, [F.desc("ts"), F.desc("event_id")], ["user_id"]).select("user_id", "event_id", "kept")
 
 
-def temporary() -> str:
-    return tempfile.mkdtemp(prefix="tidewake-archive-")
+def scratch(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared folder; a temporary one only where none is set, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}" if base else f"file://{tempfile.mkdtemp(prefix=f'tidewake-{name}-')}"
 
 
 def stored(spark: SparkSession, d: str) -> str:
-    """Write the first ten days of records into an archive in the shared folder, one object a day; returns its root."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    root = f"{base.rstrip('/')}/archive-{spark.sparkContext.applicationId}-{abs(hash(d))}" if base else f"file://{temporary()}"
+    """Write the first ten days of records into an archive, one object a day; returns its root."""
+    root = scratch(spark, "archive")
     r = records(spark, d).where("ts < timestamp '2024-01-11'").withColumn("day", F.to_date("ts"))
     archive.write_objects(r, root, ["day"], ["event_id"]).count()
     return root
@@ -138,12 +141,13 @@ def scan_raw_records(spark: SparkSession, d: str) -> DataFrame:
 
 @registered(QUERIES, ORACLES, "SELECT * FROM (VALUES ('exporter', CAST(0 AS INT), '17'), ('importer', 75, NULL)) t(application, exit_code, rx)")
 def scan_audit(spark: SparkSession, d: str) -> DataFrame:
-    folder = temporary()
+    folder = scratch(spark, "audit")
+    store, place = fs.FileSystem.from_uri(folder)
+    store.create_dir(place, recursive=True)
     for k, entry in enumerate(({"application": "exporter", "exit_code": 0, "details": {"rx": "17"}}, {"application": "importer", "exit_code": 75, "details": {}})):
-        with open(f"{folder}/{k}.json", "w") as f:
-            json.dump({"timestamp": "2024-01-01T00:00:00+00:00", "host": "h", "comment": "", **entry}, f, indent=2, sort_keys=True)
-    got = archive.read_audit(spark, folder).select("application", "exit_code", F.try_element_at("details", F.lit("rx")).alias("rx"))
-    return spark.createDataFrame(got.collect(), got.schema)  # the folder is this machine's
+        with store.open_output_stream(f"{place}/{k}.json") as f:
+            f.write(json.dumps({"timestamp": "2024-01-01T00:00:00+00:00", "host": "h", "comment": "", **entry}, indent=2, sort_keys=True).encode())
+    return archive.read_audit(spark, folder).select("application", "exit_code", F.try_element_at("details", F.lit("rx")).alias("rx"))
 
 
 @registered(QUERIES, ORACLES, "SELECT event_id, CASE event_id % 4 WHEN 0 THEN ts WHEN 1 THEN ts END AS ts FROM events")

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import n2k
 from ..plans import derive
 from ..streaming import ingest
-from .archive import stored
+from .archive import scratch, stored
 from .decoding import LOOKUP_SQL, long_messages
 from .tables import plain, registered
 
@@ -18,17 +16,10 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
-def scratch(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    import uuid
-
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}" if base else f"file://{tempfile.mkdtemp(prefix='tidewake-stream-')}"
-
-
 @registered(QUERIES, ORACLES, "SELECT 10 AS objects, 10 AS distinct_objects, 0 AS fresh_on_second_run")
 def stream_catch_up(spark: SparkSession, d: str) -> DataFrame:
     """Objects are taken once: a second run finds nothing new. The raw text has no known group, so the table stays empty of fields."""
-    root, out = stored(spark, d), scratch(spark)
+    root, out = stored(spark, d), scratch(spark, "stream")
     for _ in range(2):
         query = ingest.catch_up(spark, root, f"{out}/table", f"{out}/ledger", f"{out}/checkpoint")
         query.awaitTermination()
@@ -41,7 +32,7 @@ def stream_catch_up(spark: SparkSession, d: str) -> DataFrame:
 @registered(QUERIES, ORACLES, LOOKUP_SQL)
 def stream_fast_packet(spark: SparkSession, d: str) -> DataFrame:
     """Reassembly with keyed state gives what the batch form gives."""
-    out = scratch(spark)
+    out = scratch(spark, "stream")
     frames = n2k.frames(long_messages(spark, d)).select("device_id", "src", "can_id", "seq", "ts", "payload")
     frames.repartition(2, "can_id").sortWithinPartitions("seq").write.parquet(f"{out}/frames")
     stream = spark.readStream.schema(frames.schema).parquet(f"{out}/frames")
@@ -55,7 +46,7 @@ def stream_fast_packet(spark: SparkSession, d: str) -> DataFrame:
 @registered(QUERIES, ORACLES, "SELECT time_bucket(INTERVAL 6 HOUR, ts) AS start, event_type AS field, count(*) AS n FROM events GROUP BY ALL")
 def stream_event_buckets(spark: SparkSession, d: str) -> DataFrame:
     """Tumbling windows of event time, without a watermark: late events count."""
-    out = scratch(spark)
+    out = scratch(spark, "stream")
     e = spark.read.parquet(f"{d}/events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("field"))
     e.write.parquet(f"{out}/events")
     stream = spark.readStream.schema(e.schema).parquet(f"{out}/events")
