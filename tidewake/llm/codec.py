@@ -21,9 +21,9 @@ import pyarrow.compute as pc
 from .text import Texts
 
 #: Bytes of a batch that the library gets, and pieces that a worker remembers (about 60 bytes each).
-BATCH_BYTES, REMEMBERED = 1 << 18, 2_000_000
+BATCH_BYTES, REMEMBERED = 1 << 18, 1_000_000
 #: Text bytes that are coded at once: more of them share their pieces.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 
 SPACE, BREAK = 0x20, 0x0A
 #: First bytes of UTF-8 sequences among which are white space and its like.
