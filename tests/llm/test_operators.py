@@ -504,3 +504,11 @@ def test_line_dedup_block_without_members(spark, monkeypatch):
     rows = [(k, "a b c d e f g h i j" + (f" x{k}" if k else "")) for k in range(5)]
     got = line_dedup.line_classes(spark, spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "line_no", "links", "removed")
     assert as_counts(got.collect()) == as_counts(lines_by_hand(rows))
+
+
+def test_longest_matches(spark):
+    items = spark.createDataFrame([("a", " ".join(f"w{k}" for k in range(30))), ("b", "x y z"), (None, "n o")], "item_id string, text string")
+    inside = " ".join(f"w{k}" for k in range(5, 25))
+    docs = spark.createDataFrame([(1, f"lead {inside} then x y z and x y"), (2, " ".join(f"w{k}" for k in range(9))), (3, f"{inside} {inside}"), (4, None)], "doc_id long, text string")
+    got = decontamination.matches(spark, docs, items).collect()
+    assert as_counts(got) == Counter([(1, 1, "a", 5, 20), (1, 22, "b", 0, 3), (3, 0, "a", 5, 20), (3, 20, "a", 5, 20)])

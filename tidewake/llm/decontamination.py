@@ -5,8 +5,9 @@ sequence with document ends as unique separators. Its suffix array is sorted to
 the depth of the longest window; suffixes whose first words stand at the start
 of no test suffix are left out, since a search could never end on them. Every
 test suffix is then binary-searched in each shard's array: the range of training
-suffixes that begin with its window are its verbatim occurrences. Neighbouring
-windows on one diagonal join into the longest matches.
+suffixes that begin with its window are its verbatim occurrences. Windows
+that follow each other at one distance make the longest verbatim matches
+(`matches`, with their places); occurrences that overlap make hit passages.
 
 The test set is broadcast in blocks of at most BLOCK_WORDS words; each block
 is searched in all documents, and the hits of the blocks are put together by row.
@@ -37,7 +38,7 @@ WINDOW = 10
 #: Words of items in one broadcast block: 24 bytes each.
 BLOCK_WORDS = 500_000
 
-RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, n_matches long, longest_match long"
+RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, n_passages long, longest_passage long"
 
 
 @dataclass
@@ -49,6 +50,9 @@ class TestSet:
     lengths: np.ndarray  # words of each key
     owner_key: np.ndarray  # for each (key, item) pair, sorted by key
     owner_item: np.ndarray  # place in items
+    place_key: np.ndarray  # for each window of each item, sorted by key
+    place_item: np.ndarray
+    place_word: np.ndarray  # its first word in the item
     items: list[str | None]
     heads: np.ndarray  # sorted first word pairs (or single words) that a window can begin with
 
@@ -74,7 +78,7 @@ def test_set(items: list[tuple[str | None, str | None]]) -> TestSet:
     hashes, item, _ = words_of(pa.array([t for _, t in items], pa.string()))
     vocabulary = np.unique(hashes)
     number = np.searchsorted(vocabulary, hashes) + 1
-    rows, owners = [], []
+    rows, owners, words = [], [], []
     begin = np.searchsorted(item, np.arange(len(items) + 1))
     for i in range(len(items)):
         own = number[begin[i] : begin[i + 1]]
@@ -84,6 +88,7 @@ def test_set(items: list[tuple[str | None, str | None]]) -> TestSet:
             row[: len(part)] = part
             rows.append(row)
             owners.append(i)
+            words.append(k)
     table = np.array(rows, np.int64).reshape(-1, WINDOW)
     keys, place = np.unique(packed(table), return_inverse=True)
     pairs = np.unique(np.stack([place, np.array(owners, np.int64)], axis=1), axis=0) if len(table) else np.zeros((0, 2), np.int64)
@@ -92,7 +97,12 @@ def test_set(items: list[tuple[str | None, str | None]]) -> TestSet:
     single = back[:, 1] == 0 if len(back) else np.zeros(0, bool)
     heads = np.unique(head_of(back[:, 0], back[:, 1]))
     singles = np.unique(back[single, 0]) if len(back) else np.zeros(0, np.int64)
-    return TestSet(vocabulary, keys, lengths, pairs[:, 0], pairs[:, 1], [i for i, _ in items], np.concatenate([heads, singles.astype(np.uint64)]))
+    return TestSet(vocabulary, keys, lengths, pairs[:, 0], pairs[:, 1], *sorted_places(place, owners, words), [i for i, _ in items], np.concatenate([heads, singles.astype(np.uint64)]))
+
+
+def sorted_places(key: np.ndarray, item: list[int], word: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.argsort(key, kind="stable")
+    return key[order], np.array(item, np.int64)[order], np.array(word, np.int64)[order]
 
 
 def occurrences(tests: TestSet, hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,7 +155,7 @@ def ragged(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 def search(tests: TestSet, hashes: np.ndarray, doc: np.ndarray, n: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For each document: flat (start, end) word spans of its longest matches, and places of the items."""
+    """For each document: flat (start, end) word spans of its hit passages, and places of the items."""
     at, key = occurrences(tests, hashes, doc)
     spans, found = [np.zeros(0, np.int64)] * n, [np.zeros(0, np.int64)] * n
     if not len(at):
@@ -262,6 +272,50 @@ def results(doc_id: pa.Array, n_words: np.ndarray, spans: list[np.ndarray], item
     return pa.record_batch([doc_id, *columns], [x.split()[0] for x in RESULT.split(", ")])
 
 
+MATCH = "doc_id long, doc_word long, item_id string, item_word long, n_words long"
+
+
+def longest_matches(tests: TestSet, hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
+    """document, its word, item, its word and length of every verbatim match that neither side can lengthen.
+
+    Windows found at one distance between document and item that follow each other make one match.
+    """
+    at, key = occurrences(tests, hashes, doc)
+    low = np.searchsorted(tests.place_key, key)
+    count = np.searchsorted(tests.place_key, key, "right") - low
+    which = np.repeat(low, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    at, item, word, size = np.repeat(at, count), tests.place_item[which], tests.place_word[which], np.repeat(tests.lengths[key], count)
+    order = np.lexsort((word, item, at - word))
+    at, item, word, size = at[order], item[order], word[order], size[order]
+    new = np.ones(len(at), bool)
+    new[1:] = (item[1:] != item[:-1]) | (word[1:] != word[:-1] + 1) | (at[1:] != at[:-1] + 1)
+    begin = np.flatnonzero(new)
+    length = np.diff(np.append(begin, len(at))) - 1 + size[begin]
+    own = doc[at[begin]]
+    first = np.searchsorted(doc, own)
+    return own, at[begin] - first, item[begin], word[begin], length
+
+
+def matches(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
+    """MATCH for the longest verbatim matches of WINDOW words or more (or whole shorter items), blocks of items one after another."""
+    small_batches(spark)
+    out = None
+    for block in item_blocks(spark, items):
+
+        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            tests: TestSet = block.value
+            for batch in batches:
+                for part in slices(batch):
+                    hashes, doc, _ = words_of(part.column("text"))
+                    own, doc_word, item, item_word, length = longest_matches(tests, hashes, doc)
+                    names = pa.array([tests.items[i] for i in item.tolist()], pa.string())
+                    yield pa.record_batch([part.column("doc_id").take(pa.array(own)), pa.array(doc_word), names, pa.array(item_word), pa.array(length)], [x.split()[0] for x in MATCH.split(", ")])
+
+        one = docs.select("doc_id", "text").mapInArrow(run, MATCH)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def remove_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """The clean rows of docs, all columns as they are; a block of items after another, no shuffle."""
     small_batches(spark)
