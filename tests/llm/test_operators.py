@@ -512,3 +512,18 @@ def test_longest_matches(spark):
     docs = spark.createDataFrame([(1, f"lead {inside} then x y z and x y"), (2, " ".join(f"w{k}" for k in range(9))), (3, f"{inside} {inside}"), (4, None)], "doc_id long, text string")
     got = decontamination.matches(spark, docs, items).collect()
     assert as_counts(got) == Counter([(1, 1, "a", 5, 20), (1, 22, "b", 0, 3), (3, 0, "a", 5, 20), (3, 20, "a", 5, 20)])
+
+
+def test_codec_with_little_memory(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from tidewake.llm import codec
+
+    monkeypatch.setattr(codec, "REMEMBERED", 40)
+    path = vocabulary_path("byte_bpe_50k.json")
+    own, library, rng = Codec(path), Tokenizer.from_file(path), random.Random(1)
+    for _ in range(6):
+        texts = [" ".join(f"{rng.choice('abc')}{rng.randint(0, 90)}" for _ in range(30)) for _ in range(10)]
+        ids, sizes = own.encode(Texts(pa.array(texts)))
+        want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [x for w in want for x in w]

@@ -4,8 +4,8 @@ A text is cut at safe boundaries: a single space or line break with other
 characters on both sides that are neither white space nor may combine into it.
 No pretokenizer of the known files joins characters over such a boundary, so
 the ids of a text are those of its pieces in turn. A slice's distinct pieces are
-sent to the library in batches balanced by bytes; the ids of pieces met before
-are kept in a bounded memory of the worker process. Long texts need no care of
+sent to the library in batches balanced by bytes; the ids of the first
+pieces met are kept in a bounded memory of the worker process. Long texts need no care of
 their own: their pieces are short, or the library gets them whole.
 """
 
@@ -23,7 +23,7 @@ from .text import Texts
 #: Bytes of a batch that the library gets, and pieces that a worker remembers (about 60 bytes each).
 BATCH_BYTES, REMEMBERED = 1 << 18, 1_000_000
 #: Text bytes that are coded at once: more of them share their pieces.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 6 << 20
 
 SPACE, BREAK = 0x20, 0x0A
 #: First bytes of UTF-8 sequences among which are white space and its like.
@@ -43,6 +43,13 @@ class Codec:
         self.library.no_padding()
         self.forget()
 
+    def trim(self) -> None:
+        """Keep the first REMEMBERED pieces: the frequent ones were met first."""
+        if len(self.pieces) > REMEMBERED:
+            self.pieces = pa.concat_arrays([self.pieces.slice(0, REMEMBERED), pa.array([], pa.large_binary())])
+            self.bounds = self.bounds[: REMEMBERED + 1].copy()
+            self.ids = self.ids[: self.bounds[-1]].copy()
+
     def forget(self) -> None:
         self.pieces = pa.array([], pa.large_binary())
         self.ids = np.zeros(0, np.uint32)
@@ -63,8 +70,7 @@ class Codec:
 
     def known(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """The place of each piece of the texts, and each piece's document."""
-        if len(self.pieces) > REMEMBERED:
-            self.forget()
+        self.trim()
         starts, doc = pieces(texts)
         offsets = np.append(starts, len(texts.data)).astype(np.int64)
         column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(texts.data))])
