@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
@@ -79,15 +79,18 @@ def fingerprints(column: pa.Array) -> np.ndarray:
     return out
 
 
-def fingerprint_table(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def fingerprint_table(spark: SparkSession, docs: DataFrame, marked: bool = False) -> DataFrame:
+    """doc_id, fp of each row; marked: and mark, a hash of the text, which with doc_id tells a row from others."""
     small_batches(spark)
+    kept = ["doc_id", "mark"] if marked else ["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                yield pa.record_batch({"doc_id": part.column("doc_id"), "fp": pa.array(fingerprints(part.column("text")).view(np.int64))})
+                yield pa.record_batch({**{c: part.column(c) for c in kept}, "fp": pa.array(fingerprints(part.column("text")).view(np.int64))})
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    read = docs.select("doc_id", "text", *([F.xxhash64("text").alias("mark")] if marked else []))
+    return read.mapInArrow(run, ", ".join(f"{c} long" for c in [*kept, "fp"]))
 
 
 def segment_value(fp: np.ndarray, segment: int) -> np.ndarray:
@@ -207,48 +210,65 @@ def links_of(variant: np.ndarray, part: np.ndarray, fp: np.ndarray) -> pa.Record
     return pa.record_batch({"u": pa.array(np.concatenate(own)), "v": pa.array(np.concatenate(other))})
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, fp, component_id for each row of docs."""
-    table = materialize(spark, fingerprint_table(spark, docs), "fingerprints")
-    distinct = materialize(spark, table.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")), "distinct-fingerprints")
+def labelled_fingerprints(spark: SparkSession, table: DataFrame, first: Column) -> DataFrame:
+    """fp, first_id, component of each distinct fp of table; first: the aggregate of its rows that is first_id."""
+    distinct = materialize(spark, table.groupBy("fp").agg(first.alias("first_id"), F.count("*").alias("copies")), "distinct-fingerprints")
     meeting = variants(spark, distinct).repartition("variant", "part").sortWithinPartitions("variant", "part", "fp")
     links = meeting.mapInArrow(group_links, "u long, v long").distinct()
     component = materialize(spark, components(spark, links), "components")
-    labelled = distinct.join(component, distinct.fp == component.node, "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
+    return distinct.join(component, distinct.fp == component.node, "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """doc_id, fp, component_id for each row of docs."""
+    table = materialize(spark, fingerprint_table(spark, docs), "fingerprints")
+    labelled = labelled_fingerprints(spark, table, F.min("doc_id"))
     least = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
     of_fp = materialize(spark, labelled.join(least, "component").select("fp", "component_id"), "fingerprint-components")
     return table.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One row of docs for each component, of its least doc_id; all columns as they are.
+def one_of_each_group(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """One row of docs for each component of fingerprints, of its least doc_id, null last; all columns as they are.
 
-    Rows whose doc_id no Bloom filter of the ids in question holds stay where they
-    are; only the rest, mostly the copies, are shuffled and joined.
+    A row is known by its doc_id and a hash of its text, so ids that are null or
+    repeat on unlike texts are rows of their own. Rows that no Bloom filter of the
+    rows in question holds stay where they are; only the rest, mostly the copies,
+    are shuffled and joined.
     """
-    judged = materialize(spark, near_duplicates(spark, docs).groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("component_id").alias("component_id")), "kept-ids")
-    # In question: ids that are not the least of their component, and ids of several rows.
-    doubtful = judged.where(~F.col("doc_id").eqNullSafe(F.col("component_id")) | (F.col("rows") > 1))
-    sieve = spark.sparkContext.broadcast(sieve_of(doubtful.select(F.xxhash64("doc_id").alias("h")), "h", doubtful.count()))
+    table = materialize(spark, fingerprint_table(spark, docs, marked=True), "fingerprints")
+    labelled = labelled_fingerprints(spark, table, F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")))
+    first = labelled.groupBy("component").agg(F.min("first_id").alias("x")).select(F.col("x.doc_id").alias("first_doc"), F.col("x.mark").alias("first_mark"), F.lit(True).alias("stays"))
+    rows = table.groupBy("doc_id", "mark").agg(F.count("*").alias("rows"))
+    judged = rows.join(first, rows["doc_id"].eqNullSafe(first["first_doc"]) & (rows["mark"] == first["first_mark"]), "left")
+    judged = materialize(spark, judged.select("doc_id", "mark", "rows", F.coalesce("stays", F.lit(False)).alias("stays")), "kept-rows")
+    # In question: rows that are not the first of their component, and rows with the same id and text.
+    doubtful = judged.where(~F.col("stays") | (F.col("rows") > 1))
+    sieve = spark.sparkContext.broadcast(sieve_of(doubtful.select(F.xxhash64("doc_id", "mark").alias("h")), "h", doubtful.count()))
     names = docs.columns
-    mark, id_ = unused("_hash", names), unused("_kept_id", names)
-    hashed = docs.withColumn(mark, F.xxhash64("doc_id"))
+    mark, h, id_, kept_mark = (unused(n, names) for n in ("_mark", "_hash", "_kept_id", "_kept_mark"))
+    hashed = docs.withColumn(mark, F.xxhash64("text")).withColumn(h, F.xxhash64("doc_id", mark))
 
-    def side(inside: bool):
+    def side(inside: bool, columns: list[str]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                doubt = passes(sieve.value, batch.column(mark).to_numpy())
-                yield batch.filter(pa.array(doubt == inside)).select(names)
+                doubt = passes(sieve.value, batch.column(h).to_numpy())
+                yield batch.filter(pa.array(doubt == inside)).select(columns)
 
-        return hashed.mapInArrow(run, docs.schema)
+        return hashed.mapInArrow(run, hashed.select(*columns).schema)
 
-    kept = judged.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(id_), "rows")
-    rest = side(True)
-    rest = rest.join(kept, rest["doc_id"].eqNullSafe(kept[id_]), "left_semi").select(*names)
-    # Ids are as a rule unique; where one repeats, any of its rows stands for it.
+    kept = judged.where("stays").select(F.col("doc_id").alias(id_), F.col("mark").alias(kept_mark), "rows")
+    rest = side(True, [*names, mark])
+    rest = rest.join(kept, rest["doc_id"].eqNullSafe(kept[id_]) & (rest[mark] == kept[kept_mark]), "left_semi").select(*names, mark)
+    # Where id and text repeat, any of the rows stands for them.
     if kept.where("rows > 1").limit(1).count():
-        rest = rest.dropDuplicates(["doc_id"])
-    return side(False).unionByName(rest)
+        rest = rest.dropDuplicates(["doc_id", mark])
+    return side(False, names).unionByName(rest.select(*names))
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """One row of docs for each component_id: of components whose least doc_id is the same, one. The pipeline takes one_of_each_group."""
+    return one_of_each_group(spark, docs).dropDuplicates(["doc_id"])
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
