@@ -44,8 +44,12 @@ def update(spark: SparkSession, records: DataFrame, keys: DataFrame, table_path:
     ledger = None if rebuild else read_if_there(spark, ledger_path)
     fresh = merge.not_in_ledger(keys, ledger) if ledger is not None else keys
     new = records.join(fresh.select(F.col("key").alias("object_key")), "object_key", "left_semi")
-    # Decoded once; what follows reads the small table of observations.
-    per_object = arbitration.bucketize(guard.guard(samples(new)), interval).persist()
+    per_object = arbitration.bucketize(guard.guard(samples(new)), interval)
+    if not dry_run:
+        # Decoded once; what follows reads the small table of observations, kept beside the table until the run ends.
+        # No persist(): Spark 4.1's cache fails where it is built again within a stream's batch.
+        per_object.write.mode("overwrite").parquet(f"{table_path}.observed")
+        per_object = spark.read.schema(per_object.schema).parquet(f"{table_path}.observed")
     batch = wide(merge.merge_objects(per_object))
     old = None if rebuild else read_if_there(spark, table_path)
     added = sorted(set(batch.columns) - set(old.columns if old is not None else ["ts"]))
@@ -53,10 +57,15 @@ def update(spark: SparkSession, records: DataFrame, keys: DataFrame, table_path:
     if not dry_run:
         replace(spark, batch if old is None else merge.merge_into(old, batch), table_path)
         merge.ledger_rows(fresh, per_object).write.mode("overwrite" if rebuild else "append").parquet(ledger_path)
-    per_object.unpersist()
+        remove(spark, f"{table_path}.observed")
     return summary
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)

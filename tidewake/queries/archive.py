@@ -124,10 +124,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}" if base else f"file://{tempfile.mkdtemp(prefix=f'tidewake-{name}-')}"
 
 
-def stored(spark: SparkSession, d: str) -> str:
-    """Write the first ten days of records into an archive, one object a day; returns its root."""
+def stored(spark: SparkSession, d: str, until: str | None = None) -> str:
+    """Write the records of all days, or of those before until, into an archive, one object a day; returns its root."""
     root = scratch(spark, "archive")
-    r = records(spark, d).where("ts < timestamp '2024-01-11'").withColumn("day", F.to_date("ts"))
+    r = records(spark, d).withColumn("day", F.to_date("ts"))
+    r = r if until is None else r.where(F.col("ts") < F.lit(until).cast("timestamp"))
     archive.write_objects(r, root, ["day"], ["event_id"]).count()
     return root
 

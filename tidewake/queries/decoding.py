@@ -186,15 +186,19 @@ def can_flags(spark: SparkSession, d: str) -> DataFrame:
     return e.where(keep).select("event_id", F.col("word").bitwiseAND(0x1FFFFFFF).alias("can_id"))
 
 
+def course_raw() -> Column:
+    """A frame of course and speed for each event; every sixth has no speed."""
+    k = F.col("event_id")
+    sog = F.when(k % 6 == 0, F.lit(65535)).otherwise(k % 1000)
+    return can_raw(129026, F.concat(F.lit("FF"), F.lpad(F.hex(F.lit(0xFC) + k % 2), 2, "0"), le(k % 62831, 2), le(sog, 2), F.lit("FFFF")))
+
+
 @registered(QUERIES, ORACLES, """SELECT event_id AS seq, 'n2k_cog' AS field, round(round(degrees(event_id % 62831 * 1e-4), 2), 2) AS value FROM events
 UNION ALL SELECT event_id, 'n2k_sog', round(event_id % 1000 * 0.01 * 1.94384, 3) FROM events WHERE event_id % 6 <> 0
 UNION ALL SELECT event_id, 'n2k_cogreference_code', CAST(event_id % 2 AS DOUBLE) FROM events""")
 def decode_n2k_fields(spark: SparkSession, d: str) -> DataFrame:
     """Course and speed; an all-ones speed is not available."""
-    k = F.col("event_id")
-    sog = F.when(k % 6 == 0, F.lit(65535)).otherwise(k % 1000)
-    raw = can_raw(129026, F.concat(F.lit("FF"), F.lpad(F.hex(F.lit(0xFC) + k % 2), 2, "0"), le(k % 62831, 2), le(sog, 2), F.lit("FFFF")))
-    return n2k.decode(frame_records(spark, d, raw)).select("seq", "field", "value")
+    return n2k.decode(frame_records(spark, d, course_raw())).select("seq", "field", "value")
 
 
 WIND = {0: "true_ground_referenced_to_north", 1: "magnetic_ground_referenced_to_magnetic_north", 2: "apparent", 3: "true_boat_referenced"}

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from ..operators import n2k
 from ..plans import derive
+from ..sources import archive
 from ..streaming import ingest
 from .archive import scratch, stored
-from .decoding import LOOKUP_SQL, long_messages
-from .tables import plain, registered
+from .decoding import LOOKUP_SQL, course_raw, long_messages
+from .tables import events, plain, registered
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -18,8 +19,8 @@ ORACLES: dict[str, str] = {}
 
 @registered(QUERIES, ORACLES, "SELECT 10 AS objects, 10 AS distinct_objects, 0 AS fresh_on_second_run")
 def stream_catch_up(spark: SparkSession, d: str) -> DataFrame:
-    """Objects are taken once: a second run finds nothing new. The raw text has no known group, so the table stays empty of fields."""
-    root, out = stored(spark, d), scratch(spark, "stream")
+    """Objects are taken once: a second run finds nothing new. Its SQL counts the objects of ten days, whose raw text has no known group; stream_catch_up_table takes all days to values."""
+    root, out = stored(spark, d, "2024-01-11"), scratch(spark, "stream")
     for _ in range(2):
         query = ingest.catch_up(spark, root, f"{out}/table", f"{out}/ledger", f"{out}/checkpoint")
         query.awaitTermination()
@@ -29,6 +30,26 @@ def stream_catch_up(spark: SparkSession, d: str) -> DataFrame:
     return ledger.agg(F.count("*").cast("int").alias("objects"), F.countDistinct("key").cast("int").alias("distinct_objects")).withColumn("fresh_on_second_run", F.lit(int(fresh)))
 
 
+COURSE = ("n2k_cog", "n2k_cogreference_code", "n2k_sog")
+
+
+@registered(QUERIES, ORACLES, f"""WITH e AS (SELECT event_id, ts, user_id % 256 AS src_addr, event_id % 3 = 0 AS late, date_trunc('hour', ts) AS bucket_ts FROM events),
+s AS (SELECT *, 'n2k_cog' AS field, round(round(degrees(event_id % 62831 * 1e-4), 2), 2) AS value FROM e UNION ALL SELECT *, 'n2k_sog', round(event_id % 1000 * 0.01 * 1.94384, 3) FROM e WHERE event_id % 6 <> 0
+  UNION ALL SELECT *, 'n2k_cogreference_code', CAST(event_id % 2 AS DOUBLE) FROM e),
+o AS (SELECT late, bucket_ts, field, value FROM s QUALIFY row_number() OVER (PARTITION BY late, bucket_ts, field ORDER BY src_addr, ts DESC, event_id) = 1),
+w AS (SELECT late, bucket_ts, {", ".join(f"max(value) FILTER (field = '{c}') AS {c}" for c in COURSE)} FROM o GROUP BY late, bucket_ts)
+SELECT bucket_ts AS ts, {", ".join(COURSE)} FROM w QUALIFY row_number() OVER (PARTITION BY bucket_ts ORDER BY late DESC) = 1""")
+def stream_catch_up_table(spark: SparkSession, d: str) -> DataFrame:
+    """All days through the archive's writer and the stream, to the hours of the table. Every third record lands late, in objects of their own: the second run merges them over the first's rows, nulls too."""
+    root, out = scratch(spark, "archive"), scratch(spark, "stream")
+    frames = events(spark, d).select("event_id", "ts", F.to_date("ts").alias("day"), F.lit(None).cast("double").alias("mono"), F.lit("boat").alias("device_id"), F.lit("can0").alias("src"), F.lit("n2k").alias("proto"), course_raw().alias("raw"))
+    late = F.col("event_id") % 3 == 0
+    for landed in (~late, late):
+        archive.write_objects(frames.where(landed), root, ["day"], ["event_id"]).count()
+        ingest.catch_up(spark, root, f"{out}/table", f"{out}/ledger", f"{out}/checkpoint", "1h").awaitTermination()
+    return spark.read.parquet(f"{out}/table").select(plain("ts").alias("ts"), *COURSE)
+
+
 @registered(QUERIES, ORACLES, LOOKUP_SQL)
 def stream_fast_packet(spark: SparkSession, d: str) -> DataFrame:
     """Reassembly with keyed state gives what the batch form gives."""
