@@ -20,7 +20,14 @@ def is_small(table: DataFrame, rows: int = SMALL_ROWS) -> bool:
 
 def spans(calibrations: DataFrame, start: str = "effective_from", tie: str = "cal_id") -> DataFrame:
     """calibrations with effective_to: the next start; null for the last. Of equal starts all but the last are empty."""
-    return calibrations.withColumn("effective_to", F.lead(start).over(Window.orderBy(start, tie)))
+    day = F.to_date(start)
+    # Days are the partitions; the last row of a day gets the first start of the next, a row a day. Null starts are a day, the first.
+    firsts = calibrations.groupBy(day.alias("_first_day")).agg(F.min(start).alias("_first"))
+    firsts = firsts.select("_first_day", F.lead("_first").over(Window.orderBy("_first_day")).alias("_next"))
+    w = Window.partitionBy("_day").orderBy(start, tie)
+    within = calibrations.withColumn("_day", day).withColumns({"_to": F.lead(start).over(w), "_last": F.lead(F.lit(True)).over(w).isNull()})
+    carried = within.join(firsts, within["_day"].eqNullSafe(firsts["_first_day"]), "left")
+    return carried.select(*calibrations.columns, F.when(F.col("_last"), F.col("_next")).otherwise(F.col("_to")).alias("effective_to"))
 
 
 def asof_spans(facts: DataFrame, calibrations: DataFrame, ts: str = "ts") -> DataFrame:

@@ -53,6 +53,40 @@ def asof_calibration_union(spark: SparkSession, d: str) -> DataFrame:
     return out.select("event_id", "cal_id", plain("effective_from").alias("effective_from"), "param_value")
 
 
+# Every order as a calibration, and line items as facts by their ship date.
+ORDER_CALS = "cals AS (SELECT o_orderkey AS cal_id, o_orderdate AS effective_from, 1 + o_totalprice / 1000000 AS param_value FROM orders)"
+
+
+def order_calibrations(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("cal_id"), F.col("o_orderdate").alias("effective_from"), (1 + F.col("o_totalprice") / 1000000).alias("param_value"))
+
+
+def shipped(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").alias("ts"))
+
+
+@registered(QUERIES, ORACLES, f"WITH {ORDER_CALS} SELECT *, lead(effective_from) OVER (ORDER BY effective_from, cal_id) AS effective_to FROM cals")
+def lead_spans_orders(spark: SparkSession, d: str) -> DataFrame:
+    """lead_spans over a whole table."""
+    return joins.spans(order_calibrations(spark, d))
+
+
+# In force is the last start, and of equal starts the greatest id.
+ASOF_ORDERS = f"""WITH {ORDER_CALS}, last AS (SELECT * FROM cals QUALIFY row_number() OVER (PARTITION BY effective_from ORDER BY cal_id DESC) = 1)
+SELECT l.l_orderkey, l.l_linenumber, c.cal_id, c.effective_from, c.param_value FROM lineitem l ASOF LEFT JOIN last c ON l.l_shipdate >= c.effective_from"""
+
+
+@registered(QUERIES, ORACLES, ASOF_ORDERS)
+def asof_calibration_orders(spark: SparkSession, d: str) -> DataFrame:
+    """asof_calibration with a whole table as calibrations: above SMALL_ROWS of them, the union."""
+    return joins.asof(shipped(spark, d), order_calibrations(spark, d)).select("l_orderkey", "l_linenumber", "cal_id", "effective_from", "param_value")
+
+
+@registered(QUERIES, ORACLES, ASOF_ORDERS)
+def asof_calibration_orders_union(spark: SparkSession, d: str) -> DataFrame:
+    return joins.asof_union(shipped(spark, d), order_calibrations(spark, d)).select("l_orderkey", "l_linenumber", "cal_id", "effective_from", "param_value")
+
+
 IN_SESSION = f"""WITH {SESSIONS} SELECT e.event_id, s.session_id, s.name, s.type FROM events e
 LEFT JOIN sessions s ON e.ts >= s.t_start AND e.ts < coalesce(s.t_end, TIMESTAMP '2100-01-01')"""
 
