@@ -1,0 +1,32 @@
+"""Whole-document draws: a target is missed by at most the least undrawn document."""
+
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewake.llm import mixing
+
+SOME = random.Random(4)
+GIANT = [[5_000_000] + [40_000] * 100]
+TAILS = [[int(SOME.paretovariate(0.6)) for _ in range(n)] for n in (3, 40, 400)] + [[7] * 9 + [10**12], [90, 80, 70, 10**6]]
+
+
+@pytest.mark.parametrize("sources,factor", [(GIANT, 11 / 9), (TAILS, 1.37), (TAILS, 1.9)])
+def test_draws_meet_the_target(spark, sources, factor):
+    rows = [(s, k, n) for s, sizes in enumerate(sources) for k, n in enumerate(sizes)]
+    classed = spark.createDataFrame(rows, "s int, k int, size long").withColumn("c", mixing.class_of(F.col("size"))).collect()
+    sums, placed = defaultdict(int), []
+    for r in sorted(classed, key=lambda r: (r.s, r.k)):
+        sums[r.s, r.c] += r["size"]
+        placed.append((r.s, r.c, r["size"], sums[r.s, r.c]))
+    table = spark.createDataFrame(placed, "s int, c int, size long, after long")
+    sizes = [sum(x) for x in sources]
+    plan = mixing.Plan([str(s) for s in range(len(sources))], sizes, [factor * n for n in sizes], len(rows))
+    got = table.withColumn("more", mixing.drawn_more(mixing.settle(table, plan))).collect()
+    for s, n in enumerate(sizes):
+        taken = n + sum(r["size"] for r in got if r.s == s and r.more)
+        undrawn = [r["size"] for r in got if r.s == s and not r.more]
+        # Where the last one drawn goes over the target and leaves none, it brought the source nearer.
+        assert abs(taken - plan.targets[s]) <= min(undrawn, default=max(sources[s]) / 2) + 1

@@ -6,10 +6,12 @@ at LIMIT times its source's size, and what is over is shared anew by weight.
 
 Draws. A target of p whole passes and a rest draws every document of its source
 p times, and some once more. Those are whole documents: within each size class
-(factors of 8) documents stand in a permuted order, by a keyed hash of doc_id,
+(factors of 8, without end) documents stand in a permuted order, by a keyed hash of doc_id,
 and a class gives its share of the rest as a run from the front of that order.
 What a class leaves short, less than a document, is carried to the next smaller
-class, so the rest is met to within a document of the least class that can.
+class. So what is left at the end is less than 8 times the least size of any class
+that has documents undrawn: at most seven more of each class fit, and the least
+ones are drawn till none fits. The target is missed by less than the least document undrawn then.
 The classes are settled in turn by one aggregation each of a stored narrow table.
 
 Blocks. The draws of a source make blocks of about BLOCK_WORDS words. The
@@ -46,12 +48,10 @@ WEIGHTS = (5, 2, 1)
 SHARE, LIMIT = 1.5, 2.0
 SEED = 2024
 BLOCK_WORDS = 1 << 16
-#: Sizes below CLASSES[0] are class 0, and so on; the largest documents are settled first.
-CLASSES = (8, 64, 512, 4096, 32768)
+#: Bits of size that a class spans; the largest documents are settled first.
+CLASS_BITS = 3
 #: Documents of a hash range of all sources, about, and the least number of ranges.
 RANGE_DOCS, MIN_RANGES = 50_000, 64
-#: Documents of a source that may close what is left of its target, one in each round.
-CLOSING = 3
 #: Sources up to which their table is broadcast; beyond, Spark joins as it sees fit.
 FEW_SOURCES = 20_000
 
@@ -113,7 +113,8 @@ def plan_sources(table: DataFrame) -> Plan:
 
 
 def class_of(size):
-    return sum((F.when(size >= c, 1).otherwise(0) for c in CLASSES), F.lit(0)).cast("int")
+    """0 for sizes below 8, 1 below 64, and so on; at most 20."""
+    return F.floor((F.length(F.bin(size)) - 1) / CLASS_BITS).cast("int")
 
 
 def ordered(spark: SparkSession, table: DataFrame, keys: list[str], weight: str) -> DataFrame:
@@ -133,7 +134,7 @@ def settle(table: DataFrame, plan: Plan) -> dict[tuple[int, int], tuple[int, lis
     rest = [t - int(t // n) * n if n else 0.0 for t, n in zip(plan.targets, plan.sizes, strict=True)]
     carry = [0.0] * len(rest)
     cuts: dict[tuple[int, int], tuple[int, list[int]]] = {}
-    for c in range(len(CLASSES), -1, -1):
+    for c in sorted({c for _, c in totals}, reverse=True):
         want = {s: rest[s] * totals[s, c] / plan.sizes[s] + carry[s] for s in range(len(rest)) if (s, c) in totals and plan.sizes[s]}
         if not want:
             continue
@@ -141,15 +142,22 @@ def settle(table: DataFrame, plan: Plan) -> dict[tuple[int, int], tuple[int, lis
         for s, w in want.items():
             cuts[s, c] = (reached.get(s, 0), [])
             carry[s] = w - cuts[s, c][0]
-    for _ in range(CLOSING):
-        # The document not drawn yet that comes nearest to what is left, where that brings the source nearer.
-        left = {s: float(x) for s, x in enumerate(carry) if x >= 1}
-        if not left:
-            break
-        miss = F.abs(F.col("size") - looked_up(left, F.col("s")))
-        near = table.where(F.col("size") > 0).where(F.col("s").isin(list(left))).where(~drawn_more(cuts)).groupBy("s").agg(F.min(F.struct(miss.alias("miss"), "size", "c", "after")).alias("x")).collect()
+    # The least documents not drawn yet, by class from the largest, while they fit: over 7 of a class never do.
+    left = {s: float(x) for s, x in enumerate(carry) if x >= 1}
+    if left:
+        undrawn = table.where(F.col("size") > 0).where(F.col("s").isin(list(left))).where(~drawn_more(cuts))
+        least = Window.partitionBy("s", "c").orderBy("size", "after")
+        fitting = undrawn.where(F.col("size") <= looked_up(left, F.col("s"))).select("s", "c", "size", "after", F.row_number().over(least).alias("n")).where(F.col("n") < 1 << CLASS_BITS).collect()
+        for r in sorted(fitting, key=lambda r: (-r["c"], r["n"])):
+            if r["size"] <= carry[r["s"]]:
+                cuts[r["s"], r["c"]][1].append(r["after"])
+                carry[r["s"]] -= r["size"]
+    # None fits now: one more, the least, where it brings the source nearer.
+    left = {s: float(x) for s, x in enumerate(carry) if x >= 1}
+    if left:
+        near = table.where(F.col("size") > 0).where(F.col("s").isin(list(left))).where(~drawn_more(cuts)).groupBy("s").agg(F.min(F.struct("size", "c", "after")).alias("x")).collect()
         for r in near:
-            if r["x"]["miss"] < left[r["s"]]:
+            if r["x"]["size"] - left[r["s"]] < left[r["s"]]:
                 cuts[r["s"], r["x"]["c"]][1].append(r["x"]["after"])
                 carry[r["s"]] -= r["x"]["size"]
     return cuts
@@ -161,9 +169,9 @@ def looked_up(values: dict, key):
 
 def drawn_more(cuts: dict[tuple[int, int], tuple[int, list[int]]]):
     """Whether a row of columns s, c, after, size is drawn once more."""
-    key = F.col("s") * 16 + F.col("c")
-    run = F.col("after") <= looked_up({s * 16 + c: cut for (s, c), (cut, _) in cuts.items()}, key) if cuts else F.lit(False)
-    places = {s * 16 + c: p for (s, c), (_, p) in cuts.items() if p}
+    key = F.col("s") * 32 + F.col("c")
+    run = F.col("after") <= looked_up({s * 32 + c: cut for (s, c), (cut, _) in cuts.items()}, key) if cuts else F.lit(False)
+    places = {s * 32 + c: p for (s, c), (_, p) in cuts.items() if p}
     closing = F.array_contains(F.coalesce(looked_up(places, key), F.array().cast("array<bigint>")), F.col("after")) if places else F.lit(False)
     return (F.col("size") > 0) & F.coalesce(run | closing, F.lit(False))
 
