@@ -6,42 +6,59 @@ A line is removed if an earlier line, by (doc_id, line number), has its class or
 a linked one. Lines without a word are never removed.
 
 The join. Tokens are ordered by rarity: by the count, over all texts, of the
-token's bucket of 2^16, then by hash; any one order is right, rarer first is fast.
+token's bucket of 2^18, then by hash; any one order is right, rarer first is fast.
 Two linked sets of n <= m tokens share one of the first n - ceil(0.8 n) + 1
 tokens of either (prefix filter), n >= 0.8 m (length filter), and what can still
-follow a shared token bounds the overlap (positional filter). Round one meets
-on prefix tokens with sizes, positions and 64-bit signatures alone (signatures
-that differ in too many bits rule a pair out) and keeps the members that can
-link; groups of equal members become one. Round two brings the sets of
-classes that are left, verifies each pair once, in the least group that both
-are in, and counts links where they are found: pairs never leave the task, so a
-dense group of near copies gives one row a member. Groups of over HOT members are
-cut into blocks, and each pair of blocks is a group of its own.
-
-Token sets are compared by 64-bit hashes. Copies are dropped per partition before
-any shuffle. Defined results: null texts have no lines; repeated rows, having
-equal positions, stay or go together; a null doc_id counts as the greatest; an empty table gives an empty table. Other columns
+follow a shared token bounds the overlap (positional filter). Round one meets on
+prefix tokens with sizes, positions and signatures: each token flips one bit of
+a signature of 64 to MAX_WIDTH bits, by the set's size, so sets differ in at
+least as many tokens as their signatures do in bits. What passes is verified in
+round two on the token sets. A pair counts where its first shared token is, so
+each is counted once, in either of two forms:
+pairs, where a token's candidates have few partners each (a pair brings the first
+token that it was found at, and both sets), and groups, where they are dense:
+members bring their sets, overlaps are counted by matrix products, and pairs never
+leave the task. Tokens that over HOT classes begin with, by the counts of prefix
+tokens in buckets, are cut into blocks before the shuffle, and each pair of blocks is a group.
+
+Prefix rows travel as packed arrays, one for each task and slot of tokens. A class
+is known by a 64-bit hash of its set with the set's 64-bit signature. Token
+sets are compared by 64-bit hashes. Copies are dropped per task before any shuffle.
+
+Defined results: null texts have no lines, empty lines none either; a text of any length is
+handled whole; repeated rows, having equal positions, stay or go together; a null
+doc_id counts as the greatest; an empty table gives an empty table. Other columns
 pass through `dedup_lines` unchanged.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import materialize, small_batches, unused
+from .shared import free_shuffles, materialize, small_batches, unused
 from .sieve import passes, sieve_of
 from .text import NON_SPACE, Texts, mix, slices
 
 #: Similarity as a fraction.
 NUMER, DENOM = 4, 5
-BUCKET_BITS = 16
+BUCKET_BITS = 18
+#: Buckets whose counts travel as one array.
+CHUNK = 1 << 12
+#: Bits of the widest signature: a filter alone, wider sets than it parts are verified.
+MAX_WIDTH = 1024
 #: Members above which a group is cut into blocks; class hashes that a task remembers.
-HOT, REMEMBERED = 1500, 300_000
+HOT, REMEMBERED = 4096, 300_000
+#: Pairs for each member above which a group's candidates travel as members.
+DENSE = 12
+#: Prefix rows that a task packs at once, and of a slot about.
+PACKED_ROWS, SLOT_ROWS = 1 << 20, 1 << 19
 NULL_ID = (1 << 63) - 1
 
 
@@ -49,65 +66,94 @@ def words_of(column: pa.Array) -> tuple[Texts, np.ndarray, np.ndarray, np.ndarra
     """The lower-cased texts, and start, document and hash of each word."""
     texts = Texts(column, lower=True)
     starts, ends, doc = texts.runs(NON_SPACE[texts.data])
-    return texts, starts, doc, texts.hashes(starts, ends) if len(starts) else np.zeros(0, np.uint64)
+    return texts, starts, doc, texts.hashes(starts, ends)
 
 
 def bucket_of(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
+def width_of(size: np.ndarray) -> np.ndarray:
+    """64-bit words of a set's signature: a bit for each token, rounded up to a power of two."""
+    words = 1 << np.ceil(np.log2(np.maximum(size, 64) / 64)).astype(np.int64)
+    return np.minimum(words, MAX_WIDTH // 64)
+
+
+def by_line(line: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """The order by line, then key: by both in one number, if no two keys that differ are then equal."""
+    if len(line) and line[-1] < 1 << 20:
+        both = (line.astype(np.uint64) << np.uint64(44)) | (key >> np.uint64(20))
+        order = np.argsort(both)
+        both, own = both[order], key[order]
+        if not ((both[1:] == both[:-1]) & (own[1:] != own[:-1])).any():
+            return order
+    return np.lexsort((key, line))
+
+
 class Lines:
     """The lines with a word of some texts: document, number, class, and their sets, rarest token first, one after another."""
 
     def __init__(self, column: pa.Array, rank: np.ndarray):
         texts, starts, doc, hashes = words_of(column)
-        breaks = np.zeros(len(texts.data) + 1, np.int64)
+        breaks = np.zeros(len(texts.data) + 1, np.int32)
         np.cumsum(texts.data == 0x0A, out=breaks[1:])
         number = breaks[starts] - breaks[texts.bounds[doc]]
         new = np.ones(len(starts), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (number[1:] != number[:-1])
         line = np.cumsum(new) - 1
-        # A token sorts by its bucket's rank, then by the hash below its bucket bits.
+        # A token sorts by its bucket's rank, then by the hash below its bucket bits: another form of the hash.
         low = np.uint64(64 - BUCKET_BITS)
-        key = (rank[bucket_of(hashes)] << low) | (hashes & np.uint64((1 << (64 - BUCKET_BITS)) - 1))
-        if len(line) and line[-1] < 1 << 20:
-            order = np.argsort((line.astype(np.uint64) << np.uint64(44)) | (key >> np.uint64(20)))
-        else:
-            order = np.lexsort((key, line))
+        key = (rank[bucket_of(hashes)].astype(np.uint64) << low) | (hashes & np.uint64((1 << (64 - BUCKET_BITS)) - 1))
+        order = by_line(line, key)
         at = np.flatnonzero(new)
-        self.doc, self.number = doc[at], number[at]
-        line, key, hashes = line[order], key[order], hashes[order]
+        self.doc, self.number = doc[at], number[at].astype(np.int64)
+        line, key = line[order], key[order]
         keep = np.ones(len(line), bool)
         keep[1:] = (line[1:] != line[:-1]) | (key[1:] != key[:-1])
-        line, self.tokens, self.hashes = line[keep], key[keep], hashes[keep]
-        self.size = np.bincount(line, minlength=len(at))
+        self.line, self.tokens = line[keep], key[keep]
+        self.size = np.bincount(self.line, minlength=len(at))
         self.begin = np.cumsum(self.size) - self.size
-        mixed = mix(self.hashes + np.uint64(7))
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
+        self.mixed = mix(hashes[order][keep] + np.uint64(7))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.mixed, dtype=np.uint64)])
         self.classes = mix((total[self.begin + self.size] - total[self.begin]) ^ mix(self.size.astype(np.uint64)))
-        # Each token flips one of 64 bits: two sets differ in at least as many tokens as their signatures do in bits.
-        bit = np.uint64(1) << (mixed >> np.uint64(58))
+        bit = np.uint64(1) << (self.mixed >> np.uint64(58))
         self.signature = np.bitwise_xor.reduceat(bit, self.begin) if len(at) else np.zeros(0, np.uint64)
 
     def __len__(self) -> int:
         return len(self.begin)
 
+    def set_of(self, k: int) -> np.ndarray:
+        return self.tokens[self.begin[k] : self.begin[k] + self.size[k]]
+
+    def wide(self, rows: np.ndarray, words: int) -> np.ndarray:
+        """(rows, words) signatures of as many 64-bit words; in the first of them is the bit that tells which."""
+        out = np.zeros((len(rows), words), np.uint64)
+        size = self.size[rows]
+        at = np.arange(int(size.sum())) + np.repeat(self.begin[rows] - (np.cumsum(size) - size), size)
+        mixed = self.mixed[at]
+        place = np.repeat(np.arange(len(rows)) * words, size) + (mixed & np.uint64(words - 1)).astype(np.int64)
+        np.bitwise_xor.at(out.reshape(-1), place, np.uint64(1) << (mixed >> np.uint64(58)))
+        return out
+
 
 class Seen:
-    """Remembers class hashes, so that a task passes on a class once or a few times."""
+    """Remembers classes, so that a task passes on a class once or a few times."""
 
     def __init__(self) -> None:
-        self.known: set[int] = set()
+        self.known: dict[int, int] = {}
 
-    def fresh(self, classes: np.ndarray) -> np.ndarray:
+    def fresh(self, lines: Lines) -> np.ndarray:
         """Places of the first of each class not met before."""
-        _, first = np.unique(classes, return_index=True)
-        values = classes[first].tolist()
-        out = np.array([k for k, v in zip(first.tolist(), values, strict=True) if v not in self.known], np.int64)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        self.known.update(values)
-        return np.sort(out)
+        _, first, back = np.unique(lines.classes, return_index=True, return_inverse=True)
+        if (lines.signature != lines.signature[first[back]]).any():  # a hash that two classes have
+            _, first = np.unique(np.stack([lines.classes, lines.signature], axis=1), axis=0, return_index=True)
+        first = np.sort(first)
+        keys, marks, known = lines.classes[first].tolist(), lines.signature[first].tolist(), self.known
+        out = first[np.array([known.get(k) != s for k, s in zip(keys, marks, strict=True)], bool)]
+        if len(known) > REMEMBERED:
+            known.clear()
+        known.update(zip(keys, marks, strict=True))
+        return out
 
 
 def prefix_length(size: np.ndarray) -> np.ndarray:
@@ -119,243 +165,500 @@ def needed(n, m):
     return -(-(NUMER * (n + m)) // (NUMER + DENOM))
 
 
+def chunks(counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """The counts in arrays of CHUNK, those with any, by number."""
+    for k, part in enumerate(counts.reshape(-1, CHUNK)):
+        if part.any():
+            yield k, part.astype("<i8" if part.max() >> 31 else "<i4").tobytes()
+
+
+def summed(found: DataFrame) -> np.ndarray:
+    """All counts from (chunk, counts) rows; 2^BUCKET_BITS numbers come to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, data in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                part = np.frombuffer(data, "<i4" if len(data) == 4 * CHUNK else "<i8")
+                sums[k] = sums.get(k, 0) + part.astype(np.int64)
+        yield pa.record_batch({"chunk": pa.array(list(sums), pa.int64()), "counts": pa.array([v.tobytes() for v in sums.values()], pa.binary())})
+
+    out = np.zeros(1 << BUCKET_BITS, np.int64)
+    for r in found.repartition("chunk").mapInArrow(run, "chunk long, counts binary").collect():
+        out[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counts"], "<i8")
+    return out
+
+
 def rarity_ranks(docs: DataFrame) -> np.ndarray:
-    """The place of each bucket by the count of its words in all documents; 2^16 numbers come to the driver."""
+    """The place of each bucket by the count of its words in all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
             for part in slices(batch):
-                counts += np.bincount(bucket_of(words_of(part.column("text"))[3]), minlength=len(counts))
-        full = np.flatnonzero(counts)
-        yield pa.record_batch({"bucket": pa.array(full), "n": pa.array(counts[full])})
-
-    rows = docs.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(1 << BUCKET_BITS, np.int64)
-    for r in rows:
-        counts[r["bucket"]] = r["n"]
-    rank = np.empty(len(counts), np.uint64)
+                np.add.at(counts, bucket_of(words_of(part.column("text"))[3]), 1)
+        found = list(chunks(counts))
+        yield pa.record_batch({"chunk": pa.array([k for k, _ in found], pa.int64()), "counts": pa.array([c for _, c in found], pa.binary())})
+
+    counts = summed(docs.select("text").mapInArrow(run, "chunk long, counts binary"))
+    rank = np.empty(len(counts), np.uint32)
     rank[np.argsort(counts, kind="stable")] = np.arange(len(counts))
     return rank
 
 
-def line_table(docs: DataFrame, ranks, sieve) -> DataFrame:
-    """(doc_id, line_no, class, tokens) of each line; tokens: the set's sorted 64-bit hashes, once a task for classes that the sieve lets through."""
+def prefix_rows(lines: Lines, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Line, place and token of each prefix token of the lines at, those that can link."""
+    at = at[lines.size[at] >= NUMER]
+    n = prefix_length(lines.size[at])
+    pos = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    return np.repeat(at, n), pos, lines.tokens[np.repeat(lines.begin[at], n) + pos]
+
+
+def slot_hash(tokens: np.ndarray) -> np.ndarray:
+    return mix(tokens ^ np.uint64(0xA24BAED4963EE407))
+
+
+def line_table(docs: DataFrame, ranks: Broadcast) -> DataFrame:
+    """(doc_id, line_no, class, signature) of each line; rows with counts: those of prefix tokens by bucket, class is the chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = Seen()
+        seen, counts = Seen(), np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
             for part in slices(batch):
                 lines = Lines(part.column("text"), ranks.value)
-                tokens: list[bytes | None] = [None] * len(lines)
-                at = seen.fresh(lines.classes)
-                for k in at[passes(sieve.value, lines.classes[at])].tolist():
-                    tokens[k] = lines.hashes[lines.begin[k] : lines.begin[k] + lines.size[k]].tobytes()
+                np.add.at(counts, bucket_of(slot_hash(prefix_rows(lines, seen.fresh(lines))[2])), 1)
                 ids = part.column("doc_id").fill_null(NULL_ID).to_numpy()
-                yield pa.record_batch({
-                    "doc_id": pa.array(ids[lines.doc]),
-                    "line_no": pa.array(lines.number),
-                    "class": pa.array(lines.classes.view(np.int64)),
-                    "tokens": pa.array(tokens, pa.binary()),
-                })
+                yield line_batch(ids[lines.doc], lines.number, lines.classes, lines.signature, [None] * len(lines))
+        found = list(chunks(counts))
+        none = np.zeros(len(found), np.int64)
+        yield line_batch(none, none, np.array([k for k, _ in found], np.int64), none, [c for _, c in found])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line_no long, class long, signature long, counts binary")
+
+
+def line_batch(doc_id: np.ndarray, line_no: np.ndarray, classes: np.ndarray, signature: np.ndarray, counts: list[bytes | None]) -> pa.RecordBatch:
+    columns = {"doc_id": doc_id, "line_no": line_no, "class": classes.view(np.int64), "signature": signature.view(np.int64)}
+    return pa.record_batch({**{k: pa.array(v) for k, v in columns.items()}, "counts": pa.array(counts, pa.binary())})
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line_no long, class long, tokens binary")
+def block_counts(counts: np.ndarray) -> np.ndarray:
+    """The blocks that a token of each bucket is cut into: one for each HOT rows, or for each twice the mean of all buckets if that is more."""
+    limit = max(HOT, 2 * int(counts.sum()) // len(counts))
+    return np.maximum(-(-counts // limit), 1).astype(np.uint32)
 
 
-def prefixes(docs: DataFrame, ranks) -> DataFrame:
-    """(token, class, size, pos, signature) of the prefix tokens of classes that can link."""
+def line_sets(docs: DataFrame, ranks: Broadcast, sieve: Broadcast) -> DataFrame:
+    """(class, signature, tokens) once a task for classes that the sieve lets through; tokens: the set, rarest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Seen()
         for batch in batches:
             for part in slices(batch):
                 lines = Lines(part.column("text"), ranks.value)
-                at = seen.fresh(lines.classes)
-                at = at[lines.size[at] >= NUMER]
-                n = prefix_length(lines.size[at])
-                pos = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                token = lines.tokens[np.repeat(lines.begin[at], n) + pos]
+                at = np.flatnonzero(passes(sieve.value, lines.classes.view(np.int64)))
+                first = seen.fresh(lines)
+                at = first[np.isin(first, at)]
                 yield pa.record_batch({
-                    "token": pa.array(token.view(np.int64)),
-                    "class": pa.array(np.repeat(lines.classes[at], n).view(np.int64)),
-                    "size": pa.array(np.repeat(lines.size[at], n).astype(np.int32)),
-                    "pos": pa.array(pos.astype(np.int32)),
-                    "signature": pa.array(np.repeat(lines.signature[at], n).view(np.int64)),
+                    "class": pa.array(lines.classes[at].view(np.int64)),
+                    "signature": pa.array(lines.signature[at].view(np.int64)),
+                    "tokens": pa.array([lines.set_of(k).tobytes() for k in at.tolist()], pa.binary()),
                 })
 
-    return docs.select("text").mapInArrow(run, "token long, class long, size int, pos int, signature long")
+    return docs.select("text").mapInArrow(run, "class long, signature long, tokens binary")
 
 
-def by_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
-    """Batches sorted by keys, cut so that no group is parted."""
-    held: pa.Table | None = None
-    for batch in batches:
-        now = pa.Table.from_batches([batch])
-        held = now if held is None else pa.concat_tables([held, now])
-        if not held.num_rows:
-            continue
-        columns = [held.column(k).to_numpy() for k in keys]
-        edge = np.zeros(held.num_rows - 1, bool)
-        for c in columns:
-            edge |= c[1:] != c[:-1]
-        where = np.flatnonzero(edge)
-        if len(where):
-            cut = int(where[-1]) + 1
-            yield held.slice(0, cut)
-            held = held.slice(cut)
-    if held is not None and held.num_rows:
-        yield held
-
-
-def can_link(size, pos, signature, size2, pos2, signature2) -> np.ndarray:
-    """Whether sets that share a token at these places can link: by length, by position, and by how many bits their signatures differ."""
-    short, long_ = np.minimum(size, size2), np.maximum(size, size2)
-    need = needed(size, size2)
-    reach = np.minimum(pos, pos2) + np.minimum(size - pos, size2 - pos2)
-    differ = np.bitwise_count(signature ^ signature2).astype(np.int64)
-    return (DENOM * short >= NUMER * long_) & (reach >= need) & (differ <= size + size2 - 2 * need)
-
-
-#: Members of a group up to which every pair is looked at in round one; larger groups go on whole.
-PAIRWISE = 20_000
-
-
-def linkable(size: np.ndarray, pos: np.ndarray, signature: np.ndarray) -> np.ndarray:
-    """Which members of one group can link with another of it."""
-    n = len(size)
-    if n > PAIRWISE:
-        return np.ones(n, bool)
-    out = np.zeros(n, bool)
-    step = max(1, (1 << 20) // n)
-    for a in range(0, n, step):
-        part = slice(a, min(a + step, n))
-        pairs = can_link(size[part, None], pos[part, None], signature[part, None], size, pos, signature)
-        pairs[np.arange(part.stop - a), np.arange(a, part.stop)] = False
-        out[part] = pairs.any(1)
+@dataclass
+class Rows:
+    """Prefix rows; signatures one after another, width words each. part, block: of tokens cut into blocks, else 0."""
+
+    token: np.ndarray
+    cls: np.ndarray
+    size: np.ndarray
+    pos: np.ndarray
+    part: np.ndarray
+    block: np.ndarray
+    signature: np.ndarray  # flat
+
+    KINDS = ("<u8", "<u8", "<u4", "<u4", "<u8", "<u4", "<u8")
+
+    def fields(self) -> tuple[np.ndarray, ...]:
+        return self.token, self.cls, self.size, self.pos, self.part, self.block, self.signature
+
+    def __len__(self) -> int:
+        return len(self.token)
+
+    def take(self, at: np.ndarray) -> Rows:
+        width = width_of(self.size)
+        ends = np.cumsum(width)
+        own = width[at]
+        words = np.arange(int(own.sum())) + np.repeat((ends - width)[at] - (np.cumsum(own) - own), own)
+        return Rows(*(x[at] for x in self.fields()[:-1]), self.signature[words])
+
+    def pack(self) -> bytes:
+        return b"".join([np.int64(len(self)).tobytes(), *(np.ascontiguousarray(x.astype(k, copy=False)).tobytes() for x, k in zip(self.fields(), self.KINDS, strict=True))])
+
+    @staticmethod
+    def unpack(data: bytes) -> Rows:
+        n, at, out = int(np.frombuffer(data, "<i8", 1)[0]), 8, []
+        for kind in Rows.KINDS[:-1]:
+            out.append(np.frombuffer(data, kind, n, at))
+            at += out[-1].nbytes
+        return Rows(*out, np.frombuffer(data, "<u8", -1, at))
+
+    @staticmethod
+    def together(parts: list[Rows]) -> Rows:
+        return parts[0] if len(parts) == 1 else Rows(*(np.concatenate(x) for x in zip(*(p.fields() for p in parts), strict=True)))
+
+
+def rows_of(lines: Lines, at: np.ndarray, blocks_of: np.ndarray) -> Rows:
+    """The prefix rows of the lines at; those of tokens in several blocks once for each pair of blocks that they are in."""
+    line, pos, token = prefix_rows(lines, at)
+    blocks = blocks_of[bucket_of(slot_hash(token))].astype(np.int64)
+    own = np.zeros(len(line), np.int64)
+    part = np.zeros(len(line), np.int64)
+    if len(blocks) and int(blocks.max()) > 1:
+        own = (mix(lines.classes[line] + np.uint64(5)) % blocks.astype(np.uint64)).astype(np.int64)
+        which = np.repeat(np.arange(len(line)), blocks)
+        other = np.arange(len(which)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        line, pos, token, own, blocks = line[which], pos[which], token[which], own[which], blocks[which]
+        part = np.where(blocks > 1, np.minimum(own, other) * blocks + np.maximum(own, other) + 1, 0)
+        # Across two blocks only their members of different blocks meet; within one, all.
+        own = np.where(own == other, 0, own + 1)
+    size = lines.size[line]
+    width = width_of(size)
+    ends = np.cumsum(width)
+    flat = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint64)
+    for words in np.unique(width).tolist():
+        rows = np.flatnonzero(width == words)
+        first, back = np.unique(line[rows], return_inverse=True)
+        flat[((ends[rows] - words)[:, None] + np.arange(words)).ravel()] = lines.wide(first, words)[back].ravel()
+    return Rows(token, lines.classes[line], size, pos, part, own, flat)
+
+
+def prefixes(docs: DataFrame, ranks: Broadcast, blocks: Broadcast, slots: int) -> DataFrame:
+    """(slot, rows): packed prefix rows of the classes that can link, by slots of tokens and blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Seen()
+        held: list[Rows] = []
+        n = 0
+        for batch in batches:
+            for part in slices(batch):
+                lines = Lines(part.column("text"), ranks.value)
+                held.append(rows_of(lines, seen.fresh(lines), blocks.value))
+                n += len(held[-1])
+                if n >= PACKED_ROWS:
+                    yield packed(Rows.together(held))
+                    held, n = [], 0
+        if n:
+            yield packed(Rows.together(held))
+
+    def packed(rows: Rows) -> pa.RecordBatch:
+        slot = (mix(slot_hash(rows.token) + rows.part.astype(np.uint64)) % np.uint64(slots)).astype(np.int64)
+        order = np.argsort(slot, kind="stable")
+        full, begin = np.unique(slot[order], return_index=True)
+        ends = np.append(begin[1:], len(order))
+        blobs = [rows.take(order[a:b]).pack() for a, b in zip(begin.tolist(), ends.tolist(), strict=True)]
+        return pa.record_batch({"slot": pa.array(full.astype(np.int32)), "rows": pa.array(blobs, pa.binary())})
+
+    return docs.select("text").mapInArrow(run, "slot int, rows binary")
+
+
+def passing(rows: Rows, first: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which pairs of rows (x, y) of a token can link: by length, position, and the bits that their signatures differ in."""
+    n, m, p, q = rows.size[x].astype(np.int64), rows.size[y].astype(np.int64), rows.pos[x].astype(np.int64), rows.pos[y].astype(np.int64)
+    need = needed(n, m)
+    good = (DENOM * np.minimum(n, m) >= NUMER * np.maximum(n, m)) & (np.minimum(p, q) + np.minimum(n - p, m - q) >= need)
+    good &= (rows.block[x] == 0) | (rows.block[x] != rows.block[y])
+    left = np.flatnonzero(good)
+    most = (n + m - 2 * need)[left]
+    x, y = x[left], y[left]
+    # A wider signature folds to a narrower one: the parts of equal places are put together.
+    words = np.minimum(width_of(rows.size[x]), width_of(rows.size[y]))
+    fine = np.zeros(len(left), bool)
+    for w in np.unique(words).tolist():
+        at = np.flatnonzero(words == w)
+        differ = folded(rows, first, x[at], w) ^ folded(rows, first, y[at], w)
+        fine[at] = np.bitwise_count(differ).sum(1, dtype=np.int64) <= most[at]
+    good[left[~fine]] = False
+    return good
+
+
+def folded(rows: Rows, first: np.ndarray, at: np.ndarray, words: int) -> np.ndarray:
+    out = rows.signature[first[at][:, None] + np.arange(words)]
+    own = width_of(rows.size[at])
+    for k in range(1, int(own.max()) // words if len(at) else 1):
+        more = np.flatnonzero(own > k * words)
+        out[more] ^= rows.signature[first[at[more]][:, None] + np.arange(k * words, (k + 1) * words)]
     return out
 
 
-def candidate_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (token, size, class): (members, class, n) of groups with the classes that can link in them.
+CANDIDATE = "u long, v long, token long, n int, block int"
 
-    members: a hash of the group's classes, so equal groups of different tokens are one.
-    """
-    for table in by_group(batches, ["token"]):
-        token, cls, size, pos, signature = (table.column(c).to_numpy() for c in ("token", "class", "size", "pos", "signature"))
-        keep = np.ones(len(token), bool)
-        keep[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
-        token, cls, size, pos, signature = token[keep], cls[keep], size[keep].astype(np.int64), pos[keep].astype(np.int64), signature[keep].view(np.uint64)
-        begin = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        count = np.diff(np.append(begin, len(token)))
-        good = np.zeros(len(token), bool)
-        two = begin[count == 2]
-        near = can_link(size[two], pos[two], signature[two], size[two + 1], pos[two + 1], signature[two + 1])
-        good[two[near]] = good[two[near] + 1] = True
-        for c in np.unique(count[(count > 2) & (count <= 64)]).tolist():
-            rows = begin[count == c][:, None] + np.arange(c)
-            for part in np.array_split(rows, max(1, rows.size * c >> 21)):
-                s, p, g = size[part], pos[part], signature[part]
-                pairs = can_link(s[:, :, None], p[:, :, None], g[:, :, None], s[:, None], p[:, None], g[:, None])
-                pairs[:, np.arange(c), np.arange(c)] = False
-                good[part] = pairs.any(2)
-        for a, c in zip(begin[count > 64].tolist(), count[count > 64].tolist(), strict=True):
-            good[a : a + c] = linkable(size[a : a + c], pos[a : a + c], signature[a : a + c])
-        rows = np.flatnonzero(good)
-        if not len(rows):
+
+def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """CANDIDATE rows of a slot: pairs of classes (n 0) that can link, u < v; or members u of a dense group (n members, v the group's name)."""
+    blobs: dict[int, list[Rows]] = {}
+    for batch in batches:
+        for slot, data in zip(batch.column("slot").to_pylist(), batch.column("rows").to_pylist(), strict=True):
+            blobs.setdefault(slot, []).append(Rows.unpack(data))
+    for slot in list(blobs):
+        yield from slot_candidates(Rows.together(blobs.pop(slot)))
+
+
+def slot_candidates(rows: Rows) -> Iterator[pa.RecordBatch]:
+    # Copies of a class: equal in hash and in the signature's first words.
+    first = np.cumsum(width_of(rows.size)) - width_of(rows.size)
+    order = np.lexsort((rows.signature[first], rows.cls, rows.part, rows.token))
+    token, part, cls, mark = rows.token[order], rows.part[order], rows.cls[order], rows.signature[first][order]
+    same = (token[1:] == token[:-1]) & (part[1:] == part[:-1])
+    keep = np.concatenate([[True], ~(same & (cls[1:] == cls[:-1]) & (mark[1:] == mark[:-1]))])
+    order = order[keep]
+    token, part = token[keep], part[keep]
+    begin = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (part[1:] != part[:-1])]))
+    count = np.diff(np.append(begin, len(order)))
+    # Pairs of small groups of all sizes at once; the larger groups one by one, in strips.
+    several = (count > 1) & (count <= 64)
+    a, c = begin[several], count[several]
+    step = np.cumsum(c * (c - 1) // 2)
+    xs, ys = [], []
+    cuts = np.searchsorted(step, np.arange(0, int(step[-1]) if len(step) else 0, 1 << 21)).tolist() + [len(step)] if len(step) else []
+    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+        for size in np.unique(c[low:high]).tolist():
+            i, j = np.triu_indices(size, 1)
+            here = a[low:high][c[low:high] == size][:, None]
+            x, y = order[(here + i).ravel()], order[(here + j).ravel()]
+            good = passing(rows, first, x, y)
+            xs.append(x[good]), ys.append(y[good])
+    for b, n in zip(begin[count > 64].tolist(), count[count > 64].tolist(), strict=True):
+        own = order[b : b + n]
+        own = own[np.argsort(rows.size[own], kind="stable")]
+        size = rows.size[own].astype(np.int64)
+        far = np.searchsorted(size, size * DENOM // NUMER, "right")
+        for low in range(0, n, 512):
+            high = min(low + 512, n)
+            reach = far[low:high] - np.arange(low, high) - 1
+            x = np.repeat(np.arange(low, high), reach)
+            y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(reach) - reach, reach)
+            for s in range(0, len(x), 1 << 21):
+                i, j = own[x[s : s + (1 << 21)]], own[y[s : s + (1 << 21)]]
+                good = passing(rows, first, i, j)
+                xs.append(i[good]), ys.append(j[good])
+    if not xs:
+        return
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    if not len(x):
+        return
+    # The group of each pair, and whether it is dense.
+    group = np.zeros(len(rows), np.int64)
+    group[order] = np.repeat(np.arange(len(begin)), count)
+    pairs = np.bincount(group[x], minlength=len(begin))
+    rows_in = np.unique(np.concatenate([x, y]))
+    members = np.bincount(group[rows_in], minlength=len(begin))
+    dense = pairs > DENSE * members
+    loose = ~dense[group[x]]
+    u, v = rows.cls[x[loose]], rows.cls[y[loose]]
+    # Different classes of one hash: the sets of both are verified.
+    yield candidate_batch(np.minimum(u, v), np.maximum(u, v), rows.token[x[loose]], np.zeros(int(loose.sum()), np.int64))
+    inside = rows_in[dense[group[rows_in]]]
+    if len(inside):
+        inside = inside[np.lexsort((rows.cls[inside], group[inside]))]
+        g, cls = group[inside], rows.cls[inside]
+        start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+        n = np.diff(np.append(start, len(g)))
+        # Equal groups of several tokens are one, of the first of the tokens. A block of a pair of blocks marks its members.
+        mixed = mix(cls * np.uint64(3) + rows.block[inside])
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
+        name = mix((total[start + n] - total[start]) ^ n.astype(np.uint64))
+        yield candidate_batch(cls, np.repeat(name, n), rows.token[inside], np.repeat(n, n), rows.block[inside])
+
+
+def candidate_batch(u: np.ndarray, v: np.ndarray, token: np.ndarray, n: np.ndarray, block: np.ndarray | None = None) -> pa.RecordBatch:
+    # Tokens keep their order as signed numbers.
+    signed = (token ^ np.uint64(1 << 63)).view(np.int64)
+    block = np.zeros(len(u), np.int64) if block is None else block
+    return pa.record_batch({"u": pa.array(u.view(np.int64)), "v": pa.array(v.view(np.int64)), "token": pa.array(signed), "n": pa.array(n.astype(np.int32)), "block": pa.array(block.astype(np.int32))})
+
+
+LINKS = "class long, signature long, links long, near_doc long, near_line long"
+
+
+def link_batch(links: dict[tuple[int, int], list]) -> pa.RecordBatch:
+    kinds = {"class": [c for c, _ in links], "signature": [s for _, s in links], "links": [e[0] for e in links.values()], "near_doc": [e[1][0] for e in links.values()], "near_line": [e[1][1] for e in links.values()]}
+    return pa.record_batch({k: pa.array(v, pa.int64()) for k, v in kinds.items()})
+
+
+def token_of(signed: int) -> int:
+    return (signed + (1 << 63)) & ((1 << 64) - 1)
+
+
+def verify_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """LINKS from pairs with both sets, those whose first shared token is the one they were found at."""
+    for batch in batches:
+        rows = {k: batch.column(k).to_pylist() for k in batch.schema.names}
+        links: dict[tuple[int, int], list] = {}
+        for k, token in enumerate(rows["token"]):
+            p, q = (rows["u"][k], rows["u_signature"][k]), (rows["v"][k], rows["v_signature"][k])
+            if p[0] == q[0] and p[1] >= q[1]:
+                continue
+            a, b = (frozenset(np.frombuffer(rows[side][k], np.uint64).tolist()) for side in ("u_tokens", "v_tokens"))
+            both = a & b
+            if (NUMER + DENOM) * len(both) < NUMER * (len(a) + len(b)) or min(both) != token_of(token):
+                continue
+            for own, at in ((p, (rows["v_doc"][k], rows["v_line"][k])), (q, (rows["u_doc"][k], rows["u_line"][k]))):
+                e = links.setdefault(own, [0, at])
+                e[0] += 1
+                e[1] = min(e[1], at)
+        yield link_batch(links)
+
+
+def by_group(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of a group each, from batches sorted by key."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        cls, token = cls[rows], token[rows]
-        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        count = np.diff(np.append(first, len(rows)))
-        mixed = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(cls.view(np.uint64)), dtype=np.uint64)])
-        members = mix((mixed[first + count] - mixed[first]) ^ count.astype(np.uint64))
-        yield pa.record_batch({"members": pa.array(np.repeat(members, count).view(np.int64)), "class": pa.array(cls), "n": pa.array(np.repeat(count, count))})
+        own = batch.column(key).to_numpy()
+        edge = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), len(own)]
+        for a, b in zip(edge[:-1], edge[1:], strict=True):
+            if held and held[-1].column(key)[0] != batch.column(key)[a]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+#: Rows of a strip, and tokens of one matrix product.
+STRIP, COLUMNS = 1024, 2048
 
 
 def verify_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (members, part): for each member its links found here and the earliest linked line."""
-    for table in by_group(batches, ["members", "part"]):
-        members, part, cls = (table.column(c).to_numpy() for c in ("members", "part", "class"))
-        begin = np.flatnonzero(np.concatenate([[True], (members[1:] != members[:-1]) | (part[1:] != part[:-1])]))
-        ends = np.append(begin[1:], len(members))
-        groups, doc, line = table.column("groups").to_pylist(), table.column("doc_id").to_numpy(), table.column("line_no").to_numpy()
-        block, blocks = table.column("block").to_numpy(), table.column("blocks").to_numpy()
-        sets = [frozenset(np.frombuffer(t, np.uint64).tolist()) for t in table.column("tokens").to_pylist()]
-        kin = [set(g) for g in groups]
-        links: dict[int, list] = {}
-        for a, b in zip(begin.tolist(), ends.tolist(), strict=True):
-            order = sorted(range(a, b), key=lambda k: len(sets[k]))
-            # Blocks i and j meet across; block i meets itself in the part (i, i).
-            across = part[a] // blocks[a] != part[a] % blocks[a]
-            here = int(members[a])
-            for x, i in enumerate(order):
-                own, n, mine = sets[i], len(sets[i]), kin[i]
-                for j in order[x + 1 :]:
-                    m = len(sets[j])
-                    if DENOM * n < NUMER * m:
-                        break
-                    if across and block[i] == block[j]:
-                        continue
-                    if (NUMER + DENOM) * len(own & sets[j]) < NUMER * (n + m):
-                        continue
-                    if len(mine) > 1 and len(kin[j]) > 1 and min(mine & kin[j]) != here:
-                        continue
-                    for p, q in ((i, j), (j, i)):
-                        at = (int(doc[q]), int(line[q]))
-                        e = links.setdefault(int(cls[p]), [0, at])
-                        e[0] += 1
-                        e[1] = min(e[1], at)
-        if links:
-            yield pa.record_batch({
-                "class": pa.array(list(links), pa.int64()),
-                "links": pa.array([e[0] for e in links.values()], pa.int64()),
-                "near_doc": pa.array([e[1][0] for e in links.values()], pa.int64()),
-                "near_line": pa.array([e[1][1] for e in links.values()], pa.int64()),
-            })
-
-
-def in_blocks(rows: DataFrame) -> DataFrame:
-    """rows with blocks, block and part: a group of n members has ceil(n / HOT) blocks, and each pair of blocks is a part."""
-    cut = rows.withColumn("blocks", F.ceil(F.col("n") / HOT).cast("int")).drop("n")
-    cut = cut.withColumn("block", F.pmod(F.xxhash64("class", F.lit(5)), F.col("blocks")).cast("int"))
-    parts = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.least("block", x) * F.col("blocks") + F.greatest("block", x))
-    return cut.withColumn("part", F.explode(parts))
+    """LINKS from members with their sets, sorted by group: pairs whose first shared token is the group's."""
+    for table in by_group(batches, "group"):
+        table = table.sort_by([("doc_id", "ascending"), ("line_no", "ascending")])
+        got = group_links(table)
+        if got is not None:
+            yield got
+
+
+def group_links(table: pa.Table) -> pa.RecordBatch | None:
+    """Members in order of their places, so the first linked one is the earliest."""
+    sets = [np.frombuffer(t, np.uint64) for t in table.column("tokens").to_pylist()]
+    size, block = np.array([len(x) for x in sets]), table.column("block").to_numpy()
+    owner = np.repeat(np.arange(len(sets)), size)
+    tokens, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # Tokens of one member alone are shared by none.
+    shared = count > 1
+    place = np.cumsum(shared) - 1
+    inside = shared[column]
+    owner, column = owner[inside], place[column[inside]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    width = int(shared.sum())
+    before = int(np.searchsorted(tokens[shared], np.uint64(token_of(table.column("token")[0].as_py()))))
+    n, links, near = len(sets), np.zeros(len(sets), np.int64), np.full(len(sets), -1)
+    for low in range(0, n, STRIP):
+        high = min(low + STRIP, n)
+        overlap, earlier = np.zeros((high - low, n), np.float32), np.zeros((high - low, n), bool)
+        edges = sorted({*range(0, width, COLUMNS), before, width})
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            at = slice(*np.searchsorted(column, (a, b)).tolist())
+            matrix = np.zeros((n, b - a), np.float32)
+            matrix[owner[at], column[at] - a] = 1
+            product = matrix[low:high] @ matrix.T
+            overlap += product
+            if b <= before:
+                earlier |= product > 0
+        linked = ((NUMER + DENOM) * overlap >= NUMER * (size[low:high, None] + size)) & ~earlier
+        linked &= (block[low:high, None] == 0) | (block[low:high, None] != block)
+        linked[np.arange(high - low), np.arange(low, high)] = False
+        links[low:high] = linked.sum(1)
+        near[low:high] = np.where(links[low:high] > 0, linked.argmax(1), -1)
+    at = np.flatnonzero(links)
+    if not len(at):
+        return None
+    rows, first = table.take(pa.array(at)), table.take(pa.array(near[at]))
+    return pa.record_batch({
+        "class": rows.column("class").combine_chunks(), "signature": rows.column("signature").combine_chunks(), "links": pa.array(links[at]),
+        "near_doc": first.column("doc_id").combine_chunks(), "near_line": first.column("line_no").combine_chunks(),
+    })
 
 
 def position() -> Column:
     return F.struct("doc_id", "line_no")
 
 
+def candidate_table(spark: SparkSession, docs: DataFrame, ranks: Broadcast, counts: np.ndarray) -> DataFrame:
+    """CANDIDATE rows, each pair and each member of an equal group once, with the first token that it was found at."""
+    blocks = spark.sparkContext.broadcast(block_counts(counts))
+    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(counts.sum()) // SLOT_ROWS + 1)
+    met = prefixes(docs, ranks, blocks, slots).repartitionById(slots, "slot")
+    found = met.mapInArrow(candidates, CANDIDATE).groupBy("u", "v", "n", "block").agg(F.min("token").alias("token"))
+    return materialize(spark, found, "line-candidates")
+
+
+def line_links(spark: SparkSession, found: DataFrame, sets: DataFrame) -> DataFrame:
+    """(class, signature, links, near) from CANDIDATE rows and (class, signature, tokens, doc_id, line_no) of their classes."""
+    side = lambda x: sets.select(F.col("class").alias(x), *(F.col(c).alias(f"{x}_{t}") for c, t in (("signature", "signature"), ("tokens", "tokens"), ("doc_id", "doc"), ("line_no", "line"))))
+    pairs = found.where("n = 0").select("u", "v", "token").join(side("u"), "u").join(side("v"), "v")
+    members = found.where("n > 0").select(F.col("u").alias("class"), F.col("v").alias("group"), "token", "block").join(sets, "class")
+    dense = members.repartition("group").sortWithinPartitions("group").mapInArrow(verify_groups, LINKS)
+    every = pairs.mapInArrow(verify_pairs, LINKS).unionByName(dense)
+    return every.groupBy("class", "signature").agg(F.sum("links").alias("links"), F.min(F.struct(F.col("near_doc").alias("doc_id"), F.col("near_line").alias("line_no"))).alias("near"))
+
+
 def line_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, line_no, class_id, copies, links, removed for each line with a word."""
     small_batches(spark)
+    free_shuffles(spark)
     ranks = spark.sparkContext.broadcast(rarity_ranks(docs))
-    meeting = prefixes(docs, ranks).repartition("token").sortWithinPartitions("token", "size", "class")
-    groups = meeting.mapInArrow(candidate_groups, "members long, class long, n long").distinct()
-    survivors = materialize(spark, groups.groupBy("class").agg(F.collect_list(F.struct("members", "n")).alias("groups")), "line-survivors")
-    sieve = spark.sparkContext.broadcast(sieve_of(survivors, "class", survivors.count()))
-    lines = materialize(spark, line_table(docs, ranks, sieve), "lines")
-    classes = materialize(spark, lines.groupBy("class").agg(F.min(position()).alias("first"), F.count("*").alias("copies")), "line-classes")
-    sets = lines.where("tokens is not null").select("class", "tokens").dropDuplicates(["class"])
-    known = survivors.join(sets, "class").join(classes.select("class", "first"), "class")
-    members = known.select("class", "tokens", F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"), F.col("groups.members").alias("groups"), F.explode("groups").alias("g"))
-    members = in_blocks(members.select("class", "tokens", "doc_id", "line_no", "groups", "g.members", "g.n"))
-    met = members.repartition("members", "part").sortWithinPartitions("members", "part")
-    found = met.mapInArrow(verify_groups, "class long, links long, near_doc long, near_line long")
-    links = found.groupBy("class").agg(F.sum("links").alias("links"), F.min(F.struct(F.col("near_doc").alias("doc_id"), F.col("near_line").alias("line_no"))).alias("near"))
-    judged = materialize(spark, classes.join(links, "class", "left").select("class", "first", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce(F.col("near") < F.col("first"), F.lit(False)).alias("late")), "line-links")
+    table = materialize(spark, line_table(docs, ranks), "lines")
+    lines = table.where("counts is null").drop("counts")
+    counts = summed(table.where("counts is not null").select(F.col("class").alias("chunk"), "counts"))
+    found = candidate_table(spark, docs, ranks, counts)
+    key = ["class", "signature"]
+    classes = materialize(spark, lines.groupBy(*key).agg(F.min(position()).alias("first"), F.count("*").alias("copies")), "line-classes")
+    met = found.select(F.explode(F.when(F.col("n") == 0, F.array("u", "v")).otherwise(F.array("u"))).alias("class")).distinct()
+    sieve = spark.sparkContext.broadcast(sieve_of(met, "class", met.count()))
+    sets = line_sets(docs, ranks, sieve).groupBy(*key).agg(F.first("tokens").alias("tokens"))
+    sets = materialize(spark, sets.join(classes, key).select(*key, "tokens", "first.doc_id", "first.line_no"), "line-sets")
+    links = line_links(spark, found, sets)
+    judged = classes.join(links, key, "left").select(*key, "first", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce(F.col("near") < F.col("first"), F.lit(False)).alias("late"))
+    judged = materialize(spark, judged, "line-links")
     removed = (position() > F.col("first")) | F.col("late")
-    out = lines.drop("tokens").join(judged, "class")
-    return out.select(F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), "line_no", F.col("class").alias("class_id"), "copies", "links", removed.alias("removed"))
+    out = lines.join(judged, key)
+    return out.select(F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), "line_no", F.col("class").alias("class_id"), "copies", "links", removed.alias("removed"), F.col("signature").alias("class_mark"))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """docs with the removed lines taken out of text."""
-    id_, lines = unused("_doc", docs.columns), unused("_gone", docs.columns)
-    gone = line_classes(spark, docs).where("removed").groupBy(F.col("doc_id").alias(id_)).agg(F.collect_set("line_no").alias(lines))
+    """docs with the removed lines taken out of text.
+
+    A line goes where its number and its words are those of a removed line of
+    its doc_id, so rows that share an id, or have none, lose only their own lines.
+    """
+    small_batches(spark)
+    id_, gone_, number = (unused(n, docs.columns) for n in ("_doc", "_gone", "_numbers"))
+    gone = line_classes(spark, docs).where("removed").groupBy(F.col("doc_id").alias(id_)).agg(F.collect_set(F.struct("line_no", "class_id", "class_mark")).alias(gone_))
     joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone[id_]), "left").drop(id_)
-    kept = F.filter(F.transform(F.split("text", "\n"), lambda x, k: F.when(~F.array_contains(lines, k.cast("bigint")), x)), lambda x: x.isNotNull())
-    return joined.withColumn("text", F.when(F.col(lines).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))).select(*docs.columns)
+    none = np.arange(1 << BUCKET_BITS, dtype=np.uint32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                lines = Lines(part.column("text"), none)
+                rows: list[list[int]] = [[] for _ in range(part.num_rows)]
+                known = [{(x["line_no"], x["class_id"], x["class_mark"]) for x in r} if r else () for r in part.column(gone_).to_pylist()]
+                if any(known):
+                    for d, k, c, m in zip(lines.doc.tolist(), lines.number.tolist(), lines.classes.view(np.int64).tolist(), lines.signature.view(np.int64).tolist(), strict=True):
+                        if (k, c, m) in known[d]:
+                            rows[d].append(k)
+                yield part.drop_columns([gone_]).append_column(number, pa.array(rows, pa.list_(pa.int64())))
+
+    marked = joined.mapInArrow(run, docs.withColumn(number, F.array().cast("array<bigint>")).schema)
+    kept = F.filter(F.transform(F.split("text", "\n"), lambda x, k: F.when(~F.array_contains(number, k.cast("bigint")), x)), lambda x: x.isNotNull())
+    return marked.withColumn("text", F.when(F.size(number) == 0, F.col("text")).otherwise(F.array_join(kept, "\n"))).select(*docs.columns)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_classes(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return line_classes(spark, spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("class_mark")

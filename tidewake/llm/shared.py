@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary folder only where that is unset, as in tests."""
+    """The cluster's spark.checkpoint.dir. Where that is unset, a temporary folder in local mode, as in tests, and an error on a cluster."""
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if root is None:
         found = context._jsc.sc().getCheckpointDir()
-        root = found.get() if found.isDefined() else f"file://{tempfile.mkdtemp(prefix='tidewake-')}"
+        if found.isDefined():
+            return found.get().rstrip("/")
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='tidewake-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
@@ -39,9 +43,19 @@ def discard(spark: SparkSession, df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+#: Bytes of an Arrow batch, or of its one row.
+BATCH_BYTES = 16 << 20
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows of an Arrow batch: texts may be long, and a whole batch is in memory at once."""
+    """Bound the rows and bytes of an Arrow batch: texts may be long, and a whole batch is in memory at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove a query's shuffle files when it ends: what later queries need is in stored tables."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", True)
 
 
 def unused(name: str, columns: list[str]) -> str:

@@ -1,23 +1,27 @@
 """Vectorised text primitives over Arrow string columns.
 
 A column's UTF-8 bytes are handled as one array with document bounds, in slices
-of bounded size, so no Python code runs per character. Hashes are 64-bit
-polynomial prefix hashes, finished by a mixing step; equal words always get
-equal hashes.
+of bounded size, so no Python code runs per character. Spans of up to LONG bytes
+are hashed eight bytes at a time, with a mixing step after each, all spans at
+once; longer ones by XXH3, one by one. Neither is linear in the bytes, so no
+two texts collide by their structure; equal spans always get equal hashes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SLICE_BYTES = 2 << 20
-BASE = 0x9E3779B97F4A7C15 | 1
-INVERSE = pow(BASE, -1, 1 << 64)
+#: Bytes up to which a span is hashed with all others at once.
+LONG = 48
+#: Odd constant, and the bits that the first k bytes of eight have.
+ODD = np.uint64(0x9E3779B97F4A7C15)
+FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def byte_set(*spans: tuple[int, int]) -> np.ndarray:
@@ -83,24 +87,29 @@ class Texts:
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """A 64-bit hash of the bytes of each span."""
-        power, inverse = powers(len(self.data))
-        total = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * power[: len(self.data)], out=total[1:])
-        return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-
-
-def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(max(SLICE_BYTES, 1 << max(size, 1).bit_length()))
-
-
-@lru_cache(maxsize=1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    out = []
-    for base in (BASE, INVERSE):
-        table = np.full(size + 1, base, np.uint64)
-        table[0] = 1
-        out.append(np.cumprod(table, dtype=np.uint64))
-    return out[0], out[1]
+        size = ends - starts
+        out = size.astype(np.uint64) * ODD
+        if not len(out):
+            return out
+        data = np.ascontiguousarray(self.data)
+        padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        # The eight bytes from each place on, as one number.
+        eight = np.ndarray(len(padded) - 7, "<u8", padded, 0, (1,))
+        at = np.flatnonzero(size <= LONG) if int(size.max()) > LONG else slice(None)
+        here, left, h = starts[at], size[at], out[at]
+        h = mix((h ^ (eight[here] & FIRST[np.minimum(left, 8)])) * ODD)
+        for k in range(8, LONG, 8):
+            more = np.flatnonzero(left > k)
+            if not len(more):
+                break
+            chunk = eight[here[more] + k] & FIRST[np.minimum(left[more] - k, 8)]
+            h[more] = mix((h[more] ^ chunk) * ODD)
+        out[at] = h
+        if not isinstance(at, slice):
+            raw, digest = memoryview(data), xxhash.xxh3_64_intdigest
+            far = np.flatnonzero(size > LONG)
+            out[far] = np.fromiter((digest(raw[a:b], 42) for a, b in zip(starts[far].tolist(), ends[far].tolist(), strict=True)), np.uint64, len(far))
+        return out
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -117,8 +126,8 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     count = max(0, len(hashes) - n + 1)
     out = np.zeros(count, np.uint64)
     for k in range(n):
-        out = out * np.uint64(BASE) + hashes[k : k + count]
-    return mix(out)
+        out = mix((out ^ hashes[k : k + count]) * ODD)
+    return out
 
 
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
