@@ -42,7 +42,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import free_shuffles, materialize, small_batches, unused
+from .shared import materialize, small_batches, unused
 from .sieve import passes, sieve_of
 from .text import NON_SPACE, Texts, mix, slices
 
@@ -54,7 +54,9 @@ CHUNK = 1 << 12
 #: Bits of the widest signature: a filter alone, wider sets than it parts are verified.
 MAX_WIDTH = 1024
 #: Members above which a group is cut into blocks; class hashes that a task remembers.
-HOT, REMEMBERED = 4096, 300_000
+HOT, REMEMBERED = 1024, 300_000
+#: Pairs looked at together.
+PAIRS = 1 << 19
 #: Pairs for each member above which a group's candidates travel as members.
 DENSE = 12
 #: Prefix rows that a task packs at once, and of a slot about.
@@ -73,10 +75,13 @@ def bucket_of(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
+#: The most tokens of a set whose signature has 1, 2, 4, ... words of 64 bits.
+STEPS = 64 << np.arange(MAX_WIDTH.bit_length() - 7)
+
+
 def width_of(size: np.ndarray) -> np.ndarray:
     """64-bit words of a set's signature: a bit for each token, rounded up to a power of two."""
-    words = 1 << np.ceil(np.log2(np.maximum(size, 64) / 64)).astype(np.int64)
-    return np.minimum(words, MAX_WIDTH // 64)
+    return 1 << np.searchsorted(STEPS, size)
 
 
 def by_line(line: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -247,24 +252,28 @@ def block_counts(counts: np.ndarray) -> np.ndarray:
     return np.maximum(-(-counts // limit), 1).astype(np.uint32)
 
 
-def line_sets(docs: DataFrame, ranks: Broadcast, sieve: Broadcast) -> DataFrame:
-    """(class, signature, tokens) once a task for classes that the sieve lets through; tokens: the set, rarest first."""
+def line_sets(docs: DataFrame, ranks: Broadcast, ids: Broadcast, sieve: Broadcast) -> DataFrame:
+    """(class, signature, tokens) once a task for classes that the sieve lets through, from rows whose id the other one does; tokens: the set, rarest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Seen()
         for batch in batches:
-            for part in slices(batch):
+            some = batch.filter(pa.array(passes(ids.value, batch.column("id").to_numpy())))
+            for part in slices(some):
                 lines = Lines(part.column("text"), ranks.value)
-                at = np.flatnonzero(passes(sieve.value, lines.classes.view(np.int64)))
                 first = seen.fresh(lines)
-                at = first[np.isin(first, at)]
+                at = first[passes(sieve.value, lines.classes.view(np.int64)[first])]
                 yield pa.record_batch({
                     "class": pa.array(lines.classes[at].view(np.int64)),
                     "signature": pa.array(lines.signature[at].view(np.int64)),
                     "tokens": pa.array([lines.set_of(k).tobytes() for k in at.tolist()], pa.binary()),
                 })
 
-    return docs.select("text").mapInArrow(run, "class long, signature long, tokens binary")
+    return docs.select(id_hash(F.col("doc_id")).alias("id"), "text").mapInArrow(run, "class long, signature long, tokens binary")
+
+
+def id_hash(doc_id: Column) -> Column:
+    return F.xxhash64(F.coalesce(doc_id, F.lit(NULL_ID)))
 
 
 @dataclass
@@ -289,11 +298,16 @@ class Rows:
 
     def take(self, at: np.ndarray) -> Rows:
         width = width_of(self.size)
-        ends = np.cumsum(width)
         own = width[at]
-        words = np.arange(int(own.sum())) + np.repeat((ends - width)[at] - (np.cumsum(own) - own), own)
+        words = np.arange(int(own.sum())) + np.repeat((np.cumsum(width) - width)[at] - (np.cumsum(own) - own), own)
         return Rows(*(x[at] for x in self.fields()[:-1]), self.signature[words])
 
+    def cut(self, edges: list[int]) -> Iterator[Rows]:
+        """The rows between each two edges."""
+        word = np.concatenate([[0], np.cumsum(width_of(self.size))])[edges].tolist()
+        for a, b, c, d in zip(edges[:-1], edges[1:], word[:-1], word[1:], strict=True):
+            yield Rows(*(x[a:b] for x in self.fields()[:-1]), self.signature[c:d])
+
     def pack(self) -> bytes:
         return b"".join([np.int64(len(self)).tobytes(), *(np.ascontiguousarray(x.astype(k, copy=False)).tobytes() for x, k in zip(self.fields(), self.KINDS, strict=True))])
 
@@ -357,40 +371,82 @@ def prefixes(docs: DataFrame, ranks: Broadcast, blocks: Broadcast, slots: int) -
         slot = (mix(slot_hash(rows.token) + rows.part.astype(np.uint64)) % np.uint64(slots)).astype(np.int64)
         order = np.argsort(slot, kind="stable")
         full, begin = np.unique(slot[order], return_index=True)
-        ends = np.append(begin[1:], len(order))
-        blobs = [rows.take(order[a:b]).pack() for a, b in zip(begin.tolist(), ends.tolist(), strict=True)]
+        blobs = [part.pack() for part in rows.take(order).cut([*begin.tolist(), len(order)])]
         return pa.record_batch({"slot": pa.array(full.astype(np.int32)), "rows": pa.array(blobs, pa.binary())})
 
     return docs.select("text").mapInArrow(run, "slot int, rows binary")
 
 
-def passing(rows: Rows, first: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Which pairs of rows (x, y) of a token can link: by length, position, and the bits that their signatures differ in."""
-    n, m, p, q = rows.size[x].astype(np.int64), rows.size[y].astype(np.int64), rows.pos[x].astype(np.int64), rows.pos[y].astype(np.int64)
-    need = needed(n, m)
-    good = (DENOM * np.minimum(n, m) >= NUMER * np.maximum(n, m)) & (np.minimum(p, q) + np.minimum(n - p, m - q) >= need)
-    good &= (rows.block[x] == 0) | (rows.block[x] != rows.block[y])
-    left = np.flatnonzero(good)
-    most = (n + m - 2 * need)[left]
-    x, y = x[left], y[left]
-    # A wider signature folds to a narrower one: the parts of equal places are put together.
-    words = np.minimum(width_of(rows.size[x]), width_of(rows.size[y]))
-    fine = np.zeros(len(left), bool)
-    for w in np.unique(words).tolist():
-        at = np.flatnonzero(words == w)
-        differ = folded(rows, first, x[at], w) ^ folded(rows, first, y[at], w)
-        fine[at] = np.bitwise_count(differ).sum(1, dtype=np.int64) <= most[at]
-    good[left[~fine]] = False
-    return good
-
-
-def folded(rows: Rows, first: np.ndarray, at: np.ndarray, words: int) -> np.ndarray:
-    out = rows.signature[first[at][:, None] + np.arange(words)]
-    own = width_of(rows.size[at])
-    for k in range(1, int(own.max()) // words if len(at) else 1):
-        more = np.flatnonzero(own > k * words)
-        out[more] ^= rows.signature[first[at[more]][:, None] + np.arange(k * words, (k + 1) * words)]
-    return out
+class Slot:
+    """The rows of a slot in order of (token, part, size), copies of a class once, each with the rows after it whose size is near enough."""
+
+    def __init__(self, rows: Rows):
+        width = width_of(rows.size)
+        first = np.cumsum(width) - width
+        order = self.sorted(rows, rows.signature[first])
+        token, part, cls, mark = rows.token[order], rows.part[order], rows.cls[order], rows.signature[first][order]
+        new = np.ones(len(order), bool)
+        new[1:] = (token[1:] != token[:-1]) | (part[1:] != part[:-1])
+        keep = new.copy()
+        keep[1:] |= (cls[1:] != cls[:-1]) | (mark[1:] != mark[:-1])
+        # Rows alone with their token meet none.
+        group = np.cumsum(new) - 1
+        keep &= (np.bincount(group[keep], minlength=len(new)) > 1)[group]
+        order, group = order[keep], group[keep]
+        self.token, self.cls, self.block = token[keep], cls[keep], rows.block[order]
+        self.size, self.pos = rows.size[order].astype(np.int32), rows.pos[order].astype(np.int32)
+        self.width, self.first, self.signature = width[order], first[order], rows.signature
+        self.group = np.cumsum(np.diff(group, prepend=-1) > 0) - 1 if len(group) else group
+        place = (self.group << 32) | self.size
+        most = (self.group << 32) | (self.size.astype(np.int64) * DENOM // NUMER)
+        self.reach = np.searchsorted(place, most, "right") - np.arange(len(order)) - 1
+
+    @staticmethod
+    def sorted(rows: Rows, mark: np.ndarray) -> np.ndarray:
+        """By token, part and size, copies side by side; tokens without parts take two plain sorts."""
+        if rows.part.any() or (len(rows) and int(rows.size.max()) >> 20) or len(rows) >> 23:
+            return np.lexsort((mark, rows.cls, rows.size, rows.part, rows.token))
+        order = np.argsort(rows.token)
+        token = rows.token[order]
+        number = np.cumsum(np.concatenate([[0], token[1:] != token[:-1]])) if len(order) else order
+        fine = (number.astype(np.uint64) << np.uint64(40)) | (rows.size[order].astype(np.uint64) << np.uint64(20)) | (rows.cls[order] >> np.uint64(44))
+        return order[np.argsort(fine)]
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows x, y of pairs that can link, some millions of pairs at a time."""
+        total = np.cumsum(self.reach)
+        edges = np.searchsorted(total, np.arange(0, int(total[-1]) if len(total) else 0, PAIRS)).tolist() + [len(total)]
+        for low, high in zip(edges[:-1], edges[1:], strict=True):
+            reach = self.reach[low:high]
+            x = np.repeat(np.arange(low, high), reach)
+            y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(reach) - reach, reach)
+            for s in range(0, len(x), 4 * PAIRS):
+                yield self.passing(x[s : s + 4 * PAIRS], y[s : s + 4 * PAIRS])
+
+    def passing(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those that can link by position, block, and the bits that their signatures differ in."""
+        n, m, p, q = self.size[x], self.size[y], self.pos[x], self.pos[y]
+        need = needed(n, m)
+        good = np.minimum(p, q) + np.minimum(n - p, m - q) >= need
+        if self.block.any():
+            good &= (self.block[x] == 0) | (self.block[x] != self.block[y])
+        at = np.flatnonzero(good)
+        x, y, most = x[at], y[at], (n + m - 2 * need)[at]
+        # A wider signature folds to a narrower one: the parts of equal places are put together.
+        words = np.minimum(self.width[x], self.width[y])
+        fine = np.zeros(len(x), bool)
+        for w in np.unique(words).tolist():
+            at = np.flatnonzero(words == w)
+            fine[at] = np.bitwise_count(self.folded(x[at], w) ^ self.folded(y[at], w)).sum(1, dtype=np.int32) <= most[at]
+        return x[fine], y[fine]
+
+    def folded(self, at: np.ndarray, words: int) -> np.ndarray:
+        first, own = self.first[at], self.width[at]
+        out = self.signature[first[:, None] + np.arange(words)]
+        for k in range(1, int(own.max()) // words):
+            more = np.flatnonzero(own > k * words)
+            out[more] ^= self.signature[first[more][:, None] + np.arange(k * words, (k + 1) * words)]
+        return out
 
 
 CANDIDATE = "u long, v long, token long, n int, block int"
@@ -407,70 +463,32 @@ def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def slot_candidates(rows: Rows) -> Iterator[pa.RecordBatch]:
-    # Copies of a class: equal in hash and in the signature's first words.
-    first = np.cumsum(width_of(rows.size)) - width_of(rows.size)
-    order = np.lexsort((rows.signature[first], rows.cls, rows.part, rows.token))
-    token, part, cls, mark = rows.token[order], rows.part[order], rows.cls[order], rows.signature[first][order]
-    same = (token[1:] == token[:-1]) & (part[1:] == part[:-1])
-    keep = np.concatenate([[True], ~(same & (cls[1:] == cls[:-1]) & (mark[1:] == mark[:-1]))])
-    order = order[keep]
-    token, part = token[keep], part[keep]
-    begin = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (part[1:] != part[:-1])]))
-    count = np.diff(np.append(begin, len(order)))
-    # Pairs of small groups of all sizes at once; the larger groups one by one, in strips.
-    several = (count > 1) & (count <= 64)
-    a, c = begin[several], count[several]
-    step = np.cumsum(c * (c - 1) // 2)
-    xs, ys = [], []
-    cuts = np.searchsorted(step, np.arange(0, int(step[-1]) if len(step) else 0, 1 << 21)).tolist() + [len(step)] if len(step) else []
-    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-        for size in np.unique(c[low:high]).tolist():
-            i, j = np.triu_indices(size, 1)
-            here = a[low:high][c[low:high] == size][:, None]
-            x, y = order[(here + i).ravel()], order[(here + j).ravel()]
-            good = passing(rows, first, x, y)
-            xs.append(x[good]), ys.append(y[good])
-    for b, n in zip(begin[count > 64].tolist(), count[count > 64].tolist(), strict=True):
-        own = order[b : b + n]
-        own = own[np.argsort(rows.size[own], kind="stable")]
-        size = rows.size[own].astype(np.int64)
-        far = np.searchsorted(size, size * DENOM // NUMER, "right")
-        for low in range(0, n, 512):
-            high = min(low + 512, n)
-            reach = far[low:high] - np.arange(low, high) - 1
-            x = np.repeat(np.arange(low, high), reach)
-            y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(reach) - reach, reach)
-            for s in range(0, len(x), 1 << 21):
-                i, j = own[x[s : s + (1 << 21)]], own[y[s : s + (1 << 21)]]
-                good = passing(rows, first, i, j)
-                xs.append(i[good]), ys.append(j[good])
-    if not xs:
+    slot = Slot(rows)
+    found = list(slot.pairs())
+    if not found:
         return
-    x, y = np.concatenate(xs), np.concatenate(ys)
+    x, y = (np.concatenate(side) for side in zip(*found, strict=True))
     if not len(x):
         return
-    # The group of each pair, and whether it is dense.
-    group = np.zeros(len(rows), np.int64)
-    group[order] = np.repeat(np.arange(len(begin)), count)
-    pairs = np.bincount(group[x], minlength=len(begin))
-    rows_in = np.unique(np.concatenate([x, y]))
-    members = np.bincount(group[rows_in], minlength=len(begin))
-    dense = pairs > DENSE * members
-    loose = ~dense[group[x]]
-    u, v = rows.cls[x[loose]], rows.cls[y[loose]]
-    # Different classes of one hash: the sets of both are verified.
-    yield candidate_batch(np.minimum(u, v), np.maximum(u, v), rows.token[x[loose]], np.zeros(int(loose.sum()), np.int64))
-    inside = rows_in[dense[group[rows_in]]]
+    # A dense group's members go on, of the others their pairs. Different classes of one hash are both verified.
+    members = np.unique(np.concatenate([x, y]))
+    groups = int(slot.group[-1]) + 1
+    dense = np.bincount(slot.group[x], minlength=groups) > DENSE * np.bincount(slot.group[members], minlength=groups)
+    loose = ~dense[slot.group[x]]
+    x, y = x[loose], y[loose]
+    u, v = slot.cls[x], slot.cls[y]
+    yield candidate_batch(np.minimum(u, v), np.maximum(u, v), slot.token[x], np.zeros(len(x), np.int64))
+    inside = members[dense[slot.group[members]]]
     if len(inside):
-        inside = inside[np.lexsort((rows.cls[inside], group[inside]))]
-        g, cls = group[inside], rows.cls[inside]
+        inside = inside[np.lexsort((slot.cls[inside], slot.group[inside]))]
+        g, cls = slot.group[inside], slot.cls[inside]
         start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
         n = np.diff(np.append(start, len(g)))
         # Equal groups of several tokens are one, of the first of the tokens. A block of a pair of blocks marks its members.
-        mixed = mix(cls * np.uint64(3) + rows.block[inside])
+        mixed = mix(cls * np.uint64(3) + slot.block[inside].astype(np.uint64))
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
         name = mix((total[start + n] - total[start]) ^ n.astype(np.uint64))
-        yield candidate_batch(cls, np.repeat(name, n), rows.token[inside], np.repeat(n, n), rows.block[inside])
+        yield candidate_batch(cls, np.repeat(name, n), slot.token[inside], np.repeat(n, n), slot.block[inside])
 
 
 def candidate_batch(u: np.ndarray, v: np.ndarray, token: np.ndarray, n: np.ndarray, block: np.ndarray | None = None) -> pa.RecordBatch:
@@ -611,7 +629,6 @@ def line_links(spark: SparkSession, found: DataFrame, sets: DataFrame) -> DataFr
 def line_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, line_no, class_id, copies, links, removed for each line with a word."""
     small_batches(spark)
-    free_shuffles(spark)
     ranks = spark.sparkContext.broadcast(rarity_ranks(docs))
     table = materialize(spark, line_table(docs, ranks), "lines")
     lines = table.where("counts is null").drop("counts")
@@ -620,9 +637,13 @@ def line_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     key = ["class", "signature"]
     classes = materialize(spark, lines.groupBy(*key).agg(F.min(position()).alias("first"), F.count("*").alias("copies")), "line-classes")
     met = found.select(F.explode(F.when(F.col("n") == 0, F.array("u", "v")).otherwise(F.array("u"))).alias("class")).distinct()
-    sieve = spark.sparkContext.broadcast(sieve_of(met, "class", met.count()))
-    sets = line_sets(docs, ranks, sieve).groupBy(*key).agg(F.first("tokens").alias("tokens"))
-    sets = materialize(spark, sets.join(classes, key).select(*key, "tokens", "first.doc_id", "first.line_no"), "line-sets")
+    # The sets of candidates are read from the documents that have their first lines.
+    met = materialize(spark, met.join(classes, "class").select(*key, "first.doc_id", "first.line_no"), "line-members")
+    n = met.count()
+    sieve = spark.sparkContext.broadcast(sieve_of(met, "class", n))
+    ids = spark.sparkContext.broadcast(sieve_of(met.select(id_hash(F.col("doc_id")).alias("id")).distinct(), "id", n))
+    sets = line_sets(docs, ranks, ids, sieve).groupBy(*key).agg(F.first("tokens").alias("tokens"))
+    sets = materialize(spark, sets.join(met, key).select(*key, "tokens", "doc_id", "line_no"), "line-sets")
     links = line_links(spark, found, sets)
     judged = classes.join(links, key, "left").select(*key, "first", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce(F.col("near") < F.col("first"), F.lit(False)).alias("late"))
     judged = materialize(spark, judged, "line-links")

@@ -27,10 +27,21 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends there, so a lost executor costs no recomputation."""
+    """Write df to the shared folder and read it back: lineage ends there, so a lost executor costs no recomputation.
+
+    The write is a query of its own, run once, so its shuffle files go when it ends.
+    """
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, True)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -53,14 +64,28 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark remove a query's shuffle files when it ends: what later queries need is in stored tables."""
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", True)
-
-
 def unused(name: str, columns: list[str]) -> str:
     """name, with underscores added until no column has it (column names do not tell case)."""
     taken = {c.lower() for c in columns}
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def write_file(path: str, data: bytes, attempt: str = "whole") -> None:
+    """Under a name of the attempt's own first, so that no reader sees a part of it."""
+    from pyarrow import fs
+
+    store, place = fs.FileSystem.from_uri(path)
+    store.create_dir(place.rsplit("/", 1)[0], recursive=True)
+    with store.open_output_stream(f"{place}.{attempt}") as out:
+        out.write(data)
+    store.move(f"{place}.{attempt}", place)
+
+
+def read_file(path: str) -> bytes:
+    from pyarrow import fs
+
+    store, place = fs.FileSystem.from_uri(path)
+    with store.open_input_stream(place) as f:
+        return f.read()

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .codec import GROUP_BYTES, codec
-from .shared import materialize, new_folder, small_batches
+from .shared import materialize, new_folder, read_file, small_batches, write_file
 from .text import Texts, grouped
 from .token_counts import vocabulary_path
 from .wavelet import WaveletShard, build
@@ -35,24 +35,6 @@ MANIFEST = "part long, shard long, path string, n_docs long, n_ids long"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-def write_file(path: str, data: bytes, attempt: str) -> None:
-    from pyarrow import fs
-
-    store, place = fs.FileSystem.from_uri(path)
-    store.create_dir(place.rsplit("/", 1)[0], recursive=True)
-    with store.open_output_stream(f"{place}.{attempt}") as out:
-        out.write(data)
-    store.move(f"{place}.{attempt}", place)
-
-
-def read_file(path: str) -> bytes:
-    from pyarrow import fs
-
-    store, place = fs.FileSystem.from_uri(path)
-    with store.open_input_stream(place) as f:
-        return f.read()
-
-
 def write_shards(spark: SparkSession, docs: DataFrame, vocabulary: str, folder: str, end_id: int = END_ID) -> DataFrame:
     """Encode docs into wavelet files under folder; returns the manifest, stored beside them."""
     small_batches(spark, 500)
