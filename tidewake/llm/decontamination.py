@@ -1,338 +1,223 @@
 """Benchmark decontamination by suffix arrays over the training texts.
 
-The training words of a shard (the documents of one Arrow slice) are one word
-sequence with document ends as unique separators. Its suffix array is sorted to
-the depth of the longest window; suffixes whose first words stand at the start
-of no test suffix are left out, since a search could never end on them. Every
-test suffix is then binary-searched in each shard's array: the range of training
-suffixes that begin with its window are its verbatim occurrences. Windows
-that follow each other at one distance make the longest verbatim matches
-(`matches`, with their places); occurrences that overlap make hit passages.
-
-The test set is broadcast in blocks of at most BLOCK_WORDS words; each block
-is searched in all documents, and the hits of the blocks are put together by row.
+The training words of a shard (the documents of some Arrow batches, SHARD_BYTES of
+text or one document) get a suffix array over all their suffixes. Every test suffix
+that begins a window (WINDOW words, or a whole shorter item) is binary-searched in it: the
+range of training suffixes that begin with the window are its verbatim
+occurrences, and words inside any of them are hit. From each place where an
+occurrence begins, the training text is searched in a suffix array of the test
+words for the longest verbatim match; a document's longest, with its places in
+document and item, stands in its row.
+
+The test set is stored in blocks of at most BLOCK_WORDS words in the shared
+folder. Each task reads the blocks one after another for each shard, so the documents are
+read and shuffled no more than once, and a task holds one block, however many there are.
 
 Words are compared by 64-bit hashes of their bytes. Defined results: a null or
-wordless text has no words and is clean; null or wordless items occur nowhere;
-repeated item rows count once by item_id; a null item_id is never reported but
-its words are hit; repeated documents are judged each on its own; an empty table of either kind
-gives clean documents or none. Other columns never matter.
+wordless text has no words and is clean; texts of any length are searched
+whole; null or wordless items occur nowhere; repeated item rows count once by item_id;
+a null item_id is never reported but its words are hit; repeated documents are judged
+each on its own, whatever their ids, null or not; an empty table of either kind
+gives clean documents or none. Other columns never matter and pass through `remove_contaminated`.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import materialize, small_batches
-from .text import ALNUM, Texts, slices
+from .shared import new_folder, read_file, small_batches, write_file
+from .suffixes import SuffixArray
+from .text import ALNUM, Texts, grouped
 
 WINDOW = 10
-#: Words of items in one broadcast block: 24 bytes each.
-BLOCK_WORDS = 500_000
+#: Words of items in one block, about 40 bytes each in a task; text bytes of a shard.
+BLOCK_WORDS, SHARD_BYTES = 500_000, 4 << 20
+#: Occurrences that are looked at together.
+CHUNK = 1 << 20
 
-RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, n_passages long, longest_passage long"
+RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long, match_word long, match_item string, match_item_word long"
 
 
 @dataclass
 class TestSet:
-    """Windows of a block of items. keys: big-endian rows of word numbers, zero-padded, sorted and distinct."""
+    """A block of items: the suffix array of their words, and their distinct windows with the items that have each."""
 
-    vocabulary: np.ndarray  # sorted word hashes; number = place + 1
-    keys: np.ndarray
-    lengths: np.ndarray  # words of each key
-    owner_key: np.ndarray  # for each (key, item) pair, sorted by key
-    owner_item: np.ndarray  # place in items
-    place_key: np.ndarray  # for each window of each item, sorted by key
-    place_item: np.ndarray
-    place_word: np.ndarray  # its first word in the item
-    items: list[str | None]
-    heads: np.ndarray  # sorted first word pairs (or single words) that a window can begin with
-
-
-def packed(numbers: np.ndarray) -> np.ndarray:
-    """Rows of word numbers as byte strings that sort as the rows do."""
-    rows = np.ascontiguousarray(numbers.astype(">u4"))
-    return rows.view(f"S{rows.shape[1] * 4}").ravel() if len(rows) else np.zeros(0, f"S{WINDOW * 4}")
+    words: np.ndarray  # hashes, items end to end
+    array: SuffixArray
+    start: np.ndarray  # of each distinct window
+    length: np.ndarray
+    owner: np.ndarray  # (window, item) pairs, sorted
+    names: list[str | None]
 
 
 def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
     texts = Texts(column, lower=True)
-    inside = ALNUM[texts.data] if len(texts.data) else np.zeros(0, bool)
-    starts, ends, doc = texts.runs(inside)
-    return (texts.hashes(starts, ends) if len(starts) else np.zeros(0, np.uint64)), doc, texts.n
+    starts, ends, doc = texts.runs(ALNUM[texts.data])
+    return texts.hashes(starts, ends), doc, texts.n
 
 
-def head_of(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return (first.astype(np.uint64) << np.uint64(32)) | second.astype(np.uint64)
+def spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... so many from each."""
+    return np.repeat(first, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
 
 
 def test_set(items: list[tuple[str | None, str | None]]) -> TestSet:
-    hashes, item, _ = words_of(pa.array([t for _, t in items], pa.string()))
-    vocabulary = np.unique(hashes)
-    number = np.searchsorted(vocabulary, hashes) + 1
-    rows, owners, words = [], [], []
-    begin = np.searchsorted(item, np.arange(len(items) + 1))
-    for i in range(len(items)):
-        own = number[begin[i] : begin[i + 1]]
-        for k in range(max(len(own) - WINDOW + 1, min(len(own), 1))):
-            row = np.zeros(WINDOW, np.int64)
-            part = own[k : k + WINDOW]
-            row[: len(part)] = part
-            rows.append(row)
-            owners.append(i)
-            words.append(k)
-    table = np.array(rows, np.int64).reshape(-1, WINDOW)
-    keys, place = np.unique(packed(table), return_inverse=True)
-    pairs = np.unique(np.stack([place, np.array(owners, np.int64)], axis=1), axis=0) if len(table) else np.zeros((0, 2), np.int64)
-    back = np.frombuffer(keys.tobytes(), ">u4").reshape(-1, WINDOW).astype(np.int64)
-    lengths = (back > 0).sum(1)
-    single = back[:, 1] == 0 if len(back) else np.zeros(0, bool)
-    heads = np.unique(head_of(back[:, 0], back[:, 1]))
-    singles = np.unique(back[single, 0]) if len(back) else np.zeros(0, np.int64)
-    return TestSet(vocabulary, keys, lengths, pairs[:, 0], pairs[:, 1], *sorted_places(place, owners, words), [i for i, _ in items], np.concatenate([heads, singles.astype(np.uint64)]))
-
-
-def sorted_places(key: np.ndarray, item: list[int], word: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.argsort(key, kind="stable")
-    return key[order], np.array(item, np.int64)[order], np.array(word, np.int64)[order]
-
-
-def occurrences(tests: TestSet, hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(training position, key) of every occurrence of a test window in the shard."""
-    none = np.zeros(0, np.int64)
-    if not len(hashes) or not len(tests.keys):
-        return none, none
-    place = np.searchsorted(tests.vocabulary, hashes)
-    place[place == len(tests.vocabulary)] = 0
-    number = np.where(tests.vocabulary[place] == hashes, place + 1, 0).astype(np.int64)
-    after = np.zeros(len(number), np.int64)
-    after[:-1] = np.where(doc[1:] == doc[:-1], number[1:], 0)
-    pair_heads = np.unique(tests.heads)
-    at = np.flatnonzero(number)
-    pair = head_of(number[at], after[at])
-    found = pair_heads[np.minimum(np.searchsorted(pair_heads, pair), len(pair_heads) - 1)] == pair
-    alone = number[at].astype(np.uint64)
-    found |= pair_heads[np.minimum(np.searchsorted(pair_heads, alone), len(pair_heads) - 1)] == alone
-    at = at[found]
-    if not len(at):
-        return none, none
-    depth = np.arange(WINDOW)
-    reach = at[:, None] + depth
-    inside = np.minimum(reach, len(number) - 1)
-    rows = np.where((reach < len(number)) & (doc[inside] == doc[at][:, None]), number[inside], 0)
-    rows[np.cumsum(rows == 0, axis=1) > 0] = 0  # a word outside the vocabulary ends what can match
-    suffixes = packed(rows)
-    order = np.argsort(suffixes, kind="stable")
-    array, at = suffixes[order], at[order]
-    low = np.searchsorted(array, tests.keys, "left")
-    above = packed_above(tests)
-    high = np.searchsorted(array, above, "left")
-    counts = np.maximum(high - low, 0)
-    key = np.repeat(np.arange(len(counts)), counts)
-    offset = np.arange(len(key)) - np.repeat(np.cumsum(counts) - counts, counts)
-    return at[np.repeat(low, counts) + offset], key
-
-
-def packed_above(tests: TestSet) -> np.ndarray:
-    """For each key the least row above all rows that begin with it."""
-    rows = np.frombuffer(tests.keys.tobytes(), ">u4").reshape(-1, WINDOW).astype(np.int64)
-    rows[np.arange(len(rows)), tests.lengths - 1] += 1
-    return packed(rows)
-
-
-def ragged(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
-    lengths = np.array([len(v) for v in values], np.int32)
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else [], kind))
-
-
-def search(tests: TestSet, hashes: np.ndarray, doc: np.ndarray, n: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For each document: flat (start, end) word spans of its hit passages, and places of the items."""
-    at, key = occurrences(tests, hashes, doc)
-    spans, found = [np.zeros(0, np.int64)] * n, [np.zeros(0, np.int64)] * n
-    if not len(at):
-        return spans, found
-    first = np.searchsorted(doc, np.arange(n))
-    order = np.argsort(at, kind="stable")
-    at, key = at[order], key[order]
-    own = doc[at]
-    begin = np.searchsorted(own, np.arange(n + 1))
-    low, high = np.searchsorted(tests.owner_key, np.arange(len(tests.keys))), np.searchsorted(tests.owner_key, np.arange(len(tests.keys)), "right")
-    for d in np.unique(own):
-        here = slice(begin[d], begin[d + 1])
-        start = at[here] - first[d]
-        reach = np.maximum.accumulate(start + tests.lengths[key[here]])
-        new = np.concatenate([[True], start[1:] > reach[:-1]])
-        last = np.concatenate([np.flatnonzero(new)[1:] - 1, [len(start) - 1]])
-        spans[d] = np.stack([start[new], reach[last]], axis=1).ravel()
-        keys = np.unique(key[here])
-        found[d] = np.unique(np.concatenate([tests.owner_item[low[k] : high[k]] for k in keys]))
-    return spans, found
-
-
-def item_blocks(spark: SparkSession, items: DataFrame) -> list[Broadcast]:
-    """The items' windows in broadcasts of about BLOCK_WORDS words each; the driver holds one block at a time."""
+    words, item, _ = words_of(pa.array([t for _, t in items], pa.string()))
+    array = SuffixArray(words, item)
+    size = np.bincount(item, minlength=len(items))
+    first = np.cumsum(size) - size
+    windows = np.where(size > 0, np.maximum(size - WINDOW + 1, 1), 0)
+    start = spread(first, windows)
+    owner = np.repeat(np.arange(len(items)), windows)
+    length = np.minimum(size[owner], WINDOW)
+    # Equal windows begin the same range of the array and have one length.
+    low, _ = array.find(array.ids, start, length)
+    _, keep, back = np.unique(low * (WINDOW + 1) + length, return_index=True, return_inverse=True)
+    pairs = np.unique(np.stack([back, owner], axis=1), axis=0) if len(start) else np.zeros((0, 2), np.int64)
+    return TestSet(words, array, start[keep], length[keep], pairs, [i for i, _ in items])
+
+
+def item_blocks(spark: SparkSession, items: DataFrame) -> list[str]:
+    """Paths of the stored blocks; the driver holds one at a time."""
+    folder = new_folder(spark, "test-suffixes")
     rows = items.select(F.col("item_id").cast("string"), "text").where("text is not null").distinct()
-    blocks: list[Broadcast] = []
+    paths: list[str] = []
     held: list[tuple[str | None, str | None]] = []
     size = 0
+
+    def close() -> None:
+        nonlocal size
+        paths.append(f"{folder}/block-{len(paths):06d}")
+        write_file(paths[-1], pickle.dumps(test_set(held)))
+        held.clear()
+        size = 0
+
     for r in rows.toLocalIterator():
         held.append((r[0], r[1]))
         size += len(r[1]) // 2 + 1
         if size >= BLOCK_WORDS:
-            blocks.append(spark.sparkContext.broadcast(test_set(held)))
-            held, size = [], 0
-    if held or not blocks:
-        blocks.append(spark.sparkContext.broadcast(test_set(held)))
-    return blocks
-
-
-def digest(n_words: int, spans: np.ndarray, items: set[str], n_found: int) -> tuple:
-    """spans: flat (start, end) pairs of one document, of any order and overlap."""
-    pairs = spans.reshape(-1, 2)
-    pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
-    hit = 0
-    reach = 0
-    for a, b in pairs.tolist():
-        hit += max(0, b - max(a, reach))
-        reach = max(reach, b)
-    longest = int((pairs[:, 1] - pairs[:, 0]).max()) if len(pairs) else 0
-    return n_words, hit, n_found, hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), hit > 0, len(pairs), longest
-
-
-def scan(spark: SparkSession, docs: DataFrame, block: Broadcast) -> DataFrame:
-    """doc_id, n_words, spans and items of each row for one block of items."""
-    small_batches(spark)
+            close()
+    if held:
+        close()
+    return paths
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tests: TestSet = block.value
-        for batch in batches:
-            for part in slices(batch):
-                hashes, doc, n = words_of(part.column("text"))
-                spans, found = search(tests, hashes, doc, n)
-                names = [[tests.items[i] for i in f if tests.items[i] is not None] for f in found]
-                yield pa.record_batch({
-                    "row": part.column("row"),
-                    "doc_id": part.column("doc_id"),
-                    "n_words": pa.array(np.bincount(doc, minlength=n).astype(np.int64)),
-                    "spans": ragged(spans, pa.int64()),
-                    "items": pa.array(names, pa.list_(pa.string())),
-                })
-
-    return docs.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, n_words long, spans array<long>, items array<string>")
+
+_block: tuple[str, TestSet | None] = ("", None)
+
+
+def block_at(path: str) -> TestSet:
+    """The block, kept until another is asked for."""
+    global _block
+    if _block[0] != path:
+        _block = (path, None)
+        _block = (path, pickle.loads(read_file(path)))
+    return _block[1]
+
+
+@dataclass
+class Found:
+    """What the blocks' windows hit in a shard: words, (document, item) names, and each document's longest match."""
+
+    hit: np.ndarray
+    items: list[set[str]]
+    match: list[tuple]  # (-words, document's word, no item name, item name, item's word)
+
+
+def search(shard: SuffixArray, hashes: np.ndarray, doc: np.ndarray, tests: TestSet, found: Found | None, hits: np.ndarray) -> None:
+    """Mark in hits the change of coverage at each word; add items and matches to found."""
+    words = shard.numbers(tests.words)
+    low, high = shard.find(words, tests.start, tests.length)
+    some = np.flatnonzero(high > low)
+    count = (high - low)[some]
+    begins = np.zeros(len(hashes), bool)
+    ends = np.cumsum(count)
+    cuts = np.searchsorted(ends, np.arange(CHUNK, int(ends[-1]) if len(ends) else 0, CHUNK)).tolist()
+    for a, b in zip([0, *cuts], [*cuts, len(some)], strict=True):
+        if a == b:
+            continue
+        window = np.repeat(some[a:b], count[a:b])
+        at = shard.order[spread(low[some[a:b]], count[a:b])]
+        np.add.at(hits, at, 1)
+        np.add.at(hits, at + tests.length[window], -1)
+        begins[at] = True
+        if found is None:
+            continue
+        pair = np.unique(doc[at] * len(tests.start) + window)
+        owner = np.searchsorted(tests.owner[:, 0], [pair % len(tests.start), pair % len(tests.start) + 1])
+        each = owner[1] - owner[0]
+        item = tests.owner[spread(owner[0], each), 1]
+        for d, i in np.unique(np.stack([np.repeat(pair // len(tests.start), each), item], axis=1), axis=0).tolist():
+            if tests.names[i] is not None:
+                found.items[d].add(tests.names[i])
+    at = np.flatnonzero(begins)
+    if found is None or not len(at):
+        return
+    length, first, last = tests.array.longest(tests.array.numbers(hashes), at, shard.end[at])
+    own = doc[at]
+    order = np.lexsort((at, -length, own))
+    best = order[np.flatnonzero(np.diff(own[order], prepend=-1))]
+    begin = np.searchsorted(doc, own[best])
+    for d, k, b in zip(own[best].tolist(), best.tolist(), begin.tolist(), strict=True):
+        places = tests.array.order[first[k] : last[k]]
+        item = tests.array.text[places]
+        word = places - np.searchsorted(tests.array.text, item)
+        name = min((tests.names[i] is None, tests.names[i] or "", w) for i, w in zip(item.tolist(), word.tolist(), strict=True))
+        found.match[d] = min(found.match[d], (-int(length[k]), int(at[k]) - b, *name))
+
+
+NO_MATCH = (0, 0, True, "", 0)
+
+
+def examine(column: pa.Array, blocks: list[str], details: bool) -> tuple[np.ndarray, np.ndarray, Found]:
+    """Words and hit words of each document of a shard, and with details what was found."""
+    hashes, doc, n = words_of(column)
+    hits = np.zeros(len(hashes) + 1, np.int64)
+    found = Found(hits, [set() for _ in range(n)], [NO_MATCH] * n) if details else None
+    if len(hashes):
+        shard = SuffixArray(hashes, doc)
+        for path in blocks:
+            search(shard, hashes, doc, block_at(path), found, hits)
+    covered = np.cumsum(hits[:-1]) > 0
+    return np.bincount(doc, minlength=n), np.bincount(doc, covered, n).astype(np.int64), found
 
 
 def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """RESULT for each row of docs. One block of items: no shuffle; several: one by row."""
+    """RESULT for each row of docs, in one pass without a shuffle. Words of documents and items are counted from 0; match_*: the longest match, the first of equals."""
     small_batches(spark)
     blocks = item_blocks(spark, items)
-    if len(blocks) == 1:
-        block = blocks[0]
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tests: TestSet = block.value
-            for batch in batches:
-                for part in slices(batch):
-                    hashes, doc, n = words_of(part.column("text"))
-                    yield results(part.column("doc_id"), np.bincount(doc, minlength=n), *named(tests, *search(tests, hashes, doc, n)))
-
-        return docs.select("doc_id", "text").mapInArrow(run, RESULT)
-    # Row numbers must mean the same in every pass, so they are stored.
-    numbered = materialize(spark, docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id()), "decontamination-rows")
-    passes = None
-    for block in blocks:
-        one = scan(spark, numbered, block)
-        passes = one if passes is None else passes.unionByName(one)
-    together = passes.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-
-    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            spans = [np.array(x, np.int64) for x in b.column("spans").to_pylist()]
-            yield results(b.column("doc_id"), b.column("n_words").to_numpy(), spans, [set(x) for x in b.column("items").to_pylist()])
-
-    return together.select("doc_id", "n_words", "spans", "items").mapInArrow(close, RESULT)
-
-
-def named(tests: TestSet, spans: list[np.ndarray], found: list[np.ndarray]) -> tuple[list[np.ndarray], list[set[str]]]:
-    return spans, [{tests.items[i] for i in f if tests.items[i] is not None} for f in found]
-
-
-def results(doc_id: pa.Array, n_words: np.ndarray, spans: list[np.ndarray], items: list[set[str]]) -> pa.RecordBatch:
-    rows = [digest(int(w), s, i, len(i)) for w, s, i in zip(n_words, spans, items, strict=True)]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64()]
-    columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-    return pa.record_batch([doc_id, *columns], [x.split()[0] for x in RESULT.split(", ")])
-
-
-MATCH = "doc_id long, doc_word long, item_id string, item_word long, n_words long"
-
-
-def longest_matches(tests: TestSet, hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
-    """document, its word, item, its word and length of every verbatim match that neither side can lengthen.
-
-    Windows found at one distance between document and item that follow each other make one match.
-    """
-    at, key = occurrences(tests, hashes, doc)
-    low = np.searchsorted(tests.place_key, key)
-    count = np.searchsorted(tests.place_key, key, "right") - low
-    which = np.repeat(low, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    at, item, word, size = np.repeat(at, count), tests.place_item[which], tests.place_word[which], np.repeat(tests.lengths[key], count)
-    order = np.lexsort((word, item, at - word))
-    at, item, word, size = at[order], item[order], word[order], size[order]
-    new = np.ones(len(at), bool)
-    new[1:] = (item[1:] != item[:-1]) | (word[1:] != word[:-1] + 1) | (at[1:] != at[:-1] + 1)
-    begin = np.flatnonzero(new)
-    length = np.diff(np.append(begin, len(at))) - 1 + size[begin]
-    own = doc[at[begin]]
-    first = np.searchsorted(doc, own)
-    return own, at[begin] - first, item[begin], word[begin], length
-
-
-def matches(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """MATCH for the longest verbatim matches of WINDOW words or more (or whole shorter items), blocks of items one after another."""
-    small_batches(spark)
-    out = None
-    for block in item_blocks(spark, items):
+    names = [x.split()[0] for x in RESULT.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
 
-        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            tests: TestSet = block.value
-            for batch in batches:
-                for part in slices(batch):
-                    hashes, doc, _ = words_of(part.column("text"))
-                    own, doc_word, item, item_word, length = longest_matches(tests, hashes, doc)
-                    names = pa.array([tests.items[i] for i in item.tolist()], pa.string())
-                    yield pa.record_batch([part.column("doc_id").take(pa.array(own)), pa.array(doc_word), names, pa.array(item_word), pa.array(length)], [x.split()[0] for x in MATCH.split(", ")])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in grouped(batches, SHARD_BYTES):
+            words, hit, found = examine(part.column("text"), blocks, True)
+            rows = []
+            for n, h, own, (length, word, none, name, item_word) in zip(words.tolist(), hit.tolist(), found.items, found.match, strict=True):
+                match = (-length, word, None if none else name, item_word) if length else (0, None, None, None)
+                rows.append((n, h, len(own), hashlib.sha256(",".join(sorted(own)).encode()).hexdigest(), h > 0, *match))
+            yield pa.record_batch([part.column("doc_id"), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds))], names)
 
-        one = docs.select("doc_id", "text").mapInArrow(run, MATCH)
-        out = one if out is None else out.unionByName(one)
-    return out
+    return docs.select("doc_id", "text").mapInArrow(run, RESULT)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The clean rows of docs, all columns as they are; a block of items after another, no shuffle."""
+    """The clean rows of docs, all columns as they are; no shuffle."""
     small_batches(spark)
-    for block in item_blocks(spark, items):
-
-        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            tests: TestSet = block.value
-            for batch in batches:
-                for part in slices(batch):
-                    hashes, doc, n = words_of(part.column("text"))
-                    at, _ = occurrences(tests, hashes, doc)
-                    clean = np.ones(n, bool)
-                    clean[doc[at]] = False
-                    yield part.filter(pa.array(clean))
-
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    blocks = item_blocks(spark, items)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in grouped(batches, SHARD_BYTES):
+            yield part.filter(pa.array(examine(part.column("text"), blocks, False)[1] == 0))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
