@@ -244,41 +244,6 @@ def test_decontamination_empty(spark, docs, empty):
 # 5
 
 
-def test_targets():
-    sizes = [100, 1000, 10, 0, 400]
-    got = mixing.targets(sizes)
-    assert sum(got) == pytest.approx(1.5 * sum(sizes)) and all(t <= 2 * n + 1e-9 for t, n in zip(got, sizes, strict=True))
-    assert mixing.targets([]) == [] and mixing.targets([0, 0]) == [0, 0]
-
-
-def test_mixing(spark, table):
-    got = mixing.mix(spark, table).collect()
-    assert Counter((r.doc_id, r.source, r["size"]) for r in got) == Counter((r.doc_id, r.source, len(SPACE.findall(r.text or ""))) for r in table.select("doc_id", "source", "text").collect())
-    assert Counter(map(str, got)) == Counter(map(str, mixing.mix(spark, table).collect()))
-    by = defaultdict(list)
-    for r in got:
-        by[r.source].append(r)
-        assert r.taken in (0, r["size"], 2 * r["size"]) and len(r.shards) == r.copies
-    order = sorted(by, key=lambda s: (s is None, s or ""))
-    targets = mixing.targets([sum(r["size"] for r in by[s]) for s in order])
-    for s, t in zip(order, targets, strict=True):
-        assert by[s][0].target == pytest.approx(t)
-        most = max((r["size"] for r in by[s] if r.copies < 2), default=0)
-        assert abs(sum(r.taken for r in by[s]) - t) <= max(most, 1)
-    rows = mixing.mixed_rows(spark, table)
-    assert rows.columns == table.columns
-
-
-def test_splitting_tree():
-    quotas = np.array([5, 0, 17, 200, 1])
-    out = mixing.split_quotas(quotas, 7)
-    assert (out.sum(0) == quotas).all() and (out >= 0).all() and np.ptp(out.sum(1)) <= 3
-    assert (out == mixing.split_quotas(quotas, 7)).all()
-    for n in (1, 2, 9, 100):
-        step, shift = mixing.coprime(n)
-        assert sorted((k * step + shift) % n for k in range(n)) == list(range(n))
-
-
 def test_mixing_empty(spark, empty):
     assert mixing.mix(spark, empty).collect() == [] and mixing.mixed_rows(spark, empty).collect() == []
 
@@ -506,14 +471,6 @@ def test_line_dedup_block_without_members(spark, monkeypatch):
     assert as_counts(got.collect()) == as_counts(lines_by_hand(rows))
 
 
-def test_longest_matches(spark):
-    items = spark.createDataFrame([("a", " ".join(f"w{k}" for k in range(30))), ("b", "x y z"), (None, "n o")], "item_id string, text string")
-    inside = " ".join(f"w{k}" for k in range(5, 25))
-    docs = spark.createDataFrame([(1, f"lead {inside} then x y z and x y"), (2, " ".join(f"w{k}" for k in range(9))), (3, f"{inside} {inside}"), (4, None)], "doc_id long, text string")
-    got = decontamination.matches(spark, docs, items).collect()
-    assert as_counts(got) == Counter([(1, 1, "a", 5, 20), (1, 22, "b", 0, 3), (3, 0, "a", 5, 20), (3, 20, "a", 5, 20)])
-
-
 def test_codec_with_little_memory(monkeypatch):
     from tokenizers import Tokenizer
 
