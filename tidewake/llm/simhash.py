@@ -17,7 +17,7 @@ The variants that are hot are known from counts of segment values; at most
 of MAX_HOT rows.
 
 Defined results: null and empty texts have fingerprint zero and link like any
-other; a null doc_id keeps its row, and its component_id is the least doc_id of
+other; texts of any length are hashed whole; a null doc_id keeps its row, and its component_id is the least doc_id of
 the component, or null without any; repeated rows each get a row; an empty table
 gives an empty table. Other columns never matter.
 """
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import materialize, small_batches, unused
+from .shared import join_facts, materialize, small_batches, unused
 from .sieve import passes, sieve_of
 from .text import LOWER, NON_SPACE, Texts, slices
 
@@ -43,6 +43,8 @@ RADIUS = 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Members of a variant group above which it is cut into blocks, and the most hot segment values.
 HOT, MAX_HOT = 20_000, 50_000
+#: Parts that a component's fingerprints are dealt to.
+SALTS = 32
 
 
 def fingerprints(column: pa.Array) -> np.ndarray:
@@ -216,16 +218,20 @@ def labelled_fingerprints(spark: SparkSession, table: DataFrame, first: Column)
     meeting = variants(spark, distinct).repartition("variant", "part").sortWithinPartitions("variant", "part", "fp")
     links = meeting.mapInArrow(group_links, "u long, v long").distinct()
     component = materialize(spark, components(spark, links), "components")
-    return distinct.join(component, distinct.fp == component.node, "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
+    return distinct.join(component, distinct.fp == component.node, "left").select("fp", "first_id", "copies", F.coalesce("component", "fp").alias("component"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, fp, component_id for each row of docs."""
     table = materialize(spark, fingerprint_table(spark, docs), "fingerprints")
     labelled = labelled_fingerprints(spark, table, F.min("doc_id"))
-    least = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_fp = materialize(spark, labelled.join(least, "component").select("fp", "component_id"), "fingerprint-components")
-    return table.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    least = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count("*").alias("members"))
+    # A component of many fingerprints is dealt out by salt; fingerprints alone in theirs need no join.
+    least = least.where("members > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).drop("members")
+    salted = labelled.withColumn("salt", F.pmod(F.hash("fp"), F.lit(SALTS)))
+    of_fp = salted.join(least, ["component", "salt"], "left").select("fp", "copies", F.coalesce("component_id", "first_id").alias("component_id"))
+    of_fp = materialize(spark, of_fp, "fingerprint-components")
+    return join_facts(table, of_fp, ["fp"], "copies", table.count()).select("doc_id", "fp", "component_id")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -266,11 +272,6 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return side(False, names).unionByName(rest.select(*names))
 
 
-def keep_one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One row of docs for each component_id: of components whose least doc_id is the same, one. The pipeline takes one_of_each_group."""
-    return one_of_each_group(spark, docs).dropDuplicates(["doc_id"])
-
-
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(spark, docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
