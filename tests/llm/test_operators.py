@@ -156,9 +156,12 @@ def test_simhash(spark, table):
     want = list(zip([i for i, _ in rows], fps, linked_by_hand(fps, [i for i, _ in rows]), strict=True))
     got = [(r.doc_id, r.fp & (1 << 64) - 1, r.component_id) for r in simhash.near_duplicates(spark, table).collect()]
     assert Counter(got) == Counter(want)
-    kept = simhash.keep_one_of_each(spark, table)
+    kept = simhash.one_of_each_group(spark, table)
     assert kept.columns == table.columns
-    assert Counter(r.doc_id for r in kept.collect()) == Counter(set(c for _, _, c in want))
+    least = defaultdict(list)
+    for (i, _), group in zip(rows, linked_by_hand(fps, list(range(len(rows)))), strict=True):
+        least[group].append((i is None, i or 0))
+    assert Counter((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == Counter(map(min, least.values()))
 
 
 def test_simhash_dense_and_hot_groups(spark, monkeypatch):
@@ -191,7 +194,7 @@ def test_simhash_dense_and_hot_groups(spark, monkeypatch):
 
 
 def test_simhash_empty(spark, empty):
-    assert simhash.near_duplicates(spark, empty).collect() == [] and simhash.keep_one_of_each(spark, empty).collect() == []
+    assert simhash.near_duplicates(spark, empty).collect() == [] and simhash.one_of_each_group(spark, empty).collect() == []
 
 
 # 10

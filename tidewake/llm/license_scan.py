@@ -8,9 +8,10 @@ pieces proposes places, and the regex library's bounded-error matching verifies
 them and gives the span and its edits. Each place is verified once for a notice.
 
 score: 1 with a base phrase, else one less the share of edits of the best notice.
-Edits are counted in UTF-8 bytes. Defined results: a null text counts as empty,
-which has no words, places or labels; repeated rows each get a row; an empty
-table gives an empty table. Other columns never matter.
+Edits are counted in UTF-8 bytes; spans of notices are places in the document, in
+code points. Defined results: a null text counts as empty, which has no words, places
+or labels; texts of any length are searched whole; repeated rows each get a row, and
+so do rows without a doc_id; an empty table gives an empty table. Other columns never matter.
 """
 
 from __future__ import annotations
@@ -123,6 +124,15 @@ def scan(column: pa.Array) -> dict[str, list]:
                 if hit:
                     spans.setdefault(d, {}).setdefault(k, []).append((hit.start() - low, hit.end() - low, sum(hit.fuzzy_counts)))
     labels_of, phrase_labels = list(NOTICES.values()), list(PHRASES.values())
+    points = np.concatenate([[0], np.cumsum((texts.data & 0xC0) != 0x80)]) if spans else None
+
+    def in_document(d: int, at: int, end: bool) -> int:
+        """The code point of a place of the reduced text of a document; of the place after a character if end."""
+        place = int(begin[first[d]]) + at
+        word = int(np.searchsorted(begin, place - end, "right")) - 1
+        byte = min(int(starts[word]) + place - int(begin[word]), int(ends[word]))
+        return int(points[byte] - points[texts.bounds[d]])
+
     sizes = [len(x) for x in NOTICES]
     out: dict[str, list] = {k: [] for k in ("n_base", "first_word", "last_word", "base_labels", "labels", "score", "notice_spans")}
     for d in range(n):
@@ -136,7 +146,7 @@ def scan(column: pa.Array) -> dict[str, list]:
         out["labels"].append(",".join(sorted(known | {labels_of[k] for k in own})))
         best = max((1 - e / sizes[k] for k, hits in own.items() for _, _, e in hits), default=0.0)
         out["score"].append(1.0 if at else best)
-        out["notice_spans"].append(",".join(f"{labels_of[k]}:{a}:{b}:{e}" for a, b, e, k in sorted({(a, b, e, k) for k, hits in own.items() for a, b, e in hits})))
+        out["notice_spans"].append(",".join(f"{labels_of[k]}:{in_document(d, a, False)}:{in_document(d, b, True)}:{e}" for a, b, e, k in sorted({(a, b, e, k) for k, hits in own.items() for a, b, e in hits})))
     out["n_words"] = words.tolist()
     return out
 
@@ -153,7 +163,7 @@ def nearest(found: dict[int, list[tuple[int, int, int]]], sizes: list[int]) -> d
 
 
 def license_scan(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """RESULT for each row. notice_spans: label:start:end:edits in the reduced text, comma-joined."""
+    """RESULT for each row. notice_spans: label:start:end:edits, comma-joined."""
     small_batches(spark)
     names = [x.split()[0] for x in RESULT.split(", ")]
     kinds = {"first_word": pa.int64(), "last_word": pa.int64(), "n_base": pa.int64(), "n_words": pa.int64(), "score": pa.float64()}

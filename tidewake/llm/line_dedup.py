@@ -42,7 +42,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import materialize, small_batches, unused
+from .shared import join_facts, materialize, small_batches, unused
 from .sieve import passes, sieve_of
 from .text import NON_SPACE, Texts, mix, slices
 
@@ -648,7 +648,7 @@ def line_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     judged = classes.join(links, key, "left").select(*key, "first", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce(F.col("near") < F.col("first"), F.lit(False)).alias("late"))
     judged = materialize(spark, judged, "line-links")
     removed = (position() > F.col("first")) | F.col("late")
-    out = lines.join(judged, key)
+    out = join_facts(lines, judged, key, "copies", lines.count())
     return out.select(F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), "line_no", F.col("class").alias("class_id"), "copies", "links", removed.alias("removed"), F.col("signature").alias("class_mark"))
 
 

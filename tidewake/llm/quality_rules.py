@@ -13,7 +13,8 @@ count as content, and lines of bad documents as what a first fit on lines alone
 says of them (the worst line always as boilerplate).
 
 Defined results: a null text counts as empty; an empty text has no words and
-fails the rules; repeated rows are judged alike, each on its own; an empty table
+fails the rules; texts of any length are judged whole; repeated rows are judged alike,
+each on its own, whatever their ids, null or not; an empty table
 gives an empty table; without usable labels every line is content. Other columns
 never matter and pass through `keep_good` unchanged.
 """

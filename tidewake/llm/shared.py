@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -64,6 +65,21 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+#: Rows of one key above which its row of facts is broadcast, and the most such keys.
+HOT_ROWS, HOT_KEYS = 10_000, 1_000
+
+
+def join_facts(rows: DataFrame, facts: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """rows with the columns of their key's row in facts, which has the rows of each key in count, total in all.
+
+    Keys with over a thousandth of all rows are HOT_KEYS at most: their facts are
+    broadcast, so their rows stay where they are. The others are joined by key.
+    """
+    hot = F.col(count) > max(HOT_ROWS, total // HOT_KEYS)
+    few = F.broadcast(facts.where(hot))
+    return rows.join(few, keys).unionByName(rows.join(few.select(*keys), keys, "left_anti").join(facts.where(~hot), keys))
+
+
 def unused(name: str, columns: list[str]) -> str:
     """name, with underscores added until no column has it (column names do not tell case)."""
     taken = {c.lower() for c in columns}

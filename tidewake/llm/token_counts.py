@@ -5,7 +5,7 @@ boundaries (see codec.py), and the distinct pieces go to the tokenizers
 library in batches. No ids leave the worker.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; repeated rows
-each get a row; an empty table gives an empty table; other columns never matter.
+each get a row, and so do rows without a doc_id; an empty table gives an empty table; other columns never matter.
 """
 
 from __future__ import annotations

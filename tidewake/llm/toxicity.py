@@ -18,8 +18,8 @@ source and lang are no inputs. The training sample has SAMPLE_DOCS texts a label
 most, of SAMPLE_CHARS characters at most, those of the least hashes.
 
 Defined results: null and empty texts have no tokens and get the score of a text
-without positive tokens; repeated rows are scored alike; an empty table gives an empty
-table; with no usable labels of both kinds every score is 0. Other columns never matter.
+without positive tokens; texts of any length are scored whole; repeated rows are scored
+alike; a null doc_id is not held out; an empty table gives an empty table; with no usable labels of both kinds every score is 0. Other columns never matter.
 """
 
 from __future__ import annotations
