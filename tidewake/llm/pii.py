@@ -22,7 +22,6 @@ import re
 from collections.abc import Iterator
 from functools import cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
