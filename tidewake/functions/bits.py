@@ -64,7 +64,18 @@ def can_fields(value: Column) -> Column:
     )
 
 
+#: Flag bits of a captured identifier word: error frame, remote request. The extended-frame bit alone marks a data frame.
+ERROR_FRAME, REMOTE_FRAME = 0x20000000, 0x40000000
+FRAME_BYTES = 16
+
+
+def captured_identifier(word: Column, size: Column) -> Column:
+    """The 29-bit identifier of a captured word; null for error frames, remote requests and frames cut short."""
+    data = (word.bitwiseAND(ERROR_FRAME | REMOTE_FRAME) == 0) & (size >= FRAME_BYTES)
+    return F.when(data, word.bitwiseAND((1 << 29) - 1))
+
+
 def can_payload(raw: Column) -> Column:
     """The hex text after '#', upper case; empty is legal; null where it is no whole bytes."""
-    tail = F.substring(raw, F.instr(raw, "#") + 1, 1 << 20)
+    tail = F.substring(raw, F.instr(raw, "#") + 1, F.length(raw))
     return F.when(F.contains(raw, F.lit("#")) & tail.rlike("^([0-9A-Fa-f]{2})*$"), F.upper(tail))

@@ -1,4 +1,4 @@
-"""Units, angles, circular statistics, and the speed and leeway models."""
+"""Units (rounded half to even), angles, circular statistics, and the speed and leeway models."""
 
 from __future__ import annotations
 
@@ -11,15 +11,15 @@ KELVIN = 273.15
 
 
 def rad_to_deg(x: Column) -> Column:
-    return F.round(F.degrees(x), 2)
+    return F.bround(F.degrees(x), 2)
 
 
 def ms_to_knots(x: Column) -> Column:
-    return F.round(x * KNOTS, 3)
+    return F.bround(x * KNOTS, 3)
 
 
 def kelvin_to_celsius(x: Column) -> Column:
-    return F.round(x - KELVIN, 2)
+    return F.bround(x - KELVIN, 2)
 
 
 def per_minute_to_per_second(x: Column) -> Column:

@@ -2,8 +2,9 @@
 
 The best device is the one of the lowest priority number, then the lowest
 source address; it gives its own last sample. An exact tie goes to the sample
-seen first. The order is a struct, so the aggregation is partial and final with
-no sort of the samples; `packed_order` is a long for plain hash aggregation.
+seen first. In buckets of a second or less, and within an object, that order fits a
+long, so samples are aggregated by hash, partly before the shuffle. In general it is a struct,
+which Spark aggregates partly too, but after sorting by group.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import bucket_floor
+from ..functions.times import bucket_floor, parse_interval
 
 
 def order(prio: Column, src: Column, ts: Column, seq: Column) -> Column:
@@ -24,14 +25,35 @@ def packed_order(prio: Column, src: Column, micros: Column, seq: Column) -> Colu
 
 
 def device_last(samples: DataFrame, keys: list[str]) -> DataFrame:
-    """keys and value: the reading kept for each group. samples: prio, src_addr, ts, seq, value."""
+    """keys and value: the reading kept for each group. samples: prio, src_addr, ts, seq, value; object_rank, if there, comes before seq."""
     rank = order(F.col("prio"), F.col("src_addr"), F.col("ts"), F.col("seq"))
+    if "object_rank" in samples.columns and "object_rank" not in keys:
+        rank = F.struct((-F.col("prio")).alias("p"), (-F.col("src_addr")).alias("s"), F.col("ts").alias("t"), (-F.col("object_rank")).alias("o"), (-F.col("seq")).alias("q"))
     return samples.groupBy(*keys).agg(F.max_by("value", rank).alias("value"))
 
 
+#: Microseconds of a bucket whose order within an object fits a long.
+PACKED_MICROS = 1 << 20
+
+
+def object_order(ts: Column, bucket: Column) -> Column:
+    """The order of one object's samples in a bucket in 63 bits: priority 3, address 8, microseconds 20, place in the scan's partition 32.
+
+    An object is one file, so one partition reads it; protocols without priorities have one rank, the last.
+    """
+    prio, src = F.least("prio", F.lit(7)), F.least("src_addr", F.lit(255))
+    device = F.shiftleft((7 - prio).cast("bigint"), 60).bitwiseOR(F.shiftleft((255 - src).cast("bigint"), 52))
+    micros = F.shiftleft(F.unix_micros(ts) - F.unix_micros(bucket), 32)
+    return device.bitwiseOR(micros).bitwiseOR(F.lit((1 << 32) - 1) - F.col("seq").bitwiseAND((1 << 32) - 1))
+
+
 def bucketize(samples: DataFrame, interval: str, by: tuple[str, ...] = ("object_key", "object_rank")) -> DataFrame:
-    """Samples to one observation for each object, bucket and field."""
-    return device_last(samples.withColumn("bucket_ts", bucket_floor(F.col("ts"), interval)), [*by, "bucket_ts", "field"])
+    """Samples to one observation for each object, bucket and field; by (): for each bucket and field over all objects."""
+    placed = samples.withColumn("bucket_ts", bucket_floor(F.col("ts"), interval))
+    keys = [*by, "bucket_ts", "field"]
+    if by and parse_interval(interval) <= PACKED_MICROS:
+        return placed.groupBy(*keys).agg(F.max_by("value", object_order(F.col("ts"), F.col("bucket_ts"))).alias("value"))
+    return device_last(placed, keys)
 
 
 def distinct_fields(samples: DataFrame) -> DataFrame:

@@ -17,11 +17,12 @@ def merge_objects(observations: DataFrame) -> DataFrame:
     That is what writing one object after another does where each batch sets only
     its own columns. observations: object_rank, bucket_ts, field, value.
     """
-    buckets = observations.select("object_rank", "bucket_ts").distinct()
-    fields = observations.select("object_rank", "field").distinct()
-    grid = buckets.join(fields, "object_rank")
-    full = grid.join(observations.select("object_rank", "bucket_ts", "field", "value"), ["object_rank", "bucket_ts", "field"], "left")
-    return full.groupBy("bucket_ts", "field").agg(F.max_by("value", "object_rank").alias("value"))
+    # A bucket of an object as a map of its values, next to all fields of the object: one shuffle by object, one by bucket.
+    rows = observations.groupBy("object_rank", "bucket_ts").agg(F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("_row"))
+    fields = observations.groupBy("object_rank").agg(F.collect_set("field").alias("_fields"))
+    full = rows.join(fields, "object_rank").select("object_rank", "bucket_ts", F.explode("_fields").alias("field"), "_row")
+    value = F.try_element_at("_row", F.col("field"))
+    return full.groupBy("bucket_ts", "field").agg(F.max_by(value, "object_rank").alias("value"))
 
 
 def merge_into(table: DataFrame, batch: DataFrame, key: str = "ts") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import measures
 from ..functions.bits import can_fields, can_identifier, can_payload, le_uint
+from . import fast_packet
 from .fast_packet import reassemble
 
 DEG, KN, CELSIUS = "deg", "kn", "celsius"
@@ -133,6 +134,7 @@ def layout_rows() -> list[tuple]:
         if layout.clock:
             only = "GPS" if layout.splits else None  # a clock whose source is not the satellites is no GPS time
             out.append((pgn, "n2k_gps_time", "clock", layout.clock[0], 2, 1.0, 65535, (1 << 63) - 1, 0, None, False, 0, 0, 0, layout.clock[1], only, *tail))
+    out.append((VENDOR_GROUP, "", "vendor", 0, 1, 1.0, -1, 0, 0, None, False, 0, 0, 0, 0, None, None, None))
     return out
 
 
@@ -149,26 +151,16 @@ def split_text(split: Column, payload: Column) -> Column:
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:
-    """messages (pgn, hex payload, other columns) to one row a value: the columns without payload, field, value."""
-    return layout_decoded(messages).unionByName(vendor_decoded(messages))
+    """messages (pgn, hex payload, other columns) to one row a value: the columns without payload, field, value.
 
-
-def vendor_decoded(messages: DataFrame) -> DataFrame:
-    rest = [c for c in messages.columns if c not in ("payload", "field", "value")]
-    pairs = messages.where(F.col("pgn") == VENDOR_GROUP).select(*rest, F.explode(vendor_values(F.col("payload"))).alias("_p"))
-    return pairs.select(*rest, "_p.field", "_p.value")
-
-
-def layout_decoded(messages: DataFrame) -> DataFrame:
-    """The values of groups that have a layout.
-
-    The layouts are a table of fixed size that is broadcast and joined by group, so one expression decodes every field.
+    The layouts are a table of fixed size that is broadcast and joined by group, so one
+    expression decodes every field. The vendor's group has a row of its own in it, whose values come as an array.
     """
     spark = messages.sparkSession
     layouts = F.broadcast(spark.createDataFrame(layout_rows(), LAYOUT))
     rest = [c for c in messages.columns if c not in ("payload", "field", "value")]
     payload, kind = F.col("payload"), F.col("kind")
-    rows = messages.where(F.col("pgn").isin(*LAYOUTS)).join(layouts, "pgn")
+    rows = messages.join(layouts, "pgn")
     rows = rows.where(F.length(payload) >= (F.col("offset") + F.col("size")) * 2)
     body = F.rpad(payload.substr(F.col("offset") * 2 + 1, F.col("size") * 2), 16, "0")
     high = F.when(F.col("size") > 4, reversed_bytes(F.substring(body, 9, 8), 4)).otherwise(0)
@@ -182,12 +174,15 @@ def layout_decoded(messages: DataFrame) -> DataFrame:
     there = (F.col("_raw") != F.col("none")) & ((kind != "code") | (code <= F.col("known"))) & ((kind != "clock") | (is_gps & (F.col("_ticks") != 4294967295)))
     signed = F.when(F.col("_raw") >= F.col("half"), F.col("_raw") - F.col("wrap")).otherwise(F.col("_raw"))
     number = signed * F.col("scale")
+    vendor = F.explode_outer(F.when(kind == "vendor", vendor_values(payload)))
     plain = F.when(kind == "number", number).when(kind == "code", code.cast("double")).otherwise(F.round(F.col("_raw") * 86400 + F.col("_ticks") / 10000, 6))
     x, y, unit = F.col("_x"), F.col("_y"), F.col("unit")
     converted = F.when(unit == DEG, measures.rad_to_deg(x)).when(unit == KN, measures.ms_to_knots(x)).when(unit == CELSIUS, measures.kelvin_to_celsius(x)).otherwise(x)
     folded = F.when(F.col("fold") & F.col("_t1").isin("Apparent", "True (boat referenced)"), measures.fold_180(y)).otherwise(y)
     name = F.concat_ws("_", F.col("base"), sanitized(F.col("_t1")), sanitized(F.col("_t2")))
-    return rows.where(there).withColumn("_x", plain).withColumn("_y", converted).select(*rest, name.alias("field"), folded.alias("value"))
+    named = rows.where(there).withColumn("_x", plain).withColumn("_y", converted).select(*rest, "kind", name.alias("_name"), folded.alias("_value"), vendor.alias("_v"))
+    own = F.col("kind") == "vendor"
+    return named.where(~own | F.col("_v").isNotNull()).select(*rest, F.when(own, F.col("_v.field")).otherwise(F.col("_name")).alias("field"), F.when(own, F.col("_v.value")).otherwise(F.col("_value")).alias("value"))
 
 
 def vendor_values(payload: Column) -> Column:
@@ -244,7 +239,14 @@ def decode(records: DataFrame) -> DataFrame:
     every = frames(records).select(*names, *keys)
     fast = F.col("pgn").isin(*FAST)
     whole = reassemble(every.where(fast), [*keys, "can_id"], ["object_rank", "seq"])
-    messages = whole.select(*names)
-    # The vendor's group comes in fast packets only, so plain frames are not searched for it.
-    values = layout_decoded(every.where(~fast).select(*names)).unionByName(layout_decoded(messages)).unionByName(vendor_decoded(messages))
+    plain = every.where(F.col("pgn").isin(*(p for p in LAYOUTS if p not in FAST)))
+    values = decode_messages(plain.select(*names).unionByName(whole.select(*names)))
     return values.select("object_key", "object_rank", "seq", "ts", "proto", "field", "value", F.col("priority").alias("prio"), "src_addr")
+
+
+def open_frames(records: DataFrame) -> DataFrame:
+    """The records whose frames belong to messages that are not complete yet."""
+    own = [c for c in records.columns if c not in ("pgn", "can_id", "payload")]
+    fast = frames(records.withColumn("_raw_ts", F.col("ts"))).where(F.col("pgn").isin(*FAST))
+    keys = [c for c in ("device_id", "src") if c in records.columns]
+    return fast_packet.open_frames(fast, [*keys, "can_id"], ["object_rank", "seq"]).select(*own)

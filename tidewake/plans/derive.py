@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import arbitration, guard, merge, n0183, n2k
+from ..schema import LEDGER, OBSERVATION, RAW, RAW_FIELDS
 from ..sources.archive import valid_records
+from . import store
+
+#: What the archive's reader gives.
+RECORD = f"{RAW}, object_key STRING, object_rank LONG, seq LONG"
+RECORD_FIELDS = (*RAW_FIELDS, "object_key", "object_rank", "seq")
+#: Folders of the ledger, one a run, above which they are put together.
+MANY_PIECES = 200
 
 #: How objects that share a bucket are put together.
 GLOBAL, OBJECT_ORDER = "arbitrate_global", "object_order"
@@ -23,60 +33,85 @@ def observations(sampled: DataFrame, interval: str = "1s", mode: str = GLOBAL) -
     kept = guard.guard(sampled)
     if mode == OBJECT_ORDER:
         return merge.merge_objects(arbitration.bucketize(kept, interval))
-    ordered = kept.withColumn("seq", F.struct(F.col("object_rank"), F.col("seq")))
-    # Later objects have later sequences; the struct order has no minus, so ranks are folded into one number.
-    folded = ordered.withColumn("seq", F.shiftleft(F.col("seq.object_rank"), 40) + F.col("seq.seq").bitwiseAND((1 << 40) - 1))
-    return arbitration.bucketize(folded, interval, by=())
+    return arbitration.bucketize(kept, interval, by=())
 
 
 def wide(observed: DataFrame, fields: list[str] | None = None) -> DataFrame:
     return arbitration.widen(observed, fields)
 
 
-def update(spark: SparkSession, records: DataFrame, keys: DataFrame, table_path: str, ledger_path: str, interval: str = "1s", rebuild: bool = False, dry_run: bool = False) -> dict:
-    """Bring the table up to date with the objects that its ledger does not have.
+def update(spark: SparkSession, records: DataFrame, keys: DataFrame, root: str, interval: str = "1s", rebuild: bool = False, dry_run: bool = False) -> dict:
+    """Bring the table at root up to date with the objects that its ledger does not have; one writer at a time.
 
-    keys: key of every object listed; records: their rows. The table is written as a
-    new version beside the old one, then the ledger: a run that stops in between
-    is repeated with the same result. A dry run writes nothing.
+    keys: key of every object listed; records: their rows, as the archive gives
+    them. Touched days alone are rewritten, and their folders, the ledger's new rows and
+    the frames of messages still open become the table's next version by one file: a
+    run that stops at any point is repeated with the same result. A dry run
+    writes nothing and takes no lock.
     """
-
-    ledger = None if rebuild else read_if_there(spark, ledger_path)
-    fresh = merge.not_in_ledger(keys, ledger) if ledger is not None else keys
-    new = records.join(fresh.select(F.col("key").alias("object_key")), "object_key", "left_semi")
-    per_object = arbitration.bucketize(guard.guard(samples(new)), interval)
-    if not dry_run:
-        # Decoded once; what follows reads the small table of observations, kept beside the table until the run ends.
-        # No persist(): Spark 4.1's cache fails where it is built again within a stream's batch.
-        per_object.write.mode("overwrite").parquet(f"{table_path}.observed")
-        per_object = spark.read.schema(per_object.schema).parquet(f"{table_path}.observed")
-    batch = wide(merge.merge_objects(per_object))
-    old = None if rebuild else read_if_there(spark, table_path)
-    added = sorted(set(batch.columns) - set(old.columns if old is not None else ["ts"]))
-    summary = {"objects": fresh.count(), "columns_added": added}
-    if not dry_run:
-        replace(spark, batch if old is None else merge.merge_into(old, batch), table_path)
-        merge.ledger_rows(fresh, per_object).write.mode("overwrite" if rebuild else "append").parquet(ledger_path)
-        remove(spark, f"{table_path}.observed")
-    return summary
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return spark.read.option("mergeSchema", True).parquet(path) if p.getFileSystem(conf).exists(p) else None
-
-
-def replace(spark: SparkSession, table: DataFrame, path: str) -> None:
-    """Write beside the path, then put the new folder in its place."""
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    table.write.mode("overwrite").parquet(f"{path}.new")
-    fs = Path(path).getFileSystem(conf)
-    fs.delete(Path(path), True)
-    fs.rename(Path(f"{path}.new"), Path(path))
+    if dry_run:
+        return summary(spark, records, keys, root, interval, rebuild)
+    with store.locked(spark, root):
+        return write_update(spark, records, keys, root, interval, rebuild)
+
+
+def fresh_keys(spark: SparkSession, keys: DataFrame, root: str, before: store.Manifest) -> DataFrame:
+    known = read_ledger(spark, root, before)
+    return keys.select("key").distinct() if known is None else merge.not_in_ledger(keys.select("key").distinct(), known)
+
+
+def summary(spark: SparkSession, records: DataFrame, keys: DataFrame, root: str, interval: str, rebuild: bool) -> dict:
+    before = (None if rebuild else store.current(spark, root)) or store.Manifest()
+    fresh = fresh_keys(spark, keys, root, before)
+    sampled = samples(records.join(fresh.select(F.col("key").alias("object_key")), "object_key", "left_semi"))
+    found = arbitration.bucketize(guard.guard(sampled), interval).agg(F.countDistinct("object_key", "bucket_ts"), F.collect_set("field")).first()
+    return {"objects": fresh.count(), "rows": found[0], "dropped": guard.guard_counts(sampled).first()["dropped"], "columns_added": sorted(set(found[1]) - set(before.columns))}
+
+
+def write_update(spark: SparkSession, records: DataFrame, keys: DataFrame, root: str, interval: str, rebuild: bool) -> dict:
+    last = store.current(spark, root) or store.Manifest()
+    before = store.Manifest(version=last.version) if rebuild else last
+    run = f"extra-{before.version + 1:010d}-{uuid.uuid4().hex[:8]}"
+    at = lambda name: f"{root.rstrip('/')}/{run}/{name}"
+    fresh_keys(spark, keys, root, before).write.parquet(at("fresh"))
+    fresh = spark.read.schema("key string").parquet(at("fresh"))
+    objects = fresh.count()
+    if not objects:
+        store.Files(spark, root).remove(run)
+        return {"objects": 0, "rows": 0, "dropped": 0, "columns_added": []}
+    new = records.join(fresh.select(F.col("key").alias("object_key")), "object_key", "left_semi").select(*RECORD_FIELDS)
+    if "open" in before.extra:
+        # Frames of messages that the last run left open come before all others.
+        held = spark.read.schema(RECORD).parquet(f"{root.rstrip('/')}/{before.extra['open']}")
+        new = new.unionByName(held.withColumn("object_rank", F.lit(-1).cast("long")))
+    seen = Observation()
+    sampled = samples(new).observe(seen, F.count_if(~guard.in_range(F.col("field"), F.col("value"))).alias("dropped"))
+    # Decoded once; what follows reads the small table of observations.
+    arbitration.bucketize(guard.guard(sampled), interval).write.parquet(at("observed"))
+    per_object = spark.read.schema(OBSERVATION).parquet(at("observed"))
+    n2k.open_frames(new).select(*RECORD_FIELDS).write.parquet(at("open"))
+    merge.ledger_rows(fresh, per_object).write.parquet(at("ledger"))
+    found = per_object.agg(F.countDistinct("object_key", "bucket_ts"), F.collect_set("field"), F.collect_set(F.date_format("bucket_ts", "yyyy-MM-dd"))).first()
+    columns, days = sorted(set(found[1]) | set(before.columns)), set(found[2])
+    after = store.Manifest(before.version + 1, columns, dict(before.days), {k: v for k, v in before.extra.items() if k.startswith("ledger")})
+    if days:
+        batch = wide(merge.merge_objects(per_object), sorted(found[1]))
+        old = store.read_days(spark, root, before, sorted(days & set(before.days)))
+        after.days |= store.write_days(spark, root, merge.merge_into(old, batch), after.version)
+    after.extra |= {"open": f"{run}/open", f"ledger-{after.version:010d}": f"{run}/ledger"}
+    if len(after.extra) > MANY_PIECES:
+        pieces = {k: v for k, v in after.extra.items() if k.startswith("ledger")}
+        read_ledger(spark, root, after).coalesce(1 + objects // 100_000).write.parquet(at("whole"))
+        after.extra = {k: v for k, v in after.extra.items() if k not in pieces} | {"ledger": f"{run}/whole"}
+    for name in ("fresh", "observed"):
+        store.Files(spark, f"{root.rstrip('/')}/{run}").remove(name)
+    store.commit(spark, root, after)
+    store.tidy(spark, root, after)
+    return {"objects": objects, "rows": found[0], "dropped": store.counts_of(seen).get("dropped", 0), "columns_added": sorted(set(columns) - set(before.columns))}
+
+
+def read_ledger(spark: SparkSession, root: str, manifest: store.Manifest | None = None) -> DataFrame | None:
+    """The ledger that goes with the table; None if there is none."""
+    manifest = manifest or store.current(spark, root)
+    pieces = [f"{root.rstrip('/')}/{v}" for k, v in sorted(manifest.extra.items()) if k.startswith("ledger")] if manifest else []
+    return spark.read.schema(LEDGER).parquet(*pieces) if pieces else None

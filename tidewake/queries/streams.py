@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import n2k
-from ..plans import derive
+from ..plans import store
 from ..sources import archive
 from ..streaming import ingest
-from .archive import scratch, stored
+from .archive import scratch
 from .decoding import LOOKUP_SQL, course_raw, long_messages
 from .tables import events, plain, registered
 
@@ -17,19 +17,6 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
-@registered(QUERIES, ORACLES, "SELECT 10 AS objects, 10 AS distinct_objects, 0 AS fresh_on_second_run")
-def stream_catch_up(spark: SparkSession, d: str) -> DataFrame:
-    """Objects are taken once: a second run finds nothing new. Its SQL counts the objects of ten days, whose raw text has no known group; stream_catch_up_table takes all days to values."""
-    root, out = stored(spark, d, "2024-01-11"), scratch(spark, "stream")
-    for _ in range(2):
-        query = ingest.catch_up(spark, root, f"{out}/table", f"{out}/ledger", f"{out}/checkpoint")
-        query.awaitTermination()
-    progress = query.recentProgress
-    fresh = sum(p["numInputRows"] for p in progress)
-    ledger = derive.read_if_there(spark, f"{out}/ledger")
-    return ledger.agg(F.count("*").cast("int").alias("objects"), F.countDistinct("key").cast("int").alias("distinct_objects")).withColumn("fresh_on_second_run", F.lit(int(fresh)))
-
-
 COURSE = ("n2k_cog", "n2k_cogreference_code", "n2k_sog")
 
 
@@ -39,15 +26,15 @@ s AS (SELECT *, 'n2k_cog' AS field, round(round(degrees(event_id % 62831 * 1e-4)
 o AS (SELECT late, bucket_ts, field, value FROM s QUALIFY row_number() OVER (PARTITION BY late, bucket_ts, field ORDER BY src_addr, ts DESC, event_id) = 1),
 w AS (SELECT late, bucket_ts, {", ".join(f"max(value) FILTER (field = '{c}') AS {c}" for c in COURSE)} FROM o GROUP BY late, bucket_ts)
 SELECT bucket_ts AS ts, {", ".join(COURSE)} FROM w QUALIFY row_number() OVER (PARTITION BY bucket_ts ORDER BY late DESC) = 1""")
-def stream_catch_up_table(spark: SparkSession, d: str) -> DataFrame:
+def stream_catch_up(spark: SparkSession, d: str) -> DataFrame:
     """All days through the archive's writer and the stream, to the hours of the table. Every third record lands late, in objects of their own: the second run merges them over the first's rows, nulls too."""
     root, out = scratch(spark, "archive"), scratch(spark, "stream")
     frames = events(spark, d).select("event_id", "ts", F.to_date("ts").alias("day"), F.lit(None).cast("double").alias("mono"), F.lit("boat").alias("device_id"), F.lit("can0").alias("src"), F.lit("n2k").alias("proto"), course_raw().alias("raw"))
     late = F.col("event_id") % 3 == 0
     for landed in (~late, late):
         archive.write_objects(frames.where(landed), root, ["day"], ["event_id"]).count()
-        ingest.catch_up(spark, root, f"{out}/table", f"{out}/ledger", f"{out}/checkpoint", "1h").awaitTermination()
-    return spark.read.parquet(f"{out}/table").select(plain("ts").alias("ts"), *COURSE)
+        ingest.catch_up(spark, root, f"{out}/table", f"{out}/checkpoint", "1h").awaitTermination()
+    return store.read_table(spark, f"{out}/table").select(plain("ts").alias("ts"), *COURSE)
 
 
 @registered(QUERIES, ORACLES, LOOKUP_SQL)
@@ -71,7 +58,7 @@ def stream_event_buckets(spark: SparkSession, d: str) -> DataFrame:
     e = spark.read.parquet(f"{d}/events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("field"))
     e.write.parquet(f"{out}/events")
     stream = spark.readStream.schema(e.schema).parquet(f"{out}/events")
-    name = f"tidewake_buckets_{out[-8:]}".replace("-", "_")
-    query = ingest.event_buckets(stream, "6 hours").writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.table(name).select(plain("w.start").alias("start"), "field", "n")
+    # The last batch's result, whole, in a folder; nothing comes to the driver.
+    write = lambda batch, _: batch.write.mode("overwrite").parquet(f"{out}/buckets")
+    ingest.event_buckets(stream, "6 hours").writeStream.foreachBatch(write).outputMode("complete").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{out}/buckets").select(plain("w.start").alias("start"), "field", "n")

@@ -2,15 +2,18 @@
 
 Late data is never dropped: an object that lands late is a new file, and its
 buckets are merged over what is there. No watermark is set for that reason. The
-checkpoint remembers the files read; the ledger of objects, written last,
-makes a repeated batch do its work again with the same result.
+checkpoint remembers the files read; table and ledger change as one, so a
+batch that is repeated finds its objects done or does its work again with the same result.
 """
 
 from __future__ import annotations
 
+import random
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +21,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..plans import derive
 from ..schema import RAW
+from ..sources import archive
 
 
 def record_stream(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
@@ -27,23 +31,41 @@ def record_stream(spark: SparkSession, root: str, files_per_batch: int = 1000) -
     return rows.select("*", key.alias("object_key"))
 
 
-def catch_up(spark: SparkSession, root: str, table_path: str, ledger_path: str, checkpoint: str, interval: str = "1s") -> StreamingQuery:
-    """Read what has landed since the last run, and stop."""
+def object_stream(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
+    """Paths of the objects under root as they land, those without rows too; no object is opened."""
+    names = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", True).option("pathGlobFilter", "*.ndjson.gz")
+    return names.load(f"{root}/raw").select("path")
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # Ranks and sequence are those of this batch: keys sort by day and name.
-        keys = batch.select(F.col("object_key").alias("key")).distinct()
-        ranks = keys.select(F.col("key").alias("object_key"), F.dense_rank().over(_by_key()).cast("bigint").alias("object_rank"))
-        records = batch.withColumn("seq", F.monotonically_increasing_id()).join(ranks, "object_key")
-        derive.update(spark, records, keys, table_path, ledger_path, interval)
-
-    return record_stream(spark, root).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
+def catch_up(spark: SparkSession, root: str, table: str, checkpoint: str, interval: str = "1s", every: str | None = None, files_per_batch: int = 1000) -> StreamingQuery:
+    """Bring the table up to date with what has landed since the last run, and stop; with every, go on at that pace.
 
-def _by_key():
-    from pyspark.sql import Window
+    The stream is of objects, not of rows, so an object without rows gets its ledger
+    row, and messages that an object leaves open are gone on with in the next batch.
+    """
 
-    return Window.orderBy("key")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        paths = [r["path"] for r in batch.select("path").collect()]  # files_per_batch at most
+        if paths:
+            keys = batch.sparkSession.createDataFrame([(p,) for p in paths], "path string").select(archive.key_of(F.col("path")).alias("key"))
+            derive.update(batch.sparkSession, archive.read_objects(batch.sparkSession, paths), keys, table, interval)
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return object_stream(spark, root, files_per_batch).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def supervised(start: Callable[[], StreamingQuery], attempts: int = 4, first_wait: float = 2.0, sleep: Callable[[float], None] = time.sleep) -> StreamingQuery:
+    """Run a query to its end; where it fails, start it again from its checkpoint, after waits that double, each a random part of it."""
+    for n in range(attempts):
+        query = start()
+        try:
+            query.awaitTermination()
+            return query
+        except StreamingQueryException:
+            if n + 1 == attempts:
+                raise
+            sleep(random.uniform(0, first_wait * 2**n))
+    return query
 
 
 MESSAGE = "device_id string, src string, can_id long, seq long, ts timestamp, payload string"
