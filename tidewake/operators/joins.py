@@ -1,21 +1,23 @@
 """As-of and interval joins.
 
-Dimensions are small as a rule: with at most SMALL_ROWS rows they are broadcast
-and joined on their ranges. Above that a range join is cut into equal bins of time,
-which turns it into an equi-join with a residual condition, and the as-of join
-takes the union of both sides in time order, carried over day boundaries.
+Ranges are cut into equal bins of time, which turns a range join into an
+equi-join on the bin with the range as residual condition: Spark broadcasts
+small ranges by hash or shuffles large ones by bin, and no plan needs a nested
+loop or a job of its own. The as-of join by union takes both sides in
+time order instead, an hour a partition, for dimensions with many rows an hour.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 10_000
+#: Seconds of a bin.
+BIN = 3600
 
 
-def is_small(table: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    return table.limit(rows + 1).count() <= rows
+def bin_of(ts: Column, seconds: int = BIN) -> Column:
+    return F.floor(F.unix_micros(ts.cast("timestamp")) / (seconds * 1_000_000))
 
 
 def spans(calibrations: DataFrame, start: str = "effective_from", tie: str = "cal_id") -> DataFrame:
@@ -30,52 +32,52 @@ def spans(calibrations: DataFrame, start: str = "effective_from", tie: str = "ca
     return carried.select(*calibrations.columns, F.when(F.col("_last"), F.col("_next")).otherwise(F.col("_to")).alias("effective_to"))
 
 
-def asof_spans(facts: DataFrame, calibrations: DataFrame, ts: str = "ts") -> DataFrame:
-    """Each fact with the calibration in force, or nulls before the first: half-open ranges, calibrations broadcast."""
+def asof(facts: DataFrame, calibrations: DataFrame, ts: str = "ts", bin_seconds: int = BIN) -> DataFrame:
+    """Each fact with the calibration in force, or nulls before the first.
+
+    The spans between two starts are binned. From the last start on there is one
+    answer: a scalar subquery, so an open end needs no bins.
+    """
+    names = calibrations.columns
     c = spans(calibrations)
-    near = (facts[ts] >= c.effective_from) & (c.effective_to.isNull() | (facts[ts] < c.effective_to))
-    return facts.join(F.broadcast(c), near, "left").drop("effective_to")
+    ended = c.where("effective_to is not null and effective_from < effective_to").withColumn("_bin", F.explode(F.sequence(bin_of(F.col("effective_from"), bin_seconds), bin_of(F.col("effective_to") - F.expr("interval 1 microsecond"), bin_seconds))))
+    ended = ended.select("_bin", F.struct(*names).alias("_cal"), F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to"))
+    last = calibrations.where("effective_from is not null").agg(F.max_by(F.struct(*names), F.struct("effective_from", "cal_id"))).scalar()
+    keyed = facts.withColumn("_bin", bin_of(F.col(ts), bin_seconds))
+    joined = keyed.join(ended, (keyed["_bin"] == ended["_bin"]) & (keyed[ts] >= ended["_from"]) & (keyed[ts] < ended["_to"]), "left").drop("_bin", "_from", "_to")
+    found = joined.withColumn("_last", last)
+    force = F.coalesce(F.col("_cal"), F.when(F.col(ts) >= F.col("_last.effective_from"), F.col("_last")))
+    return found.withColumn("_force", force).select(*facts.columns, *(F.col("_force")[n].alias(n) for n in names))
 
 
-def asof_union(facts: DataFrame, calibrations: DataFrame, ts: str = "ts") -> DataFrame:
-    """The same without a broadcast: both sides in time order by day, and what is in force at a day's start carried in.
+def asof_union(facts: DataFrame, calibrations: DataFrame, ts: str = "ts", bin_seconds: int = BIN) -> DataFrame:
+    """The same by the union of both sides in time order, and what is in force at a bin's start carried in.
 
-    Days are the partitions, so no task sees more than a day; the carry is a row a day.
+    Bins are the partitions, so no task sees more than a bin at a time; the carry is a row a bin. Facts keep their columns, so those not asked for are never read.
     """
-    names = [c for c in calibrations.columns if c != "effective_from"]
-    value = F.struct("effective_from", *names)
-    left = facts.select(F.struct(*facts.columns).alias("_fact"), F.col(ts).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(calibrations.schema["cal_id"].dataType).alias("_tie"))
-    right = calibrations.select(F.col("effective_from").alias("_t"), F.lit(0).alias("_side"), F.col("cal_id").alias("_tie"), value.alias("_cal"))
-    both = left.unionByName(right, allowMissingColumns=True).withColumn("_day", F.to_date("_t"))
-    ends = right.withColumn("_day", F.to_date("_t")).groupBy("_day").agg(F.max_by("_cal", F.struct("_t", "_tie")).alias("_end"))
-    days = both.select("_day").distinct().join(ends, "_day", "left")
-    carry = days.select("_day", F.last("_end", True).over(Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
-    w = Window.partitionBy("_day").orderBy("_t", "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
-    found = both.withColumn("_now", F.last("_cal", True).over(w)).where("_side = 1").join(carry, "_day", "left")
+    names = calibrations.columns
+    right = calibrations.select(F.col("effective_from").alias("_t"), F.lit(0).alias("_side"), F.col("cal_id").alias("_tie"), F.struct(*names).alias("_cal"))
+    left = facts.select("*", F.col(ts).alias("_t"), F.lit(1).alias("_side"))
+    both = left.unionByName(right, allowMissingColumns=True).withColumn("_bin", bin_of(F.col("_t"), bin_seconds))
+    ends = right.groupBy(bin_of(F.col("_t"), bin_seconds).alias("_bin")).agg(F.max_by("_cal", F.struct("_t", "_tie")).alias("_end"))
+    days = facts.select(bin_of(F.col(ts), bin_seconds).alias("_bin")).unionByName(ends.select("_bin")).distinct()
+    carry = days.join(ends, "_bin", "left").select("_bin", F.last("_end", True).over(Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    w = Window.partitionBy("_bin").orderBy("_t", "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_now", F.last("_cal", True).over(w)).where("_side = 1").join(carry, "_bin", "left")
     force = F.coalesce("_now", "_carry")
-    return found.select("_fact.*", *(force[c].alias(c) for c in ["effective_from", *names]))
+    return found.select(*facts.columns, *(force[c].alias(c) for c in names))
 
 
-def asof(facts: DataFrame, calibrations: DataFrame, ts: str = "ts") -> DataFrame:
-    return asof_spans(facts, calibrations, ts) if is_small(calibrations) else asof_union(facts, calibrations, ts).select(*asof_spans(facts, calibrations, ts).columns)
+def interval_join(facts: DataFrame, ranges: DataFrame, ts: str = "ts", start: str = "t_start", end: str = "t_end", open_to_now: bool = False, bin_seconds: int = BIN) -> DataFrame:
+    """Each fact with every half-open range it is in, or nulls. An open end never matches unless open_to_now.
 
-
-def interval_join(facts: DataFrame, ranges: DataFrame, ts: str = "ts", start: str = "t_start", end: str = "t_end", open_to_now: bool = False, bin_seconds: int = 3600) -> DataFrame:
-    """Each fact with every half-open range it is in, or nulls. An open end never matches unless open_to_now."""
+    An equi-join on time bins; each range is repeated in the bins it meets.
+    """
     stop = F.coalesce(ranges[end], F.current_timestamp().cast(ranges.schema[end].dataType)) if open_to_now else ranges[end]
-    if is_small(ranges):
-        return facts.join(F.broadcast(ranges), (facts[ts] >= ranges[start]) & (facts[ts] < stop), "left")
-    return binned_join(facts, ranges.withColumn("_stop", stop), ts, start, "_stop", bin_seconds).drop("_stop")
-
-
-def binned_join(facts: DataFrame, ranges: DataFrame, ts: str, start: str, end: str, bin_seconds: int) -> DataFrame:
-    """Left range join as an equi-join on time bins; each range is repeated in the bins it meets."""
-    def place(c):
-        return F.floor(F.unix_micros(c.cast("timestamp")) / (bin_seconds * 1_000_000))
-
-    cut = ranges.where(ranges[start] < ranges[end]).withColumn("_bin", F.explode(F.sequence(place(F.col(start)), place(F.col(end)))))
-    keyed = facts.withColumn("_bin", place(F.col(ts)))
-    return keyed.join(cut, (keyed["_bin"] == cut["_bin"]) & (keyed[ts] >= cut[start]) & (keyed[ts] < cut[end]), "left").drop("_bin")
+    cut = ranges.withColumn("_stop", stop).where(F.col(start) < F.col("_stop"))
+    cut = cut.withColumn("_bin", F.explode(F.sequence(bin_of(F.col(start), bin_seconds), bin_of(F.col("_stop"), bin_seconds))))
+    keyed = facts.withColumn("_bin", bin_of(F.col(ts), bin_seconds))
+    return keyed.join(cut, (keyed["_bin"] == cut["_bin"]) & (keyed[ts] >= cut[start]) & (keyed[ts] < cut["_stop"]), "left").drop("_bin", "_stop")
 
 
 def equi_range_join(facts: DataFrame, ranges: DataFrame, keys: list[str], ts: str = "ts", start: str = "t_start", end: str = "t_end") -> DataFrame:

@@ -48,7 +48,7 @@ def asof_calibration(spark: SparkSession, d: str) -> DataFrame:
 
 @registered(QUERIES, ORACLES, ASOF)
 def asof_calibration_union(spark: SparkSession, d: str) -> DataFrame:
-    """The way for dimensions too large to broadcast."""
+    """The way for dimensions with many rows an hour."""
     out = joins.asof_union(events(spark, d).select("event_id", "ts"), calibrations(spark, d))
     return out.select("event_id", "cal_id", plain("effective_from").alias("effective_from"), "param_value")
 
@@ -78,7 +78,7 @@ SELECT l.l_orderkey, l.l_linenumber, c.cal_id, c.effective_from, c.param_value F
 
 @registered(QUERIES, ORACLES, ASOF_ORDERS)
 def asof_calibration_orders(spark: SparkSession, d: str) -> DataFrame:
-    """asof_calibration with a whole table as calibrations: above SMALL_ROWS of them, the union."""
+    """asof_calibration with a whole table as calibrations."""
     return joins.asof(shipped(spark, d), order_calibrations(spark, d)).select("l_orderkey", "l_linenumber", "cal_id", "effective_from", "param_value")
 
 
@@ -98,9 +98,9 @@ def interval_session(spark: SparkSession, d: str) -> DataFrame:
 
 @registered(QUERIES, ORACLES, IN_SESSION.replace("TIMESTAMP '2100-01-01'", "TIMESTAMP '2024-02-15'"))
 def interval_session_binned(spark: SparkSession, d: str) -> DataFrame:
-    """The way for many ranges: bins of time turn the range join into an equi-join."""
+    """The same with an end for all ranges, in bins of a day."""
     s = sessions(spark, d).withColumn("t_end", F.coalesce("t_end", F.lit("2024-02-15").cast("timestamp")))
-    return joins.binned_join(events(spark, d), s, "ts", "t_start", "t_end", 3600).select("event_id", "session_id", "name", "type")
+    return joins.interval_join(events(spark, d), s, bin_seconds=86_400).select("event_id", "session_id", "name", "type")
 
 
 @registered(QUERIES, ORACLES, """SELECT l.l_orderkey, l.l_linenumber, o.o_custkey, o.o_orderpriority FROM lineitem l
@@ -163,9 +163,28 @@ RESOLVED = f"""{WIDE}, r AS (SELECT ts, event_id, coalesce(n2k_sog, rmc_spd_over
   n2k_speedwaterreferenced AS stw, xdr_roll AS heel, CAST(n2k_method_code AS INT) AS gnss_method_code FROM wide)"""
 
 
-@registered(QUERIES, ORACLES, f"WITH {RESOLVED} SELECT ts, sog, round(cog, 6) AS cog, stw, round(heel, 6) AS heel, CAST(NULL AS DOUBLE) AS depth FROM r")
+#: All sources of all quantities, one after another; source k is null where the event's number plus k is no multiple of k % 3 + 1.
+SOURCES = [c for chain in view.CHAINS.values() for c in chain]
+
+
+def source_sql(c: str) -> str:
+    k = SOURCES.index(c)
+    return f"CASE WHEN (event_id + {k}) % {k % 3 + 1} = 0 THEN event_id % 1000 + {k} END"
+
+
+def chain_sql(quantity: str, chain: tuple[str, ...]) -> str:
+    found = f"coalesce({', '.join(source_sql(c) for c in chain)}, NULL)"
+    return f"CAST({found} AS {'INT' if quantity in view.CODES else 'DOUBLE'}) AS {quantity}"
+
+
+@registered(QUERIES, ORACLES, "SELECT event_id, " + ", ".join(chain_sql(q, c) for q, c in view.CHAINS.items()) + " FROM events")
 def resolve_chains(spark: SparkSession, d: str) -> DataFrame:
-    return view.resolve(wide(spark, d)).select(plain("ts").alias("ts"), "sog", F.round("cog", 6).alias("cog"), "stw", F.round("heel", 6).alias("heel"), "depth")
+    """Every quantity of the view by its order of preference."""
+    k = F.col("event_id")
+    sources = {c: F.when((k + n) % (n % 3 + 1) == 0, (k % 1000 + n).cast("double")) for n, c in enumerate(SOURCES)}
+    # The event's number goes through in the place of the time.
+    table_ = events(spark, d).select(k.alias("ts"), *(x.alias(c) for c, x in sources.items()))
+    return view.resolve(table_).withColumnRenamed("ts", "event_id")
 
 
 @registered(QUERIES, ORACLES, "SELECT event_id, CAST(user_id % 4 AS INT) AS gnss_method_code FROM events")
