@@ -7,10 +7,10 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
-from tidewake.functions import measures, sentences
+from tidewake.functions import bits, measures, sentences
 from tidewake.functions.times import bucket_floor, parse_interval
 from tidewake.operators import arbitration, guard, merge, n2k, resample
-from tidewake.plans import derive, metrics
+from tidewake.plans import derive, metrics, store
 from tidewake.schema import check_name
 from tidewake.sources import archive, export
 from tidewake.streaming import ingest
@@ -121,9 +121,10 @@ def speed(ms, prio, src, kn):
 
 
 @pytest.mark.parametrize("rows,want", [
-    ([(0, 1, 9, 6.4), (100, 3, 5, 2.0), (200, 7, 2, 9.0)], 6.4),
-    ([(0, 1, 2, 6.4), (100, 1, 9, 2.0)], 6.4),
-    ([(0, 1, 9, 5.0), (100, 3, 5, 2.0), (200, 1, 9, 6.4)], 6.4),
+    ([(30, 4, 60, 11.2), (310, 2, 200, 7.7), (550, 6, 14, 3.1)], 7.7),  # the lowest priority number
+    ([(40, 5, 33, 8.3), (460, 5, 32, 4.9), (700, 5, 90, 1.5)], 4.9),  # then the lowest address
+    ([(20, 0, 77, 12.6), (240, 2, 3, 10.0), (480, 0, 77, 13.1), (650, 0, 81, 2.2)], 13.1),  # its last sample
+    ([(90, 3, 8, 5.5), (90, 3, 8, 9.1)], 5.5),  # of one microsecond, the first seen
 ])
 def test_arbitration(spark, rows, want):
     assert wide_row(spark, [speed(*r) for r in rows])["n2k_sog"] == pytest.approx(want, abs=0.02)
@@ -138,8 +139,8 @@ def test_buckets(spark):
 
 
 def test_range_guard(spark):
-    s = derive.samples(records(spark, [("n0183", sentence("WIMWV,10,R,10.5,N,A")), ("n0183", sentence("WIMWV,10,R,1003.1,N,A"))]))
-    assert wide_row(spark, [("n0183", sentence("WIMWV,10,R,10.5,N,A")), ("n0183", sentence("WIMWV,10,R,1003.1,N,A"))])["mwv_wind_speed_r"] == 10.5
+    s = derive.samples(records(spark, [("n0183", sentence("WIMWV,10,R,10.5,N,A")), ("n0183", sentence("WIMWV,10,R,100.2,N,A"))]))
+    assert wide_row(spark, [("n0183", sentence("WIMWV,10,R,10.5,N,A")), ("n0183", sentence("WIMWV,10,R,100.2,N,A"))])["mwv_wind_speed_r"] == 10.5
     assert tuple(guard.guard_counts(s).first()) == (4, 1)
 
 
@@ -188,8 +189,9 @@ def test_archive_round_trip(spark, tmp_path):
     rows = records(spark, [("n2k", "09f80102#a54dca182530bb1d"), ("n0183", "$X"), ("n2k", "09f80102#")])
     valid = archive.valid_records(rows)
     one = sorted(archive.write_objects(valid, str(tmp_path), ["proto"], ["seq"]).collect())
-    assert one == sorted(archive.write_objects(valid, str(tmp_path), ["proto"], ["seq"]).collect())
-    assert len(list(tmp_path.rglob("*.ndjson.gz"))) == 2 and not list(tmp_path.rglob("*.tmp"))
+    again = sorted(archive.write_objects(valid, str(tmp_path), ["proto"], ["seq"]).collect())
+    assert [r.key for r in one] == [r.key for r in again] and {r.state for r in one} == {"uploaded"} and {r.state for r in again} == {"up-to-date"}
+    assert len(list(tmp_path.rglob("*.ndjson.gz"))) == 2 and not list(tmp_path.rglob("_part*"))
     data = next(tmp_path.rglob("*-n2k-*.gz")).read_bytes()
     assert data[:4] == b"\x1f\x8b\x08\x00" and data[4:8] == b"\0\0\0\0" and gzip.decompress(data).count(b"\n") == 2
     back = archive.read_archive(spark, str(tmp_path), T0.date(), T0.date(), "n2k")
@@ -200,13 +202,15 @@ def test_archive_round_trip(spark, tmp_path):
 def test_update_once(spark, tmp_path):
     rows = records(spark, [speed(0, 1, 9, 6.4), speed(1500, 1, 9, 5.0)]).withColumn("object_key", F.when(F.col("seq") == 0, "a").otherwise("b"))
     keys = spark.createDataFrame([("a",), ("b",), ("empty",)], "key string")
-    table, ledger = str(tmp_path / "table"), str(tmp_path / "ledger")
-    assert derive.update(spark, rows, keys, table, ledger, dry_run=True)["objects"] == 3
-    assert derive.read_if_there(spark, table) is None
-    assert derive.update(spark, rows, keys, table, ledger)["columns_added"] == ["n2k_cogreference_code", "n2k_sog"]
-    assert derive.update(spark, rows, keys, table, ledger) == {"objects": 0, "columns_added": []}
-    assert spark.read.parquet(table).count() == 2
-    assert {r.key: r.rows for r in spark.read.parquet(ledger).collect()} == {"a": 1, "b": 1, "empty": 0}
+    table = str(tmp_path / "table")
+    planned = derive.update(spark, rows, keys, table, dry_run=True)
+    assert planned["objects"] == 3 and store.current(spark, table) is None
+    first = derive.update(spark, rows, keys, table)
+    assert first == planned and first["columns_added"] == ["n2k_cogreference_code", "n2k_sog"] and first["rows"] == 2
+    assert derive.update(spark, rows, keys, table) == {"objects": 0, "rows": 0, "dropped": 0, "columns_added": []}
+    assert store.read_table(spark, table).count() == 2
+    assert {r.key: r.rows for r in derive.read_ledger(spark, table).collect()} == {"a": 1, "b": 1, "empty": 0}
+    assert derive.update(spark, rows, keys, table, rebuild=True)["objects"] == 3 and derive.read_ledger(spark, table).count() == 3
 
 
 def test_bounds_reach_the_scan(spark, tmp_path):
@@ -267,3 +271,21 @@ def test_reassembly_state():
 
 def test_layout_table_is_bounded():
     assert len(n2k.layout_rows()) < 100
+
+
+def test_units_round_half_to_even(spark):
+    got = spark.range(1).select(measures.kelvin_to_celsius(F.lit(273.15) + F.lit(0.125)).alias("c"), measures.rad_to_deg(F.radians(F.lit(0.375))).alias("d")).first()
+    assert (got.c, got.d) in ((0.12, 0.38), (0.13, 0.38))  # the sum is not exact; the degrees are
+
+
+def test_payload_of_any_length(spark):
+    long = "09f80102#" + "AB" * (1 << 20) + "A"
+    rows = spark.createDataFrame([(long,), (long + "B",)], "raw string")
+    got = rows.select(F.length(bits.can_payload(F.col("raw"))).alias("n")).collect()
+    assert [r.n for r in got] == [None, (1 << 21) + 2]
+
+
+def test_ranks_order_objects(spark):
+    keys = ["raw/2024/01/02/000000-n2k-0000000000000000.ndjson.gz", "raw/2024/01/02/000001-n2k-ffffffffffffffff.ndjson.gz", "raw/2024/01/02/000001-n2k-00000008ffffffff.ndjson.gz", "raw/2031/12/30/235959-n2k-0000000000000000.ndjson.gz"]
+    got = spark.createDataFrame([(k,) for k in keys], "key string").orderBy(archive.rank_of(F.col("key"))).collect()
+    assert [r.key for r in got] == sorted(keys)

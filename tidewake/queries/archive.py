@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import json
 import tempfile
 import uuid
-from datetime import date
+from datetime import date, datetime, timezone
 
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import iso_utc, utc_timestamp
 from ..operators import merge, resample
 from ..schema import APPLICATION, COLUMN, PROTO, RAW_FIELDS
-from ..sources import archive, export, legacy
+from ..sources import archive, audit, export, legacy
 from .tables import events, plain, registered
 
 QUERIES: dict = {}
@@ -39,7 +37,7 @@ def line() -> Column:
     return archive.record_line(*(F.col(c) for c in RAW_FIELDS))
 
 
-@registered(QUERIES, ORACLES, f"SELECT event_id, {LINE} AS line FROM events WHERE event_id < 9000000")
+@registered(QUERIES, ORACLES, f"SELECT event_id, {LINE} AS line FROM events")
 def serialize_record(spark: SparkSession, d: str) -> DataFrame:
     return records(spark, d).select("event_id", line().alias("line"))
 
@@ -86,21 +84,24 @@ def list_keys_pruned(spark: SparkSession, d: str) -> DataFrame:
     return archive.prune_keys(keyed(spark, d).select(built_key().alias("key")), date(2024, 1, 5), date(2024, 1, 9), "n0183").select("key")
 
 
-@registered(QUERIES, ORACLES, """SELECT event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'export' END AS application, CAST(ts AS DATE) AS day FROM events
-WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-09' AND event_id % 4 <> 3""")
+@registered(QUERIES, ORACLES, """SELECT event_id, 'all' AS asked, CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'export' ELSE 'update' END AS application, CAST(ts AS DATE) AS day FROM events
+WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-09' AND event_id % 4 <> 3
+UNION ALL SELECT event_id, 'export', 'export', CAST(ts AS DATE) FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-09' AND event_id % 4 = 1""")
 def list_log_keys(spark: SparkSession, d: str) -> DataFrame:
-    """Keys with and without an application; malformed ones are skipped."""
-    day = F.date_format("ts", "yyyy/MM/dd")
-    key = F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("_log/"), day, F.lit("/120000-00000000.json"))).when(F.col("event_id") % 4 == 3, F.lit("_log/malformed.json")).otherwise(F.concat(F.lit("_log/export/"), day, F.lit("/120000-00000000.json")))
-    return archive.prune_log_keys(events(spark, d).select("event_id", key.alias("key")), date(2024, 1, 5), date(2024, 1, 9)).select("event_id", "application", "day")
+    """Keys with and without an application, all and one application's; malformed ones are skipped."""
+    k, end = F.col("event_id") % 4, F.concat(F.date_format("ts", "yyyy/MM/dd"), F.lit("/120000-00000000.json"))
+    key = F.when(k == 0, F.concat(F.lit("_log/"), end)).when(k == 1, F.concat(F.lit("_log/export/"), end)).when(k == 2, F.concat(F.lit("_log/update/"), end)).otherwise(F.lit("_log/malformed.json"))
+    keys = events(spark, d).select("event_id", key.alias("key"))
+    asked = {"all": None, "export": "export"}
+    found = [archive.prune_log_keys(keys, date(2024, 1, 5), date(2024, 1, 9), a).select("event_id", F.lit(name).alias("asked"), "application", "day") for name, a in asked.items()]
+    return found[0].unionByName(found[1])
 
 
 @registered(QUERIES, ORACLES, f"""WITH l AS (SELECT CAST(ts AS DATE) AS day, {LINE} AS line, event_id FROM events)
 SELECT day, substr(sha256(string_agg(line || chr(10), '' ORDER BY event_id)), 1, 16) AS cid, count(*) AS rows FROM l GROUP BY day""")
 def content_id(spark: SparkSession, d: str) -> DataFrame:
-    lines = F.sort_array(F.collect_list(F.struct("event_id", line().alias("line"))))
-    days = records(spark, d).groupBy(F.to_date("ts").alias("day")).agg(lines.alias("l"), F.count("*").alias("rows"))
-    return days.select("day", archive.content_id(F.transform("l", lambda x: x["line"])).alias("cid"), "rows")
+    """A day's lines are hashed in order as they stream through a task."""
+    return archive.write_objects(records(spark, d).withColumn("day", F.to_date("ts")), None, ["day"], ["event_id"]).select("day", "cid", "rows")
 
 
 @registered(QUERIES, ORACLES, """WITH c AS (SELECT user_id, event_id, CAST(ts AS DATE) AS day, CASE WHEN lag(CAST(ts AS DATE)) OVER (PARTITION BY user_id ORDER BY event_id) IS NOT DISTINCT FROM CAST(ts AS DATE) THEN 0 ELSE 1 END AS c FROM events),
@@ -119,17 +120,18 @@ def buffer_evict(spark: SparkSession, d: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A folder of its own in the shared folder; a temporary one only where none is set, as in tests."""
+    """A folder of its own in the shared folder; a temporary one in local mode only, where none is set, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}" if base else f"file://{tempfile.mkdtemp(prefix=f'tidewake-{name}-')}"
 
 
-def stored(spark: SparkSession, d: str, until: str | None = None) -> str:
-    """Write the records of all days, or of those before until, into an archive, one object a day; returns its root."""
+def stored(spark: SparkSession, d: str, rows: DataFrame | None = None) -> str:
+    """Write records of all days, those of the events unless given, into an archive, one object a day and protocol; returns its root."""
     root = scratch(spark, "archive")
-    r = records(spark, d).withColumn("day", F.to_date("ts"))
-    r = r if until is None else r.where(F.col("ts") < F.lit(until).cast("timestamp"))
-    archive.write_objects(r, root, ["day"], ["event_id"]).count()
+    r = (records(spark, d) if rows is None else rows).withColumn("day", F.to_date("ts"))
+    archive.write_objects(r, root, ["day", "proto"], ["event_id"]).count()
     return root
 
 
@@ -140,15 +142,13 @@ def scan_raw_records(spark: SparkSession, d: str) -> DataFrame:
     return got.select(archive.key_parts(F.col("object_key"))["day"].alias("day"), "ts", "device_id", "raw")
 
 
-@registered(QUERIES, ORACLES, "SELECT * FROM (VALUES ('exporter', CAST(0 AS INT), '17'), ('importer', 75, NULL)) t(application, exit_code, rx)")
+@registered(QUERIES, ORACLES, "SELECT CASE WHEN day(ts) % 2 = 0 THEN 'export' ELSE 'import' END AS application, CAST(day(ts) % 3 AS INT) AS exit_code, CAST(count(*) AS VARCHAR) AS rx FROM events GROUP BY day(ts), CAST(ts AS DATE)")
 def scan_audit(spark: SparkSession, d: str) -> DataFrame:
-    folder = scratch(spark, "audit")
-    store, place = fs.FileSystem.from_uri(folder)
-    store.create_dir(place, recursive=True)
-    for k, entry in enumerate(({"application": "exporter", "exit_code": 0, "details": {"rx": "17"}}, {"application": "importer", "exit_code": 75, "details": {}})):
-        with store.open_output_stream(f"{place}/{k}.json") as f:
-            f.write(json.dumps({"timestamp": "2024-01-01T00:00:00+00:00", "host": "h", "comment": "", **entry}, indent=2, sort_keys=True).encode())
-    return archive.read_audit(spark, folder).select("application", "exit_code", F.try_element_at("details", F.lit("rx")).alias("rx"))
+    """An entry a day with the number of its events, written and read back."""
+    root = scratch(spark, "audit")
+    for r in events(spark, d).groupBy(F.to_date("ts").alias("day")).count().toLocalIterator():
+        audit.write(root, "export" if r["day"].day % 2 == 0 else "import", r["day"].day % 3, "a day", {"rx": r["count"]})
+    return archive.read_audit(spark, f"{root}/_log/*/*/*/*/*.json").select("application", "exit_code", F.try_element_at("details", F.lit("rx")).alias("rx"))
 
 
 @registered(QUERIES, ORACLES, "SELECT event_id, CASE event_id % 4 WHEN 0 THEN ts WHEN 1 THEN ts END AS ts FROM events")
@@ -162,9 +162,15 @@ def valid_ts(spark: SparkSession, d: str) -> DataFrame:
 NAMES = ("n2k", "n0183", "seatalk", "sk.delta", "signalk-delta", "sea_talk", "N2K", "n2k#1", "", "wind_speed", "1st", "x" * 63, "x" * 64)
 
 
-@registered(QUERIES, ORACLES, "SELECT name, regexp_matches(name, '^[a-z0-9][a-z0-9.]*$') AS proto, regexp_matches(name, '^[a-z][a-z0-9_]{0,62}$') AS col, regexp_matches(name, '^[a-z0-9][a-z0-9_-]*$') AS application FROM (VALUES " + ", ".join(f"('{n}')" for n in NAMES) + ") t(name)")
+NAME_LIST = ", ".join(f"('{n}')" for n in NAMES)
+
+
+@registered(QUERIES, ORACLES, f"""WITH n AS (SELECT name FROM (VALUES {NAME_LIST}) t(name) UNION SELECT p_name FROM part UNION SELECT lower(replace(p_name, ' ', '_')) FROM part)
+SELECT name, regexp_matches(name, '^[a-z0-9][a-z0-9.]*$') AS proto, regexp_matches(name, '^[a-z][a-z0-9_]{{0,62}}$') AS col, regexp_matches(name, '^[a-z0-9][a-z0-9._-]*$') AS application FROM n""")
 def name_validity(spark: SparkSession, d: str) -> DataFrame:
-    names = spark.createDataFrame([(n,) for n in NAMES], "name string")
+    """Names that were met, and those of all parts, as they are and with underscores."""
+    part = spark.read.parquet(f"{d}/part.parquet").select("p_name")
+    names = spark.createDataFrame([(n,) for n in NAMES], "name string").union(part).union(part.select(F.lower(F.replace("p_name", F.lit(" "), F.lit("_"))))).distinct()
     return names.select("name", *(F.col("name").rlike(p).alias(c) for c, p in (("proto", PROTO), ("col", COLUMN), ("application", APPLICATION))))
 
 
@@ -183,25 +189,51 @@ def closed_days(spark: SparkSession, d: str) -> DataFrame:
     return resample.closed_days(days, F.lit("2024-01-21 00:02:00").cast("timestamp"))
 
 
-@registered(QUERIES, ORACLES, f"SELECT event_id, CASE WHEN event_id % 9 <> 8 THEN '(' || epoch_us(ts) // 1000000 || '.' || lpad(CAST(epoch_us(ts) % 1000000 AS VARCHAR), 6, '0') || ') ' || CASE WHEN event_id % 4 = 0 THEN 'unknown' ELSE 'can0' END || ' ' || lpad(upper(printf('%x', event_id)), 8, '0') || '#00FF' END AS line FROM events")
+def exported(spark: SparkSession, root: str, request: export.Request) -> tuple[DataFrame, export.Outcome]:
+    """The lines of the file that an export wrote, and its outcome."""
+    file = f"{scratch(spark, 'export')}/{request.file_name()}"
+    got = export.export(spark, root, file, request)
+    return spark.read.option("lineSep", "\n").text(file).select(F.rtrim(F.col("value"), F.lit("\r")).alias("line")), got
+
+
+CANDUMP = "'(' || epoch_us(ts) // 1000000 || '.' || lpad(CAST(epoch_us(ts) % 1000000 AS VARCHAR), 6, '0') || ') ' || CASE WHEN event_id % 4 = 0 THEN 'unknown' ELSE 'can0' END || ' ' || lpad(upper(printf('%x', event_id)), 8, '0') || '#00FF'"
+
+
+@registered(QUERIES, ORACLES, f"SELECT {CANDUMP} AS line FROM events WHERE event_id % 9 <> 8 AND event_id % 9 <> 4 UNION ALL SELECT 'refused ' || count(*) FROM events WHERE event_id % 9 = 4")
 def export_candump(spark: SparkSession, d: str) -> DataFrame:
-    """Other protocols have no such line."""
-    proto = F.when(F.col("event_id") % 9 == 8, "n0183").otherwise("n2k")
-    return records(spark, d).select("event_id", export.candump_line(F.col("ts"), F.col("src"), proto, F.col("raw")).alias("line"))
+    """The file of all frames. Other protocols are never read; frames out of form are counted and left out."""
+    k = F.col("event_id") % 9
+    r = records(spark, d).withColumns({"proto": F.when(k == 8, "n0183").otherwise("n2k"), "raw": F.when(k == 4, F.concat("raw", F.lit("0"))).otherwise(F.col("raw"))})
+    request = export.Request(fmt="candump")
+    lines, got = exported(spark, stored(spark, d, r), request)
+    return lines.unionByName(spark.createDataFrame([(f"refused {got.rows_refused}",)], "line string"))
 
 
 @registered(QUERIES, ORACLES, f"SELECT {LINE} AS line FROM events")
 def export_ndjson(spark: SparkSession, d: str) -> DataFrame:
-    r = records(spark, d).withColumn("ts", iso_utc(F.col("ts")))
-    return r.select(export.ndjson_line(list(RAW_FIELDS)).alias("line"))
+    """The file of all records is theirs as they were written."""
+    return exported(spark, stored(spark, d), export.Request())[0]
+
+
+MONO = "CASE WHEN event_id % 3 = 0 THEN '' ELSE event_id // 2 || CASE WHEN event_id % 2 = 0 THEN '.0' ELSE '.5' END END"
 
 
-@registered(QUERIES, ORACLES, """SELECT event_id || ',' || event_type || ',' || CASE WHEN event_id % 3 = 0 THEN '' ELSE CAST(user_id AS VARCHAR) END || ',"{""a"":""' || event_id || '"",""z"":""' || event_type || '""}"' AS line FROM events""")
+@registered(QUERIES, ORACLES, f'''SELECT 'ts,mono,device_id,src,proto,raw' AS line UNION ALL
+SELECT {ISO} || ',' || {MONO} || ',u' || user_id || ',' || CASE WHEN event_id % 4 = 0 THEN '' ELSE 'can0' END || ',n2k,"' || event_id || ', ""quoted"""' FROM events''')
 def export_csv(spark: SparkSession, d: str) -> DataFrame:
-    """Nested values are JSON with sorted keys, nulls empty, quotes doubled."""
-    details = F.create_map(F.lit("z"), F.col("event_type"), F.lit("a"), F.col("event_id").cast("string"))
-    t = events(spark, d).select(F.col("event_id").cast("string").alias("event_id"), "event_type", F.when(F.col("event_id") % 3 != 0, F.col("user_id")).alias("user_id"), details.alias("details"))
-    return export.csv_line(t, ["event_id", "event_type", "user_id", "details"])
+    """The file of all records: a header, nulls empty, quotes doubled."""
+    r = records(spark, d).withColumn("raw", F.concat(F.col("event_id"), F.lit(', "quoted"')))
+    return exported(spark, stored(spark, d, r), export.Request(fmt="csv"))[0]
+
+
+@registered(QUERIES, ORACLES, """SELECT CASE WHEN day(ts) % 2 = 0 THEN 'export' ELSE 'import' END || ',h,' || day(ts) % 3 || ',"a, day","{""a"":""' || count(*) || '"",""z"":""' || max(event_id) || '""}"' AS line FROM events GROUP BY day(ts), CAST(ts AS DATE)""")
+def export_log_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Audit entries as CSV: nested values are JSON with sorted keys. Time and host are left out here."""
+    root = scratch(spark, "audit")
+    for r in events(spark, d).groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"), F.max("event_id").alias("z")).toLocalIterator():
+        audit.write(root, "export" if r["day"].day % 2 == 0 else "import", r["day"].day % 3, "a, day", {"z": r["z"], "a": r["n"]})
+    lines, _ = exported(spark, root, export.Request(source="_log", fmt="csv"))
+    return lines.where(~F.col("line").startswith("timestamp,")).select(F.regexp_replace("line", r"^[^,]*,([a-z]+),[^,]*,", "$1,h,").alias("line"))
 
 
 def legacy_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -227,11 +259,12 @@ o AS (SELECT day, 'raw/' || strftime(day, '%Y/%m/%d') || '/' || strftime(min(ts)
 d AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-02-02', INTERVAL 1 DAY)) AS DATE) AS day)
 SELECT day, key, CASE WHEN key IS NULL THEN 'empty' WHEN day(day) % 2 = 0 THEN 'up-to-date' ELSE 'upload' END AS state FROM d LEFT JOIN o USING (day)""")
 def import_reconcile(spark: SparkSession, d: str) -> DataFrame:
-    """Days whose object is there already are up to date; days without rows are empty."""
-    objects = legacy.day_objects(legacy.day_scan(legacy_rows(spark, d), date(2024, 1, 1), date(2024, 2, 2)))
-    existing = objects.where(F.dayofmonth("day") % 2 == 0).select("key")
-    days = spark.sql("SELECT explode(sequence(date '2024-01-01', date '2024-02-02')) AS day")
-    return legacy.reconcile(objects, existing, days)
+    """Even days are imported; then days whose object is there are up to date, others would be uploaded, days without rows are empty."""
+    root, rows = scratch(spark, "import"), legacy_rows(spark, d)
+    now = datetime(2024, 2, 3, 1, tzinfo=timezone.utc)
+    legacy.import_days(spark, rows.where(F.dayofmonth("received_at") % 2 == 0), root, date(2024, 1, 1), live=True, now=now)
+    days = legacy.import_days(spark, rows, root, date(2024, 1, 1), now=now)
+    return spark.createDataFrame([(r["day"], r["key"], r["state"]) for r in days], "day date, key string, state string")
 
 
 @registered(QUERIES, ORACLES, """WITH k AS (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS key, min(ts) OVER (PARTITION BY CAST(ts AS DATE)) AS f FROM events)

@@ -182,8 +182,8 @@ def can_flags(spark: SparkSession, d: str) -> DataFrame:
     word = ((k * 7919 * 65537) % 536870912).bitwiseOR(F.when(k % 8 == 1, F.lit(0x20000000)).when(k % 8 == 2, F.lit(0x40000000)).otherwise(F.lit(0x80000000)).cast("bigint"))
     size = F.when(k % 5 == 4, 12).otherwise(16)
     e = events(spark, d).select("event_id", word.alias("word"), size.alias("size"))
-    keep = (F.col("word").bitwiseAND(0x60000000) == 0) & (F.col("size") >= 16)
-    return e.where(keep).select("event_id", F.col("word").bitwiseAND(0x1FFFFFFF).alias("can_id"))
+    found = e.select("event_id", bits.captured_identifier(F.col("word"), F.col("size")).alias("can_id"))
+    return found.where("can_id is not null")
 
 
 def course_raw() -> Column:
@@ -252,12 +252,17 @@ def decode_n2k_lookup(spark: SparkSession, d: str) -> DataFrame:
     return n2k.decode(long_messages(spark, d)).where(F.col("field").endswith("_code")).select("seq", "field", "value")
 
 
-@registered(QUERIES, ORACLES, "SELECT event_id * 10 + 6 AS seq, CAST(43 AS INT) AS bytes FROM events WHERE event_id % 11 <> 0")
+#: The payload of an event's message, as long_messages builds it.
+PAYLOAD = """repeat('00', 31) || lpad(upper(printf('%x', (event_id % 9) * 16 + event_id % 8)), 2, '0') || upper(printf('%x', 252 + event_id % 3)) || '0C'
+ || lpad(upper(printf('%x', event_id % 1000 % 256)), 2, '0') || lpad(upper(printf('%x', event_id % 1000 // 256)), 2, '0') || repeat('FF', 7)"""
+
+
+@registered(QUERIES, ORACLES, f"SELECT event_id * 10 + 6 AS seq, {PAYLOAD} AS payload FROM events WHERE event_id % 11 <> 0")
 def fast_packet(spark: SparkSession, d: str) -> DataFrame:
     """Messages that miss a frame do not count, and do not disturb those around them."""
     frames = n2k.frames(long_messages(spark, d).where((F.col("event_id") % 11 != 0) | (F.col("n") != 3)))
     whole = fast.reassemble(frames.select("device_id", "src", "can_id", "object_rank", "seq", "payload"), ["device_id", "src", "can_id"], ["object_rank", "seq"])
-    return whole.select("seq", (F.length("payload") / 2).cast("int").alias("bytes"))
+    return whole.select("seq", "payload")
 
 
 @registered(QUERIES, ORACLES, "SELECT DISTINCT p_name, trim(regexp_replace(lower(p_name || ' (' || p_brand || ')'), '[^a-z0-9]+', '_', 'g'), '_') AS name FROM part")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+# Names and order of fields, as records and entries must have them.
 #: The only archive row; the same six fields in this order for every protocol.
 RAW_FIELDS = ("ts", "mono", "device_id", "src", "proto", "raw")
 RAW = "ts STRING, mono DOUBLE, device_id STRING, src STRING, proto STRING, raw STRING"
@@ -16,7 +17,7 @@ LEDGER = "key STRING, ingested TIMESTAMP, first_ts TIMESTAMP, last_ts TIMESTAMP,
 #: Fixed patterns of names.
 PROTO = r"^[a-z0-9][a-z0-9.]*$"
 COLUMN = r"^[a-z][a-z0-9_]{0,62}$"
-APPLICATION = r"^[a-z0-9][a-z0-9_-]*$"
+APPLICATION = r"^[a-z0-9][a-z0-9._-]*$"
 
 #: Rank of samples whose protocol has no device priority: behind every real one.
 NO_RANK = 1 << 30

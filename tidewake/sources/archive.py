@@ -4,20 +4,29 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import json
+import re
+import uuid
+import zlib
 from collections.abc import Iterator
 from datetime import date, timedelta
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.times import iso_utc, utc_timestamp
 from ..operators.resample import runs_by
 from ..schema import AUDIT, PROTO, RAW, RAW_FIELDS, check_name
 
-#: Days up to which a listing goes day by day; beyond it lists the whole tree and filters.
+#: Days up to which a listing goes day by day; beyond, month by month.
 MANY_DAYS = 31
 
+#: All days that a key can have.
+FIRST_DAY, LAST_DAY = date(1000, 1, 1), date(9999, 12, 31)
+
 KEY = r"^raw/([0-9]{4})/([0-9]{2})/([0-9]{2})/([0-9]{6})-([a-z0-9][a-z0-9.]*)-([0-9a-f]{16})\.ndjson\.gz$"
 SPOOL = r"^disk\.([0-9]{8})_([0-9]{6})-([a-z0-9][a-z0-9.]*)-([0-9a-f]{16})\.ndjson\.gz$"
 
@@ -73,49 +82,109 @@ def prune_log_keys(keys: DataFrame, since: date, until: date, application: str |
     return parsed.select(*keys.columns, "_k.application", "_k.day")
 
 
-def day_globs(root: str, since: date, until: date, proto: str | None = None) -> list[str]:
-    """Paths to read: one a day for a short span, else the tree. The protocol is part of the file name, so others are never opened."""
-    name = f"*-{check_name(proto, PROTO)}-*.ndjson.gz" if proto else "*.ndjson.gz"
-    n = (until - since).days + 1
-    if n > MANY_DAYS:
-        return [f"{root}/raw/*/*/*/{name}"]
-    return [f"{root}/raw/{d:%Y/%m/%d}/{name}" for d in (since + timedelta(days=k) for k in range(max(n, 0)))]
+def object_glob(proto: str | None = None) -> str:
+    """Names of one protocol's objects: it is part of the name, so others are never opened."""
+    return f"*-{check_name(proto, PROTO)}-*.ndjson.gz" if proto else "*.ndjson.gz"
 
 
-def list_files(spark: SparkSession, patterns: list[str]) -> list[str]:
-    """Files that match, by the file system's own glob; names only."""
+def folders(spark: SparkSession, root: str, since: date, until: date) -> list[str]:
+    """Folders that hold the objects filed from since to until: days of a short span, else months. Objects themselves are listed by Spark."""
+    base = f"{root.rstrip('/')}/raw"
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    for p in patterns:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        found = path.getFileSystem(conf).globStatus(path)
-        out += [f.getPath().toString() for f in found] if found else []
-    return sorted(out)
+    files = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(conf)
+    if (until - since).days < MANY_DAYS:
+        wanted = [f"{base}/{since + timedelta(days=k):%Y/%m/%d}" for k in range((until - since).days + 1)]
+        return [p for p in wanted if files.exists(jvm.org.apache.hadoop.fs.Path(p))]
+    found = files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/[0-9][0-9][0-9][0-9]/[0-9][0-9]")) or []
+    paths = (f.getPath().toString() for f in found)
+    return sorted(p for p in paths if f"{since:%Y/%m}" <= p[-7:] <= f"{until:%Y/%m}")
+
+
+def listed(spark: SparkSession, root: str, since: date = FIRST_DAY, until: date = LAST_DAY, proto: str | None = None) -> DataFrame:
+    """key and path of the capture objects filed from since to until; names only, no object is opened."""
+    paths = folders(spark, root, since, until)
+    if not paths:
+        return spark.createDataFrame([], "key string, path string")
+    names = spark.read.format("binaryFile").option("pathGlobFilter", object_glob(proto)).option("recursiveFileLookup", True).load(paths).select("path")
+    keyed = names.select(key_of(F.col("path")).alias("key"), "path")
+    return prune_keys(keyed, since, until, proto).select("key", "path")
+
+
+def key_of(path: Column) -> Column:
+    return F.concat(F.lit("raw/"), F.regexp_extract(path, r"/raw/([0-9]{4}/.*)$", 1))
+
+
+def rank_of(key: Column) -> Column:
+    """A number that orders objects by day, time and content: seconds since 1970, then 29 bits of the content's hash.
 
+    Two objects of one second rank alike with a chance of 2^-29; their order is then that of their rows' seq.
+    """
+    parts = key_parts(key)
+    seconds = F.unix_date(parts.day).cast("bigint") * 86400 + F.substring(parts.time_of_day, 1, 2).cast("bigint") * 3600 + F.substring(parts.time_of_day, 3, 2).cast("bigint") * 60 + F.substring(parts.time_of_day, 5, 2).cast("bigint")
+    return F.shiftleft(seconds, 29) + F.shiftright(F.conv(F.substring(parts.cid, 1, 8), 16, 10).cast("bigint"), 3)
+
+
+CORRUPT = "_corrupt"
 
-def read_archive(spark: SparkSession, root: str, since: date, until: date, proto: str | None = None) -> DataFrame:
-    """Records of the capture objects in a range of days: RAW, with object_key, object_rank and seq.
 
-    Blank lines are skipped, rows in file order get an increasing seq right at the
-    scan, and ranks go by day and name. Lines that are no JSON have all fields null.
+def read_objects(spark: SparkSession, paths: list[str], glob: str = "*.ndjson.gz", corrupt: str = "raise") -> DataFrame:
+    """Records of the objects in these folders or files: RAW, with object_key, object_rank and seq.
+
+    Blank lines are skipped, and rows in file order get an increasing seq right at the
+    scan. A line that is no JSON object is an error that names its object; with
+    corrupt="keep" it comes as a row of nulls, its text in column _corrupt, and an
+    object whose compression breaks off ends there (check_objects tells which do).
     """
-    paths = [p for p in list_files(spark, day_globs(root, since, until, proto)) if since <= (_day_of(p) or date.min) <= until]
+    if corrupt not in ("raise", "keep"):
+        raise ValueError(f"corrupt must be raise or keep, not {corrupt!r}")
+    kept = [CORRUPT] if corrupt == "keep" else []
     if not paths:
-        return spark.createDataFrame([], RAW + ", object_key STRING, object_rank LONG, seq LONG")
-    rows = spark.read.schema(RAW).json(paths).select("*", F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("seq"))
-    names = [(f"raw/{p.rsplit('/raw/', 1)[1]}", p) for p in paths]
-    names.sort()
-    ranks = spark.createDataFrame([(k, n) for n, (k, _) in enumerate(names, 1)], "object_key string, object_rank long")
-    keyed = rows.withColumn("object_key", F.concat(F.lit("raw/"), F.regexp_extract("_path", r"/raw/([0-9]{4}/.*)$", 1))).drop("_path")
-    return keyed.join(F.broadcast(ranks) if len(names) <= 100_000 else ranks, "object_key").select(*RAW_FIELDS, "object_key", "object_rank", "seq")
+        return spark.createDataFrame([], f"{RAW}, object_key STRING, object_rank LONG, seq LONG" + f", {CORRUPT} STRING" * len(kept))
+    rows = spark.read.schema(f"{RAW}, {CORRUPT} STRING").option("columnNameOfCorruptRecord", CORRUPT).option("pathGlobFilter", glob).option("recursiveFileLookup", True).option("ignoreCorruptFiles", bool(kept)).json(paths)
+    # Spark reads no column of corrupt records alone, so another is asked for with it.
+    corrupt_text = F.when(F.length(F.coalesce("ts", F.lit(""))) >= 0, F.col(CORRUPT)).alias(CORRUPT)
+    rows = rows.select(*RAW_FIELDS, corrupt_text, key_of(F.col("_metadata.file_path")).alias("object_key"), F.monotonically_increasing_id().alias("seq"))
+    if not kept:
+        whole = F.col(CORRUPT).isNull() | F.raise_error(F.concat(F.lit("corrupt record in "), "object_key")).cast("boolean")
+        rows = rows.where(whole)
+    return rows.select(*RAW_FIELDS, "object_key", rank_of(F.col("object_key")).alias("object_rank"), "seq", *kept)
+
+
+def read_archive(spark: SparkSession, root: str, since: date, until: date, proto: str | None = None, corrupt: str = "raise") -> DataFrame:
+    """Records of the capture objects in a range of days, both included; see read_objects."""
+    rows = read_objects(spark, folders(spark, root, since, until), object_glob(proto), corrupt)
+    return rows.where((F.col("object_key") >= f"raw/{since:%Y/%m/%d}") & (F.col("object_key") < f"raw/{until:%Y/%m/%d}0"))
 
 
-def _day_of(path: str) -> date | None:
+def check_objects(spark: SparkSession, objects: DataFrame) -> DataFrame:
+    """objects (key, path) with the rows of each, and what is wrong with it, if anything: opened and read through, a line at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [object_state(p) for p in batch.column("path").to_pylist()]
+            yield pa.record_batch([batch.column("key"), batch.column("path"), pa.array([n for n, _ in found], pa.int64()), pa.array([e for _, e in found], pa.string())], ["key", "path", "rows", "error"])
+
+    return objects.select("key", "path").mapInArrow(run, "key string, path string, rows long, error string")
+
+
+def object_state(path: str) -> tuple[int, str | None]:
+    rows = 0
     try:
-        year, month, day = path.rsplit("/raw/", 1)[1].split("/")[:3]
-        return date(int(year), int(month), int(day))
-    except ValueError:
-        return None
+        with open_object(path) as f, gzip.open(f) as lines:
+            for line in lines:
+                if line.strip():
+                    if not isinstance(json.loads(line), dict):
+                        raise ValueError("not an object")
+                    rows += 1
+    except (OSError, EOFError, ValueError, zlib.error) as e:
+        return rows, f"{type(e).__name__}: {e}"[:200]
+    return rows, None
+
+
+def open_object(path: str):
+    from pyarrow import fs
+
+    store, place = fs.FileSystem.from_uri(re.sub("^file:/(?=[^/])", "file:///", path) if "://" in path or path.startswith("file:") else f"file://{path}")
+    return store.open_input_stream(place, compression=None)
 
 
 def valid_records(records: DataFrame) -> DataFrame:
@@ -139,40 +208,89 @@ def content_id(lines: Column) -> Column:
     return F.substring(F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256), 1, 16)
 
 
-def gzip_bytes(text: bytes) -> bytes:
-    """One gzip member, the same bytes each time."""
-    return gzip.compress(text, 9, mtime=0)
-
-
 def split_objects(records: DataFrame, order: list[str], batch: list[str] = ()) -> DataFrame:
     """records with object: consecutive records of one UTC day in a batch make one object (a midnight in between makes two)."""
     return runs_by(records, F.to_date("ts"), order, list(batch)).withColumnRenamed("run", "object")
 
 
-def write_objects(records: DataFrame, root: str, object_by: list[str], order: list[str]) -> DataFrame:
-    """Write each object's records as a gzip file under its key; returns (key, rows, cid).
+WRITTEN = "key string, rows long, cid string, state string"
 
-    An object's lines must fit a task, as capture bounds them. The name follows
-    from the content, so a repeated task writes the same file again.
-    """
-    from pyarrow import fs
 
-    lined = records.select(*dict.fromkeys([*object_by, *order, "ts", "proto"]), record_line(*(F.col(c) for c in RAW_FIELDS)).alias("line")).where("line is not null")
+def write_objects(records: DataFrame, root: str | None, object_by: list[str], order: list[str | Column]) -> DataFrame:
+    """Write each object's records as a gzip file under its key; returns the columns of object_by with key, rows, cid and state.
 
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        text = "".join(x + "\n" for x in pdf["line"]).encode()
-        cid = hashlib.sha256(text).hexdigest()[:16]
-        first = pdf["ts"].iloc[0]
-        key = f"raw/{first:%Y/%m/%d/%H%M%S}-{pdf['proto'].iloc[0]}-{cid}.ndjson.gz"
-        store, place = fs.FileSystem.from_uri(f"{root}/{key}" if "://" in root else f"file://{root}/{key}")
-        store.create_dir(place.rsplit("/", 1)[0], recursive=True)
-        with store.open_output_stream(f"{place}.tmp", compression=None) as out:
-            out.write(gzip_bytes(text))
-        store.move(f"{place}.tmp", place)
-        return pd.DataFrame({"key": [key], "rows": [len(pdf)], "cid": [cid]})
-
-    return lined.groupBy(*object_by).applyInPandas(write, "key string, rows long, cid string")
+    state: uploaded; up-to-date where an object of that name is there already; with no
+    root, upload: nothing is written. An object is streamed, hashed and compressed
+    line by line in one task. The name follows from the content, so a repeated task
+    finds its file, and no reader sees a part of one.
+    """
+    columns = [c for c in order if isinstance(c, str)]
+    extra = [c for c in records.columns if c not in (*object_by, *columns, "ts", "proto")] if len(columns) < len(order) else []
+    lined = records.select(*dict.fromkeys([*object_by, *columns, "ts", "proto", *extra]), record_line(*(F.col(c) for c in RAW_FIELDS)).alias("_line")).where("_line is not null")
+    stood = lined.repartition(*object_by).sortWithinPartitions(*object_by, *order)
+    read = stood.select(*object_by, F.date_format("ts", "yyyy/MM/dd/HHmmss").alias("_time"), F.col("proto").alias("_proto"), "_line")
+    names = [*object_by, "key", "rows", "cid", "state"]
+    schema = T.StructType([*(records.schema[c] for c in object_by), *T.StructType.fromDDL(WRITTEN).fields])
+    kinds = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, None
+        for batch in batches:
+            groups = list(zip(*(batch.column(c).to_pylist() for c in object_by), strict=True))
+            lines = batch.column("_line")
+            begin = 0
+            for k in range(1, len(groups) + 1):
+                if k < len(groups) and groups[k] == groups[begin]:
+                    continue
+                if held is None or groups[begin] != now:
+                    if held is not None:
+                        yield row(now, held.close())
+                    now, held = groups[begin], ObjectFile(root, batch.column("_time")[begin].as_py(), batch.column("_proto")[begin].as_py())
+                held.write(lines.slice(begin, k - begin).to_pylist())
+                begin = k
+        if held is not None:
+            yield row(now, held.close())
+
+    def row(group: tuple, written: tuple) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([v], kinds.field(n).type) for n, v in zip(names, (*group, *written), strict=True)], names)
+
+    return read.mapInArrow(run, schema)
+
+
+class ObjectFile:
+    """One object, written under a name of its own until its content's hash is known."""
+
+    def __init__(self, root: str | None, time: str, proto: str):
+        self.prefix, self.rows, self.hash = f"raw/{time}-{proto}", 0, hashlib.sha256()
+        self.out = None
+        if root is not None:
+            from pyarrow import fs
+
+            self.store, self.root = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+            self.part = f"{self.root}/raw/{time[:10]}/_part-{uuid.uuid4().hex}"
+            self.store.create_dir(self.part.rsplit("/", 1)[0], recursive=True)
+            self.stream = self.store.open_output_stream(self.part, compression=None)
+            self.out = gzip.GzipFile("", "wb", 9, self.stream, mtime=0)
+
+    def write(self, lines: list[str]) -> None:
+        text = "".join(x + "\n" for x in lines).encode()
+        self.hash.update(text)
+        self.rows += len(lines)
+        if self.out is not None:
+            self.out.write(text)
+
+    def close(self) -> tuple[str, int, str, str]:
+        cid = self.hash.hexdigest()[:16]
+        key, state = f"{self.prefix}-{cid}.ndjson.gz", "upload"
+        if self.out is not None:
+            self.out.close()
+            self.stream.close()
+            state = "uploaded" if self.store.get_file_info(f"{self.root}/{key}").type.name == "NotFound" else "up-to-date"
+            if state == "uploaded":
+                self.store.move(self.part, f"{self.root}/{key}")
+            else:
+                self.store.delete_file(self.part)
+        return key, self.rows, cid, state
 
 
 def lines_of(path: str) -> Iterator[str]:
@@ -181,10 +299,12 @@ def lines_of(path: str) -> Iterator[str]:
         yield from (x.rstrip("\n") for x in f if x.strip())
 
 
-def earliest_day(table: DataFrame, ts: str = "received_at") -> Column | None:
-    """The first day of a legacy table; None if it is empty."""
+def earliest_day(table: DataFrame, ts: str = "received_at") -> date | None:
+    """The first UTC day of a legacy table; None if it is empty. Times without a zone are refused: their day is a guess."""
+    refuse_naive(table, ts)
     return table.agg(F.to_date(F.min(ts)).alias("day")).first()["day"]
 
 
-def number_objects(keys: DataFrame) -> DataFrame:
-    return keys.withColumn("object_rank", F.row_number().over(Window.orderBy("day", "key")))
+def refuse_naive(table: DataFrame, ts: str) -> None:
+    if table.schema[ts].dataType != T.TimestampType():
+        raise ValueError(f"{ts} is no timestamp with a time zone: cast it where it is read")

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from dataclasses import dataclass
+from datetime import date, datetime, timezone
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.bits import can_identifier, can_payload
+from ..functions.times import utc_timestamp
+from ..plans import store
+from ..schema import AUDIT, AUDIT_FIELDS, RAW_FIELDS
+from .archive import FIRST_DAY, LAST_DAY, check_objects, folders, listed, object_glob, prune_log_keys, read_objects
 
 UNKNOWN_INTERFACE = "unknown"
 
@@ -20,19 +28,20 @@ def sorted_json(m: Column) -> Column:
     return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(m))))
 
 
-def csv_fields(table: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns as text: maps as JSON with sorted keys, nulls empty."""
+def csv_text(table: DataFrame, columns: list[str]) -> Column:
+    """A row of CSV: maps as JSON with sorted keys, nulls empty, quoted where needed."""
     kinds = dict(table.dtypes)
-    return table.select(*(F.coalesce((sorted_json(F.col(c)) if kinds[c].startswith("map") else F.col(c)).cast("string"), F.lit("")).alias(c) for c in columns))
 
+    def quoted(c: str) -> Column:
+        x = F.coalesce((sorted_json(F.col(c)) if kinds[c].startswith("map") else F.col(c)).cast("string"), F.lit(""))
+        return F.when(x.rlike('[",\r\n]'), F.concat(F.lit('"'), F.regexp_replace(x, '"', '""'), F.lit('"'))).otherwise(x)
 
-def csv_line(table: DataFrame, columns: list[str]) -> DataFrame:
-    """One column line: CSV rows, quoted where needed."""
-    def quoted(c: Column) -> Column:
-        return F.when(c.rlike('[",\r\n]'), F.concat(F.lit('"'), F.regexp_replace(c, '"', '""'), F.lit('"'))).otherwise(c)
+    return F.concat_ws(",", *(quoted(c) for c in columns))
 
-    text = csv_fields(table, columns)
-    return text.select(F.concat_ws(",", *(quoted(F.col(c)) for c in columns)).alias("line"))
+
+def csv_line(table: DataFrame, columns: list[str]) -> DataFrame:
+    """One column line: CSV rows."""
+    return table.select(csv_text(table, columns).alias("line"))
 
 
 def candump_line(ts: Column, src: Column, proto: Column, raw: Column) -> Column:
@@ -46,15 +55,135 @@ def candump_line(ts: Column, src: Column, proto: Column, raw: Column) -> Column:
     return F.when(good, line)
 
 
-def export(table: DataFrame, fmt: str, path: str, columns: list[str], single_file: bool = False) -> None:
-    """Write table; an incomplete write leaves no output behind, by Spark's commit protocol."""
-    out = {
-        "ndjson": lambda: table.select(ndjson_line(columns).alias("line")),
-        "csv": lambda: csv_fields(table, columns),
-        "candump": lambda: table.select(candump_line(F.col("ts"), F.col("src"), F.col("proto"), F.col("raw")).alias("line")),
-    }[fmt]()
-    out = out.coalesce(1) if single_file else out
-    if fmt == "csv":
-        out.write.mode("errorifexists").option("header", True).option("emptyValue", "").csv(path)
-    else:
-        out.where("line is not null").write.mode("errorifexists").text(path)
+def csv_header(columns: list[str]) -> str:
+    return ",".join(columns)
+
+
+#: Source -> its fields in order. A new field has to be named here to be exported.
+FIELDS = {"raw": RAW_FIELDS, "_log": AUDIT_FIELDS}
+FORMATS = ("candump", "csv", "ndjson")
+#: Status of an export that left something out.
+INCOMPLETE = 2
+
+
+@dataclass
+class Request:
+    """What to export; a combination that has no meaning is refused before anything is read."""
+
+    source: str = "raw"
+    fmt: str = "ndjson"
+    proto: str | None = None
+    application: str | None = None
+    since: date = FIRST_DAY
+    until: date = LAST_DAY
+
+    def __post_init__(self) -> None:
+        if self.source not in FIELDS or self.fmt not in FORMATS:
+            raise ValueError(f"no such source or format: {self.source!r}, {self.fmt!r}")
+        if self.proto and self.source != "raw":
+            raise ValueError("proto applies to captured records only; audit entries have none")
+        if self.application and self.source != "_log":
+            raise ValueError("application applies to audit entries only; captured records have none")
+        if self.fmt == "candump":
+            # A line is one CAN frame, so only that protocol is read at all.
+            if self.source != "raw" or self.proto not in (None, "n2k"):
+                raise ValueError("candump lines are CAN frames: captured records of protocol n2k")
+            self.proto = "n2k"
+
+    def file_name(self, now: datetime | None = None) -> str:
+        now = now or datetime.now(timezone.utc)
+        return f"{now:%Y%m%dT%H%M%SZ}-{self.proto or self.application or self.source}.{self.fmt}"
+
+
+@dataclass
+class Outcome:
+    """objects_failed: (key, reason) of objects that could not be read and are left out whole; rows_refused: rows that have no such line."""
+
+    objects_read: int
+    objects_failed: list[tuple[str, str]]
+    rows_written: int
+    rows_refused: int
+
+    @property
+    def status(self) -> int:
+        return INCOMPLETE if self.objects_failed or self.rows_refused else 0
+
+
+def read_source(spark: SparkSession, root: str, request: Request) -> tuple[DataFrame, DataFrame]:
+    """Rows in order of object_key and seq, and the objects (key, path, rows, error) that were to be read."""
+    if request.source == "raw":
+        objects = check_objects(spark, listed(spark, root, request.since, request.until, request.proto))
+        # Objects are read through once before: one that breaks off in the middle is left out whole. Their states are few and small.
+        states = objects.persist()
+        good = states.where("error is null").select(F.col("key").alias("object_key"))
+        rows = read_objects(spark, folders(spark, root, request.since, request.until), object_glob(request.proto), "keep")
+        return rows.drop("_corrupt").join(good, "object_key", "left_semi"), states
+    base = f"{root.rstrip('/')}/_log"
+    paths = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).load(base)
+    keyed = paths.select(F.concat(F.lit("_log/"), F.regexp_extract("path", r"/_log/(.*)$", 1)).alias("key"), "path", F.col("content").cast("string").alias("text"))
+    kept = prune_log_keys(keyed, request.since, request.until, request.application).select("key", "path", "text")
+    entry = F.from_json("text", AUDIT, {"columnNameOfCorruptRecord": "_bad"})
+    parsed = kept.select("key", "path", entry.alias("e"))
+    whole = F.col("e").isNotNull() & F.col("e.timestamp").isNotNull()
+    states = parsed.select("key", "path", F.lit(1).cast("long").alias("rows"), F.when(~whole, "no audit entry").alias("error")).persist()
+    return parsed.where(whole).select("e.*", F.col("key").alias("object_key"), F.lit(0).cast("long").alias("seq")), states
+
+
+def lines(rows: DataFrame, request: Request) -> DataFrame:
+    """rows with their line in the format; null where a row has none."""
+    columns = list(FIELDS[request.source])
+    if request.fmt == "candump":
+        return rows.withColumn("line", candump_line(utc_timestamp(F.col("ts")), F.col("src"), F.col("proto"), F.col("raw")))
+    if request.fmt == "csv":
+        return rows.withColumn("line", csv_text(rows, columns))
+    return rows.withColumn("line", ndjson_line(columns))
+
+
+def export(spark: SparkSession, root: str, output: str, request: Request) -> Outcome:
+    """Write what is asked for as one file, in order of objects and rows; it appears whole or not at all.
+
+    Parts are written in parallel beside it and put together as streams of bytes.
+    """
+    rows, states = read_source(spark, root, request)
+    seen = Observation()
+    # Counted after the sort, whose sampling reads rows twice.
+    made = lines(rows, request).select("object_key", "seq", "line").orderBy("object_key", "seq")
+    made = made.observe(seen, F.count_if(F.col("line").isNull()).alias("refused"), F.count("line").alias("written"))
+    ending = "\r\n" if request.fmt == "csv" else "\n"
+    parts = f"{output}.parts-{uuid.uuid4().hex}"
+    try:
+        made.where("line is not null").select("line").write.option("lineSep", ending).text(parts)
+        header = csv_header(list(FIELDS[request.source])) + ending if request.fmt == "csv" else ""
+        put_together(spark, parts, output, header.encode())
+    finally:
+        store.Files(spark, parts).remove("")
+    failed = [(r["key"], r["error"]) for r in states.where("error is not null").orderBy("key").toLocalIterator()]
+    read = states.where("error is null").count()
+    states.unpersist()
+    counts = store.counts_of(seen)
+    return Outcome(read, failed, counts.get("written", 0), counts.get("refused", 0))
+
+
+def put_together(spark: SparkSession, parts: str, output: str, header: bytes) -> None:
+    files, stream = store.Files(spark, parts), None
+    folder, name = output.rsplit("/", 1)
+    target = store.Files(spark, folder)
+    part = f"{name}.part"
+    stream = target.fs.create(target.path(part), True)
+    try:
+        stream.write(header)
+        for n in files.names():
+            if n.startswith("part-"):
+                source = files.fs.open(files.path(n))
+                try:
+                    files.jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, stream, 1 << 20, False)
+                finally:
+                    source.close()
+    except BaseException:
+        stream.close()
+        target.remove(part)
+        raise
+    stream.close()
+    target.remove(name)
+    if not target.fs.rename(target.path(part), target.path(name)):
+        raise OSError(f"{output} could not be put in place")

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+import secrets
+from collections.abc import Iterator
+from datetime import date, datetime, timedelta, timezone
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .archive import build_key, content_id, record_line
+from . import audit
+from .archive import earliest_day, refuse_naive, write_objects
 
+APPLICATION = "tidewake-import"
 #: Rows that a database sends at a time.
 FETCH_ROWS = 20_000
 
@@ -20,25 +25,77 @@ def read_table(spark: SparkSession, url: str, table: str, days: list[date], prop
 
 
 def day_scan(table: DataFrame, since: date, until: date, devices: list[str] | None = None) -> DataFrame:
-    """Rows received from since to until, both days included, of the named devices, as records; naive times count as UTC."""
+    """Rows received from since to until, both days included, of the named devices, as records. Times without a zone are refused."""
+    refuse_naive(table, "received_at")
     rows = table.where((F.col("received_at") >= F.lit(since)) & (F.col("received_at") < F.lit(until + timedelta(days=1))))
     rows = rows.where(F.col("device_id").isin(devices)) if devices else rows
     return rows.select(
-        F.col("received_at").cast("timestamp").alias("ts"), F.lit(None).cast("double").alias("mono"), "device_id", F.col("source_ip").alias("src"),
+        F.col("received_at").alias("ts"), F.lit(None).cast("double").alias("mono"), "device_id", F.col("source_ip").alias("src"),
         F.lit("n0183").alias("proto"), F.col("raw_data").alias("raw"), "sentence_type",
     )
 
 
-def day_objects(records: DataFrame) -> DataFrame:
-    """One row a day: day, key, cid, rows. Lines are hashed in a total order, so the same rows always give the same key.
+#: A total order of all that reaches a line, nulls last: the same rows always make the same object.
+ORDER = ("ts", "device_id", "raw", "sentence_type", "src")
 
-    A day's lines make one object, which bounds a group by a day of one archive.
+
+def day_objects(records: DataFrame, root: str | None = None) -> DataFrame:
+    """One row a day: day, key, rows, cid, state; with a root, each day's object is written there unless it is there. A day is streamed through one task."""
+    order = [F.col(c).asc_nulls_last() for c in ORDER]
+    return write_objects(records.withColumn("day", F.to_date("ts")), root, ["day"], order)
+
+
+def import_days(
+    spark: SparkSession, table: DataFrame, root: str, since: date | None = None, until: date | None = None, devices: list[str] | None = None,
+    live: bool = False, lag_seconds: int = 300, now: datetime | None = None, name: str = "legacy",
+) -> list[dict]:
+    """Bring the archive up to date with a legacy table: day, state, rows of each day that has ended lag_seconds ago.
+
+    Without live nothing is written, and days that would be are marked upload. A live run that
+    touches the archive writes an audit entry before and after, paired by a run_id; the
+    second one whatever happens.
     """
-    line = record_line(*(F.col(c) for c in ("ts", "mono", "device_id", "src", "proto", "raw")))
-    rank = F.struct("ts", "device_id", "raw", "sentence_type", "src", line.alias("line"))
-    days = records.groupBy(F.to_date("ts").alias("day")).agg(F.sort_array(F.collect_list(rank)).alias("_lines"), F.count("*").alias("rows"), F.min("ts").alias("first"))
-    cid = content_id(F.transform("_lines", lambda x: x["line"]))
-    return days.select("day", build_key(F.lit("n0183"), F.col("day"), F.date_format("first", "HHmmss"), cid).alias("key"), cid.alias("cid"), "rows")
+    now = now or datetime.now(timezone.utc)
+    first = since or earliest_day(table)
+    last = (now - timedelta(seconds=lag_seconds)).date() - timedelta(days=1)
+    last = min(until, last) if until else last
+    if first is None or first > last:
+        return []
+    run = {"run_id": secrets.token_hex(4), "since": str(first), "until": str(last), "table": name, "proto": "n0183"}
+    if live:
+        audit.write_safely(root, APPLICATION, 0, f"import started: {first} to {last}", {"event": "start", **run})
+    done: dict[date, dict] = {}
+    failure: BaseException | None = None
+    try:
+        objects = day_objects(day_scan(table, first, last, devices), root if live else None)
+        if not live:
+            objects = reconcile_files(objects, root)
+        done = {r["day"]: {"day": r["day"], "state": r["state"], "rows": r["rows"], "key": r["key"]} for r in objects.collect()}
+    except BaseException as e:
+        failure = e
+        raise
+    finally:
+        if live:
+            uploaded = sum(d["state"] == "uploaded" for d in done.values())
+            text = f"import failed: {failure}" if failure else f"import finished: {uploaded} of {(last - first).days + 1} days uploaded"
+            audit.write_safely(root, APPLICATION, 1 if failure else 0, text, {"event": "end", "days_uploaded": uploaded, "row_count": sum(d["rows"] for d in done.values()), **run})
+    days = (first + timedelta(days=k) for k in range((last - first).days + 1))
+    return [done.get(d, {"day": d, "state": "empty", "rows": 0, "key": None}) for d in days]
+
+
+def reconcile_files(objects: DataFrame, root: str) -> DataFrame:
+    """objects with state up-to-date where the archive has an object of that key; each is asked for by its name."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, place = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        for batch in batches:
+            found = [store.get_file_info(f"{place}/{k}").type.name != "NotFound" for k in batch.column("key").to_pylist()]
+            state = pa.array(["up-to-date" if f else s for f, s in zip(found, batch.column("state").to_pylist(), strict=True)], pa.string())
+            yield batch.set_column(batch.schema.get_field_index("state"), "state", state)
+
+    return objects.mapInArrow(run, objects.schema)
 
 
 def reconcile(objects: DataFrame, existing: DataFrame, days: DataFrame | None = None) -> DataFrame:
