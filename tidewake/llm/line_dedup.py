@@ -627,7 +627,7 @@ def line_links(spark: SparkSession, found: DataFrame, sets: DataFrame) -> DataFr
 
 
 def line_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, class_id, copies, links, removed for each line with a word."""
+    """doc_id, line_no, class_doc, class_line, copies, links, removed for each line with a word; class_id, class_mark: the class's hashes."""
     small_batches(spark)
     ranks = spark.sparkContext.broadcast(rarity_ranks(docs))
     table = materialize(spark, line_table(docs, ranks), "lines")
@@ -648,8 +648,9 @@ def line_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     judged = classes.join(links, key, "left").select(*key, "first", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce(F.col("near") < F.col("first"), F.lit(False)).alias("late"))
     judged = materialize(spark, judged, "line-links")
     removed = (position() > F.col("first")) | F.col("late")
+    named = F.when(F.col("first.doc_id") != NULL_ID, F.col("first.doc_id"))
     out = join_facts(lines, judged, key, "copies", lines.count())
-    return out.select(F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), "line_no", F.col("class").alias("class_id"), "copies", "links", removed.alias("removed"), F.col("signature").alias("class_mark"))
+    return out.select(F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), "line_no", named.alias("class_doc"), F.col("first.line_no").alias("class_line"), "copies", "links", removed.alias("removed"), F.col("class").alias("class_id"), F.col("signature").alias("class_mark"))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -682,4 +683,5 @@ def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_classes(spark, spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("class_mark")
+    """A class is named by the place of its first line."""
+    return line_classes(spark, spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("class_id", "class_mark")
