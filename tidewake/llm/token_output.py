@@ -75,9 +75,11 @@ def write_shards(spark: SparkSession, docs: DataFrame, vocabulary: str, folder:
 
 
 def read_shards(spark: SparkSession, manifest: DataFrame) -> DataFrame:
-    """RESULT for each document of the shards. The manifest has a row per file, so one task may sum it."""
-    before = Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1)
-    placed = manifest.select("path", "n_ids", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("first"))
+    """RESULT for each document of the shards. Places are summed within parts, and over the parts' sums, a row a task that wrote."""
+    earlier = lambda w: F.coalesce(F.sum("n_ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = manifest.groupBy("part").agg(F.sum("n_ids").alias("n_ids")).select("part", earlier(Window.orderBy("part")).alias("_before"))
+    within = manifest.withColumn("_within", earlier(Window.partitionBy("part").orderBy("shard")))
+    placed = within.join(parts, "part").select("path", (F.col("_before") + F.col("_within")).alias("first"))
     files = spark.sparkContext.defaultParallelism * 4
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
