@@ -1,9 +1,11 @@
-"""Command lines: export, update, import, follow.
+"""Command lines: export, update, import, follow, capture, replay.
 
     python -m tidewake.commands export --root URI [--source raw|_log] [--format ndjson|csv|candump] [-o PATH]
     python -m tidewake.commands update --root URI --table URI [--since DAY] [--until DAY] [--proto NAME] [--rebuild] [--dry-run]
     python -m tidewake.commands import --root URI --jdbc URL --table NAME [--live]
     python -m tidewake.commands follow --root URI --table URI --checkpoint URI [--every "30 seconds"]
+    python -m tidewake.commands capture --root URI --host NAME --port N --device-id NAME [--every "300 seconds"]
+    python -m tidewake.commands replay --root URI --spool FOLDER [--limit BYTES]
 
 Status: 0 done; 2 an export that left something out; 75 stopped for now, run again to go on.
 """
@@ -19,7 +21,7 @@ from pyspark.sql import SparkSession
 
 from .operators import merge
 from .plans import derive, store
-from .sources import archive, audit, export, legacy
+from .sources import archive, audit, export, legacy, spool
 
 INCOMPLETE, TRY_LATER = export.INCOMPLETE, 75
 UPDATE = "tidewake-update"
@@ -36,7 +38,7 @@ def say(text: str) -> None:
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="tidewake", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     tools = out.add_subparsers(dest="tool", required=True)
-    every = {name: tools.add_parser(name) for name in ("export", "update", "import", "follow")}
+    every = {name: tools.add_parser(name) for name in ("export", "update", "import", "follow", "capture", "replay")}
     for tool in every.values():
         tool.add_argument("--root", required=True, help="where the archive is")
     for name in ("export", "update", "import"):
@@ -64,6 +66,14 @@ def parser() -> argparse.ArgumentParser:
     f = every["follow"]
     f.add_argument("--checkpoint", required=True)
     f.add_argument("--every")
+    c = every["capture"]
+    c.add_argument("--host", required=True)
+    c.add_argument("--port", type=int, required=True)
+    c.add_argument("--device-id", required=True)
+    c.add_argument("--every", default="300 seconds")
+    r = every["replay"]
+    r.add_argument("--spool", required=True)
+    r.add_argument("--limit", type=int, help="bytes that may wait; the oldest files beyond go first")
     return out
 
 
@@ -117,10 +127,45 @@ def run_follow(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
+def run_capture(spark: SparkSession, args: argparse.Namespace) -> int:
+    """Until it is stopped; a lost connection is tried again."""
+    from .streaming import capture, ingest
+
+    ingest.supervised(lambda: capture.capture(spark, args.host, args.port, args.root, args.device_id, args.every))
+    return 0
+
+
+def run_replay(args: argparse.Namespace) -> int:
+    waiting = spool.Spool(args.spool)
+    if args.limit is not None and (gone := waiting.evict(args.limit)):
+        say(f"{gone} rows dropped to stay under {args.limit} bytes")
+    got = waiting.replay(args.root)
+    say(f"{got.sent} objects sent, {got.left} left" + f": {got.error}" * bool(got.error))
+    return TRY_LATER if got.error else 0
+
+
+#: Public settings of object-store clients: attempts, and waits that grow.
+STORE_SETTINGS = {
+    "spark.hadoop.fs.s3a.attempts.maximum": "4",
+    "spark.hadoop.fs.s3a.retry.limit": "4",
+    "spark.hadoop.fs.s3a.retry.interval": "2s",
+    "spark.hadoop.fs.s3a.connection.establish.timeout": "30s",
+}
+
+
+def session(name: str) -> SparkSession:
+    builder = SparkSession.builder.appName(f"tidewake-{name}").config("spark.sql.session.timeZone", "UTC")
+    for key, value in STORE_SETTINGS.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName(f"tidewake-{args.tool}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    return {"export": run_export, "update": run_update, "import": run_import, "follow": run_follow}[args.tool](spark, args)
+    if args.tool == "replay":
+        return run_replay(args)
+    tools = {"export": run_export, "update": run_update, "import": run_import, "follow": run_follow, "capture": run_capture}
+    return tools[args.tool](spark or session(args.tool), args)
 
 
 if __name__ == "__main__":

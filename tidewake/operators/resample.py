@@ -59,6 +59,11 @@ def keep_newest(table: DataFrame, size: str, limit: int, order: list[Column], by
     return table.withColumn("kept", F.sum(size).over(w) <= limit)
 
 
+def evictions(kept: DataFrame, by: list[str] = ()) -> DataFrame:
+    """For each group, or in all: rows kept, and rows dropped because a buffer was full."""
+    return kept.groupBy(*by).agg(F.count_if("kept").alias("kept"), F.count_if(~F.col("kept")).alias("dropped"))
+
+
 def closed_days(days: DataFrame, now: Column, lag_seconds: int = 300, day: str = "day") -> DataFrame:
     """Days that had ended lag_seconds ago."""
     return days.where(F.col(day) < F.to_date(now - F.make_dt_interval(secs=F.lit(lag_seconds))))

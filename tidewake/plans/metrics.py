@@ -73,6 +73,11 @@ def resolve(table: DataFrame, chains: dict[str, tuple[str, ...]] | None = None)
     return table.select("ts", *((code(resolved(table, c)) if q in CODES else resolved(table, c)).alias(q) for q, c in chains.items()))
 
 
+def define_view(name: str, table: DataFrame, calibrations: DataFrame, sessions: DataFrame, segments: DataFrame) -> None:
+    """The view under a name in SQL; it is computed where it is read, with the bounds that are asked for."""
+    metrics(table, calibrations, sessions, segments).createOrReplaceTempView(name)
+
+
 def metrics(table: DataFrame, calibrations: DataFrame, sessions: DataFrame, segments: DataFrame) -> DataFrame:
     """The view. calibrations: cal_id, effective_from, param_name, param_value; sessions: session_id, name, type, t_start,
     t_end; segments: seg_id, session_id, no, leg_type, mainsail, headsail, t_start, t_end."""

@@ -13,6 +13,7 @@ from ..functions.times import iso_utc, utc_timestamp
 from ..operators import merge, resample
 from ..schema import APPLICATION, COLUMN, PROTO, RAW_FIELDS
 from ..sources import archive, audit, export, legacy
+from ..streaming import capture
 from .tables import events, plain, registered
 
 QUERIES: dict = {}
@@ -119,6 +120,23 @@ def buffer_evict(spark: SparkSession, d: str) -> DataFrame:
     return resample.keep_newest(sized, "size", 500, [F.desc("ts"), F.desc("event_id")], ["user_id"]).select("user_id", "event_id", "kept")
 
 
+@registered(QUERIES, ORACLES, """WITH k AS (SELECT user_id, sum(length(props)) OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC ROWS UNBOUNDED PRECEDING) <= 500 AS kept FROM events)
+SELECT user_id, count(*) FILTER (kept) AS kept, count(*) FILTER (NOT kept) AS dropped FROM k GROUP BY user_id""")
+def buffer_dropped(spark: SparkSession, d: str) -> DataFrame:
+    """What a full buffer drops is counted."""
+    sized = events(spark, d).withColumn("size", F.length("props"))
+    return resample.evictions(resample.keep_newest(sized, "size", 500, [F.desc("ts"), F.desc("event_id")], ["user_id"]), ["user_id"])
+
+
+@registered(QUERIES, ORACLES, f"""SELECT event_id, epoch_us(ts) AS micros, CASE WHEN event_id % 4 = 0 THEN 'unknown' ELSE 'can0' END AS src, lpad(lower(printf('%x', event_id)), 8, '0') || '#00ff' AS raw FROM events WHERE event_id % 7 <> 3""")
+def capture_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of a live bus to records and back to what they were; lines out of form give none."""
+    r = records(spark, d)
+    line = export.candump_line(F.col("ts"), F.col("src"), F.col("proto"), F.col("raw"))
+    got = r.select("event_id", capture.candump_fields(F.when(F.col("event_id") % 7 == 3, F.concat(line, F.lit("0"))).otherwise(line)).alias("f"))
+    return got.where("f is not null").select("event_id", F.unix_micros("f.ts").alias("micros"), "f.src", "f.raw")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A folder of its own in the shared folder; a temporary one in local mode only, where none is set, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

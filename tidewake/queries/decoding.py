@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import decode
 from ..functions import bits, measures, sentences
 from ..operators import fast_packet as fast
 from ..operators import n0183, n2k
@@ -186,6 +187,19 @@ def can_flags(spark: SparkSession, d: str) -> DataFrame:
     return found.where("can_id is not null")
 
 
+@registered(QUERIES, ORACLES, f"""WITH b AS (SELECT event_id, {MWV_BODY} AS body, event_id % 9 AS n FROM events)
+SELECT event_id, 'n2k' AS proto, (2 << 26) + (129026 << 8) + user_id % 256 AS can_id, CAST(129026 AS INT) AS pgn, CAST(event_id % 9 AS INT) AS bytes, CAST(NULL AS VARCHAR) AS sentence_type, CAST(NULL AS BOOLEAN) AS checksum_ok FROM events WHERE event_id % 2 = 0
+UNION ALL SELECT event_id, 'n0183', NULL, NULL, NULL, 'MWV', event_id % 4 <> 0 FROM b WHERE event_id % 2 = 1""")
+def decode_api(spark: SparkSession, d: str) -> DataFrame:
+    """Each record by its protocol's decoder."""
+    k = F.col("event_id")
+    frames = events(spark, d).where(k % 2 == 0).select("event_id", decode.DECODERS["n2k"](can_raw(129026, F.expr("repeat('ab', cast(event_id % 9 as int))"))).alias("f"))
+    texts = built(spark, d, mwv(), k % 4 == 0).where(k % 2 == 1).select("event_id", decode.DECODERS["n0183"](F.col("raw")).alias("s"))
+    none = lambda kind: F.lit(None).cast(kind)
+    one = frames.select("event_id", F.lit("n2k").alias("proto"), "f.can_id", "f.pgn", F.octet_length("f.payload").alias("bytes"), none("string").alias("sentence_type"), none("boolean").alias("checksum_ok"))
+    return one.unionByName(texts.select("event_id", F.lit("n0183").alias("proto"), none("long").alias("can_id"), none("int").alias("pgn"), none("int").alias("bytes"), "s.sentence_type", "s.checksum_ok"))
+
+
 def course_raw() -> Column:
     """A frame of course and speed for each event; every sixth has no speed."""
     k = F.col("event_id")

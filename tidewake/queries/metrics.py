@@ -203,12 +203,16 @@ FROM k LEFT JOIN sessions s ON k.ts >= s.t_start AND k.ts < coalesce(s.t_end, TI
 
 
 def full_view(spark: SparkSession, d: str) -> DataFrame:
+    return view.metrics(*view_tables(spark, d))
+
+
+def view_tables(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
     s = sessions(spark, d)
     n = F.explode(F.sequence(F.lit(0), F.lit(3)))
     cut = s.select("session_id", "t_start", n.alias("no"))
     legs = cut.select((F.col("session_id") * 10 + F.col("no")).alias("seg_id"), "session_id", "no", F.concat(F.lit("leg "), "no").alias("leg_type"), F.lit("full").alias("mainsail"), F.lit("jib").alias("headsail"), *(F.timestamp_micros(F.unix_micros("t_start") + (F.col("no") + k) * 7_200_000_000).alias(c) for k, c in ((0, "t_start"), (1, "t_end"))))
     factors = calibrations(spark, d).withColumn("param_name", F.lit(view.SPEED_FACTOR))
-    return view.metrics(wide(spark, d), factors, s, legs)
+    return wide(spark, d), factors, s, legs
 
 
 def shown(v: DataFrame) -> DataFrame:
@@ -224,7 +228,7 @@ def metrics_view(spark: SparkSession, d: str) -> DataFrame:
 @registered(QUERIES, ORACLES, CALIBRATED + " WHERE k.ts >= TIMESTAMP '2024-01-10' AND k.ts < TIMESTAMP '2024-01-11'")
 def metrics_windowed(spark: SparkSession, d: str) -> DataFrame:
     """A day of the view through a temporary view: the bounds reach the scan."""
-    full_view(spark, d).createOrReplaceTempView("tidewake_metrics")
+    view.define_view("tidewake_metrics", *view_tables(spark, d))
     return shown(spark.sql("SELECT * FROM tidewake_metrics WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-11 00:00:00'"))
 
 

@@ -1,0 +1,115 @@
+"""A bounded folder of objects that wait for the archive: whole files, oldest out first.
+
+Names are those of the archive's keys in one level, so a file is its own instruction:
+sending it again gives the same object. Nothing here starts Spark.
+"""
+
+from __future__ import annotations
+
+import gzip
+import hashlib
+import re
+import uuid
+from dataclasses import dataclass
+from datetime import datetime
+
+NAME = re.compile(r"disk\.([0-9]{4})([0-9]{2})([0-9]{2})_(.+\.ndjson\.gz)")
+
+
+def key_of(name: str) -> str:
+    """The archive key of a file of this folder."""
+    m = NAME.fullmatch(name)
+    if not m:
+        raise ValueError(f"no spool file: {name!r}")
+    return f"raw/{m[1]}/{m[2]}/{m[3]}/{m[4]}"
+
+
+@dataclass
+class Replayed:
+    sent: int
+    left: int
+    error: str | None
+
+
+class Spool:
+    def __init__(self, folder: str):
+        from pyarrow import fs
+
+        self.store, self.place = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        self.store.create_dir(self.place, recursive=True)
+
+    def files(self) -> list:
+        """The waiting files, oldest first."""
+        from pyarrow import fs
+
+        found = self.store.get_file_info(fs.FileSelector(self.place))
+        return sorted((f for f in found if NAME.fullmatch(f.base_name)), key=lambda f: f.base_name)
+
+    def size(self) -> int:
+        return sum(f.size for f in self.files())
+
+    def rows(self, name: str | None = None) -> int:
+        return sum(self.data(f.base_name).count(b"\n") for f in self.files() if name in (None, f.base_name))
+
+    def data(self, name: str) -> bytes:
+        with self.store.open_input_stream(f"{self.place}/{name}", compression=None) as f:
+            return gzip.decompress(f.read())
+
+    def put(self, lines: list[str], proto: str, first: datetime) -> str:
+        """Lines as one object; its name. A file of that name is that object already."""
+        text = "".join(x + "\n" for x in lines).encode()
+        name = f"disk.{first:%Y%m%d_%H%M%S}-{proto}-{hashlib.sha256(text).hexdigest()[:16]}.ndjson.gz"
+        if name not in {f.base_name for f in self.files()}:
+            part = f"{self.place}/part-{uuid.uuid4().hex}"
+            with self.store.open_output_stream(part, compression=None) as out:
+                out.write(gzip.compress(text, 9, mtime=0))
+            self.store.move(part, f"{self.place}/{name}")
+        return name
+
+    def evict(self, limit: int) -> int:
+        """Remove the oldest files until the rest fits limit bytes; the rows that went with them."""
+        files, gone = self.files(), 0
+        size = sum(f.size for f in files)
+        for f in files:
+            if size <= limit:
+                break
+            gone += self.rows(f.base_name)
+            self.store.delete_file(f.path)
+            size -= f.size
+        return gone
+
+    def replay(self, root: str) -> Replayed:
+        """Send the files to the archive, oldest first, and stop at the first that fails: order is kept, nothing is lost."""
+        from pyarrow import fs
+
+        target, place = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        files = self.files()
+        for n, f in enumerate(files):
+            try:
+                upload(target, f"{place}/{key_of(f.base_name)}", gzip.compress(self.data(f.base_name), 9, mtime=0))
+            except (OSError, EOFError) as e:
+                return Replayed(n, len(files) - n, str(e))
+            self.store.delete_file(f.path)
+        return Replayed(len(files), 0, None)
+
+
+def upload(store, path: str, data: bytes) -> None:
+    store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    part = f"{path}.part-{uuid.uuid4().hex}"
+    with store.open_output_stream(part, compression=None) as out:
+        out.write(data)
+    store.move(part, path)
+
+
+def keep(spool: Spool, root: str, lines: list[str], proto: str, first: datetime) -> str:
+    """Lines into the spool; where that cannot be written, right into the archive. The key."""
+    try:
+        return key_of(spool.put(lines, proto, first))
+    except OSError:
+        from pyarrow import fs
+
+        text = "".join(x + "\n" for x in lines).encode()
+        key = f"raw/{first:%Y/%m/%d/%H%M%S}-{proto}-{hashlib.sha256(text).hexdigest()[:16]}.ndjson.gz"
+        target, place = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        upload(target, f"{place}/{key}", gzip.compress(text, 9, mtime=0))
+        return key
