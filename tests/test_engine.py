@@ -57,6 +57,7 @@ def wide_row(spark, rows, interval="1s"):
     return {k: v for k, v in row.asDict().items() if k != "ts" and v is not None}
 
 
+# Frames and sentences as instruments send them.
 def test_vendor_frames(spark):
     rows = [("n2k", r) for r in ("1dff0823#00067d994220ec01", "1dff0823#40067d994a200d6e", "1dff0823#80067d994e200a03", "1dff0823#c0067d99522087c5")]
     assert decoded(spark, rows) == {"n2k_bandg_raw_bsp": 492, "n2k_bandg_raw_heading": 28173, "n2k_bandg_raw_wind_s": 778, "n2k_bandg_raw_wind_a": -14969}

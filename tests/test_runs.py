@@ -236,11 +236,12 @@ def test_import_refuses_naive_times_and_ends_its_entry(spark, tmp_path, monkeypa
     assert sorted((e["exit_code"], e["details"]["event"]) for e in ends) == [(0, "start"), (1, "end")]
 
 
-def test_commands(spark, tmp_path, capsys):
+def test_commands(spark, tmp_path, capsys, monkeypatch):
+    monkeypatch.setattr(commands, "BATCH_OBJECTS", 2)
     root, table = small_archive(tmp_path, corrupt=False), f"file://{tmp_path}/table"
     update = ["update", "--root", root, "--table", table, "--until", "2024-01-03"]
     assert commands.main([*update, "--dry-run"], spark) == 0 and store.current(spark, table) is None
-    assert commands.main(update, spark) == 0
+    assert commands.main([*update, "--rebuild"], spark) == 0 and "3 objects" in capsys.readouterr().err
     assert {r.key[-27:-10]: r.rows for r in derive.read_ledger(spark, table).collect()}.keys() == {"-0000000000000002", "-0000000000000003", "-00000000000000ee"}
     with store.locked(spark, table):
         assert commands.main(update, spark) == 0 and "not running" in capsys.readouterr().err

@@ -15,6 +15,7 @@ from __future__ import annotations
 import argparse
 import sys
 from datetime import date, datetime, timezone
+from itertools import islice
 
 from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
@@ -25,6 +26,8 @@ from .sources import archive, audit, export, legacy, spool
 
 INCOMPLETE, TRY_LATER = export.INCOMPLETE, 75
 UPDATE = "tidewake-update"
+#: Objects that one update takes: names that the driver holds, and work that a stop repeats at most.
+BATCH_OBJECTS = 10_000
 
 
 def day(text: str) -> date:
@@ -95,9 +98,14 @@ def run_update(spark: SparkSession, args: argparse.Namespace) -> int:
         keys = archive.listed(spark, args.root, since, until, args.proto)
         manifest = store.current(spark, args.table)
         known = None if args.rebuild or manifest is None else derive.read_ledger(spark, args.table, manifest)
-        # Only objects that the ledger does not have are opened.
-        fresh = [r["path"] for r in (keys if known is None else merge.not_in_ledger(keys, known)).select("path").toLocalIterator()]
-        got = derive.update(spark, archive.read_objects(spark, fresh), keys, args.table, args.bucket, args.rebuild, args.dry_run)
+        # Only objects that the ledger does not have are opened, oldest first; each batch is done when it is written.
+        fresh = (keys if known is None else merge.not_in_ledger(keys, known)).orderBy("key").toLocalIterator()
+        got = {"objects": 0, "rows": 0, "dropped": 0, "columns_added": []}
+        while batch := list(islice(fresh, BATCH_OBJECTS)):
+            own = spark.createDataFrame([(r["key"],) for r in batch], "key string")
+            first = not got["objects"]
+            one = derive.update(spark, archive.read_objects(spark, [r["path"] for r in batch]), own, args.table, args.bucket, args.rebuild and first, args.dry_run)
+            got = {k: sorted({*got[k], *v}) if k == "columns_added" else got[k] + v for k, v in one.items()}
     except store.Busy as e:
         say(f"not running: {e}")
         return 0
