@@ -74,8 +74,11 @@ def join_facts(rows: DataFrame, facts: DataFrame, keys: list[str], count: str, t
 
     Keys with over a thousandth of all rows are HOT_KEYS at most: their facts are
     broadcast, so their rows stay where they are. The others are joined by key.
+    facts is a stored table, so to look for such keys is cheap.
     """
     hot = F.col(count) > max(HOT_ROWS, total // HOT_KEYS)
+    if not facts.where(hot).limit(1).count():
+        return rows.join(facts, keys)
     few = F.broadcast(facts.where(hot))
     return rows.join(few, keys).unionByName(rows.join(few.select(*keys), keys, "left_anti").join(facts.where(~hot), keys))
 

@@ -6,23 +6,36 @@ no join. Whatever passes is still joined: the filter never decides alone.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: At most 2^28 bits, 32 MB.
-MAX_BITS = 28
+#: At most 2^28 bits, 32 MB; bits that one task puts together.
+MAX_BITS, CHUNK_BITS = 28, 17
 
 
 def sieve_of(values: DataFrame, column: str, n: int) -> np.ndarray:
-    """For about n values of a column of 64-bit hashes; only its words come to the driver, at most 2^(MAX_BITS - 5)."""
-    bits = min(MAX_BITS, max(12, (16 * n).bit_length()))
+    """For about n values of a column of 64-bit hashes. Its bits come to the driver in chunks of 16 KB, 2^(MAX_BITS - CHUNK_BITS) of them at most."""
+    bits = min(MAX_BITS, max(CHUNK_BITS, (16 * n).bit_length()))
     h = F.col(column)
     place = F.explode(F.array(h.bitwiseAND((1 << bits) - 1), F.shiftrightunsigned(h, 64 - bits)))
-    words = values.select(place.alias("p")).groupBy(F.shiftright("p", 5).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 31 as int))")).alias("b"))
+    places = values.select(place.alias("p")).select(F.shiftright("p", CHUNK_BITS).cast("int").alias("chunk"), F.col("p").bitwiseAND((1 << CHUNK_BITS) - 1).cast("int").alias("p"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            chunk, p = batch.column("chunk").to_numpy(), batch.column("p").to_numpy()
+            for k in np.unique(chunk).tolist():
+                held.setdefault(k, np.zeros(1 << CHUNK_BITS, bool))[p[chunk == k]] = True
+        yield pa.record_batch({"chunk": pa.array(list(held), pa.int32()), "bits": pa.array([np.packbits(x, bitorder="little").tobytes() for x in held.values()], pa.binary())})
+
     out = np.zeros(1 << (bits - 5), np.uint32)
-    for w, b in words.toLocalIterator():
-        out[w] = b
+    size = 1 << (CHUNK_BITS - 5)
+    for r in places.repartition("chunk").mapInArrow(run, "chunk int, bits binary").toLocalIterator():
+        out[r["chunk"] * size : (r["chunk"] + 1) * size] = np.frombuffer(r["bits"], "<u4")
     return out
 
 
