@@ -39,3 +39,20 @@ longest AS (SELECT * FROM runs WHERE length >= least(size, 10) QUALIFY row_numbe
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(m.n_items, 0) AS n_items, coalesce(m.items_sha256, sha256('')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated,
   coalesce(l.length, 0) AS longest_match, CAST(l.p AS BIGINT) AS match_word, l.item_id AS match_item, CAST(l.q AS BIGINT) AS match_item_word
 FROM docs d LEFT JOIN hits h USING (r) LEFT JOIN named m USING (r) LEFT JOIN longest l USING (r)"""
+
+#: All products of anchors and rows; vectors of the tables have one length.
+HARD_NEGATIVES = """WITH rows AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.r, a.vec_id AS anchor_id, b.r AS other, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS s FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+positives AS (SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY r ORDER BY s DESC, vec_id NULLS LAST, other) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, n.vec_id AS negative_id, p.s AS positive_score, n.s AS negative_score
+FROM positives p JOIN scored n ON n.r = p.r AND NOT n.same AND 80 * p.s <= 100 * n.s AND 100 * n.s <= 100 * p.s
+WINDOW best AS (PARTITION BY p.r, p.other ORDER BY n.s DESC, n.vec_id NULLS LAST, n.other) QUALIFY row_number() OVER best <= 5"""
+
+#: The template adds 24 characters a turn, and a backslash to each control string in a text.
+CHAT_FORMAT = r"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, turn, role, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(role) + length(text) + 24 + len(regexp_extract_all(text, '<\\*\|im_(?:start|end)\|>'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id"""
