@@ -271,7 +271,7 @@ def test_reassembly_state():
 
 
 def test_layout_table_is_bounded():
-    assert len(n2k.layout_rows()) < 100
+    assert len(n2k.layout_rows()) + len(n2k.set_rows()) < 200
 
 
 def test_units_round_half_to_even(spark):

@@ -45,8 +45,10 @@ def reassemble(frames: DataFrame, keys: list[str], order: list[str], payload: st
     here = numbered(frames.withColumn(object_, F.col(rank)), [*keys, object_], order, payload)
     inner = here.where("_message > 0 and _message < _of")
     edges = here.where("_message = 0 or _message = _of").drop("_counter", "_frame", "_message", "_of")
-    over = numbered(edges, keys, order, payload).where("_message > 0").withColumn(object_, F.lit(None).cast(frames.schema[rank].dataType))
-    return assembled(inner.unionByName(over), [*keys, object_, "_counter", "_message"], keys, order, rest, payload)
+    over = numbered(edges, keys, order, payload).where("_message > 0")
+    # Each lies by its own keys already, so neither is shuffled again to be put together.
+    within = assembled(inner, [*keys, object_, "_counter", "_message"], keys, order, rest, payload)
+    return within.unionByName(assembled(over, [*keys, "_counter", "_message"], keys, order, rest, payload))
 
 
 def open_frames(frames: DataFrame, keys: list[str], order: list[str], payload: str = "payload") -> DataFrame:

@@ -58,15 +58,18 @@ def pair(name: str, value: Column) -> Column:
     return F.struct(F.lit(name).alias("field"), value.cast("double").alias("value"))
 
 
+def text_or_null(x: str | None, kind: str) -> str:
+    return f"CAST(NULL AS {kind})" if x is None else f"'{x}'" if kind == "STRING" else str(x)
+
+
 def layout_map() -> Column:
     """Sentence type -> array of its values' layouts, as one constant."""
-    def one(kind: str, v: Value) -> Column:
-        only = v.only or (None, None)
-        parts = {"field": f"{kind}_{v.suffix}".lower(), "place": v.place, "only_place": only[0], "only_text": only[1], "fold": v.fold, "scale": v.scale}
-        kinds = {"only_place": "int", "only_text": "string"}
-        return F.struct(*(F.lit(x).cast(kinds[k]).alias(k) if k in kinds else F.lit(x).alias(k) for k, x in parts.items()))
+    def one(kind: str, v: Value) -> str:
+        place, text = v.only or (None, None)
+        return f"named_struct('field', '{kind}_{v.suffix}', 'place', {v.place}, 'only_place', {text_or_null(place, 'INT')}, 'only_text', {text_or_null(text, 'STRING')}, 'fold', {str(v.fold).lower()}, 'scale', CAST({v.scale!r} AS DOUBLE))"
 
-    return F.create_map(*(x for kind, values in VALUES.items() if values for x in (F.lit(kind), F.array(*(one(kind, v) for v in values)))))
+    rows = ", ".join(f"'{kind.upper()}', array({', '.join(one(kind, v) for v in values)})" for kind, values in ((k.lower(), v) for k, v in VALUES.items()) if values)
+    return F.expr(f"map({rows})")
 
 
 def plain_values(kind: Column, fields: Column) -> Column:
@@ -121,7 +124,9 @@ def chosen(s: Column, ts: Column, strict: bool) -> Column:
 
 def decode(records: DataFrame) -> DataFrame:
     """SAMPLE rows of records (object_key, object_rank, seq, ts, proto, raw) of this protocol; the rest is left."""
-    own = records.where((F.col("proto") == "n0183") & F.col("raw").isNotNull()).withColumn("_s", sentences.sentence(F.col("raw")))
-    pairs = own.select("object_key", "object_rank", "seq", "ts", "proto", F.explode(values_of(F.col("_s"), F.col("ts"))).alias("_p"))
+    own = records.where((F.col("proto") == "n0183") & F.col("raw").isNotNull())
+    # A generator of one row: the sentence is taken apart once, whatever is asked of its parts.
+    cut = own.select("object_key", "object_rank", "seq", "ts", "proto", F.explode(F.array(sentences.sentence(F.col("raw")))).alias("_s"))
+    pairs = cut.select("object_key", "object_rank", "seq", "ts", "proto", F.explode(values_of(F.col("_s"), F.col("ts"))).alias("_p"))
     rank = F.lit(NO_RANK)
     return pairs.select("object_key", "object_rank", "seq", "ts", "proto", "_p.field", "_p.value", rank.alias("prio"), rank.alias("src_addr"))

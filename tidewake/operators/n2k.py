@@ -1,111 +1,31 @@
-"""NMEA 2000 frames to samples, by a table of parameter group layouts."""
+"""NMEA 2000 frames to samples, by a table of parameter group layouts.
+
+Layouts are rows of a small table that is broadcast and joined by group. A payload is
+an array of 64-bit words, lowest bit first, and one expression reads any bits from
+it: a first bit and a width that the joined row gives. Texts of variable length
+move what comes after them, and sets of values repeat; both are places that the same
+expression takes as its first bit.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures
-from ..functions.bits import can_fields, can_identifier, can_payload, le_uint
+from ..functions.bits import bits_at, can_fields, can_identifier, can_payload, payload_words, signed
 from . import fast_packet
 from .fast_packet import reassemble
+from .layouts import CELSIUS, DEG, KN, LAYOUTS, MARINE, VENDOR_GROUP, VENDOR_KEYS, VENDOR_MAKER, Code, Number, Split
 
-DEG, KN, CELSIUS = "deg", "kn", "celsius"
-
-
-@dataclass(frozen=True)
-class Number:
-    """A little-endian number: name, byte offset, bytes, resolution, and what it is turned into."""
-
-    name: str
-    offset: int
-    size: int
-    scale: float = 1.0
-    signed: bool = False
-    unit: str | None = None
-    fold: bool = False
-
-
-@dataclass(frozen=True)
-class Code:
-    """A lookup, stored as its number; known: the greatest code that has a meaning."""
-
-    name: str
-    offset: int
-    shift: int
-    width: int
-    known: int
-
-
-@dataclass(frozen=True)
-class Split:
-    """A discriminator: its text, or number, goes into the column names of the message."""
-
-    key: str
-    offset: int
-    shift: int = 0
-    width: int = 8
-    texts: tuple[tuple[int, str], ...] = ()
-
-
-@dataclass(frozen=True)
-class Layout:
-    values: tuple[Number | Code, ...]
-    splits: tuple[Split, ...] = ()
-    fast: bool = False
-    clock: tuple[int, int] | None = None  # offsets of days and of 0.0001 seconds
-
-
-# Layouts of the public parameter groups.
-DIRECTION = ((0, "True"), (1, "Magnetic"))
-WIND = ((0, "True (ground referenced to North)"), (1, "Magnetic (ground referenced to Magnetic North)"), (2, "Apparent"), (3, "True (boat referenced)"), (4, "True (water referenced)"))
-TEMPERATURE = ((0, "Sea Temperature"), (1, "Outside Temperature"), (2, "Inside Temperature"), (3, "Engine Room Temperature"), (4, "Main Cabin Temperature"))
-PRESSURE = ((0, "Atmospheric"), (1, "Water"), (2, "Steam"), (3, "Compressed Air"), (4, "Hydraulic"))
-CLOCK = ((0, "GPS"), (1, "GLONASS"), (2, "Radio Station"), (3, "Local Cesium clock"), (4, "Local Rubidium clock"), (5, "Local Crystal clock"))
-VARIATION = ((0, "Manual"), (1, "Automatic Chart"), (2, "Automatic Table"), (3, "Automatic Calculation"), (4, "WMM 2000"), (5, "WMM 2005"), (6, "WMM 2010"), (7, "WMM 2015"), (8, "WMM 2020"))
-
-LAYOUTS: dict[int, Layout] = {
-    126992: Layout((), (Split("source", 1, 0, 4, CLOCK),), clock=(2, 4)),
-    127245: Layout((Number("position", 4, 2, 1e-4, True, DEG), Number("angleOrder", 2, 2, 1e-4, True)), (Split("instance", 0),)),
-    127250: Layout((Number("heading", 1, 2, 1e-4, False, DEG), Number("deviation", 3, 2, 1e-4, True), Number("variation", 5, 2, 1e-4, True, DEG)), (Split("reference", 7, 0, 2, DIRECTION),)),
-    127251: Layout((Number("rate", 1, 4, 3.125e-8, True, DEG),)),
-    127257: Layout((Number("yaw", 1, 2, 1e-4, True, DEG), Number("pitch", 3, 2, 1e-4, True, DEG), Number("roll", 5, 2, 1e-4, True, DEG))),
-    127258: Layout((Number("variation", 4, 2, 1e-4, True, DEG),), (Split("source", 1, 0, 4, VARIATION),)),
-    127508: Layout((Number("voltage", 1, 2, 0.01, True), Number("current", 3, 2, 0.1, True), Number("temperature", 5, 2, 0.01, False, CELSIUS)), (Split("instance", 0),)),
-    128000: Layout((Number("leewayAngle", 1, 2, 1e-4, True, DEG),)),
-    128259: Layout((Number("speedWaterReferenced", 1, 2, 0.01, False, KN), Number("speedGroundReferenced", 3, 2, 0.01), Code("speedWaterReferencedType", 5, 0, 8, 4))),
-    128267: Layout((Number("depth", 1, 4, 0.01), Number("offset", 5, 2, 0.001, True))),
-    128275: Layout((Number("log", 6, 4), Number("tripLog", 10, 4)), fast=True),
-    129025: Layout((Number("latitude", 0, 4, 1e-7, True), Number("longitude", 4, 4, 1e-7, True))),
-    129026: Layout((Code("cogReference", 1, 0, 2, 1), Number("cog", 2, 2, 1e-4, False, DEG), Number("sog", 4, 2, 0.01, False, KN))),
-    129029: Layout(
-        (
-            Number("latitude", 7, 8, 1e-16, True), Number("longitude", 15, 8, 1e-16, True), Number("altitude", 23, 8, 1e-6, True),
-            Code("gnssType", 31, 0, 4, 8), Code("method", 31, 4, 4, 8), Code("integrity", 32, 0, 2, 2),
-            Number("numberOfSvs", 33, 1), Number("hdop", 34, 2, 0.01, True), Number("pdop", 36, 2, 0.01, True),
-        ), fast=True, clock=(1, 3),
-    ),
-    129291: Layout((Code("setReference", 1, 0, 2, 1), Number("set", 2, 2, 1e-4, False, DEG), Number("drift", 4, 2, 0.01, False, KN))),
-    129539: Layout((Number("hdop", 2, 2, 0.01, True), Number("vdop", 4, 2, 0.01, True), Number("tdop", 6, 2, 0.01, True))),
-    130306: Layout((Number("windSpeed", 1, 2, 0.01, False, KN), Number("windAngle", 3, 2, 1e-4, False, DEG, fold=True)), (Split("reference", 5, 0, 3, WIND),)),
-    130310: Layout((Number("waterTemperature", 1, 2, 0.01, False, CELSIUS), Number("outsideAmbientAirTemperature", 3, 2, 0.01, False, CELSIUS), Number("atmosphericPressure", 5, 2, 100.0))),
-    130312: Layout((Number("actualTemperature", 3, 2, 0.01, False, CELSIUS), Number("setTemperature", 5, 2, 0.01, False, CELSIUS)), (Split("instance", 1), Split("source", 2, 0, 8, TEMPERATURE))),
-    130314: Layout((Number("pressure", 3, 4, 0.1, True),), (Split("instance", 1), Split("source", 2, 0, 8, PRESSURE))),
-    130316: Layout((Number("temperature", 3, 3, 0.001, False, CELSIUS), Number("setTemperature", 6, 2, 0.1, False, CELSIUS)), (Split("instance", 1), Split("source", 2, 0, 8, TEMPERATURE))),
-}
-#: The vendor's key-value group: which maker and industry, and the keys read as signed 16-bit counts.
-VENDOR_GROUP, VENDOR_MAKER, MARINE = 130824, 381, 4
-VENDOR_KEYS = {
-    0x42: "n2k_bandg_raw_bsp",
-    0x4A: "n2k_bandg_raw_heading",
-    0x4E: "n2k_bandg_raw_wind_s",
-    0x52: "n2k_bandg_raw_wind_a",
-}
 FAST = tuple(sorted({p for p, layout in LAYOUTS.items() if layout.fast} | {VENDOR_GROUP}))
+SINGLE = tuple(sorted(set(LAYOUTS) - set(FAST)))
 
 PAIR = "array<struct<field:string,value:double>>"
+#: The names by which angles off the bow are known, and a clock of the satellites.
+OFF_THE_BOW, SATELLITES = ("apparent", "true_boat_referenced"), "gps"
 
 
 def sanitized(text: Column) -> Column:
@@ -113,117 +33,153 @@ def sanitized(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
-SPLIT = "struct<offset:int,shift:int,mask:int,texts:map<int,string>>"
-LAYOUT = f"pgn int, base string, kind string, offset int, size int, scale double, none long, half long, wrap long, unit string, fold boolean, shift int, mask int, known int, offset2 int, only string, s1 {SPLIT}, s2 {SPLIT}"
+def clean(text: str) -> str:
+    return re.sub("[^a-z0-9]+", "_", text.lower()).strip("_")
+
+
+SPLIT = "struct<first:int,width:int,texts:map<int,string>>"
+LAYOUT = f"pgn int, base string, kind string, first int, width int, signed boolean, scale double, unit string, fold boolean, known int, second int, only string, after int, gaps array<int>, s1 {SPLIT}, s2 {SPLIT}"
+SETS = "pgn int, base string, first int, width int, signed boolean, scale double, unit string, after int, gaps array<int>, start int, bits int, count int, count_width int, texts array<int>"
+NO_CODE = -1
+
+
+def split_rows(splits: tuple[Split, ...]) -> tuple:
+    """The first two discriminators, by key."""
+    rows = [(8 * s.offset + s.shift, s.width, {k: clean(t) for k, t in s.texts}) for s in sorted(splits, key=lambda s: s.key)]
+    return (*rows, None, None)[:2]
+
+
+def number_row(v: Number) -> tuple:
+    return v.first, v.width, v.signed, v.scale, v.unit
 
 
 def layout_rows() -> list[tuple]:
     """LAYOUTS as rows of LAYOUT: a row a value."""
     out = []
     for pgn, layout in LAYOUTS.items():
-        splits = [(s.offset, s.shift, (1 << s.width) - 1, dict(s.texts)) for s in sorted(layout.splits, key=lambda s: s.key)]
-        tail = (*splits, None, None)[:2]
+        tail, gaps = split_rows(layout.splits), [8 * g for g in layout.texts]
         for v in layout.values:
             if isinstance(v, Code):
-                out.append((pgn, f"n2k_{v.name}_code".lower(), "code", v.offset, 1, 1.0, -1, 0, 0, None, False, v.shift, (1 << v.width) - 1, v.known, 0, None, *tail))
-                continue
-            bits = 8 * v.size
-            none = (1 << (bits - 1)) - 1 if v.signed else (1 << bits) - 1
-            wraps = v.signed and v.size < 8  # eight bytes are signed as they are
-            out.append((pgn, f"n2k_{v.name}".lower(), "number", v.offset, v.size, v.scale, none, 1 << (bits - 1) if wraps else (1 << 63) - 1, 1 << bits if wraps else 0, v.unit, v.fold, 0, 0, 0, 0, None, *tail))
+                out.append((pgn, f"n2k_{v.name}_code".lower(), "code", 8 * v.offset + v.shift, v.width, False, 1.0, None, False, v.known, 0, None, 0, gaps, *tail))
+            else:
+                out.append((pgn, f"n2k_{v.name}".lower(), "number", *number_row(v), v.fold, NO_CODE, 0, None, v.after, gaps, *tail))
         if layout.clock:
-            only = "GPS" if layout.splits else None  # a clock whose source is not the satellites is no GPS time
-            out.append((pgn, "n2k_gps_time", "clock", layout.clock[0], 2, 1.0, 65535, (1 << 63) - 1, 0, None, False, 0, 0, 0, layout.clock[1], only, *tail))
-    out.append((VENDOR_GROUP, "", "vendor", 0, 1, 1.0, -1, 0, 0, None, False, 0, 0, 0, 0, None, None, None))
+            only = SATELLITES if layout.splits else None  # a clock whose source is not the satellites is no GPS time
+            out.append((pgn, "n2k_gps_time", "clock", 8 * layout.clock[0], 16, False, 1.0, None, False, NO_CODE, 8 * layout.clock[1], only, 0, gaps, *tail))
+    out.append((VENDOR_GROUP, "", "vendor", 0, 8, False, 1.0, None, False, NO_CODE, 0, None, 0, [], None, None))
     return out
 
 
-def reversed_bytes(text: Column, count: int) -> Column:
-    """The first count bytes of a hex text, read as a little-endian number."""
-    return F.conv(F.concat(*(F.substring(text, 2 * k + 1, 2) for k in reversed(range(count)))), 16, 10).cast("bigint")
+def set_rows() -> list[tuple]:
+    """The values that repeat, as rows of SETS."""
+    out = []
+    for pgn, layout in LAYOUTS.items():
+        if s := layout.sets:
+            for v in s.values:
+                out.append((pgn, f"n2k_{v.name}".lower(), *number_row(v), v.after, [8 * g for g in layout.texts], 8 * s.start, s.bits, 8 * s.count[0], s.count[1], [8 * g for g in s.texts]))
+    return out
+
+
+def past_texts(start: str, gaps: str) -> str:
+    """SQL of the bit behind as many texts as there are gaps, from start on; the byte a text begins with has its length, itself included. Null where the payload ends before."""
+    # At least the two bytes that any text has, so that what is no text ends somewhere.
+    return f"aggregate({gaps}, CAST({start} AS INT), (at, gap) -> at + gap + CAST(greatest({bits_at('_words', 'at + gap', '8')}, 2) AS INT) * 8)"
+
+
+def split_text(split: str) -> str:
+    """SQL of the discriminator's text; its number where it has no texts, null where all bits are ones, or for an unknown number."""
+    first, width, texts = (f"{split}.{x}" for x in ("first", "width", "texts"))
+    code = f"CAST(CASE WHEN {first} + {width} <= _size THEN {bits_at('_words', first, width)} END AS INT)"
+    return f"CASE WHEN size({texts}) > 0 THEN try_element_at({texts}, {code}) WHEN {code} <> shiftleft(1, {width}) - 1 THEN CAST({code} AS STRING) END"
+
 
+def converted(x: str) -> Column:
+    """A number by the unit that it is stored in."""
+    v, unit = F.col(x), F.col("unit")
+    return F.when(unit == DEG, measures.rad_to_deg(v)).when(unit == KN, measures.ms_to_knots(v)).when(unit == CELSIUS, measures.kelvin_to_celsius(v)).otherwise(v)
 
-def split_text(split: Column, payload: Column) -> Column:
-    """The discriminator's text; its number where it has no texts, null for 255 or an unknown number."""
-    byte = F.conv(payload.substr(split["offset"] * 2 + 1, F.lit(2)), 16, 10).cast("int")
-    code = F.call_function("shiftright", byte, split["shift"]).bitwiseAND(split["mask"])
-    return F.when(F.size(split["texts"]) > 0, F.try_element_at(split["texts"], code)).otherwise(F.when(code != 255, code.cast("string")))
+
+#: Not all bits that carry the value are ones: shifted down from 64 ones, since a width of 64 needs no shift.
+AVAILABLE = "_raw <> shiftrightunsigned(-1L, 64 - width + CAST(signed AS INT))"
+NUMBER = f"{signed('_raw', 'width', 'signed')} * scale"
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:
     """messages (pgn, hex payload, other columns) to one row a value: the columns without payload, field, value.
 
-    The layouts are a table of fixed size that is broadcast and joined by group, so one
-    expression decodes every field. The vendor's group has a row of its own in it, whose values come as an array.
+    The vendor's group has a row of its own among the layouts, whose values come as an array.
     """
-    spark = messages.sparkSession
-    layouts = F.broadcast(spark.createDataFrame(layout_rows(), LAYOUT))
+    layouts = F.broadcast(messages.sparkSession.createDataFrame(layout_rows(), LAYOUT))
     rest = [c for c in messages.columns if c not in ("payload", "field", "value")]
-    payload, kind = F.col("payload"), F.col("kind")
-    rows = messages.join(layouts, "pgn")
-    rows = rows.where(F.length(payload) >= (F.col("offset") + F.col("size")) * 2)
-    body = F.rpad(payload.substr(F.col("offset") * 2 + 1, F.col("size") * 2), 16, "0")
-    high = F.when(F.col("size") > 4, reversed_bytes(F.substring(body, 9, 8), 4)).otherwise(0)
-    ticks = F.when((kind == "clock") & (F.length(payload) >= F.col("offset2") * 2 + 8), reversed_bytes(payload.substr(F.col("offset2") * 2 + 1, F.lit(8)), 4))
-    raw = F.when(F.col("size") > 4, F.shiftleft(high, 32).bitwiseOR(reversed_bytes(body, 4))).otherwise(reversed_bytes(body, 4))
-    rows = rows.withColumns({"_raw": raw, "_ticks": ticks, "_t1": split_text(F.col("s1"), payload), "_t2": split_text(F.col("s2"), payload)})
-    code = F.expr("shiftright(_raw, shift) & mask")
-    is_gps = F.col("only").isNull() | F.coalesce(F.col("_t1") == F.col("only"), F.lit(False))
+    rows = payload_words(messages, "payload").join(layouts, "pgn")
+    rows = rows.selectExpr("*", f"CASE WHEN after > 0 THEN {past_texts('0', 'slice(gaps, 1, after)')} + first ELSE first END AS _first").where("_first + width <= _size")
+    ticks = f"CASE WHEN kind = 'clock' AND second + 32 <= _size THEN {bits_at('_words', 'second', '32')} END AS _ticks"
+    rows = rows.selectExpr("*", f"{bits_at('_words', '_first', 'width')} AS _raw", ticks, f"{split_text('s1')} AS _t1", f"{split_text('s2')} AS _t2")
     # What is not available goes by its raw number: a filter on the finished value would be
     # pushed through the steps below and unfold them.
-    there = (F.col("_raw") != F.col("none")) & ((kind != "code") | (code <= F.col("known"))) & ((kind != "clock") | (is_gps & (F.col("_ticks") != 4294967295)))
-    signed = F.when(F.col("_raw") >= F.col("half"), F.col("_raw") - F.col("wrap")).otherwise(F.col("_raw"))
-    number = signed * F.col("scale")
-    vendor = F.explode_outer(F.when(kind == "vendor", vendor_values(payload)))
-    plain = F.when(kind == "number", number).when(kind == "code", code.cast("double")).otherwise(F.round(F.col("_raw") * 86400 + F.col("_ticks") / 10000, 6))
-    x, y, unit = F.col("_x"), F.col("_y"), F.col("unit")
-    converted = F.when(unit == DEG, measures.rad_to_deg(x)).when(unit == KN, measures.ms_to_knots(x)).when(unit == CELSIUS, measures.kelvin_to_celsius(x)).otherwise(x)
-    folded = F.when(F.col("fold") & F.col("_t1").isin("Apparent", "True (boat referenced)"), measures.fold_180(y)).otherwise(y)
-    name = F.concat_ws("_", F.col("base"), sanitized(F.col("_t1")), sanitized(F.col("_t2")))
-    named = rows.where(there).withColumn("_x", plain).withColumn("_y", converted).select(*rest, "kind", name.alias("_name"), folded.alias("_value"), vendor.alias("_v"))
-    own = F.col("kind") == "vendor"
-    return named.where(~own | F.col("_v").isNotNull()).select(*rest, F.when(own, F.col("_v.field")).otherwise(F.col("_name")).alias("field"), F.when(own, F.col("_v.value")).otherwise(F.col("_value")).alias("value"))
-
-
-def vendor_values(payload: Column) -> Column:
-    """Entries of 12-bit key and 4-bit length after the maker's header; each known key's first two bytes, signed."""
-    header = le_uint(payload, 0, 2)
-    own = (header.bitwiseAND(0x7FF) == VENDOR_MAKER) & (F.shiftright(header, 13) == MARINE)
-
-    def at(text: Column, offset: Column) -> Column:
-        pair = F.concat(text.substr(offset * 2 + 3, F.lit(2)), text.substr(offset * 2 + 1, F.lit(2)))
-        return F.when(F.length(pair) == 4, F.conv(pair, 16, 10).cast("int"))
-
-    state = F.struct(F.lit(2).alias("at"), F.array().cast("array<struct<key:int,value:int>>").alias("found"))
-
-    def step(acc: Column, _: Column) -> Column:
-        head = at(payload, acc["at"])
-        size = F.shiftright(head, 12)
-        whole = head.isNotNull() & (F.length(payload) >= (acc["at"] + 2 + size) * 2)
-        raw = at(payload, acc["at"] + 2)
-        value = F.when(raw >= 32768, raw - 65536).otherwise(raw)
-        entry = F.struct(head.bitwiseAND(0xFFF).alias("key"), F.when(size >= 2, value).alias("value"))
-        return F.struct(
-            F.when(whole, acc["at"] + 2 + size).otherwise(F.lit(1 << 20)).cast("int").alias("at"),
-            F.when(whole, F.concat(acc["found"], F.array(entry))).otherwise(acc["found"]).cast("array<struct<key:int,value:int>>").alias("found"),
-        )
-
-    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), (F.length(payload) / 4).cast("int")))
-    entries = F.aggregate(steps, state, step, lambda acc: acc["found"])
-    names = F.create_map(*(x for k, v in VENDOR_KEYS.items() for x in (F.lit(k), F.lit(v))))
-    pairs = F.transform(entries, lambda e: F.struct(F.try_element_at(names, e["key"]).alias("field"), e["value"].cast("double").alias("value")))
-    return F.when(own, F.filter(pairs, lambda p: p["field"].isNotNull() & p["value"].isNotNull())).otherwise(F.array().cast(PAIR))
-
-
-def frames(records: DataFrame) -> DataFrame:
-    """Well-formed frames of this protocol, with can_id, pgn, src_addr, priority and hex payload; others are left out."""
-    own = records.where((F.col("proto") == "n2k") & F.contains("raw", F.lit("#")))
-    # In steps, so that each part is computed once.
-    parts = own.withColumns({"_head": F.substring_index("raw", "#", 1), "_tail": F.expr("substring(raw, instr(raw, '#') + 1)")})
-    good = parts.where(F.col("_head").rlike("^[0-9A-Fa-f]{1,8}$") & F.col("_tail").rlike("^([0-9A-Fa-f]{2})*$"))
-    valued = good.withColumns({"payload": F.upper("_tail"), "can_id": F.conv("_head", 16, 10).cast("bigint")})
-    fields = can_fields(F.col("can_id"))
-    return valued.withColumns({c: fields[c] for c in ("pgn", "src_addr", "priority")}).drop("_head", "_tail")
+    clock = "((only IS NULL OR coalesce(_t1 = only, false)) AND _raw <> 65535 AND _ticks <> 4294967295)"
+    there = rows.where(f"CASE kind WHEN 'number' THEN {AVAILABLE} WHEN 'code' THEN _raw <= known WHEN 'clock' THEN {clock} ELSE true END")
+    plain = there.selectExpr("*", f"CASE kind WHEN 'number' THEN {NUMBER} WHEN 'code' THEN CAST(_raw AS DOUBLE) ELSE round(_raw * 86400 + _ticks / 10000, 6) END AS _x").withColumn("_y", converted("_x"))
+    bow = ", ".join(f"'{x}'" for x in OFF_THE_BOW)
+    folded = f"CASE WHEN fold AND _t1 IN ({bow}) AND _y > 180 THEN _y - 360 ELSE _y END AS _value"
+    named = plain.selectExpr(*rest, "kind", "concat_ws('_', base, _t1, _t2) AS _name", folded, f"explode_outer(CASE WHEN kind = 'vendor' THEN {VENDOR_VALUES} END) AS _v")
+    own = "kind = 'vendor'"
+    return named.where(f"NOT {own} OR _v IS NOT NULL").selectExpr(*rest, f"CASE WHEN {own} THEN _v.field ELSE _name END AS field", f"CASE WHEN {own} THEN _v.value ELSE _value END AS value")
+
+
+def decode_sets(messages: DataFrame) -> DataFrame:
+    """messages (pgn, hex payload, other columns) to one row a value of a set that repeats: the columns without payload, set (from 1), field, value.
+
+    A set that the payload does not hold whole is left out, whatever the count says.
+    """
+    sets = F.broadcast(messages.sparkSession.createDataFrame(set_rows(), SETS))
+    rest = [c for c in messages.columns if c not in ("payload", "set", "field", "value")]
+    rows = payload_words(messages, "payload").join(sets, "pgn").where("count + count_width <= _size")
+    begin = f"CASE WHEN size(gaps) > 0 THEN {past_texts('0', 'gaps')} ELSE 0 END + start"
+    # No more sets than there are bits for.
+    rows = rows.selectExpr("*", f"CAST({begin} AS INT) AS _begin", f"CAST(least({bits_at('_words', 'count', 'count_width')}, _size div bits) AS INT) AS _count").where("_count > 0")
+    step = f"CAST({past_texts('element_at(places, -1)', 'texts')} + bits - aggregate(texts, 0, (a, g) -> a + g) AS INT)"
+    moving = f"aggregate(sequence(1, _count), array(_begin), (places, k) -> concat(places, array({step})))"
+    even = "transform(sequence(0, _count - 1), k -> _begin + k * bits)"
+    rows = rows.selectExpr("*", f"posexplode(slice(CASE WHEN size(texts) > 0 THEN {moving} ELSE {even} END, 1, _count)) AS (_set, _at)")
+    rows = rows.selectExpr("*", f"CASE WHEN after > 0 THEN {past_texts('_at', 'slice(texts, 1, after)')} ELSE _at END + first AS _first").where("_first + width <= _size")
+    rows = rows.selectExpr("*", f"{bits_at('_words', '_first', 'width')} AS _raw").where(AVAILABLE).selectExpr("*", f"{NUMBER} AS _x")
+    return rows.select(*rest, (F.col("_set") + 1).alias("set"), F.col("base").alias("field"), converted("_x").alias("value"))
+
+
+def vendor_values(payload: str) -> str:
+    """SQL of the entries of 12-bit key and 4-bit length after the maker's header; each known key's first two bytes, signed."""
+    at = lambda place: f"CAST(conv(nullif(concat(substring({payload}, ({place}) * 2 + 3, 2), substring({payload}, ({place}) * 2 + 1, 2)), ''), 16, 10) AS INT)"
+    header = at("0")
+    own = f"length({payload}) >= 4 AND {header} & 2047 = {VENDOR_MAKER} AND shiftright({header}, 13) = {MARINE}"
+    # Entry after entry: where the next one is, past the end once one is not whole.
+    head, size = at("acc.at"), f"shiftright({at('acc.at')}, 12)"
+    whole = f"length({payload}) >= (acc.at + 2) * 2 AND length({payload}) >= (acc.at + 2 + {size}) * 2"
+    entry = f"named_struct('key', {head} & 4095, 'value', CASE WHEN {size} >= 2 THEN {at('acc.at + 2')} END)"
+    none = "CAST(array() AS ARRAY<STRUCT<key: INT, value: INT>>)"
+    step = f"named_struct('at', CASE WHEN {whole} THEN acc.at + 2 + {size} ELSE 1048576 END, 'found', CASE WHEN {whole} THEN concat(acc.found, CAST(array({entry}) AS ARRAY<STRUCT<key: INT, value: INT>>)) ELSE acc.found END)"
+    entries = f"aggregate(sequence(1, greatest(1, length({payload}) div 4)), named_struct('at', 2, 'found', {none}), (acc, k) -> {step}, acc -> acc.found)"
+    names = ", ".join(f"{k}, '{v}'" for k, v in VENDOR_KEYS.items())
+    pairs = f"transform({entries}, e -> named_struct('field', try_element_at(map({names}), e.key), 'value', CAST(CASE WHEN e.value >= 32768 THEN e.value - 65536 ELSE e.value END AS DOUBLE)))"
+    return f"CASE WHEN {own} THEN filter({pairs}, p -> p.field IS NOT NULL AND p.value IS NOT NULL) ELSE CAST(array() AS {PAIR}) END"
+
+
+VENDOR_VALUES = vendor_values("payload")
+
+
+def frames(records: DataFrame, groups: tuple[int, ...] | None = None) -> DataFrame:
+    """Well-formed frames of this protocol, with can_id, pgn, src_addr, priority and hex payload; others are left out.
+
+    groups: only frames of these, chosen by the identifier before the payload is looked at.
+    """
+    own = records.where("proto = 'n2k' AND contains(raw, '#')")
+    # A generator of one row: filters on its parts stay above it, so raw, whatever it comes from, is computed once.
+    cut = own.selectExpr("*", "inline(array(struct(substring_index(raw, '#', 1) AS _head, substring(raw, instr(raw, '#') + 1) AS _tail)))")
+    parts = cut.where("_head RLIKE '^[0-9A-Fa-f]{1,8}$'").selectExpr("*", "CAST(conv(_head, 16, 10) AS BIGINT) AS _id")
+    valued = parts.selectExpr("*", f"inline(array({can_fields('_id')}))")
+    if groups is not None:
+        valued = valued.where(F.col("pgn").isin(*groups))
+    return valued.where("_tail RLIKE '^([0-9A-Fa-f]{2})*$'").selectExpr("*", "upper(_tail) AS payload").drop("_head", "_tail", "_id")
 
 
 def malformed(records: DataFrame) -> DataFrame:
@@ -232,21 +188,32 @@ def malformed(records: DataFrame) -> DataFrame:
     return records.where(F.col("proto") == "n2k").where(value["can_id"].isNull() | can_payload(F.col("raw")).isNull())
 
 
+NAMES = ("object_key", "object_rank", "seq", "ts", "proto", "can_id", "pgn", "src_addr", "priority", "payload")
+
+
+def device_keys(records: DataFrame) -> list[str]:
+    return [c for c in ("device_id", "src") if c in records.columns]
+
+
+def messages(records: DataFrame) -> DataFrame:
+    """NAMES of whole messages: frames of groups that fit one frame, and those put together from several."""
+    keys = device_keys(records)
+    whole = reassemble(frames(records, FAST).select(*NAMES, *keys), [*keys, "can_id"], ["object_rank", "seq"])
+    return frames(records, SINGLE).select(*NAMES).unionByName(whole.select(*NAMES))
+
+
+def samples_of(found: DataFrame) -> DataFrame:
+    """SAMPLE rows of messages (NAMES)."""
+    return decode_messages(found).select("object_key", "object_rank", "seq", "ts", "proto", "field", "value", F.col("priority").alias("prio"), "src_addr")
+
+
 def decode(records: DataFrame) -> DataFrame:
     """SAMPLE rows of records (object_key, object_rank, seq, ts, proto, raw; device_id, src if there are)."""
-    names = ["object_key", "object_rank", "seq", "ts", "proto", "can_id", "pgn", "src_addr", "priority", "payload"]
-    keys = [c for c in ("device_id", "src") if c in records.columns]
-    every = frames(records).select(*names, *keys)
-    fast = F.col("pgn").isin(*FAST)
-    whole = reassemble(every.where(fast), [*keys, "can_id"], ["object_rank", "seq"])
-    plain = every.where(F.col("pgn").isin(*(p for p in LAYOUTS if p not in FAST)))
-    values = decode_messages(plain.select(*names).unionByName(whole.select(*names)))
-    return values.select("object_key", "object_rank", "seq", "ts", "proto", "field", "value", F.col("priority").alias("prio"), "src_addr")
+    return samples_of(messages(records))
 
 
 def open_frames(records: DataFrame) -> DataFrame:
     """The records whose frames belong to messages that are not complete yet."""
     own = [c for c in records.columns if c not in ("pgn", "can_id", "payload")]
-    fast = frames(records.withColumn("_raw_ts", F.col("ts"))).where(F.col("pgn").isin(*FAST))
-    keys = [c for c in ("device_id", "src") if c in records.columns]
-    return fast_packet.open_frames(fast, [*keys, "can_id"], ["object_rank", "seq"]).select(*own)
+    fast = frames(records, FAST)
+    return fast_packet.open_frames(fast, [*device_keys(records), "can_id"], ["object_rank", "seq"]).select(*own)

@@ -9,7 +9,7 @@ from .. import decode
 from ..functions import bits, measures, sentences
 from ..operators import fast_packet as fast
 from ..operators import n0183, n2k
-from .tables import events, registered
+from .tables import dealt, events, registered
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -26,7 +26,7 @@ def checked(body: Column, bad: Column | None = None) -> Column:
 
 def built(spark: SparkSession, d: str, body: Column, bad: Column | None = None, proto: str = "n0183") -> DataFrame:
     """Events as records whose raw is the sentence of body."""
-    return events(spark, d).select(
+    return dealt(events(spark, d), "event_id").select(
         F.lit("k").alias("object_key"), F.lit(1).cast("long").alias("object_rank"), F.col("event_id").alias("seq"), "ts", "event_id",
         F.lit(proto).alias("proto"), checked(body, bad).alias("raw"),
     )
@@ -156,7 +156,7 @@ def le(x: Column, size: int) -> Column:
 
 
 def frame_records(spark: SparkSession, d: str, raw: Column) -> DataFrame:
-    return events(spark, d).select(F.lit("k").alias("object_key"), F.lit(1).cast("long").alias("object_rank"), F.col("event_id").alias("seq"), "ts", "user_id", F.lit("n2k").alias("proto"), raw.alias("raw"), F.lit("boat").alias("device_id"), F.lit("can0").alias("src"))
+    return dealt(events(spark, d), "event_id").select(F.lit("k").alias("object_key"), F.lit(1).cast("long").alias("object_rank"), F.col("event_id").alias("seq"), "ts", "user_id", F.lit("n2k").alias("proto"), raw.alias("raw"), F.lit("boat").alias("device_id"), F.lit("can0").alias("src"))
 
 
 @registered(QUERIES, ORACLES, f"SELECT event_id AS seq, {CAN_ID} AS can_id, CASE WHEN event_id % 4 <> 1 THEN repeat('AB', CAST(event_id % 9 AS INT)) END AS payload FROM events")
@@ -173,7 +173,7 @@ SELECT event_id, id AS can_id, CAST(((id >> 24) & 3) * 65536 + ((id >> 16) & 255
 CAST(id & 255 AS INT) AS src_addr, CAST((id >> 26) & 7 AS INT) AS priority FROM i""")
 def can_id_decode(spark: SparkSession, d: str) -> DataFrame:
     identifier = (F.col("event_id") * 7919 * 65537) % 536870912
-    return events(spark, d).select("event_id", bits.can_fields(identifier).alias("c")).select("event_id", "c.*")
+    return events(spark, d).select("event_id", bits.identifier_parts(identifier).alias("c")).select("event_id", "c.*")
 
 
 @registered(QUERIES, ORACLES, "SELECT event_id, ((event_id * 7919 * 65537) % 536870912) & 536870911 AS can_id FROM events WHERE event_id % 8 NOT IN (1, 2) AND event_id % 5 <> 4")
@@ -226,6 +226,56 @@ def decode_n2k_discriminator(spark: SparkSession, d: str) -> DataFrame:
     return n2k.decode(frame_records(spark, d, raw)).select("seq", "field", F.round("value", 2).alias("value"))
 
 
+FLUIDS = {0: "fuel", 1: "water", 2: "gray_water", 3: "live_well", 4: "oil", 5: "black_water"}
+
+
+@registered(QUERIES, ORACLES, "WITH x AS (SELECT event_id, event_id % 3 AS half, event_id % 16 AS unit, event_id % 7 AS kind, event_id % 64 AS source, event_id % 4 AS humid FROM events),\n"
+"f AS (SELECT *, (CASE WHEN unit <> 15 THEN '_' || unit ELSE '' END) || (CASE kind " + " ".join(f"WHEN {k} THEN '_{t}'" for k, t in FLUIDS.items()) + """ ELSE '' END) AS fluid,
+CASE source WHEN 0 THEN '_sea_temperature' WHEN 1 THEN '_outside_temperature' WHEN 2 THEN '_inside_temperature' WHEN 3 THEN '_engine_room_temperature' WHEN 4 THEN '_main_cabin_temperature' ELSE '' END AS place FROM x)
+SELECT event_id AS seq, 'n2k_level' || fluid AS field, CAST(event_id % 60000 - 30000 AS DOUBLE) * 4e-3 AS value FROM f WHERE half = 0
+UNION ALL SELECT event_id, 'n2k_capacity' || fluid, CAST(event_id * 40000 % 4294967295 AS DOUBLE) * 1e-1 FROM f WHERE half = 0
+UNION ALL SELECT event_id, 'n2k_humiditysource_code' || place, CAST(humid AS DOUBLE) FROM f WHERE half = 1 AND humid <= 1
+UNION ALL SELECT event_id, 'n2k_atmosphericpressure' || place, CAST(event_id % 65535 AS DOUBLE) * 100 FROM f WHERE half = 1
+UNION ALL SELECT event_id, 'n2k_navstatus_code', CAST(unit AS DOUBLE) FROM f WHERE half = 2
+UNION ALL SELECT event_id, 'n2k_aistransceiverinformation_code', CAST(event_id % 32 AS DOUBLE) FROM f WHERE half = 2 AND event_id % 32 <= 4
+UNION ALL SELECT event_id, 'n2k_raim_code', CAST(event_id % 2 AS DOUBLE) FROM f WHERE half = 2
+UNION ALL SELECT event_id, 'n2k_positionaccuracy_code', CAST((event_id // 2) % 2 AS DOUBLE) FROM f WHERE half = 2""")
+def decode_n2k_bits(spark: SparkSession, d: str) -> DataFrame:
+    """Fields of 1, 2, 4, 5 and 6 bits that begin inside a byte, as values, codes and parts of names."""
+    k = F.col("event_id")
+    byte = lambda x: F.lpad(F.hex(x.cast("bigint")), 2, "0")
+    tank = F.concat(byte(F.shiftleft((k % 7).cast("int"), 4) + k % 16), le((k % 60000) - 30000 + 65536, 2), le(k * 40000 % 4294967295, 4), F.lit("FF"))
+    air = F.concat(F.lit("00"), byte(F.shiftleft((k % 4).cast("int"), 6) + k % 64), F.lit("FFFFFF7F"), le(k % 65535, 2))
+    accuracy = byte(F.lit(0xFC) + F.shiftright(k, 1) % 2 + F.shiftleft((k % 2).cast("int"), 1))
+    vessel = F.concat(F.lit("00FFFFFFFF" + "FFFFFF7F" * 2), accuracy, F.lit("FFFFFFFF" + "0000"), byte(F.shiftleft((k % 32).cast("int"), 3)), F.lit("FFFFFF7F"), byte(F.lit(0xF0) + k % 16), F.lit("FFFF"))
+    kind = k % 3
+    rows = dealt(events(spark, d), "event_id").select(k.alias("seq"), F.when(kind == 0, 127505).when(kind == 1, 130311).otherwise(129038).alias("pgn"), F.when(kind == 0, tank).when(kind == 1, air).otherwise(vessel).alias("payload"))
+    return n2k.decode_messages(rows).select("seq", "field", "value")
+
+
+@registered(QUERIES, ORACLES, """WITH x AS (SELECT event_id, event_id % 5 AS n, unnest(range(1, event_id % 5 + 1)) AS k FROM events)
+SELECT event_id AS seq, CAST(k AS INT) AS "set", 'n2k_prn' AS field, CAST((event_id + k) % 32 AS DOUBLE) AS value FROM x WHERE event_id % 2 = 0
+UNION ALL SELECT event_id, k, 'n2k_elevation', CAST((event_id * k) % 15708 - 7854 AS DOUBLE) * 1e-4 FROM x WHERE event_id % 2 = 0
+UNION ALL SELECT event_id, k, 'n2k_status', CAST((event_id + k) % 15 AS DOUBLE) FROM x WHERE event_id % 2 = 0
+UNION ALL SELECT event_id, k, 'n2k_wpid', CAST(event_id % 1000 + k AS DOUBLE) FROM x WHERE event_id % 2 = 1
+UNION ALL SELECT event_id, k, 'n2k_wplatitude', CAST(event_id * 1000 - k * 7000 AS DOUBLE) * 1e-7 FROM x WHERE event_id % 2 = 1
+UNION ALL SELECT event_id, k, 'n2k_wplongitude', CAST(-event_id * 500 + k AS DOUBLE) * 1e-7 FROM x WHERE event_id % 2 = 1""")
+def decode_n2k_sets(spark: SparkSession, d: str) -> DataFrame:
+    """Sets that repeat: satellites in view, of twelve bytes each, and way points whose names have any length. The count of one in seven is too high for its payload."""
+    k, n = F.col("event_id"), (F.col("event_id") % 5).cast("int")
+    byte = lambda x: F.lpad(F.hex(x.cast("bigint")), 2, "0")
+    said = F.when(k % 7 == 0, n + 9).otherwise(n)
+    text = lambda size: F.concat(byte(size + 2), F.lit("01"), F.repeat(F.lit("41"), size.cast("int")))
+    many = lambda one: F.array_join(F.transform(F.slice(F.array(*(F.lit(j) for j in range(1, 5))), F.lit(1), n), one), "")
+    satellite = lambda j: F.concat(byte((k + j) % 32), le((k * j) % 15708 - 7854 + 65536, 2), F.lit("FFFFFFFF" + "FFFFFF7F"), byte(F.lit(0xF0) + (k + j) % 15))
+    point = lambda j: F.concat(le(k % 1000 + j, 2), text((k + j) % 4), le(k * 1000 - j * 7000 + 4294967296, 4), le(j - k * 500 + 4294967296, 4))
+    sky = F.concat(F.lit("00FD"), byte(said), many(satellite))
+    route = F.concat(F.lit("0000"), le(said, 2), F.lit("0000" * 2 + "F8"), text(k % 6), F.lit("FF"), many(point))
+    even = k % 2 == 0
+    rows = dealt(events(spark, d), "event_id").select(k.alias("seq"), F.when(even, 129540).otherwise(129285).alias("pgn"), F.when(even, sky).otherwise(route).alias("payload"))
+    return n2k.decode_sets(rows).select("seq", "set", "field", "value")
+
+
 @registered(QUERIES, ORACLES, "SELECT event_id AS seq, 'n2k_gps_time_gps' AS field, CAST(19000 + event_id % 900 AS DOUBLE) * 86400 + (event_id % 86400) + 0.5 AS value FROM events WHERE event_id % 3 = 0")
 def decode_gps_time(spark: SparkSession, d: str) -> DataFrame:
     """System time counts only where its source is the satellites."""
@@ -256,7 +306,7 @@ def long_messages(spark: SparkSession, d: str) -> DataFrame:
     order = F.expr("cast(event_id % 8 as int)")
     head = F.shiftleft(order, 5)
     frames = F.transform(F.sequence(F.lit(0), F.lit(6)), lambda n: F.struct(n.alias("n"), F.when(n == 0, F.concat(F.lpad(F.hex(head), 2, "0"), F.lit("2B"), F.substring(F.col("body"), 1, 12))).otherwise(F.concat(F.lpad(F.hex(head + n), 2, "0"), F.substring(F.col("body"), F.lit(13) + (n - 1) * 14, F.lit(14)))).alias("data")))
-    cut = events(spark, d).withColumn("body", body).withColumn("f", F.explode(frames))
+    cut = dealt(events(spark, d), "event_id").withColumn("body", body).withColumn("f", F.explode(frames))
     return cut.select(F.lit("k").alias("object_key"), F.lit(1).cast("long").alias("object_rank"), (k * 10 + F.col("f.n")).alias("seq"), "ts", "event_id", F.lit("n2k").alias("proto"), can_raw(129029, F.col("f.data"), 3).alias("raw"), F.lit("boat").alias("device_id"), F.lit("can0").alias("src"), F.col("f.n").alias("n"))
 
 

@@ -30,6 +30,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """df over all cores, where its files are fewer: a task a file decodes a small table on one core."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def plain(ts: Column | str) -> Column:
     """A timestamp without zone, as the tables have it."""
     return (F.col(ts) if isinstance(ts, str) else ts).cast("timestamp_ntz")
