@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewake import commands
 from tidewake.operators import fast_packet, joins, merge, n2k
 from tidewake.plans import derive, metrics, store
-from tidewake.sources import archive, audit, export, legacy, spool
+from tidewake.sources import archive, audit, export, legacy
 from tidewake.streaming import capture, ingest
 
 from test_engine import T0, fast, records, sentence, speed
@@ -253,36 +253,9 @@ def test_commands(spark, tmp_path, capsys, monkeypatch):
         commands.main(["export", "--root", root, "--format", "xml"], spark)
 
 
-def test_spool(tmp_path, monkeypatch):
-    waiting, root = spool.Spool(str(tmp_path / "spool")), tmp_path / "archive"
-    at = [dt.datetime(2024, 1, 2, 3, 4, k) for k in range(4)]
-    names = [waiting.put([f"line {k}"] * (k + 1), "n2k", at[k]) for k in (2, 0, 1)]
-    assert names[1] == waiting.put(["line 0"], "n2k", at[0]) and waiting.rows() == 6 and len(waiting.files()) == 3
-    assert [f.base_name[18:20] for f in waiting.files()] == ["00", "01", "02"]
-    size = waiting.size()
-    assert waiting.evict(size) == 0 and waiting.evict(size - 1) == 1 and waiting.rows() == 5
-    own, sent = spool.upload, []
-
-    def fails(store_, path, data):
-        if len(sent) == 1:
-            raise OSError("full")
-        sent.append(path)
-        own(store_, path, data)
-
-    with monkeypatch.context() as m:
-        m.setattr(spool, "upload", fails)
-        got = waiting.replay(f"file://{root}")
-    assert (got.sent, got.left, got.error) == (1, 1, "full") and len(waiting.files()) == 1
-    assert commands.main(["replay", "--root", f"file://{root}", "--spool", str(tmp_path / "spool")]) == 0 and not waiting.files()
-    keys = sorted(str(p.relative_to(root)) for p in root.rglob("*.gz"))
-    assert [gzip.decompress((root / k).read_bytes()).count(b"\n") for k in keys] == [2, 3] and keys == sorted(map(spool.key_of, (names[0], names[2])))
-    monkeypatch.setattr(waiting, "put", lambda *a: (_ for _ in ()).throw(OSError("no space")))
-    assert (root / spool.keep(waiting, f"file://{root}", ["x"], "n2k", at[3])).exists()
-
-
 def test_captured_lines_become_objects(spark, tmp_path):
     lines = ["(1502979132.106111) can0 09F50374#000A00FF", "(1502979132.106112) can0 09F50374#", "no frame", "(1502979132.1) can0 09F50374#00", "(1503014400.000000) can1 09F50374#FF"]
-    got = capture.store_batch(spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1), f"file://{tmp_path}", "boat").collect()
+    got = capture.store_batch(spark.createDataFrame([(0, k, x) for k, x in enumerate(lines)], "segment long, byte long, value string").coalesce(1), f"file://{tmp_path}", "boat").collect()
     assert sorted(r.rows for r in got) == [1, 2]
     rows = archive.read_archive(spark, f"file://{tmp_path}", date(2017, 8, 17), date(2017, 8, 18)).orderBy("ts").collect()
     assert [(r.ts, r.src, r.raw) for r in rows] == [("2017-08-17T14:12:12.106111+00:00", "can0", "09f50374#000a00ff"), ("2017-08-17T14:12:12.106112+00:00", "can0", "09f50374#"), ("2017-08-18T00:00:00+00:00", "can1", "09f50374#ff")]

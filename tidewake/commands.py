@@ -1,11 +1,11 @@
-"""Command lines: export, update, import, follow, capture, replay.
+"""Command lines: export, update, import, follow, relay, capture.
 
     python -m tidewake.commands export --root URI [--source raw|_log] [--format ndjson|csv|candump] [-o PATH]
     python -m tidewake.commands update --root URI --table URI [--since DAY] [--until DAY] [--proto NAME] [--rebuild] [--dry-run]
     python -m tidewake.commands import --root URI --jdbc URL --table NAME [--live]
     python -m tidewake.commands follow --root URI --table URI --checkpoint URI [--every "30 seconds"]
-    python -m tidewake.commands capture --root URI --host NAME --port N --device-id NAME [--every "300 seconds"]
-    python -m tidewake.commands replay --root URI --spool FOLDER [--limit BYTES]
+    python -m tidewake.commands relay --segments FOLDER [--seconds N] [--limit BYTES] [--spare FOLDER] < LINES
+    python -m tidewake.commands capture --root URI --segments FOLDER --checkpoint URI --device-id NAME [--every "300 seconds"] [--once]
 
 Status: 0 done; 2 an export that left something out; 75 stopped for now, run again to go on.
 """
@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import argparse
 import sys
+import time
+from collections.abc import Iterable
 from datetime import date, datetime, timezone
 from itertools import islice
 
@@ -22,7 +24,7 @@ from pyspark.sql import SparkSession
 
 from .operators import merge
 from .plans import derive, store
-from .sources import archive, audit, export, legacy, spool
+from .sources import archive, audit, export, legacy, segments
 
 INCOMPLETE, TRY_LATER = export.INCOMPLETE, 75
 UPDATE = "tidewake-update"
@@ -41,8 +43,10 @@ def say(text: str) -> None:
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="tidewake", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     tools = out.add_subparsers(dest="tool", required=True)
-    every = {name: tools.add_parser(name) for name in ("export", "update", "import", "follow", "capture", "replay")}
-    for tool in every.values():
+    every = {name: tools.add_parser(name) for name in ("export", "update", "import", "follow", "relay", "capture")}
+    for name, tool in every.items():
+        if name == "relay":
+            continue
         tool.add_argument("--root", required=True, help="where the archive is")
     for name in ("export", "update", "import"):
         every[name].add_argument("--since", type=day)
@@ -70,13 +74,18 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--checkpoint", required=True)
     f.add_argument("--every")
     c = every["capture"]
-    c.add_argument("--host", required=True)
-    c.add_argument("--port", type=int, required=True)
+    c.add_argument("--checkpoint", required=True)
     c.add_argument("--device-id", required=True)
     c.add_argument("--every", default="300 seconds")
-    r = every["replay"]
-    r.add_argument("--spool", required=True)
-    r.add_argument("--limit", type=int, help="bytes that may wait; the oldest files beyond go first")
+    c.add_argument("--once", action="store_true", help="store what waits, and stop")
+    c.add_argument("--batch-bytes", type=int, help="of segments that one batch takes")
+    c.add_argument("--backlog-bytes", type=int, help="of segments that may wait; the oldest beyond are shed, and counted")
+    r = every["relay"]
+    r.add_argument("--seconds", type=float, default=5.0, help="between segments")
+    r.add_argument("--limit", type=int, help="bytes of segments that may wait; the oldest beyond go first")
+    r.add_argument("--spare", help="a folder for lines that cannot be written to the first")
+    for tool in (c, r):
+        tool.add_argument("--segments", required=True, help="the folder of segments")
     return out
 
 
@@ -136,20 +145,29 @@ def run_follow(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def run_capture(spark: SparkSession, args: argparse.Namespace) -> int:
-    """Until it is stopped; a lost connection is tried again."""
+    """Until it is stopped; a failed batch is tried again."""
     from .streaming import capture, ingest
 
-    ingest.supervised(lambda: capture.capture(spark, args.host, args.port, args.root, args.device_id, args.every))
+    limits = {"max_batch_bytes": args.batch_bytes, "max_backlog_bytes": args.backlog_bytes}
+    if args.once:
+        capture.drain(spark, args.segments, args.root, args.device_id, args.checkpoint, **limits)
+    else:
+        ingest.supervised(lambda: capture.capture(spark, args.segments, args.root, args.device_id, args.checkpoint, args.every, **limits))
     return 0
 
 
-def run_replay(args: argparse.Namespace) -> int:
-    waiting = spool.Spool(args.spool)
-    if args.limit is not None and (gone := waiting.evict(args.limit)):
-        say(f"{gone} rows dropped to stay under {args.limit} bytes")
-    got = waiting.replay(args.root)
-    say(f"{got.sent} objects sent, {got.left} left" + f": {got.error}" * bool(got.error))
-    return TRY_LATER if got.error else 0
+def run_relay(args: argparse.Namespace, lines: Iterable[str] | None = None) -> int:
+    """Lines to segments, until they end; status 75 where some could not be written."""
+    relay = segments.Relay(args.segments, folder_limit=args.limit, spare=args.spare)
+    written = time.monotonic()
+    for line in sys.stdin if lines is None else lines:
+        relay.add(line.rstrip("\n"))
+        if time.monotonic() - written >= args.seconds:
+            relay.flush()
+            written = time.monotonic()
+    done = relay.flush()
+    say(f"{relay.received} lines, {relay.dropped} dropped")
+    return 0 if done else TRY_LATER
 
 
 #: Public settings of object-store clients: attempts, and waits that grow.
@@ -170,8 +188,8 @@ def session(name: str) -> SparkSession:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
-    if args.tool == "replay":
-        return run_replay(args)
+    if args.tool == "relay":
+        return run_relay(args)
     tools = {"export": run_export, "update": run_update, "import": run_import, "follow": run_follow, "capture": run_capture}
     return tools[args.tool](spark or session(args.tool), args)
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import n2k
+from ..functions.times import epoch_seconds
+from ..operators import n2k, resample
 from ..plans import store
-from ..sources import archive
-from ..streaming import ingest
-from .archive import scratch
+from ..sources import archive, export, segments
+from ..streaming import capture, ingest
+from .archive import records, scratch
 from .decoding import LOOKUP_SQL, course_raw, long_messages
 from .tables import events, plain, registered
 
@@ -62,3 +63,55 @@ def stream_event_buckets(spark: SparkSession, d: str) -> DataFrame:
     write = lambda batch, _: batch.write.mode("overwrite").parquet(f"{out}/buckets")
     ingest.event_buckets(stream, "6 hours").writeStream.foreachBatch(write).outputMode("complete").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{out}/buckets").select(plain("w.start").alias("start"), "field", "n")
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Lines of a capture by the number of their event, from 0."""
+    return rows.select(F.col("event_id").alias("line"), "value")
+
+
+@registered(QUERIES, ORACLES, """SELECT epoch_us(ts) AS micros, CASE WHEN event_id % 3 <> 0 THEN event_id / 2 END AS mono, CASE WHEN event_id % 4 = 0 THEN 'unknown' ELSE 'can0' END AS src, lpad(lower(printf('%x', event_id)), 8, '0') || '#00ff' AS raw FROM events""")
+def stream_capture(spark: SparkSession, d: str) -> DataFrame:
+    """All events as segments of a live capture, through the stream into the archive; the stream is stopped after its first batch and goes on with the rest."""
+    out = scratch(spark, "capture")
+    r = records(spark, d)
+    line = export.candump_line(F.col("ts"), F.col("src"), F.col("proto"), F.col("raw"))
+    stamped = r.select("event_id", F.concat_ws(" ", line, F.col("mono").cast("decimal(15,3)").cast("string")).alias("value"))
+    segments.write_segments(numbered(stamped), f"{out}/segments", 1000).count()
+    third = 1 + sum(s.size for s in segments.segments(*segments.open_folder(f"{out}/segments"))) // 3
+    where = (spark, f"{out}/segments", f"{out}/archive", "boat", f"{out}/checkpoint")
+    capture.capture(*where, None, max_batch_bytes=third).awaitTermination()
+    capture.drain(*where, max_batch_bytes=third)
+    back = archive.read_archive(spark, f"{out}/archive", archive.FIRST_DAY, archive.LAST_DAY)
+    return back.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"), "mono", "src", "raw")
+
+
+#: Bytes of a line of stream_shed with its end, lines of a segment, and bytes that may wait.
+LINE_BYTES, SEGMENT_LINES, BACKLOG = 39, 1000, 175_500
+
+
+@registered(QUERIES, ORACLES, f"""WITH s AS (SELECT event_id // {SEGMENT_LINES} AS segment, count(*) AS n FROM events GROUP BY 1),
+w AS (SELECT n, sum(n * {LINE_BYTES}) OVER (ORDER BY segment DESC) <= {BACKLOG} AS kept FROM s)
+SELECT CAST(sum(n) FILTER (kept) AS BIGINT) AS stored, CAST(coalesce(sum(n) FILTER (NOT kept), 0) AS BIGINT) AS lost FROM w""")
+def stream_shed(spark: SparkSession, d: str) -> DataFrame:
+    """After an outage more waits than may: the oldest segments are shed, and the offsets have how many lines that were."""
+    out = scratch(spark, "capture")
+    lines = records(spark, d).select("event_id", export.candump_line(F.col("ts"), F.lit("can0"), F.col("proto"), F.col("raw")).alias("value"))
+    segments.write_segments(numbered(lines), f"{out}/segments", SEGMENT_LINES).count()
+    capture.capture(spark, f"{out}/segments", f"{out}/archive", "boat", f"{out}/checkpoint", None, max_backlog_bytes=BACKLOG).awaitTermination()
+    lost = spark.read.text(f"{out}/checkpoint/offsets").select(F.get_json_object("value", "$.lost").cast("bigint").alias("lost")).agg(F.max("lost")).scalar()
+    back = archive.read_archive(spark, f"{out}/archive", archive.FIRST_DAY, archive.LAST_DAY)
+    return back.agg(F.count("*").alias("stored")).withColumn("lost", lost)
+
+
+@registered(QUERIES, ORACLES, """WITH r AS (SELECT event_id, ts, event_id % 3 AS device, CASE WHEN event_id % 5 <> 0 THEN event_id // 700 END AS level FROM events),
+k AS (SELECT *, last_value(level IGNORE NULLS) OVER (PARTITION BY device ORDER BY event_id) AS held FROM r),
+e AS (SELECT device, held, count(*) AS rows, min(ts) AS first_ts, max(ts) AS last_ts FROM k WHERE held IS NOT NULL GROUP BY device, held)
+SELECT device, CAST(dense_rank() OVER (PARTITION BY device ORDER BY held) AS BIGINT) AS epoch, rows, first_ts, last_ts, CAST(1600000000 + 100 * held AS DOUBLE) AS "offset" FROM e""")
+def clock_epochs(spark: SparkSession, d: str) -> DataFrame:
+    """Which records were stamped by one clock: the wall clock is stepped by a hundred seconds every 700 events, and every fifth record has no monotonic time."""
+    k = F.col("event_id")
+    level = 1_600_000_000 + 100 * F.floor(k / 700)
+    r = events(spark, d).select("event_id", "ts", (k % 3).alias("device"), F.when(k % 5 != 0, F.round(epoch_seconds(F.col("ts")) - level, 6)).alias("mono"))
+    table = resample.epoch_table(resample.clock_epochs(r, ["device"], "event_id"), ["device"])
+    return table.select("device", "epoch", "rows", plain("first_ts").alias("first_ts"), plain("last_ts").alias("last_ts"), F.round("offset", 3).alias("offset"))
