@@ -319,3 +319,31 @@ def test_asof_forms_agree(spark):
         want[r.k] = own[-1][1] if own else None
     for form in (joins.asof, joins.asof_union):
         assert {r.k: r.cal_id for r in form(facts, cal).collect()} == want
+
+
+def test_ranges_of_any_length(spark):
+    import math
+    import random
+
+    rng = random.Random(6)
+    at = lambda minutes: T0 + dt.timedelta(minutes=minutes)
+    spans = [(rng.uniform(-1e6, 1e6), 2 ** rng.uniform(-3, 22)) for _ in range(60)] + [(0, 60), (60, 120), (5, 0), (7, -3), (0, 1 / 60e6)]
+    ranges = [(k, at(a), at(a + n)) for k, (a, n) in enumerate(spans)] + [(98, at(-5e6), None), (99, None, at(5)), (97, at(1e9 / 1000), None)]
+    facts = [(k, at(rng.uniform(-1e6, 1e6))) for k in range(200)] + [(k, at(m)) for k, m in enumerate((0, 60, 120, 180, 5, 1 / 60e6), 200)] + [(300, None)]
+    f = spark.createDataFrame(facts, "k int, ts timestamp").repartition(3)
+    r = spark.createDataFrame(ranges, "r int, t_start timestamp, t_end timestamp")
+    now = dt.datetime.now(dt.timezone.utc)
+    for open_ in (False, True):
+        got = joins.interval_join_dyadic(f, r, open_to_now=open_)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+        stop = lambda e: e if e or not open_ else now
+        want = []
+        for k, t in facts:
+            own = [i for i, a, e in ranges if t and a and stop(e) and a <= t < stop(e)]
+            want += [(k, i) for i in own] or [(k, None)]
+        assert sorted(((x.k, x.r) for x in got.collect()), key=str) == sorted(want, key=str)
+    rows = {x.r: x["count"] for x in joins.cut_dyadic(r).groupBy("r").count().collect()}
+    assert max(rows.values()) > 10
+    for k, n in rows.items():
+        assert n <= 2 * math.log2(max(2, spans[k][1] / 60 + 2)) + 2

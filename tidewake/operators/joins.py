@@ -80,6 +80,48 @@ def interval_join(facts: DataFrame, ranges: DataFrame, ts: str = "ts", start: st
     return keyed.join(cut, (keyed["_bin"] == cut["_bin"]) & (keyed[ts] >= cut[start]) & (keyed[ts] < cut["_stop"]), "left").drop("_bin", "_stop")
 
 
+#: Levels of the hierarchy of bins: the widest node has 2^LEVELS of them.
+LEVELS = 40
+
+
+def dyadic_nodes(first: str, last: str) -> str:
+    """SQL of the nodes (level, node) of a binary hierarchy that bins first..last are made of: two a level at most.
+
+    On a level those whole nodes belong to the cover that no whole node of the next level has.
+    """
+    whole = lambda k: (f"(-shiftright(-{first}, {k}))", f"shiftright({last} + 1, {k})")  # noqa: E731  begin, and end, of the nodes wholly inside
+    (begin, end), (up, down) = whole("k"), whole("k + 1")
+    ends = f"filter(array(CASE WHEN {begin} & 1 = 1 THEN {begin} END, CASE WHEN {end} & 1 = 1 THEN {end} - 1 END), n -> n IS NOT NULL)"
+    top = f"CASE WHEN {begin} < {end} THEN sequence({begin}, {end} - 1) ELSE CAST(array() AS ARRAY<BIGINT>) END"
+    nodes = f"CASE WHEN {up} < {down} THEN {ends} ELSE {top} END"
+    return f"flatten(transform(sequence(0, {LEVELS}), k -> transform({nodes}, n -> named_struct('level', k, 'node', n))))"
+
+
+def cut_dyadic(ranges: DataFrame, start: str = "t_start", end: str = "t_end", open_to_now: bool = False, bin_seconds: int = BIN) -> DataFrame:
+    """ranges with _from, _stop, and a row for each _level and _node that they are made of: at most 2 log2 of the bins they span, and two more."""
+    stop = F.coalesce(ranges[end], F.current_timestamp().cast(ranges.schema[end].dataType)) if open_to_now else ranges[end]
+    cut = ranges.withColumns({"_from": F.col(start), "_stop": stop}).where("_from < _stop")
+    cut = cut.withColumns({"_first": bin_of(F.col("_from"), bin_seconds), "_last": bin_of(F.col("_stop") - F.expr("interval 1 microsecond"), bin_seconds)})
+    return cut.selectExpr("*", f"inline({dyadic_nodes('_first', '_last')}) AS (_level, _node)").drop("_first", "_last")
+
+
+def interval_join_dyadic(facts: DataFrame, ranges: DataFrame, ts: str = "ts", start: str = "t_start", end: str = "t_end", open_to_now: bool = False, bin_seconds: int = BIN) -> DataFrame:
+    """interval_join for ranges of any length, from less than a bin to years.
+
+    Ranges are cut into nodes of a binary hierarchy of bins; each bin that has facts
+    looks its ancestors up, one on each level that ranges have nodes of. That gives the ranges of each
+    bin, no more of them than facts they are joined to, and facts meet them by bin: they are neither repeated nor
+    shuffled by range. Facts are read twice, the first time only their ts.
+    """
+    cut = cut_dyadic(ranges, start, end, open_to_now, bin_seconds)
+    levels = cut.agg(F.collect_set("_level")).scalar()
+    bins = facts.select(bin_of(F.col(ts), bin_seconds).alias("_bin")).distinct()
+    asked = bins.withColumn("_levels", levels).select("_bin", F.explode("_levels").alias("_level")).selectExpr("_bin", "_level", "shiftright(_bin, _level) AS _node")
+    near = asked.join(cut, ["_level", "_node"]).drop("_level", "_node").withColumnRenamed("_bin", "_at")
+    keyed = facts.withColumn("_bin", bin_of(F.col(ts), bin_seconds))
+    return keyed.join(near, (keyed["_bin"] == near["_at"]) & (keyed[ts] >= near["_from"]) & (keyed[ts] < near["_stop"]), "left").drop("_bin", "_at", "_from", "_stop")
+
+
 def equi_range_join(facts: DataFrame, ranges: DataFrame, keys: list[str], ts: str = "ts", start: str = "t_start", end: str = "t_end") -> DataFrame:
     """Left equi-join on keys with a half-open range as residual condition; a null end never matches."""
     other = ranges.withColumnsRenamed({k: f"_{k}" for k in keys} | {start: "_start", end: "_end"})

@@ -103,6 +103,20 @@ def interval_session_binned(spark: SparkSession, d: str) -> DataFrame:
     return joins.interval_join(events(spark, d), s, bin_seconds=86_400).select("event_id", "session_id", "name", "type")
 
 
+@registered(QUERIES, ORACLES, """WITH r AS (SELECT s_suppkey, TIMESTAMP '2024-01-30' - to_minutes(CAST(s_suppkey * 7919 % 43200 AS INT)) - to_minutes(CAST(CASE WHEN s_suppkey % 22 > 15 THEN 1 << (s_suppkey % 22) ELSE 0 END AS INT)) AS a,
+  1 << (s_suppkey % 22) AS n FROM supplier),
+s AS (SELECT s_suppkey, a AS t_start, CASE WHEN s_suppkey % 50 = 0 THEN TIMESTAMP '2100-01-01' ELSE a + to_minutes(CAST(n AS INT)) END AS t_end FROM r)
+SELECT s_suppkey, count(*) AS events, CAST(sum(event_id) AS BIGINT) AS ids FROM events e LEFT JOIN s ON e.ts >= s.t_start AND e.ts < s.t_end GROUP BY s_suppkey""")
+def interval_long(spark: SparkSession, d: str) -> DataFrame:
+    """Events in ranges of a minute to four years, some of them still open, one for each supplier."""
+    k = F.col("s_suppkey")
+    minutes = F.expr("shiftleft(1, cast(s_suppkey % 22 as int))")
+    begin = F.lit("2024-01-30").cast("timestamp") - F.make_dt_interval(mins=(k * 7919 % 43200).cast("int")) - F.make_dt_interval(mins=F.when(k % 22 > 15, minutes).otherwise(0))
+    ranges = table(spark, d, "supplier").select(k, begin.alias("t_start")).withColumn("t_end", F.when(k % 50 != 0, F.col("t_start") + F.make_dt_interval(mins=minutes)))
+    joined = joins.interval_join_dyadic(events(spark, d).select("event_id", "ts"), ranges, open_to_now=True)
+    return joined.groupBy("s_suppkey").agg(F.count("*").alias("events"), F.sum("event_id").alias("ids"))
+
+
 @registered(QUERIES, ORACLES, """SELECT l.l_orderkey, l.l_linenumber, o.o_custkey, o.o_orderpriority FROM lineitem l
 LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey AND l.l_shipdate >= o.o_orderdate AND l.l_shipdate < CASE WHEN o.o_orderkey % 7 <> 0 THEN o.o_orderdate + INTERVAL 60 DAY END""")
 def equi_range_leg(spark: SparkSession, d: str) -> DataFrame:
