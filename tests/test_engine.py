@@ -247,29 +247,6 @@ def test_bucket_is_counted_from_the_epoch(spark):
     assert got == -250_000
 
 
-def test_reassembly_state():
-    import pandas as pd
-
-    class State:
-        exists, hasTimedOut, value = False, False, None
-        get = property(lambda self: self.value)
-
-        def update(self, value):
-            self.value, self.exists = value, True
-
-        def remove(self):
-            self.exists = False
-
-    data = bytes(range(20))
-    payloads = [r.split("#")[1] for r in fast(130824, data, counter=3)]
-    state, run = State(), ingest.reassembler()
-    batch = lambda rows: pd.DataFrame([(k, T0, p) for k, p in rows], columns=["seq", "ts", "payload"])
-    (first,) = run(("d", "s", 1), iter([batch(list(enumerate(payloads))[:2])]), state)
-    assert len(first) == 0 and state.exists
-    (second,) = run(("d", "s", 1), iter([batch([(2, payloads[2])])]), state)
-    assert second.payload.tolist() == [data.hex()] and not state.exists
-
-
 def test_layout_table_is_bounded():
     assert len(n2k.layout_rows()) + len(n2k.set_rows()) < 200
 

@@ -1,4 +1,4 @@
-"""Incremental ingest of an archive, and stateful reassembly, with Structured Streaming.
+"""Incremental ingest of an archive with Structured Streaming.
 
 Late data is never dropped: an object that lands late is a new file, and its
 buckets are merged over what is there. No watermark is set for that reason. The
@@ -10,14 +10,12 @@ from __future__ import annotations
 
 import random
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..plans import derive
 from ..schema import RAW
@@ -68,61 +66,6 @@ def supervised(start: Callable[[], StreamingQuery], attempts: int = 4, first_wai
     return query
 
 
-MESSAGE = "device_id string, src string, can_id long, seq long, ts timestamp, payload string"
-STATE = "counters array<int>, bodies array<string>, lengths array<int>"
-
-
-def reassembler(timeout_ms: int | None = None) -> Callable:
-    """A state function for fast packets: per (device, source, identifier) the open message of each counter."""
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        open_: dict[int, tuple[int, str, int]] = {}
-        if state.exists:
-            counters, bodies, lengths = state.get
-            open_ = {int(c) >> 5: (int(c) & 31, b, int(n)) for c, b, n in zip(counters, bodies, lengths, strict=True)}
-        out = []
-        frames = pd.concat([b for b in batches if len(b)]).sort_values("seq")
-        for f in frames.itertuples():
-            first = int(f.payload[:2], 16)
-            counter, number = first >> 5, first & 31
-            if number == 0 and len(f.payload) >= 4:
-                held = (0, f.payload[4:], int(f.payload[2:4], 16))
-            elif counter in open_ and open_[counter][0] + 1 == number:
-                held = (number, open_[counter][1] + f.payload[2:], open_[counter][2])
-            else:
-                open_.pop(counter, None)
-                continue
-            if len(held[1]) >= held[2] * 2:
-                out.append((*key, f.seq, f.ts, held[1][: held[2] * 2]))
-                open_.pop(counter, None)
-            else:
-                open_[counter] = held
-        if open_:
-            items = sorted(open_.items())
-            state.update(([c << 5 | h[0] for c, h in items], [h[1] for _, h in items], [h[2] for _, h in items]))
-            if timeout_ms is not None:
-                state.setTimeoutDuration(timeout_ms)
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(out, columns=["device_id", "src", "can_id", "seq", "ts", "payload"])
-
-    return run
-
-
-def reassemble_stream(frames: DataFrame, timeout_ms: int | None = None) -> DataFrame:
-    """Complete fast packets of a stream of frames (device_id, src, can_id, seq, ts, hex payload).
-
-    With a timeout, open messages are dropped after it; a query that runs to the
-    end of its input needs none, and would wait for it.
-    """
-    timeout = GroupStateTimeout.NoTimeout if timeout_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    keyed = frames.select("device_id", "src", "can_id", "seq", "ts", "payload").groupBy("device_id", "src", "can_id")
-    return keyed.applyInPandasWithState(reassembler(timeout_ms), MESSAGE, STATE, "append", timeout)
-
-
 def event_buckets(stream: DataFrame, interval: str, ts: str = "ts") -> DataFrame:
     """Tumbling windows of event time, counted from the epoch, by field: count, first and last time; complete mode or foreachBatch."""
     return stream.groupBy(F.window(ts, interval).alias("w"), "field").agg(F.count("*").alias("n"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
