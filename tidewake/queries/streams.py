@@ -43,9 +43,11 @@ def stream_fast_packet(spark: SparkSession, d: str) -> DataFrame:
     """Reassembly with keyed state gives what the batch form gives."""
     out = scratch(spark, "stream")
     frames = n2k.frames(long_messages(spark, d), n2k.FAST).select("device_id", "src", "can_id", "seq", "ts", "payload")
-    # Three batches whose bounds fall inside messages: the state has what is open.
-    frames.withColumn("_at", F.floor(F.col("seq") / (1 + frames.agg(F.max("seq")).scalar() / 3))).repartition(3, "_at").write.partitionBy("_at").parquet(f"{out}/frames")
-    stream = spark.readStream.schema(frames.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/frames").drop("_at")
+    # Three files, a batch each, whose bounds fall inside messages: the state has what is open.
+    third = 1 + frames.agg(F.max("seq")).scalar() / 3
+    for n in range(3):
+        frames.where(F.floor(F.col("seq") / third) == n).coalesce(1).write.mode("append").parquet(f"{out}/frames")
+    stream = spark.readStream.schema(frames.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/frames")
     query = reassembly.reassemble_stream(stream).writeStream.format("parquet").option("path", f"{out}/messages").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     messages = spark.read.schema(reassembly.MESSAGE).parquet(f"{out}/messages")
