@@ -4,6 +4,7 @@ import datetime as dt
 import gzip
 import json
 import os
+import time
 from datetime import date
 
 import pytest
@@ -90,6 +91,44 @@ def test_one_writer_at_a_time(spark, tmp_path):
         derive.update(spark, rows, keys, root, rebuild=True)
 
 
+def test_a_paused_writer_cannot_publish(spark, tmp_path, monkeypatch):
+    """Its lock ends while it stands still; another run takes over, and only that one's work is published."""
+    rows, root = days_of_speed(spark), str(tmp_path / "t")
+    one, two = (spark.createDataFrame([(k,)], "key string") for k in "ab")
+    assert derive.update(spark, rows, one, root)["objects"] == 1
+    monkeypatch.setattr(store.Lease, "renew", lambda self: None)
+    own, taken = store.commit, []
+
+    def paused(*a):
+        if not taken:
+            taken.append(store.lock_holder(spark, root))
+            time.sleep(1.2)
+            # Another host's run, from here: it finds the lock over, and names its holder until then.
+            with store.locked(spark, root):
+                assert store.current(spark, root).version == 2
+        own(*a)
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "commit", paused)
+        with pytest.raises(store.Busy, match="written by another run"), store.locked(spark, root, 1.0):
+            derive.write_update(spark, rows, two, root, "1s", False)
+    assert taken[0]["pid"] == os.getpid() and taken[0]["host"] == store.socket.gethostname()
+    assert {r.key for r in derive.read_ledger(spark, root).collect()} == {"a"}
+    assert derive.update(spark, rows, two, root)["objects"] == 1 and store.current(spark, root).version == 3
+
+
+def test_a_living_writer_keeps_its_lock(spark, tmp_path):
+    root = str(tmp_path / "t")
+    with store.locked(spark, root, 0.9):
+        time.sleep(2)
+        with pytest.raises(store.Busy), store.locked(spark, root):
+            pass
+    assert store.lock_holder(spark, root) is None
+    store.Files(spark, root).create(store.LOCK, json.dumps({"pid": 1, "host": "elsewhere", "since": "then", "run": "x", "until": 0}).encode())
+    with store.locked(spark, root):
+        assert store.lock_holder(spark, root)["host"] == store.socket.gethostname()
+
+
 def test_messages_over_objects_and_runs(spark, tmp_path):
     """A message whose frames lie in three objects, of two runs, is decoded once whole; strays between do not join."""
     data = bytearray(43)
@@ -183,17 +222,25 @@ def test_requests_without_meaning_are_refused():
 
 
 def test_audit_entries(spark, tmp_path):
-    key, body = audit.entry("a.tool", 75, "stopped", {"z": 1, "a": {"b": 2}}, dt.datetime(2024, 2, 3, 4, 5, 6, tzinfo=dt.timezone.utc))
+    at = dt.datetime(2024, 2, 3, 4, 5, 6, tzinfo=dt.timezone.utc)
+    key = audit.publish(f"{tmp_path}/one", audit.Account("a.tool", "stopped", {"z": 1, "a": {"b": 2}}, 75), at)
+    body = (tmp_path / "one" / key).read_bytes()
     assert key.startswith("_log/a.tool/2024/02/03/040506-") and key.endswith(".json")
     text = body.decode()
     assert list(json.loads(text)) == ["application", "comment", "details", "exit_code", "host", "timestamp"] and text.startswith('{\n  "application"')
     for bad in ("A", "", "a/b", "..", "-x"):
         with pytest.raises(ValueError):
-            audit.entry(bad, 0, "")
-    assert audit.write_safely("file:///proc/nowhere", "a", 0, "") is None
+            audit.Account(bad)
+    with audit.recorded("file:///proc/nowhere", audit.Account("a")) as account:  # no log: the work goes on
+        account.comment = "done"
+    with pytest.raises(KeyError), audit.recorded(f"{tmp_path}/two", audit.Account("a", failed="lost: {}")):
+        raise KeyError("x")
+    (ended,) = [json.loads(p.read_text()) for p in (tmp_path / "two").rglob("*.json")]
+    assert (ended["exit_code"], ended["comment"]) == (1, "lost: 'x'")
+    tmp_path = tmp_path / "three"
     root = f"file://{tmp_path}"
     for tool in ("one", "two"):
-        audit.write(root, tool, 0, "done, well", {"n": 1})
+        audit.publish(root, audit.Account(tool, "done, well", {"n": 1}))
     (tmp_path / "_log/one/2024/01/01").mkdir(parents=True)
     (tmp_path / "_log/one/2024/01/01/000000-0.json").write_text("{broken")
     got = export.export(spark, root, f"{root}/log.csv", export.Request(source="_log", fmt="csv"))

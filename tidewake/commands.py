@@ -124,34 +124,35 @@ def run_update(spark: SparkSession, args: argparse.Namespace) -> int:
     text = f"{got['objects']} objects, {got['rows']} rows into {args.table} at {args.bucket}, {got['dropped']} samples out of range, new columns: {got['columns_added']}"
     say(text + " (dry run)" * args.dry_run)
     if not args.dry_run and (got["columns_added"] or args.rebuild):
-        # What the ledger does not tell: that columns came, or that a rebuild was ordered.
+        # New columns and rebuilds leave no trace in the ledger.
         details = {"objects": got["objects"], "rows": got["rows"], "table": args.table, "bucket": args.bucket, "proto": args.proto, "rebuild": args.rebuild, "new_columns": got["columns_added"], "dropped_out_of_range": got["dropped"]}
-        audit.write_safely(args.root, UPDATE, 0, f"updated: {text}", details)
+        audit.tell(args.root, [audit.Account(UPDATE, f"updated: {text}", details)])
     return 0
 
 
 def run_import(spark: SparkSession, args: argparse.Namespace) -> int:
-    table = spark.read.jdbc(args.jdbc, args.table, properties={"fetchsize": str(legacy.FETCH_ROWS)})
-    for d in legacy.import_days(spark, table, args.root, args.since, args.until, args.device_id, args.live, args.lag_seconds, name=args.table):
+    for d in legacy.import_jdbc(spark, args.jdbc, args.table, args.root, args.since, args.until, args.device_id, args.live, args.lag_seconds):
         say(f"{d['day']}: {d['state']}, {d['rows']} rows")
     return 0
 
 
 def run_follow(spark: SparkSession, args: argparse.Namespace) -> int:
-    from .streaming import ingest
+    from .streaming import ingest, supervise
 
+    supervise.listening(spark, say=say)
     ingest.supervised(lambda: ingest.catch_up(spark, args.root, args.table, args.checkpoint, args.bucket, args.every))
     return 0
 
 
 def run_capture(spark: SparkSession, args: argparse.Namespace) -> int:
     """Until it is stopped; a failed batch is tried again."""
-    from .streaming import capture, ingest
+    from .streaming import capture, ingest, supervise
 
     limits = {"max_batch_bytes": args.batch_bytes, "max_backlog_bytes": args.backlog_bytes}
     if args.once:
         capture.drain(spark, args.segments, args.root, args.device_id, args.checkpoint, **limits)
     else:
+        supervise.listening(spark, say=say)
         ingest.supervised(lambda: capture.capture(spark, args.segments, args.root, args.device_id, args.checkpoint, args.every, **limits))
     return 0
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 import json
 import os
 import socket
+import threading
+import time
 import uuid
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
@@ -80,6 +82,13 @@ class Files:
         finally:
             stream.close()
 
+    def replace(self, name: str, data: bytes) -> None:
+        stream = self.fs.create(self.path(name), True)
+        try:
+            stream.write(data)
+        finally:
+            stream.close()
+
     def publish(self, name: str, data: bytes) -> bool:
         """The file whole or not at all; False if there is one of that name."""
         part = f"_part-{uuid.uuid4().hex}"
@@ -138,36 +147,83 @@ def tidy(spark: SparkSession, root: str, manifest: Manifest) -> None:
 
 
 LOCK = "_lock"
+#: Seconds that a lock holds unless it is renewed; far more than clocks of hosts differ by.
+LEASE_S = 600.0
+
+
+class Lease:
+    """A lock file with an end, put off again and again while its holder lives."""
+
+    def __init__(self, files: Files, seconds: float):
+        self.files, self.seconds, self.ended = files, seconds, threading.Event()
+        self.own = {"pid": os.getpid(), "host": socket.gethostname(), "since": datetime.now(timezone.utc).isoformat(timespec="seconds"), "run": uuid.uuid4().hex}
+        self.thread = threading.Thread(target=self.renew, daemon=True)
+
+    def content(self) -> bytes:
+        return json.dumps(self.own | {"until": time.time() + self.seconds}).encode()
+
+    def take(self) -> None:
+        """An error if there is a lock."""
+        self.files.create(LOCK, self.content())
+        self.thread.start()
+
+    def renew(self) -> None:
+        while not self.ended.wait(self.seconds / 3):
+            if (holder_of(self.files) or {}).get("run") != self.own["run"]:
+                return  # it is another's by now
+            self.files.replace(LOCK, self.content())
+
+    def end(self) -> None:
+        self.ended.set()
+        self.thread.join(timeout=10)
+        if (holder_of(self.files) or {}).get("run") == self.own["run"]:
+            self.files.remove(LOCK)
 
 
 @contextmanager
-def locked(spark: SparkSession, root: str):
-    """One writer at a time, by a file that only one can create. A lock of a process of this host that is gone is taken over."""
+def locked(spark: SparkSession, root: str, lease_s: float = LEASE_S):
+    """One writer at a time, by a file that only one can create, for as long as it is renewed.
+
+    A lock is taken over where it has ended, or its process is gone from this host. Who takes it over
+    publishes the table as it is under the next number: a holder that was only paused
+    has read an older one, so what it publishes later is refused, whenever that is.
+    """
     files = Files(spark, root)
-    own = {"pid": os.getpid(), "host": socket.gethostname(), "since": datetime.now(timezone.utc).isoformat(timespec="seconds"), "run": uuid.uuid4().hex}
+    lease = Lease(files, lease_s)
     for last in (False, True):
         try:
-            files.create(LOCK, json.dumps(own).encode())
+            lease.take()
             break
-        except Exception as e:
-            holder = lock_holder(spark, root)
+        except Py4JJavaError as e:
+            holder = holder_of(files)
             if holder is None and not last:
                 continue
-            if last or not is_gone(holder):
+            if last or not is_over(holder):
                 raise Busy(f"{root} is held by {describe(holder)}") from e
             files.remove(LOCK)
+            fence(spark, root)
     try:
         yield
     finally:
-        if (lock_holder(spark, root) or {}).get("run") == own["run"]:
-            files.remove(LOCK)
+        lease.end()
+
+
+def fence(spark: SparkSession, root: str) -> None:
+    """The current version once more, under the next number; where another run does so just now, that holds as well."""
+    now = current(spark, root) or Manifest()
+    now.version += 1
+    Files(spark, root).publish(f"{MANIFEST}{now.version:010d}.json", json.dumps(asdict(now), sort_keys=True).encode())
 
 
 def lock_holder(spark: SparkSession, root: str) -> dict | None:
-    files = Files(spark, root)
+    return holder_of(Files(spark, root))
+
+
+def holder_of(files: Files) -> dict | None:
+    """What the lock file says; nothing where it was just released, or is being written."""
     try:
         return json.loads(files.read(LOCK)) if files.fs.exists(files.path(LOCK)) else None
-    except Exception:  # just released, or being written
+    except (Py4JJavaError, ValueError):
         return {}
 
 
@@ -175,8 +231,13 @@ def describe(holder: dict | None) -> str:
     return f"process {holder['pid']} on {holder['host']} since {holder['since']}" if holder else "another run"
 
 
-def is_gone(holder: dict | None) -> bool:
-    if not holder or holder.get("host") != socket.gethostname():
+def is_over(holder: dict | None) -> bool:
+    """The lock has ended, or its process is gone from this host."""
+    if not holder:
+        return False
+    if holder.get("until", float("inf")) < time.time():
+        return True
+    if holder.get("host") != socket.gethostname():
         return False
     try:
         os.kill(int(holder["pid"]), 0)

@@ -165,7 +165,7 @@ def scan_audit(spark: SparkSession, d: str) -> DataFrame:
     """An entry a day with the number of its events, written and read back."""
     root = scratch(spark, "audit")
     for r in events(spark, d).groupBy(F.to_date("ts").alias("day")).count().toLocalIterator():
-        audit.write(root, "export" if r["day"].day % 2 == 0 else "import", r["day"].day % 3, "a day", {"rx": r["count"]})
+        audit.publish(root, audit.Account("export" if r["day"].day % 2 == 0 else "import", "a day", {"rx": r["count"]}, r["day"].day % 3))
     return archive.read_audit(spark, f"{root}/_log/*/*/*/*/*.json").select("application", "exit_code", F.try_element_at("details", F.lit("rx")).alias("rx"))
 
 
@@ -249,7 +249,7 @@ def export_log_csv(spark: SparkSession, d: str) -> DataFrame:
     """Audit entries as CSV: nested values are JSON with sorted keys. Time and host are left out here."""
     root = scratch(spark, "audit")
     for r in events(spark, d).groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"), F.max("event_id").alias("z")).toLocalIterator():
-        audit.write(root, "export" if r["day"].day % 2 == 0 else "import", r["day"].day % 3, "a, day", {"z": r["z"], "a": r["n"]})
+        audit.publish(root, audit.Account("export" if r["day"].day % 2 == 0 else "import", "a, day", {"z": r["z"], "a": r["n"]}, r["day"].day % 3))
     lines, _ = exported(spark, root, export.Request(source="_log", fmt="csv"))
     return lines.where(~F.col("line").startswith("timestamp,")).select(F.regexp_replace("line", r"^[^,]*,([a-z]+),[^,]*,", "$1,h,").alias("line"))
 
@@ -266,7 +266,7 @@ def import_day_scan(spark: SparkSession, d: str) -> DataFrame:
 
 @registered(QUERIES, ORACLES, "SELECT CAST(min(ts) AS DATE) AS day FROM events")
 def earliest_day(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([(archive.earliest_day(legacy_rows(spark, d)),)], "day date")
+    return archive.first_day(legacy_rows(spark, d))
 
 
 IMPORT_LINE = f"""'{{"ts":"' || {ISO} || '","mono":null,"device_id":"u' || user_id % 5 || '","src":' || CASE WHEN event_id % 4 = 0 THEN 'null' ELSE '"10.0.0.7"' END || ',"proto":"n0183","raw":"$X' || event_id || '"}}'"""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,17 +51,30 @@ def bucket_floor_units(spark: SparkSession, d: str) -> DataFrame:
     return events(spark, d).select("event_id", *(plain(bucket_floor(F.col("ts"), x)).alias(f"b_{x}") for x in ("1s", "250ms", "5m", "1h")))
 
 
-@registered(QUERIES, ORACLES, """SELECT * FROM (VALUES ('1s', 1000000::BIGINT), ('250ms', 250000), ('5m', 300000000), ('1h', 3600000000), ('1.5s', 1500000),
-('1', NULL), ('s', NULL), ('0s', NULL), ('-5s', NULL), ('1 s', NULL), ('1sec', NULL), ('word', NULL)) t(text, micros)""")
+UNITS = ("ms", "s", "m", "h", "sec", "")
+
+
+@registered(QUERIES, ORACLES, """WITH t AS (SELECT DISTINCT CAST(l_quantity AS BIGINT) AS n, l_linenumber % 6 AS unit, l_linenumber % 5 = 0 AS halves FROM lineitem)
+SELECT n || CASE WHEN halves THEN '.5' ELSE '' END || CASE unit WHEN 0 THEN 'ms' WHEN 1 THEN 's' WHEN 2 THEN 'm' WHEN 3 THEN 'h' WHEN 4 THEN 'sec' ELSE '' END AS text,
+CAST((n * 1000 + CASE WHEN halves THEN 500 ELSE 0 END) * CASE unit WHEN 0 THEN 1 WHEN 1 THEN 1000 WHEN 2 THEN 60000 WHEN 3 THEN 3600000 END AS BIGINT) AS micros FROM t""")
 def parse_interval_texts(spark: SparkSession, d: str) -> DataFrame:
-    def micros(text: str) -> int | None:
-        try:
-            return parse_interval(text)
-        except ValueError:
-            return None
-
-    texts = ("1s", "250ms", "5m", "1h", "1.5s", "1", "s", "0s", "-5s", "1 s", "1sec", "word")
-    return spark.createDataFrame([(t, micros(t)) for t in texts], "text string, micros long")
+    """Quantities with units as texts of intervals; those of no unit, or of an unknown one, are none."""
+    unit = F.get(F.array(*map(F.lit, UNITS)), (F.col("l_linenumber") % 6).cast("int"))
+    texts = spark.read.parquet(f"{d}/lineitem.parquet").select(F.concat(F.col("l_quantity").cast("bigint"), F.when(F.col("l_linenumber") % 5 == 0, ".5").otherwise(""), unit).alias("text")).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch({"text": batch.column("text"), "micros": pa.array([micros_of(t) for t in batch.column("text").to_pylist()], pa.int64())})
+
+    return texts.mapInArrow(run, "text string, micros long")
+
+
+def micros_of(text: str) -> int | None:
+    try:
+        return parse_interval(text)
+    except ValueError:
+        return None
+
 
 
 @registered(QUERIES, ORACLES, "SELECT DISTINCT event_type AS field FROM events")

@@ -13,14 +13,14 @@ from .tables import events, plain, registered, table
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-CALS = "cals AS (SELECT event_id AS cal_id, date_trunc('day', ts) AS effective_from, 1 + value / 10000 AS param_value FROM events WHERE event_id % 500 = 0)"
+CALS = "cals AS (SELECT event_id AS cal_id, date_trunc('day', ts) AS effective_from, 1 + value / 10000 AS param_value FROM events)"
 SPANS = f"{CALS}, spans AS (SELECT *, lead(effective_from) OVER (ORDER BY effective_from, cal_id) AS effective_to FROM cals)"
 SESSIONS = """sessions AS (SELECT CAST(day(d) AS BIGINT) AS session_id, 'session ' || day(d) AS name, CASE WHEN day(d) % 2 = 0 THEN 'race' ELSE 'training' END AS type,
   d + INTERVAL 8 HOUR AS t_start, CASE WHEN day(d) % 10 <> 0 THEN d + INTERVAL 18 HOUR END AS t_end FROM (SELECT DISTINCT date_trunc('day', ts) AS d FROM events) WHERE day(d) % 3 <> 0)"""
 
 
 def calibrations(spark: SparkSession, d: str) -> DataFrame:
-    return events(spark, d).where("event_id % 500 = 0").select(F.col("event_id").alias("cal_id"), F.date_trunc("day", "ts").alias("effective_from"), (1 + F.col("value") / 10000).alias("param_value"))
+    return events(spark, d).select(F.col("event_id").alias("cal_id"), F.date_trunc("day", "ts").alias("effective_from"), (1 + F.col("value") / 10000).alias("param_value"))
 
 
 def sessions(spark: SparkSession, d: str) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions.times import epoch_seconds
 from ..operators import n2k, resample
 from ..plans import store
 from ..sources import archive, export, segments
-from ..streaming import capture, ingest, reassembly
+from ..streaming import capture, ingest, reassembly, supervise
 from .archive import records, scratch
 from .decoding import LOOKUP_SQL, course_raw, long_messages
 from .tables import events, plain, registered
@@ -107,6 +107,26 @@ def stream_shed(spark: SparkSession, d: str) -> DataFrame:
     return back.agg(F.count("*").alias("stored")).withColumn("lost", lost)
 
 
+@registered(QUERIES, ORACLES, "SELECT count(*) AS received, count(*) FILTER (event_id % 7 = 3) AS refused, count(*) FILTER (event_id % 7 <> 3 AND event_id % 9 = 4) AS bad_clock FROM events")
+def stream_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """What the stream's listener counts over all batches of a capture: lines, those that are no frames, and those stamped before any capture was."""
+    out = scratch(spark, "capture")
+    k = F.col("event_id")
+    line = export.candump_line(F.when(k % 9 == 4, F.lit("2001-02-03").cast("timestamp")).otherwise(F.col("ts")), F.lit("can0"), F.col("proto"), F.col("raw"))
+    lines = records(spark, d).select("event_id", F.when(k % 7 == 3, F.concat(line, F.lit("0"))).otherwise(line).alias("value"))
+    segments.write_segments(numbered(lines), f"{out}/segments", 1000).count()
+    half = 1 + sum(s.size for s in segments.segments(*segments.open_folder(f"{out}/segments"))) // 2
+    name = f"boat {out[-8:]}"
+    stats = supervise.listening(spark)
+    try:
+        capture.drain(spark, f"{out}/segments", f"{out}/archive", name, f"{out}/checkpoint", max_batch_bytes=half)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        total = stats.settled(f"capture {name}")
+    finally:
+        spark.streams.removeListener(stats)
+    return spark.createDataFrame([(total["received"], total["refused"], total["bad_clock"])], "received long, refused long, bad_clock long")
+
+
 @registered(QUERIES, ORACLES, """WITH r AS (SELECT event_id, ts, event_id % 3 AS device, CASE WHEN event_id % 5 <> 0 THEN event_id // 700 END AS level FROM events),
 k AS (SELECT *, last_value(level IGNORE NULLS) OVER (PARTITION BY device ORDER BY event_id) AS held FROM r),
 e AS (SELECT device, held, count(*) AS rows, min(ts) AS first_ts, max(ts) AS last_ts FROM k WHERE held IS NOT NULL GROUP BY device, held)

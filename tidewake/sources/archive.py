@@ -301,8 +301,13 @@ def lines_of(path: str) -> Iterator[str]:
 
 def earliest_day(table: DataFrame, ts: str = "received_at") -> date | None:
     """The first UTC day of a legacy table; None if it is empty. Times without a zone are refused: their day is a guess."""
+    return first_day(table, ts).first()["day"]
+
+
+def first_day(table: DataFrame, ts: str = "received_at") -> DataFrame:
+    """The same as a row of day."""
     refuse_naive(table, ts)
-    return table.agg(F.to_date(F.min(ts)).alias("day")).first()["day"]
+    return table.agg(F.to_date(F.min(ts)).alias("day"))
 
 
 def refuse_naive(table: DataFrame, ts: str) -> None:

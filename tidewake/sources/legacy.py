@@ -45,6 +45,14 @@ def day_objects(records: DataFrame, root: str | None = None) -> DataFrame:
     return write_objects(records.withColumn("day", F.to_date("ts")), root, ["day"], order)
 
 
+def span_of(first: date | None, since: date | None, until: date | None, lag_seconds: int, now: datetime | None) -> tuple[date, date] | None:
+    """First and last day to import: of those that ended lag_seconds ago, from since, or the table's first day, to until; None if there is none."""
+    last = ((now or datetime.now(timezone.utc)) - timedelta(seconds=lag_seconds)).date() - timedelta(days=1)
+    last = min(until, last) if until else last
+    begin = since or first
+    return None if begin is None or begin > last else (begin, last)
+
+
 def import_days(
     spark: SparkSession, table: DataFrame, root: str, since: date | None = None, until: date | None = None, devices: list[str] | None = None,
     live: bool = False, lag_seconds: int = 300, now: datetime | None = None, name: str = "legacy",
@@ -55,34 +63,41 @@ def import_days(
     touches the archive writes an audit entry before and after, paired by a run_id; the
     second one whatever happens.
     """
-    now = now or datetime.now(timezone.utc)
-    first = since or earliest_day(table)
-    last = (now - timedelta(seconds=lag_seconds)).date() - timedelta(days=1)
-    last = min(until, last) if until else last
-    if first is None or first > last:
+    span = span_of(None if since else earliest_day(table), since, until, lag_seconds, now)
+    if span is None:
         return []
-    run = {"run_id": secrets.token_hex(4), "since": str(first), "until": str(last), "table": name, "proto": "n0183"}
-    if live:
-        audit.write_safely(root, APPLICATION, 0, f"import started: {first} to {last}", {"event": "start", **run})
-    done: dict[date, dict] = {}
-    failure: BaseException | None = None
-    try:
-        objects = day_objects(day_scan(table, first, last, devices), root if live else None)
-        if not live:
-            objects = reconcile_files(objects, root)
-        done = {r["day"]: {"day": r["day"], "state": r["state"], "rows": r["rows"], "key": r["key"]} for r in objects.collect()}
-    except BaseException as e:
-        failure = e
-        raise
-    finally:
-        if live:
+    first, last = span
+    days = [first + timedelta(days=k) for k in range((last - first).days + 1)]
+    if not live:
+        done = states(reconcile_files(day_objects(day_scan(table, first, last, devices)), root))
+    else:
+        run = {"run_id": secrets.token_hex(4), "since": str(first), "until": str(last), "table": name, "proto": "n0183"}
+        opening = audit.Account(APPLICATION, f"import started: {first} to {last}", {"event": "start", **run})
+        closing = audit.Account(APPLICATION, details={"event": "end", "days_uploaded": 0, "row_count": 0, **run}, failed="import failed: {}")
+        with audit.recorded(root, closing, opening) as account:
+            done = states(day_objects(day_scan(table, first, last, devices), root))
             uploaded = sum(d["state"] == "uploaded" for d in done.values())
-            text = f"import failed: {failure}" if failure else f"import finished: {uploaded} of {(last - first).days + 1} days uploaded"
-            audit.write_safely(root, APPLICATION, 1 if failure else 0, text, {"event": "end", "days_uploaded": uploaded, "row_count": sum(d["rows"] for d in done.values()), **run})
-    days = (first + timedelta(days=k) for k in range((last - first).days + 1))
+            account.comment = f"import finished: {uploaded} of {len(days)} days uploaded"
+            account.details |= {"days_uploaded": uploaded, "row_count": sum(d["rows"] for d in done.values())}
     return [done.get(d, {"day": d, "state": "empty", "rows": 0, "key": None}) for d in days]
 
 
+def states(objects: DataFrame) -> dict[date, dict]:
+    """A row a day comes to the driver."""
+    return {r["day"]: {"day": r["day"], "state": r["state"], "rows": r["rows"], "key": r["key"]} for r in objects.collect()}
+
+
+def import_jdbc(spark: SparkSession, url: str, table: str, root: str, since: date | None = None, until: date | None = None, devices: list[str] | None = None, live: bool = False, lag_seconds: int = 300, properties: dict[str, str] | None = None) -> list[dict]:
+    """import_days of a table behind JDBC: each day is a partition with a bounded fetch of its own. Its first day is asked for where since is not given."""
+    own = {"fetchsize": str(FETCH_ROWS), **(properties or {})}
+    first = None if since else earliest_day(spark.read.jdbc(url, table, properties=own))
+    span = span_of(first, since, until, lag_seconds, None)
+    if span is None:
+        return []
+    days = [span[0] + timedelta(days=k) for k in range((span[1] - span[0]).days + 1)]
+    return import_days(spark, read_table(spark, url, table, days, properties), root, span[0], span[1], devices, live, lag_seconds, name=table)
+
+
 def reconcile_files(objects: DataFrame, root: str) -> DataFrame:
     """objects with state up-to-date where the archive has an object of that key; each is asked for by its name."""
 

@@ -50,7 +50,9 @@ def segment_stream(spark: SparkSession, folder: str, **options: object) -> DataF
 def capture(spark: SparkSession, folder: str, root: str, device_id: str, checkpoint: str, every: str | None = EVERY, **options: object) -> StreamingQuery:
     """Store what a folder of segments has, and go on at that pace; with no pace, only the next batch."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    lines = segment_stream(spark, folder, progress=f"{checkpoint}/_progress.json", **options)
+    from .supervise import counted_lines
+
+    lines = counted_lines(segment_stream(spark, folder, progress=f"{checkpoint}/_progress.json", **options))
     write = lines.writeStream.foreachBatch(lambda batch, _: store_batch(batch, root, device_id).write.format("noop").mode("overwrite").save())
     return write.option("checkpointLocation", checkpoint).trigger(**trigger).queryName(f"capture {device_id}").start()
 
