@@ -11,15 +11,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import discard, materialize
+from .shared import HOT_ROWS, discard, join_facts, materialize
 
 
-def star(links: DataFrame, large: bool) -> DataFrame:
-    """links (u, v), u > v. Large: each larger neighbour goes to the least neighbour; small: each smaller one, and the node itself."""
+def star(spark: SparkSession, links: DataFrame, large: bool, count: int) -> DataFrame:
+    """links (u, v), u > v, count of them. Large: each larger neighbour goes to the least neighbour; small: each smaller one, and the node itself.
+
+    A root has nearly all links of its component at one end: such nodes' least neighbours are broadcast, so their links stay where they are.
+    """
     if large:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        moved = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+        larger = both.where("v > u")
+        if count > HOT_ROWS:
+            least = materialize(spark, least, "least-neighbours")
+            moved = join_facts(larger, least, ["u"], "n", 2 * count)
+        else:
+            moved = larger.join(least, "u")
+        moved = moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         least = links.groupBy("u").agg(F.min("v").alias("m"))
         moved = links.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -33,7 +42,7 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     now = materialize(spark, directed, "links")
     mark = checksum(now)
     while True:
-        after = materialize(spark, star(star(now, True), False), "links")
+        after = materialize(spark, star(spark, star(spark, now, True, mark[0]), False, mark[0]), "links")
         discard(spark, now)
         now, before = after, mark
         mark = checksum(now)

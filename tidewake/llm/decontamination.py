@@ -9,9 +9,9 @@ occurrence begins, the training text is searched in a suffix array of the test
 words for the longest verbatim match; a document's longest, with its places in
 document and item, stands in its row.
 
-The test set is stored in blocks of at most BLOCK_WORDS words in the shared
-folder. Each task reads the blocks one after another for each shard, so the documents are
-read and shuffled no more than once, and a task holds one block, however many there are.
+The test set is stored in blocks of about BLOCK_WORDS words in the shared
+folder, built by as many tasks. Each task goes through the blocks one after another for each shard, so the
+documents are read and shuffled no more than once, and a task holds HELD_BLOCKS blocks, however many there are.
 
 Words are compared by 64-bit hashes of their bytes. Defined results: a null or
 wordless text has no words and is clean; texts of any length are searched
@@ -27,9 +27,11 @@ import hashlib
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,8 @@ from .text import ALNUM, Texts, grouped
 WINDOW = 10
 #: Words of items in one block, about 40 bytes each in a task; text bytes of a shard.
 BLOCK_WORDS, SHARD_BYTES = 500_000, 4 << 20
+#: Blocks that a task holds at most, some 25 MB each.
+HELD_BLOCKS = 8
 #: Occurrences that are looked at together.
 CHUNK = 1 << 20
 
@@ -86,40 +90,42 @@ def test_set(items: list[tuple[str | None, str | None]]) -> TestSet:
 
 
 def item_blocks(spark: SparkSession, items: DataFrame) -> list[str]:
-    """Paths of the stored blocks; the driver holds one at a time."""
+    """Paths of the stored blocks. Tasks build and write them, each from its share of the items; the driver has the paths alone."""
     folder = new_folder(spark, "test-suffixes")
-    rows = items.select(F.col("item_id").cast("string"), "text").where("text is not null").distinct()
-    paths: list[str] = []
-    held: list[tuple[str | None, str | None]] = []
-    size = 0
-
-    def close() -> None:
-        nonlocal size
-        paths.append(f"{folder}/block-{len(paths):06d}")
-        write_file(paths[-1], pickle.dumps(test_set(held)))
-        held.clear()
+    # About as many words as a text can have: one for two characters.
+    rows = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null").distinct().withColumn("size", F.length("text") / 2 + 1)
+    tasks = 1 + int((rows.agg(F.sum("size")).first()[0] or 0) / BLOCK_WORDS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context, made = TaskContext.get(), 0
+        held: list[tuple[str | None, str | None]] = []
         size = 0
 
-    for r in rows.toLocalIterator():
-        held.append((r[0], r[1]))
-        size += len(r[1]) // 2 + 1
-        if size >= BLOCK_WORDS:
-            close()
-    if held:
-        close()
-    return paths
+        def close() -> pa.RecordBatch:
+            nonlocal made, size
+            path = f"{folder}/block-{context.partitionId():06d}-{made:06d}"
+            write_file(path, pickle.dumps(test_set(held)), str(context.taskAttemptId()))
+            made, size = made + 1, 0
+            held.clear()
+            return pa.record_batch({"path": pa.array([path])})
 
+        for batch in batches:
+            for item, text, own in zip(*(batch.column(c).to_pylist() for c in ("item_id", "text", "size")), strict=True):
+                held.append((item, text))
+                size += own
+                if size >= BLOCK_WORDS:
+                    yield close()
+        if held:
+            yield close()
 
-_block: tuple[str, TestSet | None] = ("", None)
+    dealt = rows.repartition(tasks, "item_id", "text").sortWithinPartitions("item_id", "text")
+    return sorted(r["path"] for r in dealt.mapInArrow(run, "path string").collect())
 
 
+@lru_cache(maxsize=HELD_BLOCKS)
 def block_at(path: str) -> TestSet:
-    """The block, kept until another is asked for."""
-    global _block
-    if _block[0] != path:
-        _block = (path, None)
-        _block = (path, pickle.loads(read_file(path)))
-    return _block[1]
+    """The block; a task holds the last few."""
+    return pickle.loads(read_file(path))
 
 
 @dataclass

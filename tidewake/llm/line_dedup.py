@@ -412,8 +412,8 @@ class Slot:
         fine = (number.astype(np.uint64) << np.uint64(40)) | (rows.size[order].astype(np.uint64) << np.uint64(20)) | (rows.cls[order] >> np.uint64(44))
         return order[np.argsort(fine)]
 
-    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Rows x, y of pairs that can link, some millions of pairs at a time."""
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """Rows x, y of pairs that can link, some millions of pairs at a time, and the first group that may have more of them."""
         total = np.cumsum(self.reach)
         edges = np.searchsorted(total, np.arange(0, int(total[-1]) if len(total) else 0, PAIRS)).tolist() + [len(total)]
         for low, high in zip(edges[:-1], edges[1:], strict=True):
@@ -421,7 +421,9 @@ class Slot:
             x = np.repeat(np.arange(low, high), reach)
             y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(reach) - reach, reach)
             for s in range(0, len(x), 4 * PAIRS):
-                yield self.passing(x[s : s + 4 * PAIRS], y[s : s + 4 * PAIRS])
+                end = s + 4 * PAIRS
+                after = x[end] if end < len(x) else high
+                yield *self.passing(x[s:end], y[s:end]), int(self.group[after]) if after < len(self.group) else len(self.group)
 
     def passing(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Those that can link by position, block, and the bits that their signatures differ in."""
@@ -463,32 +465,66 @@ def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def slot_candidates(rows: Rows) -> Iterator[pa.RecordBatch]:
+    """Group after group: pairs stand in the rows' order, so a group is decided as soon as all of its pairs are known.
+
+    No more pairs are held than a portion's, and those of the one group under way; once
+    a group has over PAIRS and is dense, its pairs are let go and only its members are marked.
+    """
     slot = Slot(rows)
-    found = list(slot.pairs())
-    if not found:
-        return
-    x, y = (np.concatenate(side) for side in zip(*found, strict=True))
+    none = np.zeros(0, np.int64)
+    x, y = none, none
+    marked = np.zeros(len(slot.group), bool)  # members of the group under way, where it is dense for certain
+    open_dense = -1
+    for more_x, more_y, upto in slot.pairs():
+        own = slot.group[more_x]
+        if open_dense >= 0:
+            inside = own == open_dense
+            marked[more_x[inside]] = marked[more_y[inside]] = True
+            more_x, more_y = more_x[~inside], more_y[~inside]
+            if upto > open_dense:
+                yield from dense_members(slot, np.flatnonzero(marked))
+                marked[:], open_dense = False, -1
+        x, y = np.concatenate([x, more_x]), np.concatenate([y, more_y])
+        done = slot.group[x] < upto
+        yield from decided(slot, x[done], y[done])
+        x, y = x[~done], y[~done]
+        if len(x) > PAIRS and len(x) > DENSE * len(np.unique(np.concatenate([x, y]))):
+            # One group alone is under way. More pairs make it no less dense than its members do; either form is right.
+            open_dense = int(slot.group[x[0]])
+            marked[x] = marked[y] = True
+            x, y = none, none
+    if open_dense >= 0:
+        yield from dense_members(slot, np.flatnonzero(marked))
+    yield from decided(slot, x, y)
+
+
+def decided(slot: Slot, x: np.ndarray, y: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A dense group's members go on, of the others their pairs. Different classes of one hash are both verified."""
     if not len(x):
         return
-    # A dense group's members go on, of the others their pairs. Different classes of one hash are both verified.
     members = np.unique(np.concatenate([x, y]))
-    groups = int(slot.group[-1]) + 1
-    dense = np.bincount(slot.group[x], minlength=groups) > DENSE * np.bincount(slot.group[members], minlength=groups)
-    loose = ~dense[slot.group[x]]
+    first = int(slot.group[x].min())
+    groups = int(slot.group[x].max()) + 1 - first
+    dense = np.bincount(slot.group[x] - first, minlength=groups) > DENSE * np.bincount(slot.group[members] - first, minlength=groups)
+    loose = ~dense[slot.group[x] - first]
     x, y = x[loose], y[loose]
     u, v = slot.cls[x], slot.cls[y]
     yield candidate_batch(np.minimum(u, v), np.maximum(u, v), slot.token[x], np.zeros(len(x), np.int64))
-    inside = members[dense[slot.group[members]]]
-    if len(inside):
-        inside = inside[np.lexsort((slot.cls[inside], slot.group[inside]))]
-        g, cls = slot.group[inside], slot.cls[inside]
-        start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-        n = np.diff(np.append(start, len(g)))
-        # Equal groups of several tokens are one, of the first of the tokens. A block of a pair of blocks marks its members.
-        mixed = mix(cls * np.uint64(3) + slot.block[inside].astype(np.uint64))
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
-        name = mix((total[start + n] - total[start]) ^ n.astype(np.uint64))
-        yield candidate_batch(cls, np.repeat(name, n), slot.token[inside], np.repeat(n, n), slot.block[inside])
+    yield from dense_members(slot, members[dense[slot.group[members] - first]])
+
+
+def dense_members(slot: Slot, inside: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if not len(inside):
+        return
+    inside = inside[np.lexsort((slot.cls[inside], slot.group[inside]))]
+    g, cls = slot.group[inside], slot.cls[inside]
+    start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+    n = np.diff(np.append(start, len(g)))
+    # Equal groups of several tokens are one, of the first of the tokens. A block of a pair of blocks marks its members.
+    mixed = mix(cls * np.uint64(3) + slot.block[inside].astype(np.uint64))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
+    name = mix((total[start + n] - total[start]) ^ n.astype(np.uint64))
+    yield candidate_batch(cls, np.repeat(name, n), slot.token[inside], np.repeat(n, n), slot.block[inside])
 
 
 def candidate_batch(u: np.ndarray, v: np.ndarray, token: np.ndarray, n: np.ndarray, block: np.ndarray | None = None) -> pa.RecordBatch:
@@ -547,8 +583,8 @@ def by_group(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-#: Rows of a strip, and tokens of one matrix product.
-STRIP, COLUMNS = 1024, 2048
+#: Rows of a strip, and tokens of one matrix product; both are fewer in groups of over MATRIX / COLUMNS members, so that no matrix has over MATRIX numbers.
+STRIP, COLUMNS, MATRIX = 1024, 2048, 1 << 25
 
 
 def verify_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -576,10 +612,11 @@ def group_links(table: pa.Table) -> pa.RecordBatch | None:
     width = int(shared.sum())
     before = int(np.searchsorted(tokens[shared], np.uint64(token_of(table.column("token")[0].as_py()))))
     n, links, near = len(sets), np.zeros(len(sets), np.int64), np.full(len(sets), -1)
-    for low in range(0, n, STRIP):
-        high = min(low + STRIP, n)
+    strip, columns = (max(1, min(most, MATRIX // n)) for most in (STRIP, COLUMNS))
+    for low in range(0, n, strip):
+        high = min(low + strip, n)
         overlap, earlier = np.zeros((high - low, n), np.float32), np.zeros((high - low, n), bool)
-        edges = sorted({*range(0, width, COLUMNS), before, width})
+        edges = sorted({*range(0, width, columns), before, width})
         for a, b in zip(edges[:-1], edges[1:], strict=True):
             at = slice(*np.searchsorted(column, (a, b)).tolist())
             matrix = np.zeros((n, b - a), np.float32)
@@ -609,8 +646,10 @@ def position() -> Column:
 
 def candidate_table(spark: SparkSession, docs: DataFrame, ranks: Broadcast, counts: np.ndarray) -> DataFrame:
     """CANDIDATE rows, each pair and each member of an equal group once, with the first token that it was found at."""
-    blocks = spark.sparkContext.broadcast(block_counts(counts))
-    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(counts.sum()) // SLOT_ROWS + 1)
+    cut = block_counts(counts)
+    blocks = spark.sparkContext.broadcast(cut)
+    # A token's rows come once for each of its blocks.
+    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int((counts * cut.astype(np.int64)).sum()) // SLOT_ROWS + 1)
     met = prefixes(docs, ranks, blocks, slots).repartitionById(slots, "slot")
     found = met.mapInArrow(candidates, CANDIDATE).groupBy("u", "v", "n", "block").agg(F.min("token").alias("token"))
     return materialize(spark, found, "line-candidates")

@@ -144,12 +144,15 @@ def variants(spark: SparkSession, distinct: DataFrame) -> DataFrame:
         if plain.any():
             count = int(plain.sum())
             yield pa.record_batch({"variant": pa.array(key[plain]), "part": pa.array(np.zeros(count, np.int32)), "fp": pa.array(fp[plain])})
-        for k in np.flatnonzero(~plain):
-            n = int(blocks[k])
-            own = int(np.uint64(fp[k].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % n
-            other = np.arange(n)
-            part = np.minimum(own, other) * n + np.maximum(own, other) + 1
-            yield pa.record_batch({"variant": pa.array(np.full(n, key[k])), "part": pa.array(part.astype(np.int32)), "fp": pa.array(np.full(n, fp[k]))})
+        many = np.flatnonzero(~plain)
+        for k in range(0, len(many), 1000):
+            at = many[k : k + 1000]
+            n = blocks[at]
+            own = ((fp[at].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % n
+            which = np.repeat(np.arange(len(at)), n)
+            other = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+            part = np.minimum(own[which], other) * n[which] + np.maximum(own[which], other) + 1
+            yield pa.record_batch({"variant": pa.array(key[at][which]), "part": pa.array(part.astype(np.int32)), "fp": pa.array(fp[at][which])})
 
     return distinct.select("fp").mapInArrow(run, "variant long, part int, fp long")
 

@@ -70,10 +70,15 @@ def write_shards(spark: SparkSession, docs: DataFrame, vocabulary: str, folder:
         if names:
             yield close()
 
-    dealt = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Ranges of ids, and of the beginnings of texts where an id repeats, or is null in many rows.
+    dealt = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id"), F.substring("text", 1, RANGE_CHARS)).sortWithinPartitions("doc_id", "text")
     return materialize(spark, dealt.mapInArrow(run, MANIFEST), "manifest")
 
 
+#: Characters of a text that its range goes by.
+RANGE_CHARS = 64
+
+
 def read_shards(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """RESULT for each document of the shards. Places are summed within parts, and over the parts' sums, a row a task that wrote."""
     earlier = lambda w: F.coalesce(F.sum("n_ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
