@@ -84,6 +84,9 @@ def write_update(spark: SparkSession, records: DataFrame, keys: DataFrame, root:
         # Frames of messages that the last run left open come before all others.
         held = spark.read.schema(RECORD).parquet(f"{root.rstrip('/')}/{before.extra['open']}")
         new = new.unionByName(held.withColumn("object_rank", F.lit(-1).cast("long")))
+    # Objects are unpacked and parsed once; frames, sentences and what stays open are taken from the rows.
+    new.write.parquet(at("new"))
+    new = spark.read.schema(RECORD).parquet(at("new"))
     seen = Observation()
     sampled = samples(new).observe(seen, F.count_if(~guard.in_range(F.col("field"), F.col("value"))).alias("dropped"))
     # Decoded once; what follows reads the small table of observations.
@@ -103,7 +106,7 @@ def write_update(spark: SparkSession, records: DataFrame, keys: DataFrame, root:
         pieces = {k: v for k, v in after.extra.items() if k.startswith("ledger")}
         read_ledger(spark, root, after).coalesce(1 + objects // 100_000).write.parquet(at("whole"))
         after.extra = {k: v for k, v in after.extra.items() if k not in pieces} | {"ledger": f"{run}/whole"}
-    for name in ("fresh", "observed"):
+    for name in ("fresh", "new", "observed"):
         store.Files(spark, f"{root.rstrip('/')}/{run}").remove(name)
     store.commit(spark, root, after)
     store.tidy(spark, root, after)

@@ -6,7 +6,7 @@ the projections and left joins above it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures
@@ -57,20 +57,16 @@ CODES = ("gnss_method_code", "gnss_integrity_code", "gnss_type_code")
 SPEED_FACTOR = "man_bsp_adj"
 
 
-def resolved(table: DataFrame, chain: tuple[str, ...]) -> Column:
-    """The first source that is not null; columns that the table does not have count as null."""
-    have = [F.col(c) for c in chain if c in table.columns]
-    return F.coalesce(*have, F.lit(None).cast("double")) if have else F.lit(None).cast("double")
-
-
-def code(x: Column) -> Column:
-    return F.bround(x).cast("int")
+def code(x: str) -> str:
+    """SQL of a number as a code."""
+    return f"CAST(bround({x}) AS INT)"
 
 
 def resolve(table: DataFrame, chains: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
-    """ts and one column a quantity."""
-    chains = CHAINS if chains is None else chains
-    return table.select("ts", *((code(resolved(table, c)) if q in CODES else resolved(table, c)).alias(q) for q, c in chains.items()))
+    """ts and one column a quantity: the first of its sources that is not null; columns that the table does not have count as null."""
+    chains, have = CHAINS if chains is None else chains, set(table.columns)
+    first = lambda chain: f"coalesce({', '.join([*(f'`{c}`' for c in chain if c in have), 'CAST(NULL AS DOUBLE)'])})"
+    return table.selectExpr("ts", *(f"{code(first(c)) if q in CODES else first(c)} AS {q}" for q, c in chains.items()))
 
 
 def define_view(name: str, table: DataFrame, calibrations: DataFrame, sessions: DataFrame, segments: DataFrame) -> None:

@@ -204,7 +204,7 @@ def resolve_chains(spark: SparkSession, d: str) -> DataFrame:
 @registered(QUERIES, ORACLES, "SELECT event_id, CAST(user_id % 4 AS INT) AS gnss_method_code FROM events")
 def gnss_codes(spark: SparkSession, d: str) -> DataFrame:
     e = events(spark, d)
-    return e.select("event_id", view.code((F.col("user_id") % 4).cast("double")).alias("gnss_method_code"))
+    return e.selectExpr("event_id", f"{view.code('CAST(user_id % 4 AS DOUBLE)')} AS gnss_method_code")
 
 
 CALIBRATED = f"""WITH {RESOLVED}, {SPANS}, {SESSIONS}, legs AS (SELECT session_id * 10 + n AS seg_id, session_id, CAST(n AS INT) AS no, 'leg ' || n AS leg_type, t_start + n * INTERVAL 2 HOUR AS t0, t_start + (n + 1) * INTERVAL 2 HOUR AS t1

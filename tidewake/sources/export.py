@@ -109,14 +109,17 @@ class Outcome:
         return INCOMPLETE if self.objects_failed or self.rows_refused else 0
 
 
-def read_source(spark: SparkSession, root: str, request: Request) -> tuple[DataFrame, DataFrame]:
-    """Rows in order of object_key and seq, and the objects (key, path, rows, error) that were to be read."""
+def read_source(spark: SparkSession, root: str, request: Request, stage: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with object_key and seq, and the objects (key, path, error) that were to be read; stage: a folder for the rows of captures."""
     if request.source == "raw":
+        # JSON is parsed once; all that follows reads the rows that come of it. An object with a bad line, or whose compression breaks off, is left out whole.
+        read_objects(spark, folders(spark, root, request.since, request.until), object_glob(request.proto), "keep").write.parquet(stage)
+        rows = spark.read.parquet(stage)
+        bad = rows.where("_corrupt is not null").groupBy(F.col("object_key").alias("bad_key")).agg(F.first(F.substring("_corrupt", 1, 100)).alias("text"))
         objects = check_objects(spark, listed(spark, root, request.since, request.until, request.proto))
-        # Objects are read through once before: one that breaks off in the middle is left out whole. Their states are few and small.
-        states = objects.persist()
+        error = F.coalesce("error", F.concat(F.lit("no JSON: "), "text"))
+        states = objects.join(bad, F.col("key") == F.col("bad_key"), "left").select("key", "path", error.alias("error")).persist()
         good = states.where("error is null").select(F.col("key").alias("object_key"))
-        rows = read_objects(spark, folders(spark, root, request.since, request.until), object_glob(request.proto), "keep")
         return rows.drop("_corrupt").join(good, "object_key", "left_semi"), states
     base = f"{root.rstrip('/')}/_log"
     paths = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).load(base)
@@ -125,7 +128,7 @@ def read_source(spark: SparkSession, root: str, request: Request) -> tuple[DataF
     entry = F.from_json("text", AUDIT, {"columnNameOfCorruptRecord": "_bad"})
     parsed = kept.select("key", "path", entry.alias("e"))
     whole = F.col("e").isNotNull() & F.col("e.timestamp").isNotNull()
-    states = parsed.select("key", "path", F.lit(1).cast("long").alias("rows"), F.when(~whole, "no audit entry").alias("error")).persist()
+    states = parsed.select("key", "path", F.when(~whole, "no audit entry").alias("error")).persist()
     return parsed.where(whole).select("e.*", F.col("key").alias("object_key"), F.lit(0).cast("long").alias("seq")), states
 
 
@@ -144,19 +147,24 @@ def export(spark: SparkSession, root: str, output: str, request: Request) -> Out
 
     Parts are written in parallel beside it and put together as streams of bytes.
     """
-    rows, states = read_source(spark, root, request)
+    stage, parts = (f"{output}.{name}-{uuid.uuid4().hex}" for name in ("rows", "parts"))
+    try:
+        return write_export(spark, read_source(spark, root, request, stage), output, request, parts)
+    finally:
+        for folder in (stage, parts):
+            store.Files(spark, folder).remove("")
+
+
+def write_export(spark: SparkSession, source: tuple[DataFrame, DataFrame], output: str, request: Request, parts: str) -> Outcome:
+    rows, states = source
     seen = Observation()
     # Counted after the sort, whose sampling reads rows twice.
     made = lines(rows, request).select("object_key", "seq", "line").orderBy("object_key", "seq")
     made = made.observe(seen, F.count_if(F.col("line").isNull()).alias("refused"), F.count("line").alias("written"))
     ending = "\r\n" if request.fmt == "csv" else "\n"
-    parts = f"{output}.parts-{uuid.uuid4().hex}"
-    try:
-        made.where("line is not null").select("line").write.option("lineSep", ending).text(parts)
-        header = csv_header(list(FIELDS[request.source])) + ending if request.fmt == "csv" else ""
-        put_together(spark, parts, output, header.encode())
-    finally:
-        store.Files(spark, parts).remove("")
+    made.where("line is not null").select("line").write.option("lineSep", ending).text(parts)
+    header = csv_header(list(FIELDS[request.source])) + ending if request.fmt == "csv" else ""
+    put_together(spark, parts, output, header.encode())
     failed = [(r["key"], r["error"]) for r in states.where("error is not null").orderBy("key").toLocalIterator()]
     read = states.where("error is null").count()
     states.unpersist()
