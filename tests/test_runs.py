@@ -91,6 +91,26 @@ def test_one_writer_at_a_time(spark, tmp_path):
         derive.update(spark, rows, keys, root, rebuild=True)
 
 
+def test_ledger_by_day(spark, tmp_path, monkeypatch):
+    """A run reads the ledger of its keys' days and no others."""
+    rows, root = days_of_speed(spark), f"file://{tmp_path}/t"
+    keys = [f"raw/2024/01/{d:02d}/000000-n2k-{d:016x}.ndjson.gz" for d in range(1, 6)] + ["a"]
+    table = lambda some: spark.createDataFrame([(k,) for k in some], "key string")
+    for part in (keys[:3], keys[3:]):
+        assert derive.update(spark, rows, table(part), root)["objects"] == 3
+    manifest = store.current(spark, root)
+    one = derive.read_ledger(spark, root, manifest, ["2024-01-02", "other"])
+    assert sorted(r.key for r in one.collect()) == ["a", keys[1]]
+    plan = derive.fresh_keys(spark, table([keys[1], keys[1].replace("n2k", "n0183")]), root, manifest)
+    assert {f.rsplit("/", 2)[1] for f in plan.inputFiles() if "ledger" in f} == {"day=2024-01-02"}
+    assert [r.key for r in plan.collect()] == [keys[1].replace("n2k", "n0183")]
+    assert derive.update(spark, rows, table(keys), root)["objects"] == 0
+    monkeypatch.setattr(derive, "MANY_PIECES", 2)
+    assert derive.update(spark, rows, table(["b"]), root)["objects"] == 1
+    assert {k.split("/")[0] for k in store.current(spark, root).extra} == {"open", "ledger"}
+    assert sorted(r.key for r in derive.read_ledger(spark, root).collect()) == sorted([*keys, "b"])
+
+
 def test_a_paused_writer_cannot_publish(spark, tmp_path, monkeypatch):
     """Its lock ends while it stands still; another run takes over, and only that one's work is published."""
     rows, root = days_of_speed(spark), str(tmp_path / "t")

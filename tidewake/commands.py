@@ -22,7 +22,6 @@ from itertools import islice
 from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
-from .operators import merge
 from .plans import derive, store
 from .sources import archive, audit, export, legacy, segments
 
@@ -106,9 +105,9 @@ def run_update(spark: SparkSession, args: argparse.Namespace) -> int:
     try:
         keys = archive.listed(spark, args.root, since, until, args.proto)
         manifest = store.current(spark, args.table)
-        known = None if args.rebuild or manifest is None else derive.read_ledger(spark, args.table, manifest)
         # Only objects that the ledger does not have are opened, oldest first; each batch is done when it is written.
-        fresh = (keys if known is None else merge.not_in_ledger(keys, known)).orderBy("key").toLocalIterator()
+        todo = keys if args.rebuild or manifest is None else keys.join(derive.fresh_keys(spark, keys, args.table, manifest), "key", "left_semi")
+        fresh = todo.orderBy("key").toLocalIterator()
         got = {"objects": 0, "rows": 0, "dropped": 0, "columns_added": []}
         while batch := list(islice(fresh, BATCH_OBJECTS)):
             own = spark.createDataFrame([(r["key"],) for r in batch], "key string")

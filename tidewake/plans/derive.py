@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import arbitration, guard, merge, n0183, n2k
@@ -15,8 +15,10 @@ from . import store
 #: What the archive's reader gives.
 RECORD = f"{RAW}, object_key STRING, object_rank LONG, seq LONG"
 RECORD_FIELDS = (*RAW_FIELDS, "object_key", "object_rank", "seq")
-#: Folders of the ledger, one a run, above which they are put together.
+#: Runs whose ledger rows lie in folders of their own, above which they are put together, a folder a day.
 MANY_PIECES = 200
+#: Days of keys above which the whole ledger is read.
+MANY_DAYS = 1000
 
 #: How objects that share a bucket are put together.
 GLOBAL, OBJECT_ORDER = "arbitrate_global", "object_order"
@@ -55,9 +57,18 @@ def update(spark: SparkSession, records: DataFrame, keys: DataFrame, root: str,
         return write_update(spark, records, keys, root, interval, rebuild)
 
 
+def key_day(key: Column) -> Column:
+    """The day of an object's key, by which the ledger is parted; one part has the keys of another form."""
+    return F.when(key.rlike("^raw/[0-9]{4}/[0-9]{2}/[0-9]{2}/"), F.translate(F.substring(key, 5, 10), "/", "-")).otherwise("other")
+
+
 def fresh_keys(spark: SparkSession, keys: DataFrame, root: str, before: store.Manifest) -> DataFrame:
-    known = read_ledger(spark, root, before)
-    return keys.select("key").distinct() if known is None else merge.not_in_ledger(keys.select("key").distinct(), known)
+    """The keys that the ledger does not have; of the ledger only the days of these keys are read."""
+    named = keys.select("key").distinct()
+    if not any(k.startswith("ledger") for k in before.extra):
+        return named
+    days = [r["day"] for r in named.select(key_day(F.col("key")).alias("day")).distinct().limit(MANY_DAYS + 1).collect()]
+    return merge.not_in_ledger(named, read_ledger(spark, root, before, days if len(days) <= MANY_DAYS else None))
 
 
 def summary(spark: SparkSession, records: DataFrame, keys: DataFrame, root: str, interval: str, rebuild: bool) -> dict:
@@ -93,7 +104,7 @@ def write_update(spark: SparkSession, records: DataFrame, keys: DataFrame, root:
     arbitration.bucketize(guard.guard(sampled), interval).write.parquet(at("observed"))
     per_object = spark.read.schema(OBSERVATION).parquet(at("observed"))
     n2k.open_frames(new).select(*RECORD_FIELDS).write.parquet(at("open"))
-    merge.ledger_rows(fresh, per_object).write.parquet(at("ledger"))
+    ledger = write_ledger(spark, merge.ledger_rows(fresh, per_object), root, f"{run}/ledger", f"ledger-{before.version + 1:010d}")
     found = per_object.agg(F.countDistinct("object_key", "bucket_ts"), F.collect_set("field"), F.collect_set(F.date_format("bucket_ts", "yyyy-MM-dd"))).first()
     columns, days = sorted(set(found[1]) | set(before.columns)), set(found[2])
     after = store.Manifest(before.version + 1, columns, dict(before.days), {k: v for k, v in before.extra.items() if k.startswith("ledger")})
@@ -101,11 +112,9 @@ def write_update(spark: SparkSession, records: DataFrame, keys: DataFrame, root:
         batch = wide(merge.merge_objects(per_object), sorted(found[1]))
         old = store.read_days(spark, root, before, sorted(days & set(before.days)))
         after.days |= store.write_days(spark, root, merge.merge_into(old, batch), after.version)
-    after.extra |= {"open": f"{run}/open", f"ledger-{after.version:010d}": f"{run}/ledger"}
-    if len(after.extra) > MANY_PIECES:
-        pieces = {k: v for k, v in after.extra.items() if k.startswith("ledger")}
-        read_ledger(spark, root, after).coalesce(1 + objects // 100_000).write.parquet(at("whole"))
-        after.extra = {k: v for k, v in after.extra.items() if k not in pieces} | {"ledger": f"{run}/whole"}
+    after.extra |= {"open": f"{run}/open", **ledger}
+    if len({k.split("/")[0] for k in after.extra}) > MANY_PIECES:
+        after.extra = {"open": after.extra["open"], **write_ledger(spark, read_ledger(spark, root, after), root, f"{run}/whole", "ledger")}
     for name in ("fresh", "new", "observed"):
         store.Files(spark, f"{root.rstrip('/')}/{run}").remove(name)
     store.commit(spark, root, after)
@@ -113,8 +122,18 @@ def write_update(spark: SparkSession, records: DataFrame, keys: DataFrame, root:
     return {"objects": objects, "rows": found[0], "dropped": store.counts_of(seen).get("dropped", 0), "columns_added": sorted(set(columns) - set(before.columns))}
 
 
-def read_ledger(spark: SparkSession, root: str, manifest: store.Manifest | None = None) -> DataFrame | None:
-    """The ledger that goes with the table; None if there is none."""
+def write_ledger(spark: SparkSession, rows: DataFrame, root: str, folder: str, name: str) -> dict[str, str]:
+    """Store ledger rows a folder a day; the folders by name/day."""
+    path = f"{root.rstrip('/')}/{folder}"
+    rows.withColumn("day", key_day(F.col("key"))).repartition("day").write.partitionBy("day").parquet(path)
+    return {f"{name}/{n.removeprefix('day=')}": f"{folder}/{n}" for n in store.Files(spark, path).names() if n.startswith("day=")}
+
+
+def read_ledger(spark: SparkSession, root: str, manifest: store.Manifest | None = None, days: list[str] | None = None) -> DataFrame | None:
+    """The ledger that goes with the table, or its rows of some days (see key_day): other days are not even listed. None if there is none."""
     manifest = manifest or store.current(spark, root)
-    pieces = [f"{root.rstrip('/')}/{v}" for k, v in sorted(manifest.extra.items()) if k.startswith("ledger")] if manifest else []
-    return spark.read.schema(LEDGER).parquet(*pieces) if pieces else None
+    pieces = {k: v for k, v in sorted(manifest.extra.items()) if k.startswith("ledger")} if manifest else {}
+    if not pieces:
+        return None
+    paths = [f"{root.rstrip('/')}/{v}" for k, v in pieces.items() if days is None or k.rsplit("/", 1)[1] in days]
+    return spark.read.schema(LEDGER).parquet(*paths) if paths else spark.createDataFrame([], LEDGER)
