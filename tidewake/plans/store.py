@@ -76,16 +76,17 @@ class Files:
 
     def create(self, name: str, data: bytes) -> None:
         """A new file; an error if there is one of that name."""
-        stream = self.fs.create(self.path(name), False)
-        try:
-            stream.write(data)
-        finally:
-            stream.close()
+        self.written(self.fs.create(self.path(name), False), data)
 
     def replace(self, name: str, data: bytes) -> None:
-        stream = self.fs.create(self.path(name), True)
+        self.written(self.fs.create(self.path(name), True), data)
+
+    @staticmethod
+    def written(stream, data: bytes) -> None:
+        """Data to the stream and on to the disk, as far as the file system can."""
         try:
             stream.write(data)
+            stream.hsync()
         finally:
             stream.close()
 

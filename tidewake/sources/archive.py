@@ -19,6 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..functions.times import iso_utc, utc_timestamp
 from ..operators.resample import runs_by
 from ..schema import AUDIT, PROTO, RAW, RAW_FIELDS, check_name
+from .segments import durable_move
 
 #: Days up to which a listing goes day by day; beyond, month by month.
 MANY_DAYS = 31
@@ -283,7 +284,7 @@ class ObjectFile:
             self.stream.close()
             state = "uploaded" if self.store.get_file_info(f"{self.root}/{key}").type.name == "NotFound" else "up-to-date"
             if state == "uploaded":
-                self.store.move(self.part, f"{self.root}/{key}")
+                durable_move(self.store, self.part, f"{self.root}/{key}")
             else:
                 self.store.delete_file(self.part)
         return key, self.rows, cid, state

@@ -187,6 +187,7 @@ def put_together(spark: SparkSession, parts: str, output: str, header: bytes) ->
                     files.jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, stream, 1 << 20, False)
                 finally:
                     source.close()
+        stream.hsync()
     except BaseException:
         stream.close()
         target.remove(part)

@@ -77,13 +77,20 @@ def put(store, place: str, first: int, lines: list[str]) -> str:
     part = f"{place}/part-{uuid.uuid4().hex}"
     with store.open_output_stream(part, compression=None) as out:
         out.write("".join(x + "\n" for x in lines).encode())
+    durable_move(store, part, path)
+    return path
+
+
+def durable_move(store, part: str, path: str) -> None:
+    """Rename a written file; on a local disk what it holds is forced there first, and the name after."""
+    from pyarrow import fs
+
     local = isinstance(store, fs.LocalFileSystem)
     if local:
         force(part)
     store.move(part, path)
     if local:
-        force(place)
-    return path
+        force(path.rsplit("/", 1)[0])
 
 
 def force(path: str) -> None:
