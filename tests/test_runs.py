@@ -107,7 +107,7 @@ def test_ledger_by_day(spark, tmp_path, monkeypatch):
     assert derive.update(spark, rows, table(keys), root)["objects"] == 0
     monkeypatch.setattr(derive, "MANY_PIECES", 2)
     assert derive.update(spark, rows, table(["b"]), root)["objects"] == 1
-    assert {k.split("/")[0] for k in store.current(spark, root).extra} == {"open", "ledger"}
+    assert {k.split("/")[0] for k in store.current(spark, root).extra} == {"ledger"}
     assert sorted(r.key for r in derive.read_ledger(spark, root).collect()) == sorted([*keys, "b"])
 
 

@@ -195,9 +195,17 @@ def device_keys(records: DataFrame) -> list[str]:
     return [c for c in ("device_id", "src") if c in records.columns]
 
 
-def messages(records: DataFrame) -> DataFrame:
-    """NAMES of whole messages: frames of groups that fit one frame, and those put together from several."""
+def in_parts() -> Column:
+    """Whether a record can be a frame of a message of several; some that are no frames at all pass."""
+    identifier = "CAST(conv(substring(substring_index(raw, '#', 1), 1, 8), 16, 10) AS BIGINT)"
+    return F.expr(f"coalesce(proto = 'n2k' AND {can_fields(identifier)}.pgn IN ({', '.join(map(str, FAST))}), false)")
+
+
+def messages(records: DataFrame, parts: bool = True) -> DataFrame:
+    """NAMES of whole messages: frames of groups that fit one frame, and those put together from several, unless it is known that there are no parts."""
     keys = device_keys(records)
+    if not parts:
+        return frames(records, SINGLE).select(*NAMES)
     whole = reassemble(frames(records, FAST).select(*NAMES, *keys), [*keys, "can_id"], ["object_rank", "seq"])
     return frames(records, SINGLE).select(*NAMES).unionByName(whole.select(*NAMES))
 
@@ -207,9 +215,9 @@ def samples_of(found: DataFrame) -> DataFrame:
     return decode_messages(found).select("object_key", "object_rank", "seq", "ts", "proto", "field", "value", F.col("priority").alias("prio"), "src_addr")
 
 
-def decode(records: DataFrame) -> DataFrame:
-    """SAMPLE rows of records (object_key, object_rank, seq, ts, proto, raw; device_id, src if there are)."""
-    return samples_of(messages(records))
+def decode(records: DataFrame, parts: bool = True) -> DataFrame:
+    """SAMPLE rows of records (object_key, object_rank, seq, ts, proto, raw; device_id, src if there are). parts: see messages."""
+    return samples_of(messages(records, parts))
 
 
 def open_frames(records: DataFrame) -> DataFrame:

@@ -24,10 +24,10 @@ MANY_DAYS = 1000
 GLOBAL, OBJECT_ORDER = "arbitrate_global", "object_order"
 
 
-def samples(records: DataFrame) -> DataFrame:
-    """SAMPLE rows of all known protocols; others give nothing. records: RAW with object_key, object_rank, seq."""
+def samples(records: DataFrame, parts: bool = True) -> DataFrame:
+    """SAMPLE rows of all known protocols; others give nothing. records: RAW with object_key, object_rank, seq. parts: whether frames of messages in parts may be among them."""
     valid = valid_records(records)
-    return n2k.decode(valid).unionByName(n0183.decode(valid))
+    return n2k.decode(valid, parts).unionByName(n0183.decode(valid))
 
 
 def observations(sampled: DataFrame, interval: str = "1s", mode: str = GLOBAL) -> DataFrame:
@@ -96,14 +96,16 @@ def write_update(spark: SparkSession, records: DataFrame, keys: DataFrame, root:
         held = spark.read.schema(RECORD).parquet(f"{root.rstrip('/')}/{before.extra['open']}")
         new = new.unionByName(held.withColumn("object_rank", F.lit(-1).cast("long")))
     # Objects are unpacked and parsed once; frames, sentences and what stays open are taken from the rows.
-    new.write.parquet(at("new"))
+    scanned, seen = Observation(), Observation()
+    new.observe(scanned, F.count_if(n2k.in_parts()).alias("parts")).write.parquet(at("new"))
     new = spark.read.schema(RECORD).parquet(at("new"))
-    seen = Observation()
-    sampled = samples(new).observe(seen, F.count_if(~guard.in_range(F.col("field"), F.col("value"))).alias("dropped"))
+    parts = store.counts_of(scanned).get("parts", 0) > 0
+    sampled = samples(new, parts).observe(seen, F.count_if(~guard.in_range(F.col("field"), F.col("value"))).alias("dropped"))
     # Decoded once; what follows reads the small table of observations.
     arbitration.bucketize(guard.guard(sampled), interval).write.parquet(at("observed"))
     per_object = spark.read.schema(OBSERVATION).parquet(at("observed"))
-    n2k.open_frames(new).select(*RECORD_FIELDS).write.parquet(at("open"))
+    if parts:
+        n2k.open_frames(new).select(*RECORD_FIELDS).write.parquet(at("open"))
     ledger = write_ledger(spark, merge.ledger_rows(fresh, per_object), root, f"{run}/ledger", f"ledger-{before.version + 1:010d}")
     found = per_object.agg(F.countDistinct("object_key", "bucket_ts"), F.collect_set("field"), F.collect_set(F.date_format("bucket_ts", "yyyy-MM-dd"))).first()
     columns, days = sorted(set(found[1]) | set(before.columns)), set(found[2])
@@ -112,9 +114,10 @@ def write_update(spark: SparkSession, records: DataFrame, keys: DataFrame, root:
         batch = wide(merge.merge_objects(per_object), sorted(found[1]))
         old = store.read_days(spark, root, before, sorted(days & set(before.days)))
         after.days |= store.write_days(spark, root, merge.merge_into(old, batch), after.version)
-    after.extra |= {"open": f"{run}/open", **ledger}
+    opened = {"open": f"{run}/open"} if parts else {}
+    after.extra |= {**opened, **ledger}
     if len({k.split("/")[0] for k in after.extra}) > MANY_PIECES:
-        after.extra = {"open": after.extra["open"], **write_ledger(spark, read_ledger(spark, root, after), root, f"{run}/whole", "ledger")}
+        after.extra = {**opened, **write_ledger(spark, read_ledger(spark, root, after), root, f"{run}/whole", "ledger")}
     for name in ("fresh", "new", "observed"):
         store.Files(spark, f"{root.rstrip('/')}/{run}").remove(name)
     store.commit(spark, root, after)
