@@ -253,8 +253,8 @@ def decode_n2k_bits(spark: SparkSession, d: str) -> DataFrame:
     return n2k.decode_messages(rows).select("seq", "field", "value")
 
 
-@registered(QUERIES, ORACLES, """WITH x AS (SELECT event_id, event_id % 5 AS n, unnest(range(1, event_id % 5 + 1)) AS k FROM events)
-SELECT event_id AS seq, CAST(k AS INT) AS "set", 'n2k_prn' AS field, CAST((event_id + k) % 32 AS DOUBLE) AS value FROM x WHERE event_id % 2 = 0
+@registered(QUERIES, ORACLES, """WITH x AS (SELECT event_id, event_id % 5 AS n, CAST(unnest(range(1, event_id % 5 + 1)) AS INT) AS k FROM events)
+SELECT event_id AS seq, k AS "set", 'n2k_prn' AS field, CAST((event_id + k) % 32 AS DOUBLE) AS value FROM x WHERE event_id % 2 = 0
 UNION ALL SELECT event_id, k, 'n2k_elevation', CAST((event_id * k) % 15708 - 7854 AS DOUBLE) * 1e-4 FROM x WHERE event_id % 2 = 0
 UNION ALL SELECT event_id, k, 'n2k_status', CAST((event_id + k) % 15 AS DOUBLE) FROM x WHERE event_id % 2 = 0
 UNION ALL SELECT event_id, k, 'n2k_wpid', CAST(event_id % 1000 + k AS DOUBLE) FROM x WHERE event_id % 2 = 1
