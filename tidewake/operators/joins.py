@@ -122,6 +122,33 @@ def interval_join_dyadic(facts: DataFrame, ranges: DataFrame, ts: str = "ts", st
     return keyed.join(near, (keyed["_bin"] == near["_at"]) & (keyed[ts] >= near["_from"]) & (keyed[ts] < near["_stop"]), "left").drop("_bin", "_at", "_from", "_stop")
 
 
+def interval_totals(facts: DataFrame, ranges: DataFrame, by: list[str], value: str, ts: str = "ts", start: str = "t_start", end: str = "t_end", open_to_now: bool = False, bin_seconds: int = BIN) -> DataFrame:
+    """by, n and total: what interval_join_dyadic grouped by columns of the ranges gives as count and as sum of a whole number, facts in no range under nulls.
+
+    No pair is formed: what is in a range is what there is before its end less what there is before its start, and a
+    fact is in none where as many ranges have ended as have begun. Facts of one instant are one row; both sides are summed in
+    time order, a bin a partition, and what all bins before have is a row a bin.
+    """
+    stop = F.coalesce(ranges[end], F.current_timestamp().cast(ranges.schema[end].dataType)) if open_to_now else ranges[end]
+    cut = ranges.select(*by, F.col(start).alias("_from"), stop.alias("_stop")).where("_from < _stop")
+    ends = cut.selectExpr(*by, "inline(array(struct(_from AS _t, 1L AS _begun), struct(_stop AS _t, -1L AS _begun)))").withColumn("_side", F.lit(0))
+    # Sums of all facts may be wider than those of a range.
+    wide = F.sum(F.col(value).cast("decimal(20,0)"))
+    instants = facts.groupBy(F.col(ts).alias("_t")).agg(F.count("*").alias("_n"), F.count(value).alias("_known"), wide.alias("_sum")).withColumn("_side", F.lit(1))
+    both = instants.unionByName(ends, allowMissingColumns=True).withColumn("_bin", bin_of(F.col("_t"), bin_seconds))
+    parts = ("_n", "_known", "_sum", "_begun")
+    # An end comes before the facts of its instant: they are behind a start, and no longer before a stop.
+    so_far = Window.partitionBy("_bin").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    carry = both.where("_bin is not null").groupBy("_bin").agg(*(F.sum(c).alias(c) for c in parts)).select("_bin", *(F.sum(c).over(earlier).alias(f"_carry{c}") for c in parts))
+    placed = both.withColumns({f"_upto{c}": F.sum(c).over(so_far) for c in parts}).join(carry, "_bin", "left")
+    before = {c: F.coalesce(F.col(f"_carry{c}"), F.lit(0)) + F.coalesce(F.col(f"_upto{c}"), F.lit(0)) for c in parts}
+    told = placed.withColumn("_open", before["_begun"]).where("_side = 0 OR _open = 0")
+    share = {c: F.when(F.col("_side") == 1, F.col(c)).when(F.col("_begun") == 1, -before[c]).otherwise(before[c]) for c in parts[:3]}
+    summed = told.groupBy(*by).agg(*(F.sum(x).alias(c) for c, x in share.items())).where("_n > 0")
+    return summed.select(*by, F.col("_n").alias("n"), F.when(F.col("_known") > 0, F.col("_sum")).cast("long").alias("total"))
+
+
 def equi_range_join(facts: DataFrame, ranges: DataFrame, keys: list[str], ts: str = "ts", start: str = "t_start", end: str = "t_end") -> DataFrame:
     """Left equi-join on keys with a half-open range as residual condition; a null end never matches."""
     other = ranges.withColumnsRenamed({k: f"_{k}" for k in keys} | {start: "_start", end: "_end"})

@@ -113,8 +113,8 @@ def interval_long(spark: SparkSession, d: str) -> DataFrame:
     minutes = F.expr("shiftleft(1, cast(s_suppkey % 22 as int))")
     begin = F.lit("2024-01-30").cast("timestamp") - F.make_dt_interval(mins=(k * 7919 % 43200).cast("int")) - F.make_dt_interval(mins=F.when(k % 22 > 15, minutes).otherwise(0))
     ranges = table(spark, d, "supplier").select(k, begin.alias("t_start")).withColumn("t_end", F.when(k % 50 != 0, F.col("t_start") + F.make_dt_interval(mins=minutes)))
-    joined = joins.interval_join_dyadic(events(spark, d).select("event_id", "ts"), ranges, open_to_now=True)
-    return joined.groupBy("s_suppkey").agg(F.count("*").alias("events"), F.sum("event_id").alias("ids"))
+    totals = joins.interval_totals(events(spark, d).select("event_id", "ts"), ranges, ["s_suppkey"], "event_id", open_to_now=True)
+    return totals.withColumnsRenamed({"n": "events", "total": "ids"})
 
 
 @registered(QUERIES, ORACLES, """SELECT l.l_orderkey, l.l_linenumber, o.o_custkey, o.o_orderpriority FROM lineitem l
