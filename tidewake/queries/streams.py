@@ -42,14 +42,16 @@ def stream_catch_up(spark: SparkSession, d: str) -> DataFrame:
 def stream_fast_packet(spark: SparkSession, d: str) -> DataFrame:
     """Reassembly with keyed state gives what the batch form gives."""
     out = scratch(spark, "stream")
-    frames = n2k.frames(long_messages(spark, d), n2k.FAST).select("device_id", "src", "can_id", "seq", "ts", "payload")
-    # Three files, a batch each, whose bounds fall inside messages: the state has what is open.
-    third = 1 + frames.agg(F.max("seq")).scalar() / 3
+    k = F.col("event_id")
+    third = 1 + (spark.read.parquet(f"{d}/events.parquet").agg(F.max("event_id")).scalar() * 10 + 6) / 3
+    # A batch each, whose bounds fall inside messages: the state has what is open, and the stream is begun again with it.
     for n in range(3):
-        frames.where(F.floor(F.col("seq") / third) == n).coalesce(1).write.mode("append").parquet(f"{out}/frames")
-    stream = spark.readStream.schema(frames.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/frames")
-    query = reassembly.reassemble_stream(stream).writeStream.format("parquet").option("path", f"{out}/messages").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
-    query.awaitTermination()
+        near = long_messages(spark, d).where((F.floor(k * 10 / third) <= n) & (F.floor((k * 10 + 6) / third) >= n))
+        frames = n2k.frames(near, n2k.FAST).select("device_id", "src", "can_id", "seq", "ts", "payload")
+        frames.where(F.floor(F.col("seq") / third) == n).write.mode("append").parquet(f"{out}/frames")
+        stream = spark.readStream.schema(frames.schema).parquet(f"{out}/frames")
+        query = reassembly.reassemble_stream(stream).writeStream.format("parquet").option("path", f"{out}/messages").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
     messages = spark.read.schema(reassembly.MESSAGE).parquet(f"{out}/messages")
     values = n2k.decode_messages(messages.select("seq", F.lit(129029).alias("pgn"), "payload"))
     return values.where(F.col("field").endswith("_code")).select("seq", "field", "value")
